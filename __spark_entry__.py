@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from itertools import combinations
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,9 +21,42 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle as O  # noqa: E402
 from arrears.operators import clean as C  # noqa: E402
+from arrears.functions.columns import bucket_label, minmax, payment_bucket  # noqa: E402
+from arrears.operators.evaluate import classification_metrics, confusion_matrix, per_class_metrics  # noqa: E402
 from arrears.operators.label import add_payment_bucket, region_codes  # noqa: E402
-from arrears.operators.scoring import filter_scorable  # noqa: E402
-from arrears.params import TRAINING_SET_COLUMNS  # noqa: E402
+from arrears.operators.profile import (  # noqa: E402
+    correlation_long,
+    describe_numeric,
+    head_invoices,
+    invoices_per_year,
+    null_counts,
+    pair_sizes,
+    sorted_invoices,
+    table_info,
+    value_counts,
+)
+from arrears.operators.scoring import (  # noqa: E402
+    add_recency,
+    bounds_row,
+    filter_scorable,
+    score_bounds,
+    with_bounds,
+)
+from arrears.operators.split import (  # noqa: E402
+    class_weights,
+    split_open_invoices,
+    split_test,
+    split_train,
+    training_projection,
+)
+from arrears.params import BUCKET_LABELS, DATE_COLUMNS, NON_FEATURE_COLUMNS, TRAINING_SET_COLUMNS  # noqa: E402
+from arrears.operators.clean import parse_dates  # noqa: E402
+from arrears.sources.io import (  # noqa: E402
+    normalize_columns,
+    read_invoices_csv,
+    write_invoices_csv,
+    write_training_set,
+)
 from arrears.plans.preprocess import features_table, scored_table  # noqa: E402
 from arrears.schema import INVOICE_SCHEMA, TRAINING_SET_SCHEMA  # noqa: E402
 from arrears.session import ensure_checkpoint_dir  # noqa: E402
@@ -162,6 +197,360 @@ for _c, _k in FEATURE_KINDS.items():
     _feature_query(_c, _k)
 
 
+# --- scans and sources (IO1-IO4) ---------------------------------------------
+
+
+def _scratch(spark, name):
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+@register("scan_invoices", INVOICE_SPEC, "SELECT * FROM inv")
+def q_scan_invoices(spark, sf):
+    return normalize_columns(invoices(spark, sf))
+
+
+@register("normalize_columns", INVOICE_SPEC, "SELECT * FROM inv")
+def q_normalize_columns(spark, sf):
+    upper = invoices(spark, sf)
+    return normalize_columns(upper.toDF(*[c.upper() for c in upper.columns]))
+
+
+@register("scan_invoices_csv", INVOICE_SPEC, "SELECT * FROM inv")
+def q_scan_invoices_csv(spark, sf):
+    def build():
+        path = _scratch(spark, "invoices-csv")
+        write_invoices_csv(invoices(spark, sf), path)
+        return path
+
+    path = _memo(spark, sf, "invoices_csv", build)
+    return parse_dates(read_invoices_csv(spark, path))
+
+
+@register("parse_dates", INVOICE_SPEC, "SELECT * FROM inv")
+def q_parse_dates(spark, sf):
+    inv = invoices(spark, sf)
+    as_text = inv.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in DATE_COLUMNS})
+    return parse_dates(as_text)
+
+
+@register("write_training_set", TRAINING_SPEC, "SELECT * FROM ts")
+def q_write_training_set(spark, sf):
+    path = _scratch(spark, "training-set")
+    write_training_set(training_set(spark, sf), path)
+    return spark.read.parquet(path).drop("invoice_year")
+
+
+# --- filters (F2-F7, F12) ------------------------------------------------------
+def _filter_query(name, fn, where):
+    register(name, INVOICE_SPEC, f"SELECT * FROM inv WHERE {where}")(lambda spark, sf: fn(invoices(spark, sf)))
+
+
+_filter_query("filter_year_range", C.filter_year_range, O.YEAR_OK)
+_filter_query("filter_paid", C.filter_paid, O.PAID_OK)
+_filter_query("filter_stale_open", C.filter_stale_open, f"NOT ({O.STALE})")
+_filter_query("filter_company_amount", C.filter_company_amount, O.COMPANY_OK)
+_filter_query("filter_invoice_before_payment", C.filter_invoice_before_payment, "invoice_date < payment_date")
+_filter_query("filter_invoice_before_due", C.filter_invoice_before_due, "invoice_date < due_date")
+
+ANOMALY_SQL = " UNION ALL ".join(
+    f"SELECT invoice_id, '{name}' AS anomaly FROM inv WHERE {cond}" for name, cond in (
+        ("missing_payment_date", "payment_date IS NULL"),
+        ("closed_with_open_amount", "payment_complete = 'Y' AND payment_amount > 0"),
+        ("missing_company", "company_id = -1"),
+        ("negative_amount", "net_amount < 0"),
+        ("paid_before_invoiced", "payment_date < invoice_date"),
+        ("due_before_invoiced", "due_date < invoice_date"),
+    )
+)
+
+
+@register("anomaly_rows", [("invoice_id", I), ("anomaly", S)], ANOMALY_SQL)
+def q_anomaly_rows(spark, sf):
+    return C.anomaly_rows(invoices(spark, sf)).select("invoice_id", "anomaly")
+
+
+# --- column features (C4-C8) ---------------------------------------------------
+@register("due_date_parts", [("invoice_id", I), ("due_date_month", I), ("due_date_quarter", I),
+                             ("due_date_dayofweek", I)],
+          "SELECT invoice_id, due_date_month, due_date_quarter, due_date_dayofweek FROM feat")
+def q_due_date_parts(spark, sf):
+    return features(spark, sf)
+
+
+@register("due_date_flags", [("invoice_id", I), ("due_date_is_year_end", I), ("due_date_is_year_start", I),
+                             ("due_date_is_summer", I)],
+          "SELECT invoice_id, due_date_is_year_end, due_date_is_year_start, due_date_is_summer FROM feat")
+def q_due_date_flags(spark, sf):
+    return features(spark, sf)
+
+
+@register("weighted_trend", [("invoice_id", I), ("weighted_payment_delay_trend", D)],
+          "SELECT invoice_id, weighted_payment_delay_trend FROM feat")
+def q_weighted_trend(spark, sf):
+    return features(spark, sf)
+
+
+@register("weighted_variance", [("invoice_id", I), ("weighted_payment_delay_variance", D)],
+          "SELECT invoice_id, weighted_payment_delay_variance FROM feat")
+def q_weighted_variance(spark, sf):
+    return features(spark, sf)
+
+
+@register("recency_days", [("invoice_id", I), ("recency_days", I)], "SELECT invoice_id, recency_days FROM sc")
+def q_recency_days(spark, sf):
+    return scored(spark, sf)
+
+
+# --- bounds and scores (A7, N1-N7, F9) -------------------------------------------
+NORM_KINDS = [("average_payment_delay", D), ("maximum_payment_delay", I), ("overall_payment_delay_trend", D),
+              ("invoice_deviation", D), ("number_of_previous_invoices", I), ("net_amount", D),
+              ("average_invoice_amount", D), ("frequency_of_transactions", I), ("payment_delay_variance", D),
+              ("weighted_payment_delay_trend", D), ("weighted_payment_delay_variance", D)]
+BOUNDS_SPEC = [("max_invoice_date", T), ("min_invoice_date", T)] + [
+    (f"{m}_{c}", k) for c, k in NORM_KINDS for m in ("min", "max")] + [("min_recency_days", I), ("max_recency_days", I)]
+
+
+@register("score_bounds", BOUNDS_SPEC,
+          "SELECT b.*, 0 AS min_recency_days, CAST(max_invoice_date - min_invoice_date AS BIGINT) AS max_recency_days "
+          "FROM b")
+def q_score_bounds(spark, sf):
+    return score_bounds(features(spark, sf))
+
+
+MINMAX_SPEC = [("invoice_id", I)] + [(f"m_{c}", D) for c, _ in NORM_KINDS] + [("m_recency_days", D)]
+
+
+@register("minmax_scaled", MINMAX_SPEC,
+          "SELECT f.invoice_id, " + ", ".join(f"{O._m(c)} AS m_{c}" for c, _ in NORM_KINDS)
+          + f", {O.RECENCY_M} AS m_recency_days FROM feat f CROSS JOIN b")
+def q_minmax_scaled(spark, sf):
+    feats = features(spark, sf)
+    df = with_bounds(feats, bounds_row(score_bounds(feats))).transform(add_recency)
+    cols = [c for c, _ in NORM_KINDS] + ["recency_days"]
+    return df.select("invoice_id", *[minmax(c, F.col(f"min_{c}"), F.col(f"max_{c}")).alias(f"m_{c}") for c in cols])
+
+
+for _score in ("risk_tolerance_score", "customer_value_score", "cash_flow_score", "historical_score",
+               "global_score"):
+    register(_score, [("invoice_id", I), (_score, D)], f"SELECT invoice_id, {_score} FROM scored")(
+        lambda spark, sf: scored(spark, sf))
+
+
+@register("score_validity", [("invoice_id", I), ("is_scorable", B)], "SELECT invoice_id, is_scorable FROM scored")
+def q_score_validity(spark, sf):
+    return scored(spark, sf)
+
+
+@register("filter_scorable", [("invoice_id", I), ("global_score", D)], "SELECT invoice_id, global_score FROM kept")
+def q_filter_scorable(spark, sf):
+    return filter_scorable(scored(spark, sf))
+
+
+# --- labels (C11-C13) ------------------------------------------------------------
+@register("region_codes", [("invoice_id", I), ("region_level1", I), ("region_level2", I), ("region_level3", I)],
+          "SELECT invoice_id, region_level1, region_level2, region_level3 FROM ts")
+def q_region_codes(spark, sf):
+    return training_set(spark, sf)
+
+
+BUCKET_SQL = ("CASE WHEN payment_delay <= 15 THEN 0 WHEN payment_delay <= 30 THEN 1 WHEN payment_delay <= 45 THEN 2 "
+              "WHEN payment_delay <= 60 THEN 3 ELSE 4 END")
+
+
+@register("payment_bucket", [("invoice_id", I), ("payment_delay", I), ("payment_bucket", I)],
+          f"SELECT invoice_id, payment_delay, {BUCKET_SQL} AS payment_bucket FROM feat")
+def q_payment_bucket(spark, sf):
+    return add_payment_bucket(features(spark, sf))
+
+
+LABEL_SQL = "CASE payment_bucket " + " ".join(
+    f"WHEN {i} THEN '{t}'" for i, t in enumerate(BUCKET_LABELS)) + " END"
+
+
+@register("bucket_label", [("invoice_id", I), ("bucket_label", S)],
+          f"SELECT invoice_id, {LABEL_SQL} AS bucket_label FROM ts")
+def q_bucket_label(spark, sf):
+    return training_set(spark, sf).withColumn("bucket_label", bucket_label("payment_bucket"))
+
+
+# --- split, projection, weights (F10, F13, F14, A8) --------------------------------
+PROJ_SPEC = [(n, k) for n, k in TRAINING_SPEC if n not in NON_FEATURE_COLUMNS]
+PROJ_SQL = "SELECT * EXCLUDE (due_date, invoice_date, create_date, payment_date, payment_delay) FROM ts"
+
+
+@register("training_projection", PROJ_SPEC, PROJ_SQL)
+def q_training_projection(spark, sf):
+    return training_projection(training_set(spark, sf))
+
+
+@register("split_train", PROJ_SPEC,
+          "SELECT * EXCLUDE (due_date, invoice_date, create_date, payment_date, payment_delay) FROM ts "
+          "WHERE year(invoice_date) >= 2019 AND year(invoice_date) < 2023")
+def q_split_train(spark, sf):
+    return training_projection(split_train(training_set(spark, sf)))
+
+
+@register("split_test", PROJ_SPEC,
+          "SELECT * EXCLUDE (due_date, invoice_date, create_date, payment_date, payment_delay) FROM ts "
+          "WHERE year(invoice_date) >= 2023")
+def q_split_test(spark, sf):
+    return training_projection(split_test(training_set(spark, sf)))
+
+
+@register("split_open_invoices", INVOICE_SPEC,
+          f"SELECT * FROM inv WHERE {O.YEAR_OK} AND payment_date IS NULL AND payment_complete = 'N'")
+def q_split_open_invoices(spark, sf):
+    return split_open_invoices(C.filter_year_range(invoices(spark, sf)))
+
+
+@register("class_weights", [("payment_bucket", I), ("n", I), ("weight", D)],
+          "SELECT payment_bucket, count(*) AS n, (SELECT count(*) FROM ts WHERE year(invoice_date) BETWEEN 2019 AND 2022)"
+          " / count(*) AS weight FROM ts WHERE year(invoice_date) BETWEEN 2019 AND 2022 GROUP BY payment_bucket")
+def q_class_weights(spark, sf):
+    return class_weights(split_train(training_set(spark, sf)))
+
+
+# --- profiling (A1-A6, A12, O1, O3) ---------------------------------------------------
+YEAR_ROWS = f"(SELECT * FROM inv WHERE {O.YEAR_OK})"
+PAID_ROWS = f"(SELECT * FROM inv WHERE {O.YEAR_OK} AND {O.PAID_OK})"
+
+
+@register("null_counts", [("column_name", S), ("null_count", I)], " UNION ALL ".join(
+    f"SELECT '{f.name}' AS column_name, count(*) - count({f.name}) AS null_count FROM {YEAR_ROWS}"
+    for f in INVOICE_SCHEMA.fields))
+def q_null_counts(spark, sf):
+    return null_counts(C.filter_year_range(invoices(spark, sf)))
+
+
+@register("value_counts", [("value", S), ("count", I)],
+          f"SELECT payment_complete AS value, count(*) AS count FROM {YEAR_ROWS} "
+          "WHERE payment_date IS NULL AND payment_complete IS NOT NULL GROUP BY payment_complete")
+def q_value_counts(spark, sf):
+    rows = C.filter_year_range(invoices(spark, sf)).filter(F.col("payment_date").isNull())
+    return value_counts(rows, "payment_complete")
+
+
+@register("value_counts_negative_region", [("value", S), ("count", I)],
+          f"SELECT region_level3 AS value, count(*) AS count FROM {PAID_ROWS} "
+          "WHERE net_amount < 0 AND region_level3 IS NOT NULL GROUP BY region_level3")
+def q_value_counts_negative_region(spark, sf):
+    rows = C.filter_paid(C.filter_year_range(invoices(spark, sf))).filter(F.col("net_amount") < 0)
+    return value_counts(rows, "region_level3")
+
+
+DESCRIBE_COLUMNS = ("invoice_id", "customer_id", "company_id", "payment_amount", "net_amount")
+DESCRIBE_SPEC = [("column_name", S), ("count", I), ("mean", D), ("std", D), ("min", D), ("p25", D), ("p50", D),
+                 ("p75", D), ("max", D)]
+
+
+@register("describe_numeric", DESCRIBE_SPEC, " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, "
+    f"min({c}) AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50, "
+    f"quantile_cont({c}, 0.75) AS p75, max({c}) AS max FROM {PAID_ROWS}" for c in DESCRIBE_COLUMNS))
+def q_describe_numeric(spark, sf):
+    return describe_numeric(C.filter_paid(C.filter_year_range(invoices(spark, sf))), DESCRIBE_COLUMNS)
+
+
+@register("table_info", [("position", I), ("column_name", S), ("data_type", S), ("non_null", I)], " UNION ALL ".join(
+    f"SELECT {i} AS position, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+    f"count({f.name}) AS non_null FROM inv" for i, f in enumerate(INVOICE_SCHEMA.fields)))
+def q_table_info(spark, sf):
+    return table_info(invoices(spark, sf))
+
+
+@register("pair_sizes", [("customer_id", I), ("company_id", I), ("count", I)],
+          "SELECT customer_id, company_id, count(*) AS count FROM clean GROUP BY customer_id, company_id")
+def q_pair_sizes(spark, sf):
+    return pair_sizes(cleaned(spark, sf))
+
+
+@register("invoices_per_year", [("invoice_year", I), ("count", I)],
+          "SELECT year(invoice_date) AS invoice_year, count(*) AS count FROM clean GROUP BY year(invoice_date)")
+def q_invoices_per_year(spark, sf):
+    return invoices_per_year(cleaned(spark, sf))
+
+
+CORR_COLUMNS = [n for n, k in TRAINING_SPEC if k in (I, D)]
+CORR_PAIRS = list(combinations(CORR_COLUMNS, 2))
+CORR_SQL = (
+    "SELECT n.column_a, n.column_b, CASE WHEN isnan(u.corr) THEN NULL ELSE u.corr END AS corr FROM (SELECT "
+    + ", ".join(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS "c{i}"' for i, (a, b) in enumerate(CORR_PAIRS))
+    + " FROM ts) UNPIVOT (corr FOR k IN (" + ", ".join(f'"c{i}"' for i in range(len(CORR_PAIRS)))
+    + ")) AS u JOIN (VALUES " + ", ".join(f"('c{i}', '{a}', '{b}')" for i, (a, b) in enumerate(CORR_PAIRS))
+    + ") AS n(k, column_a, column_b) ON u.k = n.k"
+)
+
+
+@register("correlation_long", [("column_a", S), ("column_b", S), ("corr", D)], CORR_SQL)
+def q_correlation_long(spark, sf):
+    out = correlation_long(training_set(spark, sf), CORR_COLUMNS)
+    return out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
+
+
+@register("sorted_invoices", [("invoice_id", I), ("customer_id", I), ("company_id", I), ("invoice_date", T),
+                              ("position", I)],
+          "SELECT invoice_id, customer_id, company_id, invoice_date, row_number() OVER "
+          "(ORDER BY customer_id, company_id, invoice_date, invoice_id) - 1 AS position FROM clean")
+def q_sorted_invoices(spark, sf):
+    return sorted_invoices(cleaned(spark, sf))
+
+
+@register("head_invoices", INVOICE_SPEC, "SELECT * FROM inv ORDER BY invoice_id LIMIT 10")
+def q_head_invoices(spark, sf):
+    return head_invoices(invoices(spark, sf))
+
+
+# --- evaluation on a deterministic stand-in prediction (A11, M8, M9) ----------------
+STANDIN_SQL = ("(SELECT payment_bucket AS actual, CASE WHEN previous_payment_delay <= 15 THEN 0 "
+               "WHEN previous_payment_delay <= 30 THEN 1 WHEN previous_payment_delay <= 45 THEN 2 "
+               "WHEN previous_payment_delay <= 60 THEN 3 ELSE 4 END AS predicted FROM ts "
+               "WHERE year(invoice_date) >= 2023)")
+COUNTS_SQL = f"(SELECT actual, predicted, count(*) AS n FROM {STANDIN_SQL} GROUP BY actual, predicted)"
+PER_CLASS_SQL = f"""(
+  SELECT class, tp, predicted_n - tp AS fp, support - tp AS fn, support,
+    coalesce(tp / nullif(predicted_n, 0), 0) AS precision,
+    coalesce(tp / nullif(support, 0), 0) AS recall
+  FROM (
+    SELECT coalesce(a.class, p.class) AS class, coalesce(a.tp, 0) AS tp, coalesce(a.support, 0) AS support,
+           coalesce(p.predicted_n, 0) AS predicted_n
+    FROM (SELECT actual AS class, sum(CASE WHEN actual = predicted THEN n ELSE 0 END) AS tp, sum(n) AS support
+          FROM {COUNTS_SQL} GROUP BY actual) a
+    FULL JOIN (SELECT predicted AS class, sum(n) AS predicted_n FROM {COUNTS_SQL} GROUP BY predicted) p
+      ON a.class = p.class
+  )
+)"""
+PER_CLASS_F1 = (f"(SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 "
+                f"FROM {PER_CLASS_SQL})")
+
+
+def _standin(spark, sf):
+    test = split_test(training_set(spark, sf))
+    return test.withColumn("prediction", payment_bucket("previous_payment_delay"))
+
+
+@register("confusion_matrix", [("actual", I)] + [(f"pred_{k}", I) for k in range(5)],
+          "SELECT actual, " + ", ".join(f"sum(CASE WHEN predicted = {k} THEN 1 ELSE 0 END) AS pred_{k}"
+                                        for k in range(5)) + f" FROM {STANDIN_SQL} GROUP BY actual")
+def q_confusion_matrix(spark, sf):
+    return confusion_matrix(_standin(spark, sf))
+
+
+@register("classification_metrics", [("accuracy", D), ("precision", D), ("recall", D), ("f1", D)],
+          f"SELECT (SELECT sum(CASE WHEN actual = predicted THEN n ELSE 0 END) / sum(n) FROM {COUNTS_SQL}) "
+          f"AS accuracy, avg(precision) AS precision, avg(recall) AS recall, avg(f1) AS f1 FROM {PER_CLASS_F1}")
+def q_classification_metrics(spark, sf):
+    return classification_metrics(_standin(spark, sf))
+
+
+@register("per_class_metrics", [("class", S), ("precision", D), ("recall", D), ("f1", D), ("support", I)],
+          f"SELECT CAST(class AS VARCHAR) AS class, precision, recall, f1, support FROM {PER_CLASS_F1} "
+          f"UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM {PER_CLASS_F1} "
+          f"UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), "
+          f"sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM {PER_CLASS_F1}")
+def q_per_class_metrics(spark, sf):
+    return per_class_metrics(_standin(spark, sf))
+
+
 # ---------------------------------------------------------------------------
 # driver functions
 # ---------------------------------------------------------------------------
