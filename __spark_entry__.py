@@ -51,6 +51,11 @@ from arrears.operators.split import (  # noqa: E402
 )
 from arrears.params import BUCKET_LABELS, DATE_COLUMNS, NON_FEATURE_COLUMNS, TRAINING_SET_COLUMNS  # noqa: E402
 from arrears.operators.clean import parse_dates  # noqa: E402
+from arrears.operators import ml  # noqa: E402
+from arrears.plans.pipeline import run_pipeline  # noqa: E402
+from arrears.plans.train import prepare_splits, train  # noqa: E402
+from arrears.sources.io import write_labelled_predictions, write_predictions  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
 from arrears.sources.io import (  # noqa: E402
     normalize_columns,
     read_invoices_csv,
@@ -551,6 +556,123 @@ def q_per_class_metrics(spark, sf):
     return per_class_metrics(_standin(spark, sf))
 
 
+# --- Spark ML (M1-M7, M10, M11, IO5-IO7, X2, X3): rows-only checks ------------------
+# Model sizes are parameters; the registered runs use small forests and few rounds.
+QUERY_TREES, QUERY_DEPTH = 20, 8
+
+
+def _splits(spark, sf):
+    return _memo(spark, sf, "splits", lambda: prepare_splits(training_set(spark, sf)))
+
+
+def _fitted(spark, sf, name, estimator_fn):
+    def build():
+        train_df, _, _ = _splits(spark, sf)
+        cols = ml.feature_columns(train_df)
+        return ml.fit(train_df, estimator_fn(), cols), cols
+
+    return _memo(spark, sf, f"model-{name}", build)
+
+
+def _rf(spark, sf):
+    return _fitted(spark, sf, "rf", lambda: ml.random_forest(QUERY_TREES, QUERY_DEPTH))
+
+
+PRED_SPEC = [("invoice_id", I), ("payment_bucket", I), ("predicted_bucket", I)]
+
+
+def _predictions(spark, sf, model):
+    _, test_df, _ = _splits(spark, sf)
+    return ml.predict(model, test_df)
+
+
+@register("feature_vector", [("invoice_id", I), ("n_features", I), ("payment_bucket", I)], None)
+def q_feature_vector(spark, sf):
+    train_df, _, _ = _splits(spark, sf)
+    v = ml.feature_vector(train_df, ml.feature_columns(train_df))
+    return v.withColumn("n_features", F.size(vector_to_array("features")))
+
+
+@register("rf_predictions", PRED_SPEC, None)
+def q_rf_predictions(spark, sf):
+    return _predictions(spark, sf, _rf(spark, sf)[0])
+
+
+@register("gbt_predictions", PRED_SPEC, None)
+def q_gbt_predictions(spark, sf):
+    model, _ = _fitted(spark, sf, "gbt", lambda: ml.boosted_trees(max_iter=10, max_depth=4, weighted=False))
+    return _predictions(spark, sf, model)
+
+
+@register("lr_predictions", PRED_SPEC, None)
+def q_lr_predictions(spark, sf):
+    model, _ = _fitted(spark, sf, "lr", lambda: ml.logistic_regression(max_iter=50))
+    return _predictions(spark, sf, model)
+
+
+@register("weighted_gbt_predictions", PRED_SPEC, None)
+def q_weighted_gbt_predictions(spark, sf):
+    model, _ = _fitted(spark, sf, "wgbt", lambda: ml.tuned_boosting(scale_rounds=0.005))
+    return _predictions(spark, sf, model)
+
+
+@register("class_probabilities", [("invoice_id", I)] + [(f"p_{k}", D) for k in range(5)]
+          + [("predicted_bucket", I)], None)
+def q_class_probabilities(spark, sf):
+    _, test_df, _ = _splits(spark, sf)
+    return ml.class_probabilities(_rf(spark, sf)[0], test_df)
+
+
+@register("feature_importance_top10", [("feature", S), ("splits", I)], None)
+def q_feature_importance_top10(spark, sf):
+    model, cols = _rf(spark, sf)
+    return ml.feature_importance_top(spark, model, cols, 10)
+
+
+@register("tuned_params", [("params", S), ("macro_f1", D)], None)
+def q_tuned_params(spark, sf):
+    train_df, _, _ = _splits(spark, sf)
+    _, table = ml.tune(train_df, ml.feature_columns(train_df))
+    return table
+
+
+@register("model_roundtrip", PRED_SPEC + [("reloaded_bucket", I)], None)
+def q_model_roundtrip(spark, sf):
+    model, _ = _rf(spark, sf)
+    path = _scratch(spark, "model")
+    ml.save_model(model, path)
+    _, test_df, _ = _splits(spark, sf)
+    again = ml.predict(ml.load_model(path), test_df).select("invoice_id", F.col("predicted_bucket").alias("reloaded_bucket"))
+    return _predictions(spark, sf, model).join(again, "invoice_id")
+
+
+@register("predictions", [("invoice_id", I), ("predicted_bucket", I)], None)
+def q_predictions(spark, sf):
+    res = train(training_set(spark, sf), ml.random_forest(QUERY_TREES, QUERY_DEPTH))
+    return res.predictions
+
+
+@register("write_predictions", [("invoice_id", I), ("predicted_bucket", I)], None)
+def q_write_predictions(spark, sf):
+    path = _scratch(spark, "predictions")
+    write_predictions(_predictions(spark, sf, _rf(spark, sf)[0]).drop("payment_bucket"), path)
+    return spark.read.parquet(path)
+
+
+@register("write_labelled_predictions", [("invoice_id", I), ("prediction", S)], None)
+def q_write_labelled_predictions(spark, sf):
+    path = _scratch(spark, "labelled")
+    write_labelled_predictions(_predictions(spark, sf, _rf(spark, sf)[0]).drop("payment_bucket"), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@register("train_pipeline", [("accuracy", D), ("precision", D), ("recall", D), ("f1", D)], None)
+def q_train_pipeline(spark, sf):
+    res = run_pipeline(spark, invoices(spark, sf), _scratch(spark, "train"), _scratch(spark, "pred"),
+                       ml.random_forest(QUERY_TREES, QUERY_DEPTH))
+    return res.metrics
+
+
 # ---------------------------------------------------------------------------
 # driver functions
 # ---------------------------------------------------------------------------
