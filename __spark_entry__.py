@@ -65,7 +65,7 @@ from arrears.sources.io import (  # noqa: E402
 from arrears.plans.preprocess import features_table, scored_table  # noqa: E402
 from arrears.schema import INVOICE_SCHEMA, TRAINING_SET_SCHEMA  # noqa: E402
 from arrears.session import ensure_checkpoint_dir  # noqa: E402
-from arrears.sources.invoices import invoices_from_tables  # noqa: E402
+from arrears.sources.invoices import invoices_table  # noqa: E402
 
 I, D, T, S, B = O.I, O.D, O.T, O.S, O.B
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -124,7 +124,8 @@ def _memo(spark: SparkSession, sf_dir: str, key: str, build):
 
 
 def invoices(spark, sf):
-    return invoices_from_tables(spark, sf)
+    ensure_checkpoint_dir(spark)
+    return _memo(spark, sf, "invoices", lambda: invoices_table(spark, sf))
 
 
 def cleaned(spark, sf):

@@ -78,12 +78,19 @@ def pair_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def assign_chunks(df: DataFrame, stats: DataFrame, max_chunk_rows: int):
-    """Add ``_cday``/``_csub``; return (frame, number of hot pairs)."""
+def assign_chunks(df: DataFrame, stats: DataFrame, max_chunk_rows: int, largest_pair: int | None = None):
+    """Add ``_hot``/``_cday``/``_csub``; return (frame, number of hot pairs).
+
+    Without hot pairs the chunk columns are constants, the window partitions
+    on the pair alone and the explicit exchange is on the pair.
+    """
+    no_hot = df.withColumns({"_hot": F.lit(False), "_cday": F.lit(0), "_csub": F.lit(0).cast("long")})
+    if largest_pair is not None and largest_pair <= max_chunk_rows:
+        return no_hot.repartition(*PAIR), 0
     hot = stats.filter(F.col("_pair_rows") > max_chunk_rows).select(*PAIR, F.lit(True).alias("_hot"))
     n_hot = hot.count()
     if n_hot == 0:
-        return df.withColumns({"_hot": F.lit(False), "_cday": F.lit(0), "_csub": F.lit(0).cast("long")}), 0
+        return no_hot.repartition(*PAIR), 0
     hot_b = F.broadcast(hot) if n_hot <= BROADCAST_MAX_KEYS else hot
     marked = df.join(hot_b, PAIR, "left")
     # days of hot pairs that are themselves larger than a chunk
@@ -112,7 +119,8 @@ def assign_chunks(df: DataFrame, stats: DataFrame, max_chunk_rows: int):
         "_cday": F.when(hot_row, F.unix_date("invoice_date")).otherwise(F.lit(0)),
         "_csub": F.when(F.col("_cell_rows").isNotNull(), sub).otherwise(F.lit(0).cast("long")),
     }).drop("_cell_rows", "_cell_lo", "_cell_hi")
-    return out, n_hot
+    # explicit exchange on pair + chunk: a hot pair is spread over many tasks
+    return out.repartition(*CHUNK), n_hot
 
 
 def _local_windows(df: DataFrame, y: str, a: str) -> DataFrame:
@@ -291,11 +299,10 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
     spark = df.sparkSession
     partitions = params.num_partitions or default_partitions(spark)
     stats = materialize(pair_stats(df), "pair-stats")
-    total = stats.agg(F.sum("_pair_rows")).first()[0] or 0
-    max_rows = resolve_chunk_rows(total, params, partitions)
-    chunked, n_hot = assign_chunks(df, stats, max_rows)
-    # explicit exchange on pair + chunk: a hot pair is spread over many tasks
-    local = _local_windows(chunked.repartition(*CHUNK), y, a)
+    total, largest = stats.agg(F.sum("_pair_rows"), F.max("_pair_rows")).first()
+    max_rows = resolve_chunk_rows(total or 0, params, partitions)
+    chunked, n_hot = assign_chunks(df, stats, max_rows, largest or 0)
+    local = _local_windows(chunked, y, a)
     carry = stats.filter(F.col("_pair_rows") <= max_rows).select(
         *PAIR, "frequency_of_transactions", F.lit(0).alias("_cday"), F.lit(0).cast("long").alias("_csub")
     )

@@ -1,4 +1,4 @@
-from .invoices import invoices_from_tables, read_table  # noqa: F401
+from .invoices import invoices_from_tables, invoices_table, read_table  # noqa: F401
 from .io import (  # noqa: F401
     normalize_columns,
     read_invoices_csv,

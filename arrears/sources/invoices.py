@@ -54,6 +54,18 @@ def invoice_columns(o: DataFrame) -> DataFrame:
     )
 
 
+def invoices_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoice fixture written once as a flat Parquet table and read back.
+
+    This mirrors the real input (a stored invoice table): the cleaning
+    filters then reach the Parquet scan, instead of re-deriving every date
+    expression inside the filter.
+    """
+    from ..session import materialize
+
+    return materialize(invoices_from_tables(spark, sf_dir), "invoices")
+
+
 def invoices_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw ``invoices`` table (schema ``INVOICE_SCHEMA``)."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
