@@ -67,15 +67,15 @@ def _empty(dtype: str) -> Column:
 def pair_stats(df: DataFrame) -> DataFrame:
     """Rows per pair and invoices per customer (A14), one row per pair.
 
-    A grouped aggregate with map-side combine; the per-customer total is a
-    window over this small table (one row per pair), not over the facts.
+    Grouped aggregates with map-side combine; the per-customer total is
+    joined back to the pair rows (AQE splits a customer with very many
+    companies), never a window over the facts.
     """
     per_pair = df.groupBy(*PAIR).agg(
         F.count(F.lit(1)).alias("_pair_rows"), F.count("invoice_id").alias("_pair_ids")
     )
-    return per_pair.withColumn(
-        "frequency_of_transactions", F.sum("_pair_ids").over(Window.partitionBy("customer_id"))
-    )
+    per_customer = per_pair.groupBy("customer_id").agg(F.sum("_pair_ids").alias("frequency_of_transactions"))
+    return per_pair.join(per_customer, "customer_id")
 
 
 def assign_chunks(df: DataFrame, stats: DataFrame, max_chunk_rows: int, largest_pair: int | None = None):

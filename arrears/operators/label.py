@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bucket_label, payment_bucket
 from ..params import LABEL, REGION_COLUMNS
+from ..session import sized_broadcast
+
+# a dictionary above this many categories is joined with a shuffle instead
+MAX_BROADCAST_CATEGORIES = 1_000_000
 
 
 def category_codes(df: DataFrame, c: str) -> DataFrame:
@@ -22,12 +26,12 @@ def category_codes(df: DataFrame, c: str) -> DataFrame:
 def region_codes(df: DataFrame, columns=REGION_COLUMNS) -> DataFrame:
     """Replace each region column by its category code; NULL -> -1 (C11).
 
-    Dictionaries are joined without a hint: they hold one row per category and
-    Spark's runtime size check (AQE) turns them into broadcasts.
+    Each dictionary holds one row per category; it is broadcast after a
+    row-count check, and joined with a shuffle beyond that bound.
     """
     out = df
     for c in columns:
-        codes = category_codes(df, c)
+        codes = sized_broadcast(category_codes(df, c), MAX_BROADCAST_CATEGORIES)
         out = out.join(codes, c, "left").withColumn(c, F.coalesce(F.col("_code"), F.lit(-1))).drop("_code")
     return out
 
