@@ -53,6 +53,7 @@ from arrears.params import BUCKET_LABELS, DATE_COLUMNS, NON_FEATURE_COLUMNS, TRA
 from arrears.operators.clean import parse_dates  # noqa: E402
 from arrears.operators import ml  # noqa: E402
 from arrears.plans.pipeline import run_pipeline  # noqa: E402
+from arrears.streaming.scoring import run_stream_predictions  # noqa: E402
 from arrears.plans.train import prepare_splits, train  # noqa: E402
 from arrears.sources.io import write_labelled_predictions, write_predictions  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
@@ -674,6 +675,14 @@ def q_train_pipeline(spark, sf):
     return res.metrics
 
 
+@register("stream_predictions", [("invoice_id", I), ("predicted_bucket", I)], None)
+def q_stream_predictions(spark, sf):
+    source = _scratch(spark, "stream-source")
+    write_training_set(split_test(training_set(spark, sf)), source)
+    model, _ = _rf(spark, sf)
+    return spark.read.parquet(run_stream_predictions(spark, source, model, _scratch(spark, "stream-sink")))
+
+
 # ---------------------------------------------------------------------------
 # driver functions
 # ---------------------------------------------------------------------------
