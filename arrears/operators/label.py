@@ -23,16 +23,30 @@ def category_codes(df: DataFrame, c: str) -> DataFrame:
     return values.withColumn("_code", (F.dense_rank().over(Window.orderBy(c)) - 1).cast("int"))
 
 
+def region_dictionary(df: DataFrame, columns=REGION_COLUMNS) -> DataFrame:
+    """(column_name, value, code) for several columns in one pass.
+
+    The columns are stacked and de-duplicated together; the rank runs per
+    column over its distinct values only.
+    """
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
+    ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull()).distinct()
+    rank = F.dense_rank().over(Window.partitionBy("column_name").orderBy("value")) - 1
+    return stacked.withColumn("code", rank.cast("int"))
+
+
 def region_codes(df: DataFrame, columns=REGION_COLUMNS) -> DataFrame:
     """Replace each region column by its category code; NULL -> -1 (C11).
 
-    Each dictionary holds one row per category; it is broadcast after a
-    row-count check, and joined with a shuffle beyond that bound.
+    One dictionary pass for all columns; it is broadcast after a row-count
+    check (one row per category), and joined with a shuffle beyond that bound.
     """
+    codes = sized_broadcast(region_dictionary(df, columns), MAX_BROADCAST_CATEGORIES * len(columns))
     out = df
     for c in columns:
-        codes = sized_broadcast(category_codes(df, c), MAX_BROADCAST_CATEGORIES)
-        out = out.join(codes, c, "left").withColumn(c, F.coalesce(F.col("_code"), F.lit(-1))).drop("_code")
+        d = codes.where(F.col("column_name") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))
+        out = out.join(d, c, "left").withColumn(c, F.coalesce(F.col("_code"), F.lit(-1))).drop("_code")
     return out
 
 
