@@ -14,15 +14,31 @@ from pyspark.sql import functions as F
 from ..params import LABEL
 
 
+# (actual, predicted) pairs are bounded by classes^2; beyond this stay distributed
+MAX_LOCAL_CELLS = 1_000_000
+
+
 def confusion_counts(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
-    return df.groupBy(F.col(label).cast("int").alias("actual"), F.col(prediction).cast("int").alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """(actual, predicted, n), computed once.
+
+    The counts feed several branches (per-class, accuracy); the scored input
+    is therefore aggregated a single time and the at most classes^2 cells are
+    kept as a small local table, so predictions are not recomputed per branch.
+    """
+    counts = df.groupBy(F.col(label).cast("int").alias("actual"),
+                        F.col(prediction).cast("int").alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.limit(MAX_LOCAL_CELLS + 1).collect()
+    if len(rows) > MAX_LOCAL_CELLS:
+        return counts
+    return df.sparkSession.createDataFrame(rows, "actual int, predicted int, n long")
 
 
 def confusion_matrix(df: DataFrame, label: str = LABEL, prediction: str = "prediction", classes=range(5)) -> DataFrame:
     """Rows = actual class, columns ``pred_<k>`` = counts."""
-    counts = confusion_counts(df, label, prediction)
+    return matrix_from_counts(confusion_counts(df, label, prediction), classes)
+
+
+def matrix_from_counts(counts: DataFrame, classes=range(5)) -> DataFrame:
     classes = list(classes)
     wide = counts.groupBy("actual").pivot("predicted", classes).agg(F.sum("n"))
     return wide.select("actual", *[F.coalesce(F.col(str(k)), F.lit(0)).cast("long").alias(f"pred_{k}") for k in classes])

@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 
 from ..operators import ml
 from ..operators.clean import filter_year_range, parse_dates
-from ..operators.evaluate import classification_metrics, confusion_matrix, per_class_metrics
+from ..operators.evaluate import (
+    confusion_counts,
+    matrix_from_counts,
+    metrics_from_counts,
+    per_class_metrics_from_counts,
+)
+from ..session import materialize
 from ..operators.split import add_class_weight, class_weights, split_test, split_train, training_projection
 from ..params import LABEL, SplitParams
 
@@ -37,13 +43,14 @@ def prepare_splits(training_set: DataFrame, split: SplitParams = SplitParams(),
 def train(training_set: DataFrame, estimator=None, split: SplitParams = SplitParams(), include_ids: bool = True,
           as_of=None) -> TrainResult:
     train_df, test_df, weights = prepare_splits(training_set, split, as_of)
+    # iterative fitting reads its input many times: read it from one written copy
+    train_df = materialize(train_df, "train-split")
     cols = ml.feature_columns(train_df, include_ids)
     model = ml.fit(train_df, estimator or ml.random_forest(), cols)
-    scored = model.transform(test_df)
-    preds = scored.drop("features", "scaled", "rawPrediction", "probability")
+    counts = confusion_counts(model.transform(test_df))
     out = ml.predict(model, test_df).drop(LABEL)
     return TrainResult(
         model=model, columns=cols, weights=weights, predictions=out,
-        metrics=classification_metrics(preds, digits=None), confusion=confusion_matrix(preds),
-        per_class=per_class_metrics(preds),
+        metrics=metrics_from_counts(counts), confusion=matrix_from_counts(counts),
+        per_class=per_class_metrics_from_counts(counts),
     )

@@ -20,10 +20,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from arrears.operators import ml  # noqa: E402
 from arrears.operators.clean import clean_invoices  # noqa: E402
-from arrears.operators.evaluate import classification_metrics  # noqa: E402
 from arrears.operators.profile import describe_numeric, sorted_invoices  # noqa: E402
 from arrears.plans.preprocess import features_table, preprocess, scored_table  # noqa: E402
-from arrears.plans.train import prepare_splits  # noqa: E402
+from arrears.plans.train import train  # noqa: E402
 from arrears.session import build_session, ensure_checkpoint_dir, materialize  # noqa: E402
 from arrears.sources.invoices import invoices_from_tables, invoices_table  # noqa: E402
 
@@ -65,11 +64,9 @@ def main():
 
     def q_train_rf():
         ts = materialize(preprocess(inv()), "bench-ts")
-        train_df, test_df, _ = prepare_splits(ts)
-        cols = ml.feature_columns(train_df)
-        model = ml.fit(train_df, ml.random_forest(50, 10), cols)
-        preds = model.transform(test_df)
-        classification_metrics(preds).collect()
+        res = train(ts, ml.random_forest(50, 10))
+        res.metrics.collect()
+        run(res.predictions)
 
     headline = {
         "build_invoices": q_build_invoices,
