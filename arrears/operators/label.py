@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bucket_label, payment_bucket
 from ..params import LABEL, REGION_COLUMNS
-from ..session import sized_broadcast
+from ..session import fits, materialize
 
 # a dictionary above this many categories is joined with a shuffle instead
 MAX_BROADCAST_CATEGORIES = 1_000_000
@@ -42,7 +42,10 @@ def region_codes(df: DataFrame, columns=REGION_COLUMNS) -> DataFrame:
     One dictionary pass for all columns; it is broadcast after a row-count
     check (one row per category), and joined with a shuffle beyond that bound.
     """
-    codes = sized_broadcast(region_dictionary(df, columns), MAX_BROADCAST_CATEGORIES * len(columns))
+    codes = region_dictionary(df, columns)
+    if fits(codes, MAX_BROADCAST_CATEGORIES * len(columns)):
+        # small by the check above: write it once so the joins do not recompute it
+        codes = F.broadcast(materialize(codes, "region-codes"))
     out = df
     for c in columns:
         d = codes.where(F.col("column_name") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))
