@@ -54,6 +54,8 @@ from arrears.operators.clean import parse_dates  # noqa: E402
 from arrears.operators import ml  # noqa: E402
 from arrears.plans.pipeline import run_pipeline  # noqa: E402
 from arrears.streaming.scoring import run_stream_predictions  # noqa: E402
+from arrears.operators.open_invoices import open_invoice_features, open_invoice_rows  # noqa: E402
+from arrears.plans.serve import fit_scoring_context, score_open_invoices  # noqa: E402
 from arrears.plans.train import prepare_splits, train  # noqa: E402
 from arrears.sources.io import write_labelled_predictions, write_predictions  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
@@ -189,7 +191,7 @@ FEATURE_KINDS = {
     "payment_deviation": D, "invoice_deviation": D, "has_delayed_payment_last_3": I,
     "has_early_payment_last_3": I, "payment_delay_trend": D, "invoice_amount_trend": D,
     "maximum_payment_delay": I, "overall_payment_delay_trend": D, "payment_delay_trend_acceleration": I,
-    "payment_delay_variance": D, "frequency_of_transactions": I,
+    "payment_delay_variance": D, "frequency_of_transactions": I, "running_payment_delay_trend": D,
 }
 
 
@@ -683,6 +685,46 @@ def q_stream_predictions(spark, sf):
     return spark.read.parquet(run_stream_predictions(spark, source, model, _scratch(spark, "stream-sink")))
 
 
+# --- open invoices (F14): as-of features and predictions ------------------------------
+OPEN_COLS = [("invoice_id", I), ("previous_payment_delay", I), ("average_payment_delay", D),
+             ("number_of_previous_invoices", I), ("overall_payment_delay_trend", D), ("payment_deviation", D),
+             ("maximum_payment_delay", I), ("has_delayed_payment_last_3", I), ("has_early_payment_last_3", I),
+             ("invoice_deviation", D), ("total_amount_of_previous_invoices", D), ("payment_delay_trend", D),
+             ("frequency_of_transactions", I), ("discount_offered", I), ("due_date_month", I)]
+ORDER_KEY = "CAST(date_diff('day', DATE '1970-01-01', invoice_date) AS BIGINT) * 100000000 + invoice_id"
+OPEN_SQL = (
+    "SELECT o.invoice_id, coalesce(f.payment_delay, 0) AS previous_payment_delay, "
+    "coalesce(f.average_payment_delay, 0) AS average_payment_delay, "
+    "coalesce(f.number_of_previous_invoices + 1, 0) AS number_of_previous_invoices, "
+    "coalesce(f.running_payment_delay_trend, 0) AS overall_payment_delay_trend, "
+    "coalesce(f.payment_deviation, 0) AS payment_deviation, "
+    "coalesce(f.maximum_payment_delay, 0) AS maximum_payment_delay, "
+    "coalesce(f.has_delayed_payment_last_3, 0) AS has_delayed_payment_last_3, "
+    "coalesce(f.has_early_payment_last_3, 0) AS has_early_payment_last_3, "
+    "coalesce(f.invoice_deviation, 0) AS invoice_deviation, "
+    "coalesce(f.total_amount_of_previous_invoices, 0) AS total_amount_of_previous_invoices, "
+    "coalesce(f.payment_delay_trend, 0) AS payment_delay_trend, "
+    "coalesce(f.frequency_of_transactions, 0) AS frequency_of_transactions, "
+    "CASE WHEN o.due_discount_date IS NULL THEN 0 ELSE 1 END AS discount_offered, "
+    "month(o.due_date) AS due_date_month "
+    f"FROM (SELECT *, {ORDER_KEY} AS ok FROM inv WHERE {O.YEAR_OK} AND payment_date IS NULL "
+    f"AND payment_complete = 'N' AND {O.COMPANY_OK}) o "
+    f"ASOF LEFT JOIN (SELECT *, {ORDER_KEY} AS ok FROM feat) f "
+    "ON o.customer_id = f.customer_id AND o.company_id = f.company_id AND o.ok > f.ok"
+)
+
+
+@register("open_invoice_features", OPEN_COLS, OPEN_SQL)
+def q_open_invoice_features(spark, sf):
+    return open_invoice_features(features(spark, sf), open_invoice_rows(invoices(spark, sf)))
+
+
+@register("open_invoice_predictions", [("invoice_id", I), ("predicted_bucket", I)], None)
+def q_open_invoice_predictions(spark, sf):
+    ctx = _memo(spark, sf, "scoring-context", lambda: fit_scoring_context(features(spark, sf)))
+    return score_open_invoices(invoices(spark, sf), features(spark, sf), _rf(spark, sf)[0], ctx)
+
+
 # ---------------------------------------------------------------------------
 # driver functions
 # ---------------------------------------------------------------------------

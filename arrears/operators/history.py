@@ -57,6 +57,7 @@ HISTORY_COLUMNS = (
     "payment_delay_trend_acceleration",
     "payment_delay_variance",
     "frequency_of_transactions",
+    "running_payment_delay_trend",
 )
 
 
@@ -147,9 +148,8 @@ def _local_windows(df: DataFrame, y: str, a: str) -> DataFrame:
         "_cn": F.count(F.lit(1)).over(whole),
         "_csy": F.sum(Y).over(whole),
     })
-    return stage1.withColumn(
-        "_csiy", F.sum((F.col("_rn") - 1).cast("double") * Y).over(whole)
-    )
+    iy = (F.col("_rn") - 1).cast("double") * Y
+    return stage1.withColumns({"_csiy": F.sum(iy).over(whole), "_lsiy": F.sum(iy).over(run)})
 
 
 def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
@@ -196,6 +196,7 @@ def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
     qy = F.col("m2y") + F.col("n") * F.pow(F.col("sy") / F.col("n") - mu_y, 2)
     qa = F.when(F.col("na") > 0, F.col("m2a") + F.col("na") * F.pow(F.col("sa") / F.col("na") - F.col("_mu_a"), 2))
     s = s.withColumns({
+        "_psiy": F.coalesce(F.sum(F.col("_pn") * F.col("sy") + F.col("siy")).over(before), F.lit(0.0)),
         "_pqy": F.coalesce(F.sum(qy).over(before), F.lit(0.0)),
         "_pqa": F.coalesce(F.sum(F.coalesce(qa, F.lit(0.0))).over(before), F.lit(0.0)),
         "_pair_siy": F.sum(F.col("_pn") * F.col("sy") + F.col("siy")).over(allc),
@@ -205,7 +206,7 @@ def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
     p1a = F.coalesce(F.col("_psa"), F.lit(0.0)) - F.coalesce(F.col("_mu_a"), F.lit(0.0)) * F.col("_pna")
     return s.select(
         *CHUNK, "_pn", "_psy", "_pmaxy", "_psa", "_pna", "_py", "_pa",
-        "_pair_n", "_pair_sy", "_pair_siy",
+        "_pair_n", "_pair_sy", "_pair_siy", "_psiy",
         F.when(F.col("_pn") > 0, F.greatest(F.col("_pqy") - p1y * p1y / F.col("_pn"), F.lit(0.0))).alias("_pm2y"),
         F.when(F.col("_pna") > 0, F.greatest(F.col("_pqa") - p1a * p1a / F.col("_pna"), F.lit(0.0))).alias("_pm2a"),
     )
@@ -229,6 +230,13 @@ def _back(local: str, carry: str, k: int) -> Column:
     )
 
 
+def _slope(n: Column, sy: Column, siy: Column) -> Column:
+    """Least-squares slope of y on positions 0..n-1 from n, sum(y), sum(i*y); 0 below two rows."""
+    return F.when(
+        n > 1, F.lit(6.0) * (F.lit(2.0) * siy - (n - 1) * sy) / (n * (n * n - 1))
+    ).otherwise(F.lit(0.0))
+
+
 def _features(j: DataFrame, y: str, a: str) -> DataFrame:
     Y, A = F.col(y), F.col(a)
     pn = F.coalesce(F.col("_pn"), F.lit(0)).cast("long")
@@ -255,9 +263,11 @@ def _features(j: DataFrame, y: str, a: str) -> DataFrame:
     tn = F.coalesce(F.col("_pair_n"), F.col("_cn")).cast("double")
     tsy = F.coalesce(F.col("_pair_sy"), F.col("_csy")).cast("double")
     tsiy = F.coalesce(F.col("_pair_siy"), F.col("_csiy"))
-    slope = F.when(
-        tn > 1, F.lit(6.0) * (F.lit(2.0) * tsiy - (tn - 1) * tsy) / (tn * (tn * tn - 1))
-    ).otherwise(F.lit(0.0))
+    slope = _slope(tn, tsy, tsiy)
+    # running slope over the rows up to this one (the as-of view used for open invoices)
+    rsy = (F.coalesce(F.col("_psy"), F.lit(0)) + F.col("_lsy")).cast("double")
+    rsiy = F.coalesce(F.col("_psiy"), F.lit(0.0)) + pn.cast("double") * F.col("_lsy") + F.col("_lsiy")
+    running_slope = _slope(n.cast("double"), rsy, rsiy)
     n_prev = pos.cast("int")
     return j.withColumns({
         "previous_payment_delay": F.coalesce(y1, F.lit(0)),
@@ -278,6 +288,7 @@ def _features(j: DataFrame, y: str, a: str) -> DataFrame:
         "overall_payment_delay_trend": slope,
         "payment_delay_trend_acceleration": F.when(pos >= 2, Y - 2 * y1 + y2).otherwise(F.lit(0)),
         "payment_delay_variance": pay_std,
+        "running_payment_delay_trend": running_slope,
     })
 
 
@@ -313,7 +324,7 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
     else:
         for c, t in (("_pn", "long"), ("_psy", "long"), ("_pmaxy", "int"), ("_psa", "double"),
                      ("_pna", "long"), ("_pm2y", "double"), ("_pm2a", "double"),
-                     ("_pair_n", "long"), ("_pair_sy", "long"), ("_pair_siy", "double")):
+                     ("_pair_n", "long"), ("_pair_sy", "long"), ("_pair_siy", "double"), ("_psiy", "double")):
             carry = carry.withColumn(c, F.lit(None).cast(t))
         carry = carry.withColumns({"_py": F.lit(None).cast("array<int>"), "_pa": F.lit(None).cast("array<double>")})
     joined = local.join(carry, CHUNK, "left")

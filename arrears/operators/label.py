@@ -36,16 +36,17 @@ def region_dictionary(df: DataFrame, columns=REGION_COLUMNS) -> DataFrame:
     return stacked.withColumn("code", rank.cast("int"))
 
 
-def region_codes(df: DataFrame, columns=REGION_COLUMNS) -> DataFrame:
-    """Replace each region column by its category code; NULL -> -1 (C11).
+def region_codes(df: DataFrame, columns=REGION_COLUMNS, dictionary: DataFrame | None = None) -> DataFrame:
+    """Replace each region column by its category code; NULL or unseen -> -1 (C11).
 
-    One dictionary pass for all columns; it is broadcast after a row-count
-    check (one row per category), and joined with a shuffle beyond that bound.
+    One dictionary pass for all columns (or a dictionary fitted earlier, e.g.
+    on training data when scoring new invoices); it is broadcast after a
+    row-count check (one row per category), and joined with a shuffle beyond.
     """
-    codes = region_dictionary(df, columns)
+    codes = dictionary if dictionary is not None else region_dictionary(df, columns)
     if fits(codes, MAX_BROADCAST_CATEGORIES * len(columns)):
         # small by the check above: write it once so the joins do not recompute it
-        codes = F.broadcast(materialize(codes, "region-codes"))
+        codes = F.broadcast(codes if dictionary is not None else materialize(codes, "region-codes"))
     out = df
     for c in columns:
         d = codes.where(F.col("column_name") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))

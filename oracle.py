@@ -138,6 +138,9 @@ f2 AS (
          THEN regr_slope(CAST(payment_delay AS DOUBLE), CAST(number_of_previous_invoices AS DOUBLE)) OVER {WP}
          ELSE 0 END AS overall_payment_delay_trend,
     payment_deviation AS payment_delay_variance,
+    CASE WHEN number_of_previous_invoices > 0
+         THEN regr_slope(CAST(payment_delay AS DOUBLE), CAST(number_of_previous_invoices AS DOUBLE)) OVER {WE}
+         ELSE 0 END AS running_payment_delay_trend,
     month(due_date) AS due_date_month,
     quarter(due_date) AS due_date_quarter,
     isodow(due_date) - 1 AS due_date_dayofweek,
