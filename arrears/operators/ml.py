@@ -10,7 +10,6 @@
 
 from __future__ import annotations
 
-import glob
 import os
 import uuid
 
@@ -131,29 +130,34 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def _tree_ensembles(model: PipelineModel):
+    """Tree-ensemble models inside a fitted pipeline (one, or one per class for one-vs-rest)."""
+    for stage in model.stages:
+        if hasattr(stage, "trees"):
+            yield stage
+        for sub in getattr(stage, "models", []) or []:
+            if hasattr(sub, "trees"):
+                yield sub
+
+
 def split_counts(spark, model: PipelineModel, columns) -> DataFrame:
     """How often each feature is used in a split, summed over all trees.
 
-    Read from the saved tree tables (``nodeData``): a Spark aggregate over
-    the model's nodes, one or many (one-vs-rest) tree ensembles.
+    Each tree ensemble is saved under the checkpoint folder and its node table
+    (``data``: one row per node) is read back with Spark and aggregated, so
+    this works on any file system the cluster uses.
     """
-    path = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
-    save_model(model, path)
-    data_dirs = [d for d in glob.glob(os.path.join(path, "stages", "*", "**", "data"), recursive=True)
-                 if glob.glob(os.path.join(d, "*.parquet"))]
+    root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
     names = spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "feature_index int, feature string")
-    frames = []
-    for d in data_dirs:
-        t = spark.read.parquet(d)
-        if "nodeData" not in t.columns:
-            continue
-        frames.append(t.select(F.col("nodeData.split.featureIndex").alias("feature_index"),
-                               F.col("nodeData.leftChild").alias("left")))
-    if not frames:
+    nodes = None
+    for k, ensemble in enumerate(_tree_ensembles(model)):
+        path = os.path.join(root, str(k))
+        ensemble.write().overwrite().save(path)
+        t = spark.read.parquet(os.path.join(path, "data")).select(
+            F.col("nodeData.split.featureIndex").alias("feature_index"), F.col("nodeData.leftChild").alias("left"))
+        nodes = t if nodes is None else nodes.unionByName(t)
+    if nodes is None:
         return names.select("feature", F.lit(0).cast("long").alias("splits")).limit(0)
-    nodes = frames[0]
-    for f in frames[1:]:
-        nodes = nodes.unionByName(f)
     counts = nodes.where(F.col("left") >= 0).groupBy("feature_index").agg(F.count(F.lit(1)).alias("splits"))
     return counts.join(F.broadcast(names), "feature_index").select("feature", "splits")
 
