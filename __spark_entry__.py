@@ -45,6 +45,7 @@ from arrears.operators.scoring import (  # noqa: E402
 from arrears.operators.split import (  # noqa: E402
     class_weights,
     split_open_invoices,
+    split_production_train,
     split_test,
     split_train,
     training_projection,
@@ -412,6 +413,13 @@ def q_split_open_invoices(spark, sf):
     return split_open_invoices(C.filter_year_range(invoices(spark, sf)))
 
 
+@register("split_production_train", PROJ_SPEC,
+          "SELECT * EXCLUDE (due_date, invoice_date, create_date, payment_date, payment_delay) FROM ts "
+          "WHERE year(invoice_date) >= 2020 AND payment_date IS NOT NULL")
+def q_split_production_train(spark, sf):
+    return training_projection(split_production_train(training_set(spark, sf)))
+
+
 @register("class_weights", [("payment_bucket", I), ("n", I), ("weight", D)],
           "SELECT payment_bucket, count(*) AS n, (SELECT count(*) FROM ts WHERE year(invoice_date) BETWEEN 2019 AND 2022)"
           " / count(*) AS weight FROM ts WHERE year(invoice_date) BETWEEN 2019 AND 2022 GROUP BY payment_bucket")
