@@ -69,9 +69,12 @@ from arrears.sources.io import (  # noqa: E402
 from arrears.plans.preprocess import features_table, scored_table  # noqa: E402
 from arrears.schema import INVOICE_SCHEMA, TRAINING_SET_SCHEMA  # noqa: E402
 from arrears.session import ensure_checkpoint_dir  # noqa: E402
-from arrears.sources.invoices import invoices_table  # noqa: E402
+from arrears.sources.invoices import invoices_table, with_hot_pair  # noqa: E402
+from arrears.operators.features import invoice_features  # noqa: E402
+from arrears.operators.history import HISTORY_COLUMNS  # noqa: E402
+from arrears.params import HistoryParams  # noqa: E402
 
-I, D, T, S, B = O.I, O.D, O.T, O.S, O.B
+I, D, T, S, B, G = O.I, O.D, O.T, O.S, O.B, O.G
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 # ---------------------------------------------------------------------------
@@ -86,7 +89,14 @@ def canon(df: DataFrame, spec) -> DataFrame:
         if kind == I:
             c = c.cast("bigint")
         elif kind == D:
-            c = F.round(c.cast("double") * F.lit(10000.0)) / F.lit(10000.0) + F.lit(0.0)
+            y = c.cast("double") * F.lit(10000.0)
+            c = F.round(y + F.abs(y) * F.lit(1e-11)) / F.lit(10000.0) + F.lit(0.0)
+        elif kind == G:
+            x = c.cast("double")
+            k = F.lit(5) - F.floor(F.log10(F.abs(x)))
+            c = F.when(x.isNull() | (x == 0), x).when(
+                k >= 0, F.round(x * F.pow(F.lit(10.0), k)) / F.pow(F.lit(10.0), k)
+            ).otherwise(F.round(x / F.pow(F.lit(10.0), -k)) * F.pow(F.lit(10.0), -k)) + F.lit(0.0)
         elif kind == T:
             c = c.cast("date")
         elif kind == B:
@@ -733,6 +743,20 @@ def q_open_invoice_predictions(spark, sf):
     return score_open_invoices(invoices(spark, sf), features(spark, sf), _rf(spark, sf)[0], ctx)
 
 
+# --- skew check: a third of all invoices on one pair, history in chunks ----------------
+HOT_CHUNK_ROWS = 1000
+# the amount sums of the hot pair are added chunk by chunk: compared at 6 significant digits
+HOT_SUMS = {"total_amount_of_previous_invoices", "average_invoice_amount", "invoice_deviation"}
+HOT_SPEC = [("invoice_id", I), ("customer_id", I), ("company_id", I)] + [
+    (c, G if c in HOT_SUMS else FEATURE_KINDS[c]) for c in HISTORY_COLUMNS]
+
+
+@register("history_hot_pair", HOT_SPEC, "SELECT * FROM feat")
+def q_history_hot_pair(spark, sf):
+    clean = C.clean_invoices(with_hot_pair(invoices(spark, sf)))
+    return invoice_features(clean, HistoryParams(max_chunk_rows=HOT_CHUNK_ROWS))
+
+
 # ---------------------------------------------------------------------------
 # driver functions
 # ---------------------------------------------------------------------------
@@ -750,6 +774,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: wrap(fn, spec) for name, (fn, spec, _) in REGISTRY.items()}
 
 
+HOT_CHAIN_QUERIES = {"history_hot_pair"}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: O.canon_sql(O.with_chain(sql), spec)
+    def chain(name, sql):
+        return O.with_hot_chain(sql) if name in HOT_CHAIN_QUERIES else O.with_chain(sql)
+
+    return {name: O.canon_sql(chain(name, sql), spec)
             for name, (_, spec, sql) in REGISTRY.items() if sql is not None}

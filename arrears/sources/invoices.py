@@ -87,3 +87,16 @@ def invoices_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("_k") % 103 == 8, F.lit(None).cast("string"))
         .otherwise(F.col("c_mktsegment")).alias("region_level3"),
     )
+
+
+def with_hot_pair(invoices: DataFrame, every: int = 3, customer_id: int = 0, company_id: int = 0) -> DataFrame:
+    """Skew check input: every ``every``-th invoice re-keyed onto one (customer, company) pair.
+
+    With the default a third of all invoices share one key, the worst case the
+    history operator is built for. No row is dropped.
+    """
+    hot = F.col("invoice_id") % every == 0
+    return invoices.withColumns({
+        "customer_id": F.when(hot, F.lit(customer_id).cast("long")).otherwise(F.col("customer_id")),
+        "company_id": F.when(hot, F.lit(company_id).cast("long")).otherwise(F.col("company_id")),
+    })

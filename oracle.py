@@ -5,14 +5,19 @@ plain window functions over whole pairs; they share one CTE chain
 ``inv -> clean -> f0 -> f1 -> f2 -> feat -> b -> sc -> scored -> ts``.
 
 Both sides bring every output column to a canonical form before hashing:
-integers as BIGINT, doubles as ``round(x * 1e4) / 1e4 + 0.0`` (same IEEE
-steps in both engines, no -0.0), dates as DATE.
+integers as BIGINT, dates as DATE, doubles as ``round(y + |y| * 1e-11) / 1e4
++ 0.0`` with ``y = x * 1e4`` (same IEEE steps in both engines, no -0.0). The
+tiny relative nudge settles exact decimal ties (amounts have cents, divisors
+are counts) the same way in both engines even when their sums differ in the
+last bit because they were added in a different order.
 """
 
 from __future__ import annotations
 
 # --- canonical column forms -------------------------------------------------
 I, D, T, S, B = "bigint", "double", "date", "string", "boolean"
+# doubles compared at 6 significant digits: sums over long chunked histories
+G = "double6"
 
 
 def canon_sql(inner: str, spec) -> str:
@@ -23,7 +28,15 @@ def canon_sql(inner: str, spec) -> str:
         if kind == I:
             cols.append(f"CAST({q} AS BIGINT) AS {q}")
         elif kind == D:
-            cols.append(f"round(CAST({q} AS DOUBLE) * 10000.0) / 10000.0 + 0.0 AS {q}")
+            y = f"(CAST({q} AS DOUBLE) * 10000.0)"
+            cols.append(f"round({y} + abs({y}) * 1e-11) / 10000.0 + 0.0 AS {q}")
+        elif kind == G:
+            x = f"CAST({q} AS DOUBLE)"
+            k = f"(5 - floor(log10(abs({x}))))"
+            cols.append(
+                f"CASE WHEN {x} IS NULL OR {x} = 0 THEN {x} WHEN {k} >= 0 "
+                f"THEN round({x} * pow(10, {k})) / pow(10, {k}) "
+                f"ELSE round({x} / pow(10, -{k})) * pow(10, -{k}) END + 0.0 AS {q}")
         elif kind == T:
             cols.append(f"CAST({q} AS DATE) AS {q}")
         elif kind == B:
@@ -232,6 +245,20 @@ ts AS (
 
 CHAIN = "WITH " + ",".join([INVOICES, CLEAN, FEATURES, SCORES])
 
+# skew check: every third invoice re-keyed onto pair (0, 0)
+HOT_INVOICES = """
+inv_hot AS (
+  SELECT * REPLACE (
+    CASE WHEN invoice_id % 3 = 0 THEN 0 ELSE customer_id END AS customer_id,
+    CAST(CASE WHEN invoice_id % 3 = 0 THEN 0 ELSE company_id END AS BIGINT) AS company_id)
+  FROM inv
+)"""
+HOT_CHAIN = "WITH " + ",".join([INVOICES, HOT_INVOICES, CLEAN.replace("FROM inv\n", "FROM inv_hot\n"), FEATURES])
+
 
 def with_chain(select: str) -> str:
     return f"{CHAIN}\n{select}"
+
+
+def with_hot_chain(select: str) -> str:
+    return f"{HOT_CHAIN}\n{select}"
