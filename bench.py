@@ -24,7 +24,9 @@ from arrears.operators.profile import describe_numeric, sorted_invoices  # noqa:
 from arrears.plans.preprocess import features_table, preprocess, scored_table  # noqa: E402
 from arrears.plans.train import train  # noqa: E402
 from arrears.session import build_session, ensure_checkpoint_dir, materialize  # noqa: E402
-from arrears.sources.invoices import invoices_from_tables, invoices_table  # noqa: E402
+from arrears.sources.invoices import invoices_from_tables, invoices_table, with_hot_pair  # noqa: E402
+from arrears.operators.features import invoice_features  # noqa: E402
+from arrears.params import HistoryParams  # noqa: E402
 
 
 def run(df):
@@ -56,6 +58,12 @@ def main():
     def q_training_set():
         run(preprocess(inv()))
 
+    def q_history_hot_pair():
+        # a third of all invoices on one pair; chunks of at most rows / partitions
+        hot = clean_invoices(with_hot_pair(inv()))
+        per_task = max(1, hot.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
+        run(invoice_features(hot, HistoryParams(max_chunk_rows=per_task)))
+
     def q_describe():
         run(describe_numeric(clean_invoices(inv()), ["net_amount", "invoice_id", "customer_id"]))
 
@@ -72,6 +80,7 @@ def main():
         "build_invoices": q_build_invoices,
         "clean_invoices": q_clean,
         "history_features": q_features,
+        "history_hot_pair": q_history_hot_pair,
         "scores": q_scores,
         "training_set": q_training_set,
         "describe_numeric": q_describe,
