@@ -597,6 +597,7 @@ def _fitted(spark, sf, name, estimator_fn):
 
 
 def _rf(spark, sf):
+    """The training step's default model: class-weighted random forest."""
     return _fitted(spark, sf, "rf", lambda: ml.random_forest(QUERY_TREES, QUERY_DEPTH))
 
 
@@ -617,7 +618,9 @@ def q_feature_vector(spark, sf):
 
 @register("rf_predictions", PRED_SPEC, None)
 def q_rf_predictions(spark, sf):
-    return _predictions(spark, sf, _rf(spark, sf)[0])
+    """M2: library defaults, no class weights."""
+    model, _ = _fitted(spark, sf, "rf-default", lambda: ml.random_forest(QUERY_TREES, QUERY_DEPTH, weighted=False))
+    return _predictions(spark, sf, model)
 
 
 @register("gbt_predictions", PRED_SPEC, None)
@@ -628,7 +631,7 @@ def q_gbt_predictions(spark, sf):
 
 @register("lr_predictions", PRED_SPEC, None)
 def q_lr_predictions(spark, sf):
-    model, _ = _fitted(spark, sf, "lr", lambda: ml.logistic_regression(max_iter=50))
+    model, _ = _fitted(spark, sf, "lr", lambda: ml.logistic_regression(max_iter=50, weighted=False))
     return _predictions(spark, sf, model)
 
 
