@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import ml
 from ..operators.label import region_codes, region_dictionary
@@ -25,12 +26,27 @@ from ..session import materialize
 
 @dataclass
 class ScoringContext:
-    """What serving must reuse from training: bounds (A7), global maximum (A9), region dictionary (C11)."""
+    """What serving must reuse from training: bounds (A7), global maximum (A9), region dictionary (C11).
+
+    Stored as Parquet: one row of bounds and maximum, and the dictionary table.
+    """
 
     bounds: dict
     g_max: float
     dictionary: DataFrame
 
+    def save(self, path: str) -> None:
+        spark = self.dictionary.sparkSession
+        row = dict(self.bounds, g_max=float(self.g_max))
+        spark.createDataFrame([row]).write.mode("overwrite").parquet(os.path.join(path, "bounds"))
+        self.dictionary.write.mode("overwrite").parquet(os.path.join(path, "dictionary"))
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "ScoringContext":
+        row = spark.read.parquet(os.path.join(path, "bounds")).first().asDict()
+        g_max = row.pop("g_max")
+        return ScoringContext(row, g_max, spark.read.parquet(os.path.join(path, "dictionary")))
+
 
 def fit_scoring_context(features: DataFrame, scores: ScoreParams = ScoreParams()) -> ScoringContext:
     bounds = bounds_row(score_bounds(features))
