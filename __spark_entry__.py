@@ -746,6 +746,35 @@ def q_open_invoice_predictions(spark, sf):
     return score_open_invoices(invoices(spark, sf), features(spark, sf), _rf(spark, sf)[0], ctx)
 
 
+# --- leak-free history (earlier invoices only) -------------------------------------------
+LEAK_FREE_COLS = [("invoice_id", I), ("payment_delay", I), ("previous_payment_delay", I),
+                  ("average_payment_delay", D), ("number_of_previous_invoices", I),
+                  ("overall_payment_delay_trend", D), ("payment_deviation", D), ("maximum_payment_delay", I),
+                  ("has_delayed_payment_last_3", I), ("payment_delay_trend", D), ("invoice_deviation", D),
+                  ("total_amount_of_previous_invoices", D), ("frequency_of_transactions", I)]
+WP = "OVER (PARTITION BY customer_id, company_id ORDER BY invoice_date, invoice_id)"
+LEAK_FREE_SQL = (
+    "SELECT invoice_id, payment_delay, "
+    f"coalesce(lag(payment_delay) {WP}, 0) AS previous_payment_delay, "
+    f"coalesce(lag(average_payment_delay) {WP}, 0) AS average_payment_delay, "
+    "number_of_previous_invoices, "
+    f"coalesce(lag(running_payment_delay_trend) {WP}, 0) AS overall_payment_delay_trend, "
+    f"coalesce(lag(payment_deviation) {WP}, 0) AS payment_deviation, "
+    f"coalesce(lag(maximum_payment_delay) {WP}, 0) AS maximum_payment_delay, "
+    f"coalesce(lag(has_delayed_payment_last_3) {WP}, 0) AS has_delayed_payment_last_3, "
+    f"coalesce(lag(payment_delay_trend) {WP}, 0) AS payment_delay_trend, "
+    f"coalesce(lag(invoice_deviation) {WP}, 0) AS invoice_deviation, "
+    f"coalesce(lag(total_amount_of_previous_invoices) {WP}, 0) AS total_amount_of_previous_invoices, "
+    f"coalesce(lag(frequency_of_transactions) {WP}, 0) AS frequency_of_transactions "
+    "FROM feat"
+)
+
+
+@register("leak_free_history", LEAK_FREE_COLS, LEAK_FREE_SQL)
+def q_leak_free_history(spark, sf):
+    return invoice_features(cleaned(spark, sf), HistoryParams(include_current=False))
+
+
 # --- skew check: a third of all invoices on one pair, history in chunks ----------------
 HOT_CHUNK_ROWS = 1000
 # the amount sums of the hot pair are added chunk by chunk: compared at 6 significant digits

@@ -333,4 +333,15 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
 
 
 def _leak_free(df: DataFrame, params: HistoryParams, y: str, a: str) -> DataFrame:
-    raise NotImplementedError("leak-free history is built in history_leak_free")
+    """History from earlier invoices only: each row takes the as-of state of the
+    previous paid invoice of its pair (see ``open_invoices.as_of_features``).
+
+    The inclusive history is written once; the as-of pass is one more ordered
+    window over (pair, chunk), so a hot pair stays split.
+    """
+    from dataclasses import replace
+
+    from .open_invoices import as_of_features
+
+    inclusive = materialize(history_features(df, replace(params, include_current=True), y, a), "inclusive")
+    return as_of_features(inclusive, df, params, keep_delay=True)

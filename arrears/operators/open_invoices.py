@@ -1,4 +1,4 @@
-"""Open invoices (F14): features from the pair's paid history strictly before them.
+"""Open invoices (F14) and leak-free history: features from the paid invoices strictly before a row.
 
 The training features include each paid invoice's own delay (parity with the
 original). An open invoice has no delay yet, so its history features are the
@@ -57,19 +57,24 @@ def open_invoice_rows(invoices: DataFrame, as_of=None) -> DataFrame:
 
 
 def _as_of_state(paid: DataFrame, open_rows: DataFrame, params: HistoryParams) -> DataFrame:
+    """Each row of ``open_rows`` with ``_s``: the state of the last paid row strictly before it.
+
+    A row that is also in ``paid`` (same invoice id) never sees its own state:
+    at equal (date, id) the query row sorts first.
+    """
     state_type = paid.select(F.struct(*STATE_COLUMNS).alias("s")).schema["s"].dataType
     open_cols = [c for c in open_rows.columns if c not in PAIR + ORDER]
     open_type = open_rows.select(F.struct(*open_cols).alias("o")).schema["o"].dataType
     events = paid.select(*PAIR, *ORDER, F.struct(*STATE_COLUMNS).alias("_state"),
-                         F.lit(None).cast(open_type).alias("_orow")).unionByName(
+                         F.lit(None).cast(open_type).alias("_orow"), F.lit(1).alias("_kind")).unionByName(
         open_rows.select(*PAIR, *ORDER, F.lit(None).cast(state_type).alias("_state"),
-                         F.struct(*open_cols).alias("_orow")))
+                         F.struct(*open_cols).alias("_orow"), F.lit(0).alias("_kind")))
     spark = events.sparkSession
     stats = materialize(pair_stats(events), "asof-pair-stats")
     total, largest = stats.agg(F.sum("_pair_rows"), F.max("_pair_rows")).first()
     max_rows = resolve_chunk_rows(total or 0, params, params.num_partitions or default_partitions(spark))
     chunked, n_hot = assign_chunks(events, stats, max_rows, largest or 0)
-    w = Window.partitionBy(*CHUNK).orderBy(*ORDER)
+    w = Window.partitionBy(*CHUNK).orderBy(*ORDER, "_kind")
     local = chunked.withColumn(
         "_last", F.last("_state", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     )
@@ -87,23 +92,33 @@ def _as_of_state(paid: DataFrame, open_rows: DataFrame, params: HistoryParams) -
     return opened.select(*PAIR, *ORDER, "_orow.*", F.col("_last").alias("_s"))
 
 
-def open_invoice_features(paid_features: DataFrame, open_rows: DataFrame,
-                          params: HistoryParams = HistoryParams(), alpha: float = 0.1) -> DataFrame:
-    """Feature rows for open invoices, same columns as the paid feature table (no delay, no label)."""
-    from .scoring import add_score_helpers
-    from ..params import ScoreParams
+def as_of_features(paid_features: DataFrame, rows: DataFrame, params: HistoryParams = HistoryParams(),
+                   keep_delay: bool = False) -> DataFrame:
+    """``rows`` plus the history columns taken from the paid invoices strictly before each row.
 
-    st = _as_of_state(paid_features, open_rows, params)
+    ``keep_delay`` keeps the rows' own ``payment_delay`` (leak-free training
+    rows); otherwise it is NULL (open invoices).
+    """
+    st = _as_of_state(paid_features, rows.drop(*[c for c in STATE_COLUMNS if c != "payment_delay"]), params)
     s = lambda c: F.col(f"_s.{c}")
     zero = {c: F.coalesce(s(c), F.lit(0)) for c in STATE_COLUMNS}
-    out = st.withColumns({
-        "discount_offered": F.col("due_discount_date").isNotNull().cast("int"),
-        "payment_delay": F.lit(None).cast("int"),
+    return st.withColumns({
+        "payment_delay": F.col("payment_delay") if keep_delay else F.lit(None).cast("int"),
         "previous_payment_delay": F.coalesce(s("payment_delay"), F.lit(0)),
         "number_of_previous_invoices": F.coalesce(s("number_of_previous_invoices") + 1, F.lit(0)),
         "overall_payment_delay_trend": F.coalesce(s("running_payment_delay_trend"), F.lit(0.0)),
         **{c: zero[c] for c in STATE_COLUMNS
            if c not in ("payment_delay", "number_of_previous_invoices", "running_payment_delay_trend")},
-    }).drop("_s", "due_discount_date")
-    out = out.transform(due_date_parts)
-    return add_score_helpers(out, ScoreParams(alpha=alpha))
+    }).drop("_s")
+
+
+def open_invoice_features(paid_features: DataFrame, open_rows: DataFrame,
+                          params: HistoryParams = HistoryParams(), alpha: float = 0.1) -> DataFrame:
+    """Feature rows for open invoices, same columns as the paid feature table (no delay, no label)."""
+    from ..params import ScoreParams
+    from .scoring import add_score_helpers
+
+    rows = open_rows.withColumn("payment_delay", F.lit(None).cast("int"))
+    out = as_of_features(paid_features, rows, params).withColumn(
+        "discount_offered", F.col("due_discount_date").isNotNull().cast("int")).drop("due_discount_date")
+    return add_score_helpers(out.transform(due_date_parts), ScoreParams(alpha=alpha))

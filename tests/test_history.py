@@ -77,3 +77,18 @@ def test_split_pairs_equal_plain_windows(spark, max_rows):
         if diff:
             bad.append((c, diff))
     assert not bad
+
+
+def test_leak_free_history_uses_earlier_rows_only(spark):
+    params = HistoryParams(include_current=False)
+    feats = invoice_features(clean_invoices(hand_invoices(spark), as_of="2026-01-01"), params)
+    rows = _by_id(feats, ["previous_payment_delay", "average_payment_delay", "maximum_payment_delay",
+                          "number_of_previous_invoices", "payment_delay", "overall_payment_delay_trend"])
+    # pair A delays 5, -3, 20, 40, 10: each row sees the delays before it only
+    assert [rows[i]["average_payment_delay"] for i in range(1, 6)] == pytest.approx([0, 5, 1, 22 / 3, 15.5])
+    assert [rows[i]["maximum_payment_delay"] for i in range(1, 6)] == [0, 5, 5, 20, 40]
+    assert [rows[i]["number_of_previous_invoices"] for i in range(1, 6)] == [0, 1, 2, 3, 4]
+    assert [rows[i]["previous_payment_delay"] for i in range(1, 6)] == [0, 5, -3, 20, 40]
+    assert [rows[i]["payment_delay"] for i in range(1, 6)] == [5, -3, 20, 40, 10]
+    # slope over the first three delays (5, -3, 20) only
+    assert rows[4]["overall_payment_delay_trend"] == pytest.approx(7.5)
