@@ -6,7 +6,7 @@ give the same features, scores and labels; everything else is tunable.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values (must match the original model for identical results)
@@ -188,7 +188,8 @@ class ScoreParams:
 
 @dataclass(frozen=True)
 class SplitParams:
+    """Year split: train on ``train_from <= year < train_until``, test on ``year >= test_from``."""
+
     train_from: int = TRAIN_YEARS[0]
     train_until: int = TRAIN_YEARS[1]
     test_from: int = TEST_FROM_YEAR
-    extra: dict = field(default_factory=dict)

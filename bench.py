@@ -70,9 +70,13 @@ def main():
     def q_sorted():
         run(sorted_invoices(clean_invoices(inv())))
 
+    stored_ts = []
+
     def q_train_rf():
-        ts = materialize(preprocess(inv()), "bench-ts")
-        res = train(ts, ml.random_forest(50, 10))
+        # X2 on the stored training set (X1's output), as the two steps exchange files
+        if not stored_ts:
+            stored_ts.append(materialize(preprocess(inv()), "bench-ts"))
+        res = train(stored_ts[0], ml.random_forest(50, 10))
         res.metrics.collect()
         run(res.predictions)
 
@@ -82,16 +86,17 @@ def main():
         "history_features": q_features,
         "history_hot_pair": q_history_hot_pair,
         "scores": q_scores,
-        "training_set": q_training_set,
+        "x1_preprocess": q_training_set,
         "describe_numeric": q_describe,
         "sorted_invoices": q_sorted,
-        "train_predict_rf": q_train_rf,
+        "x2_train_rf": q_train_rf,
     }
     q_training_set()  # warm-up: JVM, codegen, file listing
+    stored_ts.append(materialize(preprocess(inv()), "bench-ts"))
     timings = {}
     for name, fn in headline.items():
         runs = []
-        for _ in range(repeats if name != "train_predict_rf" else 1):
+        for _ in range(repeats):
             t0 = time.perf_counter()
             fn()
             runs.append(time.perf_counter() - t0)
