@@ -2,8 +2,9 @@
 
 Every query reads the generated tables under ``sf_dir`` (or tables Spark
 derives from them) and returns a DataFrame whose columns are brought to a
-canonical form (integers as bigint, doubles rounded to 4 places, dates as
-date) so they hash identically to the DuckDB twin in ``oracle.py``.
+canonical form (integers as bigint, doubles rounded to 4 places, or to 6
+significant digits for long chunked sums, dates as date) so they hash
+identically to the DuckDB twin in ``oracle.py``.
 """
 
 from __future__ import annotations
@@ -16,14 +17,20 @@ from itertools import combinations
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle as O  # noqa: E402
-from arrears.operators import clean as C  # noqa: E402
 from arrears.functions.columns import bucket_label, minmax, payment_bucket  # noqa: E402
+from arrears.operators import clean as C  # noqa: E402
+from arrears.operators import ml  # noqa: E402
+from arrears.operators.clean import parse_dates  # noqa: E402
 from arrears.operators.evaluate import classification_metrics, confusion_matrix, per_class_metrics  # noqa: E402
+from arrears.operators.features import invoice_features  # noqa: E402
+from arrears.operators.history import HISTORY_COLUMNS  # noqa: E402
 from arrears.operators.label import add_payment_bucket, region_codes  # noqa: E402
+from arrears.operators.open_invoices import open_invoice_features, open_invoice_rows  # noqa: E402
 from arrears.operators.profile import (  # noqa: E402
     correlation_long,
     describe_numeric,
@@ -35,13 +42,7 @@ from arrears.operators.profile import (  # noqa: E402
     table_info,
     value_counts,
 )
-from arrears.operators.scoring import (  # noqa: E402
-    add_recency,
-    bounds_row,
-    filter_scorable,
-    score_bounds,
-    with_bounds,
-)
+from arrears.operators.scoring import add_recency, bounds_row, filter_scorable, score_bounds, with_bounds  # noqa: E402
 from arrears.operators.split import (  # noqa: E402
     class_weights,
     split_open_invoices,
@@ -50,29 +51,29 @@ from arrears.operators.split import (  # noqa: E402
     split_train,
     training_projection,
 )
-from arrears.params import BUCKET_LABELS, DATE_COLUMNS, NON_FEATURE_COLUMNS, TRAINING_SET_COLUMNS  # noqa: E402
-from arrears.operators.clean import parse_dates  # noqa: E402
-from arrears.operators import ml  # noqa: E402
+from arrears.params import (  # noqa: E402
+    BUCKET_LABELS,
+    DATE_COLUMNS,
+    NON_FEATURE_COLUMNS,
+    TRAINING_SET_COLUMNS,
+    HistoryParams,
+)
 from arrears.plans.pipeline import run_pipeline  # noqa: E402
-from arrears.streaming.scoring import run_stream_predictions  # noqa: E402
-from arrears.operators.open_invoices import open_invoice_features, open_invoice_rows  # noqa: E402
+from arrears.plans.preprocess import features_table, scored_table  # noqa: E402
 from arrears.plans.serve import fit_scoring_context, score_open_invoices  # noqa: E402
 from arrears.plans.train import prepare_splits, train  # noqa: E402
-from arrears.sources.io import write_labelled_predictions, write_predictions  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
+from arrears.schema import INVOICE_SCHEMA, TRAINING_SET_SCHEMA  # noqa: E402
+from arrears.session import ensure_checkpoint_dir  # noqa: E402
+from arrears.sources.invoices import invoices_table, with_hot_pair  # noqa: E402
 from arrears.sources.io import (  # noqa: E402
     normalize_columns,
     read_invoices_csv,
     write_invoices_csv,
+    write_labelled_predictions,
+    write_predictions,
     write_training_set,
 )
-from arrears.plans.preprocess import features_table, scored_table  # noqa: E402
-from arrears.schema import INVOICE_SCHEMA, TRAINING_SET_SCHEMA  # noqa: E402
-from arrears.session import ensure_checkpoint_dir  # noqa: E402
-from arrears.sources.invoices import invoices_table, with_hot_pair  # noqa: E402
-from arrears.operators.features import invoice_features  # noqa: E402
-from arrears.operators.history import HISTORY_COLUMNS  # noqa: E402
-from arrears.params import HistoryParams  # noqa: E402
+from arrears.streaming.scoring import run_stream_predictions  # noqa: E402
 
 I, D, T, S, B, G = O.I, O.D, O.T, O.S, O.B, O.G
 FLAGSHIP_SF = "/root/testdata/sf0.001"
