@@ -68,6 +68,7 @@ from arrears.sources.invoices import invoices_table, with_hot_pair  # noqa: E402
 from arrears.sources.io import (  # noqa: E402
     normalize_columns,
     read_invoices_csv,
+    read_training_set,
     write_invoices_csv,
     write_labelled_predictions,
     write_predictions,
@@ -261,6 +262,13 @@ def q_write_training_set(spark, sf):
     return spark.read.parquet(path).drop("invoice_year")
 
 
+@register("scan_training_set_csv", TRAINING_SPEC, "SELECT * FROM ts")
+def q_scan_training_set_csv(spark, sf):
+    path = _scratch(spark, "training-set-csv")
+    write_training_set(training_set(spark, sf), path, fmt="csv")
+    return read_training_set(spark, path, fmt="csv")
+
+
 # --- filters (F2-F7, F12) ------------------------------------------------------
 def _filter_query(name, fn, where):
     register(name, INVOICE_SPEC, f"SELECT * FROM inv WHERE {where}")(lambda spark, sf: fn(invoices(spark, sf)))

@@ -6,15 +6,19 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.io import write_predictions, write_training_set
+from ..sources.io import read_training_set, write_predictions, write_training_set
 from .preprocess import preprocess
 from .train import TrainResult, train
 
 
 def run_pipeline(spark: SparkSession, invoices: DataFrame, train_folder: str, prediction_folder: str,
-                 estimator=None, as_of=None) -> TrainResult:
-    """Write the training set, read it back (a lineage cut), train, write predictions."""
-    write_training_set(preprocess(invoices, as_of), train_folder)
-    result = train(spark.read.parquet(train_folder), estimator, as_of=as_of)
-    write_predictions(result.predictions, os.path.join(prediction_folder, "predictions"))
+                 estimator=None, as_of=None, fmt: str = "parquet") -> TrainResult:
+    """Write the training set, read it back (a lineage cut), train, write predictions.
+
+    ``fmt="csv"`` exchanges CSV files between the two steps, as the original
+    two-step job does; Parquet is the default.
+    """
+    write_training_set(preprocess(invoices, as_of), train_folder, fmt)
+    result = train(read_training_set(spark, train_folder, fmt), estimator, as_of=as_of)
+    write_predictions(result.predictions, os.path.join(prediction_folder, "predictions"), fmt)
     return result

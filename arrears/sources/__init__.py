@@ -3,6 +3,7 @@ from .io import (  # noqa: F401
     normalize_columns,
     read_invoices_csv,
     read_invoices_parquet,
+    read_training_set,
     write_invoices_csv,
     write_labelled_predictions,
     write_predictions,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import bucket_label
-from ..schema import INVOICE_CSV_SCHEMA
+from ..schema import INVOICE_CSV_SCHEMA, TRAINING_SET_SCHEMA
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -59,3 +59,19 @@ def write_labelled_predictions(df: DataFrame, path: str, prediction_col: str = "
     """Predictions with a text label in ``prediction`` (IO6), as CSV."""
     out = df.withColumn("prediction", bucket_label(F.col(prediction_col))).drop(prediction_col)
     out.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_training_set(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Training set written by ``write_training_set`` (Parquet or CSV with header).
+
+    CSV is read with the declared schema (dates as yyyy-MM-dd), so no
+    inference pass runs over the whole file; the year partition column is dropped.
+    """
+    if fmt == "csv":
+        from pyspark.sql import types as T
+
+        schema = T.StructType(TRAINING_SET_SCHEMA.fields + [T.StructField("invoice_year", T.IntegerType())])
+        df = spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd").schema(schema).csv(path)
+    else:
+        df = spark.read.parquet(path)
+    return df.drop("invoice_year")
