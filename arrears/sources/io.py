@@ -36,10 +36,13 @@ def write_invoices_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
-def write_training_set(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Training-set sink (IO4), partitioned by invoice year so the year split prunes files."""
+def write_training_set(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """Training-set sink (IO4), partitioned by invoice year so the year split prunes files.
+
+    ``mode="append"`` adds new files to the same layout (e.g. for the streaming scorer).
+    """
     out = df.withColumn("invoice_year", F.year("invoice_date"))
-    writer = out.write.mode("overwrite").partitionBy("invoice_year")
+    writer = out.write.mode(mode).partitionBy("invoice_year")
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
