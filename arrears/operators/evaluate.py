@@ -87,10 +87,14 @@ def per_class_metrics(df: DataFrame, label: str = LABEL, prediction: str = "pred
 
 
 def metrics_from_counts(counts: DataFrame, digits: int | None = None) -> DataFrame:
-    pcm = per_class_metrics_from_counts(counts).filter(F.col("class") == "macro avg")
-    acc = counts.agg(_ratio(F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)),
-                            F.sum("n")).alias("accuracy"))
-    out = acc.crossJoin(pcm.select("precision", "recall", "f1"))
+    """Accuracy (sum of true positives over all rows) and the macro averages, one aggregate."""
+    pc = per_class_counts(counts)
+    p = _ratio(F.col("tp"), F.col("tp") + F.col("fp"))
+    r = _ratio(F.col("tp"), F.col("tp") + F.col("fn"))
+    m = pc.withColumns({"precision": p, "recall": r})
+    m = m.withColumn("f1", _ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+    out = m.agg(_ratio(F.sum("tp"), F.sum("support")).alias("accuracy"), F.avg("precision").alias("precision"),
+                F.avg("recall").alias("recall"), F.avg("f1").alias("f1"))
     if digits is not None:
         out = out.select(*[F.round(c, digits).alias(c) for c in out.columns])
     return out

@@ -96,9 +96,8 @@ def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75)) -> DataFram
     ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
     indexed = global_index(stacked, ["column_name", "value"], "_pos")
     stats = indexed.groupBy("column_name").agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    p = df.sparkSession.createDataFrame([(float(x),) for x in probs], "p double")
     h = (F.col("_n") - 1) * F.col("p")
-    wanted = stats.crossJoin(F.broadcast(p)).select(
+    wanted = stats.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs]))).select(
         "column_name", "p", (F.col("_start") + F.floor(h)).alias("_lo"),
         (F.col("_start") + F.ceil(h)).alias("_hi"), (h - F.floor(h)).alias("_frac"),
     )

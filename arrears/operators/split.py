@@ -37,10 +37,8 @@ def training_projection(df: DataFrame, drop=NON_FEATURE_COLUMNS) -> DataFrame:
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     """(label, n, weight = N / n)."""
     counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("_total"))
-    return counts.crossJoin(total).select(
-        label, "n", (F.col("_total") / F.col("n")).alias("weight")
-    )
+    total = counts.agg(F.sum("n")).first()[0] or 0  # one scalar from the per-class table
+    return counts.select(label, "n", (F.lit(total) / F.col("n")).alias("weight"))
 
 
 def add_class_weight(df: DataFrame, weights: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
