@@ -13,16 +13,6 @@ from ..session import fits, materialize
 MAX_BROADCAST_CATEGORIES = 1_000_000
 
 
-def category_codes(df: DataFrame, c: str) -> DataFrame:
-    """Dictionary for one column: sorted distinct non-null values -> 0..k-1.
-
-    The global rank runs over the distinct values only (one row per
-    category), never over the fact rows.
-    """
-    values = df.select(c).where(F.col(c).isNotNull()).distinct()
-    return values.withColumn("_code", (F.dense_rank().over(Window.orderBy(c)) - 1).cast("int"))
-
-
 def region_dictionary(df: DataFrame, columns=REGION_COLUMNS) -> DataFrame:
     """(column_name, value, code) for several columns in one pass.
 

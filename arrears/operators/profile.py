@@ -71,6 +71,7 @@ def global_index(df: DataFrame, order, name: str = "position") -> DataFrame:
     ordered = materialize(ordered.withColumn("_li", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)),
                           "ordered")
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
+    # one row per partition of the sort: the running sum over it is tiny
     offsets = counts.withColumn(
         "_off",
         F.coalesce(F.sum("_pc").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
