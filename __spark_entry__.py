@@ -63,7 +63,7 @@ from arrears.plans.preprocess import features_table, scored_table  # noqa: E402
 from arrears.plans.serve import fit_scoring_context, score_open_invoices  # noqa: E402
 from arrears.plans.train import prepare_splits, train  # noqa: E402
 from arrears.schema import INVOICE_SCHEMA, TRAINING_SET_SCHEMA  # noqa: E402
-from arrears.session import ensure_checkpoint_dir  # noqa: E402
+from arrears.session import ensure_checkpoint_dir, materialize  # noqa: E402
 from arrears.sources.invoices import invoices_table, with_hot_pair  # noqa: E402
 from arrears.sources.io import (  # noqa: E402
     normalize_columns,
@@ -158,9 +158,11 @@ def scored(spark, sf):
 
 
 def training_set(spark, sf):
+    """X1's output, written once (as the original writes it for the training step)."""
     def build():
         kept = filter_scorable(scored(spark, sf))
-        return kept.transform(region_codes).transform(add_payment_bucket).select(*TRAINING_SET_COLUMNS)
+        ts = kept.transform(region_codes).transform(add_payment_bucket).select(*TRAINING_SET_COLUMNS)
+        return materialize(ts, "training-set")
 
     return _memo(spark, sf, "training_set", build)
 

@@ -129,15 +129,47 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
     )
 
 
+def _correlation_pairwise(df: DataFrame, pairs) -> DataFrame:
+    """(k, corr) with nulls dropped per pair: one (pair, x, y) entry per row and pair, grouped by pair."""
+    entries = F.array(*[
+        F.struct(F.lit(i).alias("k"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for i, (a, b) in enumerate(pairs)
+    ])
+    return df.select(F.explode(entries).alias("e")).select("e.*").groupBy("k").agg(F.corr("x", "y").alias("corr"))
+
+
 def correlation_long(df: DataFrame, columns) -> DataFrame:
-    """Pearson correlation of every column pair (a < b by position), one aggregate."""
+    """Pearson correlation of every column pair (a < b by position), nulls dropped per pair.
+
+    Without nulls in the columns (one counting pass checks), Spark ML's
+    ``Correlation`` builds the whole matrix in one distributed tree
+    aggregate; only the d x d matrix reaches the driver. With nulls, each pair
+    is aggregated over its own non-null rows (exact pairwise deletion).
+    """
+    from pyspark.ml.stat import Correlation
+
+    from ..operators.ml import assembler
+
     columns = list(columns)
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    long = wide.unpivot([], [str(i) for i in range(len(pairs))], "_i", "corr")
-    names = df.sparkSession.createDataFrame([(str(i), a, b) for i, (a, b) in enumerate(pairs)],
-                                            "_i string, column_a string, column_b string")
-    return long.join(F.broadcast(names), "_i").select("column_a", "column_b", "corr")
+    spark = df.sparkSession
+    names = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
+                                  "k int, column_a string, column_b string")
+    any_null = df.agg(F.max(F.greatest(*[F.col(c).isNull().cast("int") for c in columns]))).first()[0]
+    if any_null:
+        per_pair = _correlation_pairwise(df, pairs)
+    else:
+        vec = assembler(columns).transform(
+            df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+        m = Correlation.corr(vec, "features", "pearson").first()[0].toArray()
+        index = {c: i for i, c in enumerate(columns)}
+        rows = []
+        for k, (a, b) in enumerate(pairs):
+            v = float(m[index[a], index[b]])
+            rows.append((k, None if v != v else v))
+        per_pair = spark.createDataFrame(rows, "k int, corr double")
+    # one row per column pair: bounded by the number of columns squared
+    return per_pair.join(F.broadcast(names), "k").select("column_a", "column_b", "corr")
 
 
 def head_invoices(df: DataFrame, n: int = 10, order: str = "invoice_id") -> DataFrame:

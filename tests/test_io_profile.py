@@ -50,3 +50,16 @@ def test_global_index_is_a_permutation_in_order(spark):
     idx = global_index(df, ["k", "id"], "pos").toPandas().sort_values("pos")
     assert list(idx["pos"]) == list(range(5000))
     assert list(idx["k"]) == sorted(idx["k"])
+
+
+def test_correlation_matches_pandas_with_and_without_nulls(spark):
+    from arrears.operators.profile import correlation_long
+
+    inv = invoices_table(spark, SF001).select("invoice_id", "customer_id", "net_amount", "payment_amount")
+    pdf = inv.toPandas()
+    for frame, cols in ((inv.na.drop(), ["invoice_id", "customer_id", "net_amount"]),
+                        (inv, ["invoice_id", "customer_id", "net_amount", "payment_amount"])):
+        got = {(r["column_a"], r["column_b"]): r["corr"] for r in correlation_long(frame, cols).collect()}
+        ref = (pdf.dropna() if frame is not inv else pdf)[cols].corr()
+        for (a, b), v in got.items():
+            assert v == pytest.approx(ref.loc[a, b], abs=1e-9), (a, b)
