@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from arrears.operators import ml  # noqa: E402
 from arrears.operators.clean import clean_invoices  # noqa: E402
-from arrears.operators.profile import describe_numeric, sorted_invoices  # noqa: E402
+from arrears.operators.profile import correlation_long, describe_numeric, sorted_invoices  # noqa: E402
 from arrears.plans.preprocess import features_table, preprocess, scored_table  # noqa: E402
 from arrears.plans.train import train  # noqa: E402
 from arrears.session import build_session, ensure_checkpoint_dir, materialize  # noqa: E402
@@ -67,6 +67,11 @@ def main():
     def q_describe():
         run(describe_numeric(clean_invoices(inv()), ["net_amount", "invoice_id", "customer_id"]))
 
+    def q_correlation():
+        ts = stored_ts[0]
+        cols = [f.name for f in ts.schema.fields if f.dataType.typeName() in ("integer", "long", "double")]
+        correlation_long(ts, cols).collect()
+
     def q_sorted():
         run(sorted_invoices(clean_invoices(inv())))
 
@@ -89,6 +94,7 @@ def main():
         "x1_preprocess": q_training_set,
         "describe_numeric": q_describe,
         "sorted_invoices": q_sorted,
+        "correlation_matrix": q_correlation,
         "x2_train_rf": q_train_rf,
     }
     q_training_set()  # warm-up: JVM, codegen, file listing
