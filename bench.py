@@ -16,7 +16,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from arrears.operators import ml  # noqa: E402
 from arrears.operators.clean import clean_invoices  # noqa: E402

@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
