@@ -41,6 +41,12 @@ class ScoringContext:
         spark.createDataFrame([row]).write.mode("overwrite").parquet(os.path.join(path, "bounds"))
         self.dictionary.write.mode("overwrite").parquet(os.path.join(path, "dictionary"))
 
+    def score_stage(self):
+        """The bounds and maximum as a Spark ML stage (``ScoreTransformer``)."""
+        from ..operators.score_stage import ScoreTransformer
+
+        return ScoreTransformer.from_context(self.bounds, self.g_max)
+
     @staticmethod
     def load(spark: SparkSession, path: str) -> "ScoringContext":
         row = spark.read.parquet(os.path.join(path, "bounds")).first().asDict()
@@ -61,6 +67,7 @@ def score_open_invoices(invoices: DataFrame, paid_features: DataFrame, model: Pi
                         scores: ScoreParams = ScoreParams()) -> DataFrame:
     """Open invoices (F14) with as-of features, training-fitted scores and ``predicted_bucket``."""
     feats = open_invoice_features(paid_features, open_invoice_rows(invoices, as_of), history, scores.alpha)
-    scored = finish_scores(add_component_scores(with_bounds(feats, ctx.bounds), scores), ctx.g_max, scores)
+    scored = ctx.score_stage().transform(feats) if scores == ScoreParams() else finish_scores(
+        add_component_scores(with_bounds(feats, ctx.bounds), scores), ctx.g_max, scores)
     coded = region_codes(scored, dictionary=ctx.dictionary)
     return ml.predict(model, coded)

@@ -26,3 +26,22 @@ def test_stored_context_and_model_round_trip(spark):
     a, b = sorted(map(tuple, first.collect())), sorted(map(tuple, again.collect()))
     assert a == b and len(a) > 0
     assert {p for _, p in a} <= {0, 1, 2, 3, 4}
+
+
+def test_score_stage_in_a_saved_pipeline(spark):
+    from pyspark.ml import PipelineModel
+
+    from arrears.operators.scoring import add_component_scores, finish_scores, with_bounds
+
+    inv = invoices_table(spark, SF01)
+    feats = features_table(inv)
+    ctx = fit_scoring_context(feats)
+    stage = ctx.score_stage()
+    path = os.path.join(tempfile.mkdtemp(prefix="arrears-stage-"), "pm")
+    PipelineModel(stages=[stage]).write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    cols = ["invoice_id", "risk_tolerance_score", "customer_value_score", "cash_flow_score", "historical_score",
+            "global_score", "is_scorable"]
+    got = sorted(map(tuple, loaded.transform(feats).select(*cols).collect()))
+    ref = finish_scores(add_component_scores(with_bounds(feats, ctx.bounds)), ctx.g_max)
+    assert got == sorted(map(tuple, ref.select(*cols).collect()))
