@@ -75,13 +75,14 @@ def main():
         run(sorted_invoices(clean_invoices(inv())))
 
     stored_ts = []
+    model_metrics = {}
 
     def q_train_rf():
         # X2 on the stored training set (X1's output), as the two steps exchange files
         if not stored_ts:
             stored_ts.append(materialize(preprocess(inv()), "bench-ts"))
         res = train(stored_ts[0], ml.random_forest(50, 10))
-        res.metrics.collect()
+        model_metrics.update({k: round(v, 4) for k, v in res.metrics.first().asDict().items()})
         run(res.predictions)
 
     headline = {
@@ -116,6 +117,8 @@ def main():
         "cpus": int(os.environ.get("BENCH_CPUS", "8")),
         "rows": spark.read.parquet(f"{sf_dir}/orders.parquet").count(),
         "first_store_sec": round(build_sec, 3),
+        # X2 on the synthetic fixture (macro averages, as the published figures); not comparable in value
+        "x2_model_metrics": model_metrics,
     }
     print(json.dumps(out))
     spark.stop()
