@@ -45,3 +45,17 @@ def test_score_stage_in_a_saved_pipeline(spark):
     got = sorted(map(tuple, loaded.transform(feats).select(*cols).collect()))
     ref = finish_scores(add_component_scores(with_bounds(feats, ctx.bounds)), ctx.g_max)
     assert got == sorted(map(tuple, ref.select(*cols).collect()))
+
+
+def test_two_step_job_with_csv_hand_off(spark):
+    from arrears.plans.pipeline import run_pipeline
+    from conftest import SF001
+
+    root = tempfile.mkdtemp(prefix="arrears-x3-")
+    res = run_pipeline(spark, invoices_table(spark, SF001), os.path.join(root, "train"), os.path.join(root, "pred"),
+                       ml.random_forest(5, 4), fmt="csv")
+    m = res.metrics.first()
+    assert 0 <= m["accuracy"] <= 1 and 0 <= m["f1"] <= 1
+    preds = spark.read.option("header", True).csv(os.path.join(root, "pred", "predictions"))
+    assert preds.count() == res.predictions.count() > 0
+    assert "predicted_bucket" in preds.columns and "payment_bucket" not in preds.columns
