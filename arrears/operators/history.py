@@ -21,7 +21,9 @@ form a single chunk and take exactly the plain window path.
 
 Shuffles of the fact rows: exactly one (hash on pair + chunk). The chunk
 summaries and the per-pair table are joined on the same four keys, so that
-join only moves the small side, and the fact side is already sorted.
+join only moves the small side, and the fact side is already sorted. With hot
+pairs the chunk windows are evaluated a second time (over the same, reused
+exchange) to derive the chunk summaries.
 """
 
 from __future__ import annotations
@@ -329,7 +331,8 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
         carry = carry.withColumns({"_py": F.lit(None).cast("array<int>"), "_pa": F.lit(None).cast("array<double>")})
     joined = local.join(carry, CHUNK, "left")
     out = _features(joined, y, a)
-    return out.drop(*[c for c in out.columns if c.startswith("_")])
+    helpers = [c for c in out.columns if c not in df.columns and c not in HISTORY_COLUMNS]
+    return out.drop(*helpers)
 
 
 def _leak_free(df: DataFrame, params: HistoryParams, y: str, a: str) -> DataFrame:
