@@ -22,8 +22,8 @@ form a single chunk and take exactly the plain window path.
 Shuffles of the fact rows: exactly one (hash on pair + chunk). The chunk
 summaries and the per-pair table are joined on the same four keys, so that
 join only moves the small side, and the fact side is already sorted. With hot
-pairs the chunk windows are evaluated a second time (over the same, reused
-exchange) to derive the chunk summaries.
+pairs, the chunk summaries come from the hot rows alone: one extra exchange of
+those rows with only the key, order, delay and amount columns.
 """
 
 from __future__ import annotations
@@ -320,7 +320,10 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
         *PAIR, "frequency_of_transactions", F.lit(0).alias("_cday"), F.lit(0).cast("long").alias("_csub")
     )
     if n_hot:
-        chunk_carry = _chunk_carries(local, y, a)
+        # summaries from the hot rows only: the filter and column pruning reach
+        # below the repartition, so this extra exchange moves hot rows with a
+        # few narrow columns instead of re-sorting every row
+        chunk_carry = _chunk_carries(_local_windows(chunked.filter(F.col("_hot")), y, a), y, a)
         freq = stats.filter(F.col("_pair_rows") > max_rows).select(*PAIR, "frequency_of_transactions")
         carry = carry.unionByName(chunk_carry.join(freq, PAIR), allowMissingColumns=True)
     else:
