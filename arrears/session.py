@@ -38,18 +38,27 @@ def build_session(master: str | None = None, partitions: int | None = None,
     return spark
 
 
+_LOCAL_CHECKPOINTS: dict = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (tests, local runs) a local folder is made.
+    is (it is read, never changed: Spark rejects runtime changes to it). If it
+    is unset, the application's ``setCheckpointDir`` folder is used; only when
+    neither exists (tests, local runs) one local folder per application is
+    made and registered with ``setCheckpointDir``.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="arrears-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+        current = _LOCAL_CHECKPOINTS.get(sc.applicationId)
+        if current is None:
+            current = tempfile.mkdtemp(prefix="arrears-ckpt-")
+            _LOCAL_CHECKPOINTS[sc.applicationId] = current
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
