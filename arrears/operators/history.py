@@ -107,6 +107,8 @@ def assign_chunks(df: DataFrame, stats: DataFrame, max_chunk_rows: int, largest_
         )
         .filter(F.col("_cell_rows") > max_chunk_rows)
     )
+    # at most rows / max_chunk_rows hot days: written once, checked, then broadcast
+    cells = materialize(cells, "hot-days")
     cells_b = F.broadcast(cells) if fits(cells, BROADCAST_MAX_KEYS) else cells
     marked = marked.join(cells_b, PAIR + ["invoice_date"], "left")
     blocks = F.ceil(F.col("_cell_rows") / F.lit(max_chunk_rows))

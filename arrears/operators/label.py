@@ -33,10 +33,10 @@ def region_codes(df: DataFrame, columns=REGION_COLUMNS, dictionary: DataFrame |
     on training data when scoring new invoices); it is broadcast after a
     row-count check (one row per category), and joined with a shuffle beyond.
     """
-    codes = dictionary if dictionary is not None else region_dictionary(df, columns)
+    # one row per category; written once so the size check and the joins read it, not recompute it
+    codes = dictionary if dictionary is not None else materialize(region_dictionary(df, columns), "region-codes")
     if fits(codes, MAX_BROADCAST_CATEGORIES * len(columns)):
-        # small by the check above: write it once so the joins do not recompute it
-        codes = F.broadcast(codes if dictionary is not None else materialize(codes, "region-codes"))
+        codes = F.broadcast(codes)
     out = df
     for c in columns:
         d = codes.where(F.col("column_name") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))
