@@ -62,3 +62,15 @@ def test_correlation_matches_pandas_with_and_without_nulls(spark):
         ref = (pdf.dropna() if frame is not inv else pdf)[cols].corr()
         for (a, b), v in got.items():
             assert v == pytest.approx(ref.loc[a, b], abs=1e-9), (a, b)
+
+
+def test_parquet_and_table_scans(spark):
+    from arrears.sources.io import read_invoices_parquet
+
+    inv = invoices_table(spark, SF001)
+    path = os.path.join(tempfile.mkdtemp(prefix="arrears-test-"), "inv.parquet")
+    inv.toDF(*[c.upper() for c in inv.columns]).write.parquet(path)
+    by_path = read_invoices_parquet(spark, path)
+    assert by_path.columns == inv.columns and by_path.count() == inv.count()
+    inv.createOrReplaceTempView("payment_data")
+    assert read_invoices_parquet(spark, "payment_data").count() == inv.count()
