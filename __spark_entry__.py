@@ -814,7 +814,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(fn, spec):
         return lambda spark, sf_dir: canon(fn(spark, sf_dir), spec)
 
-    return {name: wrap(fn, spec) for name, (fn, spec, _) in REGISTRY.items()}
+    return {name: wrap(fn, spec) for name, (fn, spec, _) in REGISTRY.items()} | _text_operators()[0]
+
+
+def _text_operators() -> tuple[dict, dict]:
+    """Queries and SQL of the text operators, or none where that subpackage is not there."""
+    try:
+        import corpus_pipeline
+        from arrears.llm import queries as text
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "arrears.llm"):
+            raise
+        return {}, {}
+    sql = dict(text.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return text.QUERIES | {"pipeline": corpus_pipeline.run}, sql
 
 
 HOT_CHAIN_QUERIES = {"history_hot_pair"}
@@ -825,4 +840,4 @@ def oracle_sql() -> dict[str, str]:
         return O.with_hot_chain(sql) if name in HOT_CHAIN_QUERIES else O.with_chain(sql)
 
     return {name: O.canon_sql(chain(name, sql), spec)
-            for name, (_, spec, sql) in REGISTRY.items() if sql is not None}
+            for name, (_, spec, sql) in REGISTRY.items() if sql is not None} | _text_operators()[1]
