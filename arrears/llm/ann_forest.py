@@ -89,7 +89,7 @@ class Forest:
             costs.append((_cost(z), _cost(-z)))  # of the low and the high child
         queue = [(0.0, t, tree[4]) for t, tree in enumerate(self.trees)]
         heapq.heapify(queue)
-        shown, out, most = [0] * len(self.trees), [], max(1, int(reach * self.leaves))
+        shown, out, most = [0] * len(self.trees), [], max(64, int(reach * self.leaves))
         while queue and (len(out) < most or max(shown) < enough):
             cost, t, at = heapq.heappop(queue)
             if at < 0:
