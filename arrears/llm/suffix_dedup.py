@@ -9,7 +9,8 @@ of text give equal phrases wherever they stand.
    phrase, then document. Equal phrases meet, so all windows of a repeated
    phrase are known from its first document; triggers with one phrase only
    occur once or in whole copies and need nothing more.
-2. Suffixes: only where one trigger stands in several distinct phrases (the
+2. Suffixes: only where one trigger stands in several distinct phrases that
+   also agree in half of what a match needs on the left or on the right (the
    rims of repeated passages) are the phrases' suffixes, cut to 50 bytes, put
    in order, again bucket by bucket, each with its first document.
 3. Parse: every document combines both answers into removed byte ranges.
@@ -19,12 +20,12 @@ a hash of their first 50 bytes, which keeps equal prefixes adjacent (all that
 the removal rule asks) and lets Spark shuffle 8 bytes a suffix instead of 50.
 
 Skew: each block of documents sends one entry per distinct phrase or suffix
-(its smallest document) and at most two phrases per trigger, so a passage in
-a third of all documents costs each bucket a few entries per block, not per
-document. Text is shuffled once; the plan reuses that exchange. Memory: one
+(its smallest document) and at most ``PER_TRIGGER`` phrases per trigger (those
+beyond are compared suffix by suffix), so a passage in a third of all documents
+costs each bucket a few entries per block, not per document. Text is shuffled once; the plan reuses that exchange. Memory: one
 block of about 512 documents, one bucket of hashes.
 
-Equality is judged by 64-bit hashes (false match about pairs / 2**64).
+Equality is judged by hashes: 80 bits for phrases, 64 for suffixes.
 """
 
 from __future__ import annotations
@@ -38,7 +39,9 @@ from arrears.llm.common import RangeHash, documents, mix, shuffle_partitions, te
 
 DOCS_PER_BLOCK = 512
 TRIGGER = 16
-_ENTRY = "bucket long, block long, docs binary, keys binary, phrases binary"
+#: phrases per trigger that a block sends; a trigger with that many is taken to match on both sides everywhere
+PER_TRIGGER = 16
+_ENTRY = "bucket long, block long, docs binary, keys binary, high binary, low binary, left binary, right binary"
 _FLAG = "block long, kind int, keys binary, docs binary"
 _OUT = "doc_id long, n_bytes long, spans array<long>, kept binary"
 
@@ -66,8 +69,10 @@ class _Block:
             self.parts.append((i, j, data, off, self._parse(data, off)))
         keep = [p[4] for p in self.parts if p[4] is not None]
         self.doc = np.concatenate([self.ids[i + p["doc"]] for i, _, _, _, p in self.parts if p is not None]) if keep else np.zeros(0, np.int64)
-        self.trigger = np.concatenate([p["trigger"] for p in keep]) if keep else np.zeros(0, np.uint64)
-        self.phrase = np.concatenate([p["phrase"] for p in keep]) if keep else np.zeros(0, np.uint64)
+        gather = lambda name, kind: np.concatenate([p[name] for p in keep]) if keep else np.zeros(0, kind)
+        self.trigger, self.left, self.right = gather("trigger", np.uint64), gather("left", np.uint16), gather("right", np.uint16)
+        self.short = (self.trigger >> np.uint64(32)).astype(np.uint32)
+        self.phrase = _code(gather("phrase", np.uint64) >> np.uint64(16), self.short)
 
     def _parse(self, data: np.ndarray, off: np.ndarray) -> dict | None:
         span, n = self.match - TRIGGER, len(data)  # a window sees span + 1 trigger places
@@ -98,13 +103,16 @@ class _Block:
         last = windows[np.append(head[1:], len(windows)) - 1]
         doc = np.searchsorted(off, p, side="right") - 1
         lo, hi = np.maximum(p - span, off[doc]), np.minimum(p + self.match, off[doc + 1])
-        return {"doc": doc, "first": first, "last": last, "lo": lo, "hi": hi, "hash": hashed,
+        half = (span + 1) // 2  # a match reaches that far to the left or to the right of the trigger
+        side = lambda a, b: (hashed(a, b) >> np.uint64(48)).astype(np.uint16)
+        return {"doc": doc, "first": first, "last": last, "lo": lo, "hi": hi, "hash": hashed, "half": p - half,
+                "left": side(np.maximum(p - half, lo), p), "right": side(p, np.minimum(p + TRIGGER + half, hi)),
                 "trigger": mix(grams[p]), "phrase": mix(hashed(lo, hi) + (p - lo).astype(np.uint64))}
 
 
-def _trigger_key(trigger: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket, and the trigger's key of 32 bits besides."""
-    return (trigger % np.uint64(buckets)).astype(np.int64), (trigger >> np.uint64(32)).astype(np.uint32)
+def _code(high: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """Name of a phrase inside a block: 48 bits of its hash and 16 of its trigger's."""
+    return (high << np.uint64(16)) | (short.astype(np.uint64) & np.uint64(0xFFFF))
 
 
 def _firsts(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,30 +124,43 @@ def _firsts(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return k[head], docs[order][head]
 
 
+_BLOBS = ("docs", "keys", "high", "low", "left", "right")
+
+
 def _send(block: int, bucket: np.ndarray, columns: list[np.ndarray]) -> pa.Table:
+    """One row per bucket; missing columns are empty."""
     order = np.argsort(bucket, kind="stable")
     names, cut = np.unique(bucket[order], return_index=True)
     edges = np.append(cut, len(order))
     blobs = [[_raw(c[order[a:b]]) for a, b in zip(edges[:-1], edges[1:])] for c in columns]
+    blobs += [[b""] * len(names)] * (len(_BLOBS) - len(blobs))
     return pa.table({"bucket": pa.array(names, pa.int64()), "block": pa.array(np.full(len(names), block), pa.int64()),
-                     **{n: pa.array(b, pa.binary()) for n, b in zip(("docs", "keys", "phrases"), blobs)}})
+                     **{n: pa.array(b, pa.binary()) for n, b in zip(_BLOBS, blobs)}})
+
+
+def _sent(b: _Block) -> tuple[np.ndarray, np.ndarray]:
+    """Entries that a block sends (one per distinct phrase, its smallest document) and which of all entries those do not stand for."""
+    order = np.lexsort((b.doc, b.phrase, b.trigger))
+    t, p = b.trigger[order], b.phrase[order]
+    new_t, new_p = np.ones(len(t), bool), np.ones(len(t), bool)
+    new_t[1:] = t[1:] != t[:-1]
+    new_p[1:] = new_t[1:] | (p[1:] != p[:-1])
+    rank = np.cumsum(new_p)
+    rank = rank - rank[np.flatnonzero(new_t)][np.cumsum(new_t) - 1] if len(t) else rank
+    out = np.zeros(len(t), bool)
+    out[order] = rank >= PER_TRIGGER
+    return order[new_p & (rank < PER_TRIGGER)], out
 
 
 def _phrases(buckets: int, match: int):
-    """A block's dictionary: each distinct phrase with its smallest document, two phrases at most per trigger."""
+    """A block's dictionary, bucket by bucket."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         b = _Block(table, match)
-        order = np.lexsort((b.doc, b.phrase, b.trigger))
-        t, p, d = b.trigger[order], b.phrase[order], b.doc[order]
-        head = np.ones(len(p), bool)
-        head[1:] = (p[1:] != p[:-1]) | (t[1:] != t[:-1])
-        t, p, d = t[head], p[head], d[head]
-        third = np.zeros(len(t), bool)
-        third[2:] = t[2:] == t[:-2]
-        t, p, d = t[~third], p[~third], d[~third]
-        bucket, short = _trigger_key(t, buckets)
-        return _send(key[0].as_py(), bucket, [d, short, p])
+        at = np.sort(_sent(b)[0])  # in document order, which packs well
+        high = b.phrase[at] >> np.uint64(16)
+        return _send(key[0].as_py(), (b.trigger[at] % np.uint64(buckets)).astype(np.int64), [
+            b.doc[at], b.short[at], (high >> np.uint64(16)).astype(np.uint32), (high & np.uint64(0xFFFF)).astype(np.uint16), b.left[at], b.right[at]])
 
     return run
 
@@ -154,23 +175,34 @@ def _flags(kind: int, block: np.ndarray, keys: np.ndarray, docs: np.ndarray) ->
         "docs": pa.array([_raw(docs[order[a:b]]) for a, b in zip(edges[:-1], edges[1:])], pa.binary())})
 
 
+def _shared(short: np.ndarray, side: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """True where several distinct phrases have the trigger and this side."""
+    key = (short.astype(np.uint64) << np.uint64(16)) | side.astype(np.uint64)
+    _, back = np.unique(key, return_inverse=True)
+    return np.bincount(back, weights=distinct)[back] > 1 if len(key) else np.zeros(0, bool)
+
+
 def _dictionary(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Sort one bucket's phrases; tell each block which of its phrases began earlier (0) and which triggers stand in several phrases (1)."""
-    short, phrase, doc = _join(table.column("keys"), np.uint32), _join(table.column("phrases"), np.uint64), _join(table.column("docs"), np.int64)
+    """Sort one bucket's phrases; tell each block which of its phrases began earlier (0) and which share a trigger and the left (1) or right (2) side with others."""
+    short, doc = _join(table.column("keys"), np.uint32), _join(table.column("docs"), np.int64)
+    high = (_join(table.column("high"), np.uint32).astype(np.uint64) << np.uint64(16)) | _join(table.column("low"), np.uint16).astype(np.uint64)
+    left, right = _join(table.column("left"), np.uint16), _join(table.column("right"), np.uint16)
     block = np.repeat(table.column("block").to_numpy(), _counts(table.column("docs"), 8))
-    order = np.lexsort((doc, phrase, short))
-    short, phrase, doc, block = short[order], phrase[order], doc[order], block[order]
-    n = len(short)
-    new_t, new_p = np.ones(n, bool), np.ones(n, bool)
-    new_t[1:] = short[1:] != short[:-1]
-    new_p[1:] = new_t[1:] | (phrase[1:] != phrase[:-1])
-    first = doc[np.flatnonzero(new_p)][np.cumsum(new_p) - 1]
+    order = np.lexsort((doc, high, short))
+    short, high, doc, block, left, right = (x[order] for x in (short, high, doc, block, left, right))
+    new = np.ones(len(short), bool)
+    new[1:] = (short[1:] != short[:-1]) | (high[1:] != high[:-1])
+    first = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
     later = first < doc
-    t_of = np.cumsum(new_t) - 1
-    several = np.bincount(t_of, weights=new_p)[t_of] > 1 if n else np.zeros(0, bool)
-    wide = (np.uint64(key[0].as_py()) << np.uint64(32)) | short.astype(np.uint64)
-    return pa.concat_tables([_flags(0, block[later], phrase[later], first[later]),
-                             _flags(1, block[several], wide[several], doc[several])])
+    code = _code(high, short)
+    # a block that sent all it may could have more: nothing of that trigger is ruled out
+    _, back, sent = np.unique((short.astype(np.uint64) << np.uint64(32)) | (block & 0xFFFFFFFF).astype(np.uint64), return_inverse=True, return_counts=True)
+    full = np.isin(short, np.unique(short[(sent >= PER_TRIGGER)[back]])) if len(short) else np.zeros(0, bool)
+    flags = [_flags(0, block[later], code[later], first[later])]
+    for kind, side in ((1, left), (2, right)):
+        rim = (full | _shared(short, side, new)) & ~later
+        flags.append(_flags(kind, block[rim], code[rim], doc[rim]))
+    return pa.concat_tables(flags)
 
 
 class _Told:
@@ -180,8 +212,8 @@ class _Told:
         kind = table.column("kind").to_numpy()
         pick = lambda k, col, t: _join(table.filter(pa.array(kind == k)).column(col), t)
         self.phrases = _firsts(pick(0, "keys", np.uint64), pick(0, "docs", np.int64))
-        self.triggers = np.unique(pick(1, "keys", np.uint64))
-        self.suffixes = _firsts(pick(2, "keys", np.uint64), pick(2, "docs", np.int64))
+        self.left, self.right = pick(1, "keys", np.uint64), pick(2, "keys", np.uint64)
+        self.suffixes = _firsts(pick(3, "keys", np.uint64), pick(3, "docs", np.int64))
 
 
 def _look(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -193,30 +225,26 @@ def _look(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, docs: np.ndarr
     return (names[at] == keys) & (first[at] < docs)
 
 
-def _resolve(b: _Block, told: _Told, buckets: int):
-    """Per part: entries whose whole phrase is a repeat, and the suffixes left to compare (part, start, hash, document)."""
-    local = _firsts(b.phrase, b.doc)
-    whole = _look(local, b.phrase, b.doc) | _look(told.phrases, b.phrase, b.doc)
-    bucket, short = _trigger_key(b.trigger, buckets)
-    wide = (bucket.astype(np.uint64) << np.uint64(32)) | short.astype(np.uint64)
-    several = np.isin(wide, told.triggers)
-    order = np.lexsort((b.phrase, b.trigger))
-    t, p = b.trigger[order], b.phrase[order]
-    same = np.zeros(len(t), bool)
-    same[1:] = (t[1:] == t[:-1]) & (p[1:] != p[:-1])
-    several |= np.isin(b.trigger, t[same])
-    rim, at = several & ~whole, 0
-    found = []
+def _resolve(b: _Block, told: _Told):
+    """Per part: entries whose whole phrase is a repeat, and the suffixes left to compare (start, (hash, document))."""
+    whole = _look(_firsts(b.phrase, b.doc), b.phrase, b.doc) | _look(told.phrases, b.phrase, b.doc)
+    unsent = _sent(b)[1]
+    on_left, on_right = (unsent | np.isin(b.phrase, told.left)) & ~whole, (unsent | np.isin(b.phrase, told.right)) & ~whole
+    found, at = [], 0
     for i, _, data, off, part in b.parts:
         if part is None:
             found.append((None, None, None))
             continue
         n = len(part["doc"])
-        w, r = whole[at: at + n], np.flatnonzero(rim[at: at + n])
+        w, l, r = whole[at: at + n], on_left[at: at + n], on_right[at: at + n]
         at += n
-        size = part["last"][r] - part["first"][r] + 1
-        start = np.repeat(part["first"][r] - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
-        found.append((w, start, (part["hash"](start, start + b.match), b.ids[i + np.repeat(part["doc"][r], size)])))
+        # with the left side a suffix starts at or before ``half``, with the right side at or after it
+        lo = np.where(l, part["first"], np.maximum(part["first"], part["half"]))
+        hi = np.where(r, part["last"], np.minimum(part["last"], part["half"]))
+        e = np.flatnonzero((l | r) & (lo <= hi))
+        size = hi[e] - lo[e] + 1
+        start = np.repeat(lo[e] - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum()) if len(e) else np.zeros(0, np.int64)
+        found.append((w, start, (part["hash"](start, start + b.match), b.ids[i + np.repeat(part["doc"][e], size)])))
     return found
 
 
@@ -225,18 +253,18 @@ def _suffixes(buckets: int, match: int):
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         b = _Block(left, match)
-        found = [f[2] for f in _resolve(b, _Told(right), buckets) if f[2] is not None]
+        found = [f[2] for f in _resolve(b, _Told(right)) if f[2] is not None]
         keys = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64)
         docs = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
         keys, docs = _firsts(keys, docs)
         block = key[0].as_py()
-        return _send(block, (mix(keys) % np.uint64(buckets)).astype(np.int64), [docs, keys, np.zeros((len(keys), 0), np.uint8)])
+        return _send(block, (mix(keys) % np.uint64(buckets)).astype(np.int64), [docs, keys])
 
     return run
 
 
 def _order(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Sort one bucket's suffixes; tell each block which of its suffixes began in an earlier document (2)."""
+    """Sort one bucket's suffixes; tell each block which of its suffixes began in an earlier document (3)."""
     suffix, doc = _join(table.column("keys"), np.uint64), _join(table.column("docs"), np.int64)
     block = np.repeat(table.column("block").to_numpy(), _counts(table.column("docs"), 8))
     order = np.lexsort((doc, suffix))
@@ -245,15 +273,15 @@ def _order(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     new[1:] = suffix[1:] != suffix[:-1]
     first = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
     later = first < doc
-    return _flags(2, block[later], suffix[later], first[later])
+    return _flags(3, block[later], suffix[later], first[later])
 
 
-def _cut(buckets: int, match: int):
+def _cut(match: int):
     """Removed byte ranges and the remaining bytes of each document of a block."""
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         b, told = _Block(left, match), _Told(right)
-        found = _resolve(b, told, buckets)
+        found = _resolve(b, told)
         have = [f[2] for f in found if f[2] is not None]
         local = _firsts(np.concatenate([h[0] for h in have]), np.concatenate([h[1] for h in have])) if have else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         sizes, spans, kept = [], [], []
@@ -307,7 +335,7 @@ def suffix_dedup(docs: DataFrame, match: int = 50, block_docs: int = DOCS_PER_BL
     told = entries.groupBy("bucket").applyInArrow(_dictionary, _FLAG)
     suffixes = by_block.cogroup(told.groupBy("block")).applyInArrow(_suffixes(buckets, match), _ENTRY)
     ordered = suffixes.groupBy("bucket").applyInArrow(_order, _FLAG)
-    return by_block.cogroup(told.unionAll(ordered).groupBy("block")).applyInArrow(_cut(buckets, match), _OUT)
+    return by_block.cogroup(told.unionAll(ordered).groupBy("block")).applyInArrow(_cut(match), _OUT)
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
