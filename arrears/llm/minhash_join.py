@@ -9,11 +9,12 @@
    alone, so a step is one shuffle of (node, representative) pairs; nodes of
    one member, nearly all, vanish at the count.
 3. Nodes of at most ``node_limit`` members are compared exhaustively by their
-   tokens. A larger node compares all members with one pivot; it branches on
-   unless every member resembles the pivot. These are *loose* links (a likeness
-   five standard errors under the threshold) and only a spanning forest of each
-   node is kept, so links grow with members, not pairs. What is still large
-   after ``max_depth`` is linked to its pivot whole: nothing is lost.
+   tokens. A larger node compares all members with one pivot; members outside
+   its main component by then are compared with all, if they are few, else the
+   node branches on. These are *loose* links
+   (a likeness five standard errors under the threshold) and only a spanning
+   forest of each node is kept, so links grow with members, not pairs. What is
+   still large after ``max_depth`` is linked to its pivot whole: nothing is lost.
 4. Documents linked closely enough lie in one loose component; each text is
    shipped once, to its component, and all pairs there that are not yet
    connected are compared on full sets. Components of more than ``block_limit``
@@ -123,7 +124,7 @@ def _branch(threshold: float, trees: int):
 
 def _forest(pairs, n: int):
     """The pairs that join two parts, in the order given."""
-    root = list(range(n))
+    root, parts = list(range(n)), n
     for a, b in pairs:
         x, y = int(a), int(b)
         while root[x] != x:
@@ -135,6 +136,9 @@ def _forest(pairs, n: int):
         if x != y:
             root[max(x, y)] = min(x, y)
             yield int(a), int(b)
+            parts -= 1
+            if parts == 1:
+                return
 
 
 def _compare_nodes(least: int):
@@ -163,6 +167,23 @@ def _compare_nodes(least: int):
     return run
 
 
+def _compare_rest(least: int):
+    """Loose links between the members of a node (or a block of them) and those outside its main component, one per pair of components."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            rep, root, tokens = left.column("rep").to_numpy(), left.column("root").to_numpy(), _tokens(left.column("tokens"))
+            for r, own, t in zip(right.column("rep").to_pylist(), right.column("root").to_pylist(), _tokens(right.column("tokens"))):
+                near = np.flatnonzero((np.count_nonzero(tokens == t, axis=1) >= least) & (root != own))
+                _, one = np.unique(root[near], return_index=True)
+                a += [r] * len(one)
+                b += rep[near[one]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def _with_pivot(least: int):
     def run(batches):
         for batch in batches:
@@ -172,38 +193,37 @@ def _with_pivot(least: int):
     return run
 
 
-def _exact_links(words: int, percent: int, least: int):
+def _exact_links(words: int, percent: int):
     """Exact links among the texts of one component (or of two blocks of one): a spanning forest of each class."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("rep")
-        rep, tokens = table.column("rep").to_numpy(), _tokens(table.column("tokens"))
+        rep = table.column("rep").to_numpy()
         sets, sizes = [], []
         for _, _, hashes, start in shingle_sets(table.column("text"), words):
             sets.append(hashes)
             sizes.append(np.diff(start))
         size = np.concatenate(sizes)
-        hashes, start = np.concatenate(sets), np.append(0, np.cumsum(size))
-        n = len(rep)
+        start = np.append(0, np.cumsum(size))
+        names, place = np.unique(np.concatenate(sets), return_inverse=True)
+        n, mark = len(rep), np.zeros(len(names), bool)
         part = np.arange(n)  # the smallest member linked so far
         left, right = [], []
         todo = np.ones(n, bool)
         while True:
             count = np.bincount(part, minlength=n)
             largest = int(count.argmax())
-            waiting = np.flatnonzero(todo & (part != largest))
+            # members of the largest part need no turn of their own: all others meet them
+            waiting = np.flatnonzero(todo & (part != largest)) if count[largest] > 1 else np.flatnonzero(todo)
             if count[largest] == n or not len(waiting):
                 break
-            # members of the largest part need no turn of their own; at the start everything is single
-            p = int(waiting[0]) if count[largest] > 1 else int(np.flatnonzero(todo)[0])
+            p = int(waiting[0])
             todo[p] = False
-            other = np.flatnonzero((part != part[p]) & (np.count_nonzero(tokens == tokens[p], axis=1) >= least))
-            own = hashes[start[p]: start[p + 1]]
-            for q in other:
-                if part[q] == part[p]:
-                    continue
-                both = len(np.intersect1d(own, hashes[start[q]: start[q + 1]], assume_unique=True))
-                if 100 * both >= percent * (size[p] + size[q] - both):
+            mark[place[start[p]: start[p + 1]]] = True
+            both = np.add.reduceat(mark[place], start[:-1], dtype=np.int64)
+            mark[place[start[p]: start[p + 1]]] = False
+            for q in np.flatnonzero((100 * both >= percent * (size[p] + size - both)) & (part != part[p])):
+                if part[q] != part[p]:
                     left.append(int(rep[p]))
                     right.append(int(rep[q]))
                     low, high = sorted((part[p], part[q]))
@@ -228,7 +248,7 @@ def connected(links: DataFrame, name: str) -> DataFrame:
             return label
 
 
-def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 16, node_limit: int = 128,
+def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 16, node_limit: int = 512,
                      max_depth: int = 8, block_limit: int = 4096) -> DataFrame:
     """Class of every document under ``100 * |A & B| >= percent * |A | B|`` on lower-cased (A-Z) word shingles.
 
@@ -255,14 +275,15 @@ def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees:
     # trees
     branch = _branch(percent / 100, trees)
     pairs = reps.select(F.lit(None).cast("long").alias("node"), "rep", "tokens").mapInArrow(branch, "node long, rep long")
-    loose = []
+    links, part = None, None
     for depth in range(max_depth):
-        pairs = materialize(pairs.distinct() if depth else pairs, "tree")
+        pairs = materialize(pairs, "tree")
         sized = pairs.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).filter("n > 1")
         met = materialize(pairs.join(sized, "node").join(reps.select("rep", "tokens"), "rep"), "tree-met")
         small = met.filter(F.col("n") <= node_limit).withColumn("bucket", F.pmod("node", F.lit(2 * places)))
-        loose.append(materialize(small.select("bucket", "node", "rep", "tokens").groupBy("bucket").applyInArrow(
-            _compare_nodes(least), "a long, b long").distinct(), "loose"))
+        found = materialize(small.select("bucket", "node", "rep", "tokens").groupBy("bucket").applyInArrow(
+            _compare_nodes(least), "a long, b long").distinct(), "loose")
+        links = found if links is None else links.unionAll(found)
         large = met.filter(F.col("n") > node_limit)
         if large.limit(1).count() == 0:
             break
@@ -272,12 +293,28 @@ def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees:
         linked = star.filter("rep != pivot")
         if depth < max_depth - 1:
             linked = linked.filter("near")
-        loose.append(linked.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-        mixed = star.groupBy("node").agg(F.min("near").alias("all_near")).filter("not all_near").select("node")
-        pairs = star.join(mixed, "node").join(reps.select("rep", "tokens"), "rep").select("node", "rep", "tokens").mapInArrow(branch, "node long, rep long")
-    links = loose[0]
-    for more in loose[1:]:
-        links = links.unionAll(more)
+        links = links.unionAll(linked.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
+        if part is None:
+            part = connected(links, "loose")
+        # per node, the members outside its main loose component: none, nothing is left to find;
+        # few, they meet all members; many, the node branches
+        rooted = star.join(part.toDF("rep", "root"), "rep", "left").join(part.toDF("pivot", "pivot_root"), "pivot", "left")
+        rooted = rooted.select("node", "rep", F.when(F.col("near"), F.coalesce("pivot_root", "pivot")).otherwise(F.coalesce("root", "rep")).alias("root"))
+        state = rooted.groupBy("node", "root").agg(F.count("*").alias("n")).groupBy("node").agg(
+            F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("rest"))
+        state = materialize(state.filter("rest > 0"), "nodes")
+        tokens = reps.select("rep", "tokens")
+        few = rooted.join(state.filter(F.col("rest") <= node_limit).withColumn("blocks", F.ceil(F.col("n") / block_limit).cast("int")), "node").join(tokens, "rep")
+        every = few.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).select("node", "block", "rep", "root", "tokens")
+        rest = few.filter("root != main").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+            *[F.col(c).alias(c) for c in ("node", "block", "rep", "root", "tokens")])
+        met_rest = materialize(every.groupBy("node", "block").cogroup(rest.groupBy("node", "block")).applyInArrow(
+            _compare_rest(least), "a long, b long").distinct(), "rest")
+        links = links.unionAll(met_rest)
+        many = state.filter(F.col("rest") > node_limit).select("node")
+        if many.limit(1).count() == 0:
+            break
+        pairs = star.join(many, "node").join(tokens, "rep").select("node", "rep", "tokens").mapInArrow(branch, "node long, rep long")
 
     # exact comparison inside loose components
     part = connected(links, "loose")
@@ -287,10 +324,11 @@ def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees:
     placed = placed.select("root", F.col("v").alias("rep"), F.explode(F.expr(
         "transform(sequence(0, blocks - 1), j -> struct(least(mine, j) as i, greatest(mine, j) as j))")).alias("at"))
     placed = placed.select("root", "rep", "at.i", "at.j")
-    sources = texts.withColumnRenamed("doc_id", "rep").join(part.select(F.col("v").alias("rep")), "rep", "left_semi")
-    sources = sources.groupBy("rep").agg(F.first("text").alias("text")).join(reps.select("rep", "tokens"), "rep")
-    exact = materialize(placed.join(sources, "rep").select("root", "i", "j", "rep", "text", "tokens").groupBy("root", "i", "j").applyInArrow(
-        _exact_links(words, percent, least), "a long, b long").distinct(), "exact")
+    # rows that repeat a doc_id: the smallest text with the set of the representative
+    sources = texts.withColumnRenamed("doc_id", "rep").join(part.select(F.col("v").alias("rep")).hint("merge"), "rep", "left_semi")
+    sources = sources.groupBy("rep").agg(F.min("text").alias("text"))
+    exact = materialize(placed.join(sources, "rep").select("root", "i", "j", "rep", "text").groupBy("root", "i", "j").applyInArrow(
+        _exact_links(words, percent), "a long, b long").distinct(), "exact")
     root = connected(exact, "class")
     members = reps.select(*key, "rep").join(root.withColumnRenamed("v", "rep"), "rep", "left").select(
         *key, F.coalesce("root", "rep").alias("root"))
