@@ -9,12 +9,12 @@
    alone, so a step is one shuffle of (node, representative) pairs; nodes of
    one member, nearly all, vanish at the count.
 3. Nodes of at most ``node_limit`` members are compared exhaustively by their
-   tokens. A larger node compares all members with one pivot; members outside
-   its main component by then are compared with all, if they are few, else the
-   node branches on. These are *loose* links
+   tokens. A larger node compares all members with one pivot; those unlike the
+   pivot are compared with all members, if they are few, else the node branches
+   on, three levels at once. These are *loose* links
    (a likeness five standard errors under the threshold) and only a spanning
    forest of each node is kept, so links grow with members, not pairs. What is
-   still large after ``max_depth`` is linked to its pivot whole: nothing is lost.
+   still large after ``steps`` rounds is linked to its pivot whole: nothing is lost.
 4. Documents linked closely enough lie in one loose component; each text is
    shipped once, to its component, and all pairs there that are not yet
    connected are compared on full sets. Components of more than ``block_limit``
@@ -96,8 +96,8 @@ def _tokens(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
 
 
-def _branch(threshold: float, trees: int):
-    """Children of (node, rep, tokens) rows; a null node stands for the roots of all trees."""
+def _branch(threshold: float, trees: int, levels: int = 1):
+    """Descendants, ``levels`` below, of (node, rep, tokens) rows; a null node stands for the roots of all trees."""
     need = np.uint64(int(2**64 / (threshold * PLACES)))
     place = np.arange(PLACES, dtype=np.uint64)
 
@@ -112,12 +112,14 @@ def _branch(threshold: float, trees: int):
                 rows, node = np.arange(len(rep)), batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
             for a in range(0, len(rows), 20_000):
                 r, n = rows[a: a + 20_000], node[a: a + 20_000]
-                draw = mix(n[:, None] + (place + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
-                chosen = draw < need
-                chosen[np.arange(len(r)), draw.argmin(1)] = True
-                at, p = np.nonzero(chosen)
-                child = mix(mix(n[at] + (p.astype(np.uint64) << np.uint64(40))) ^ (tokens[r[at], p] * np.uint64(0x9E3779B97F4A7C15)))
-                yield pa.record_batch({"node": pa.array(child.view(np.int64)), "rep": pa.array(rep[r[at]], pa.int64())})
+                for _ in range(levels):
+                    draw = mix(n[:, None] + (place + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+                    chosen = draw < need
+                    chosen[np.arange(len(r)), draw.argmin(1)] = True
+                    at, p = np.nonzero(chosen)
+                    n = mix(mix(n[at] + (p.astype(np.uint64) << np.uint64(40))) ^ (tokens[r[at], p] * np.uint64(0x9E3779B97F4A7C15)))
+                    r = r[at]
+                yield pa.record_batch({"node": pa.array(n.view(np.int64)), "rep": pa.array(rep[r], pa.int64())})
 
     return run
 
@@ -168,17 +170,22 @@ def _compare_nodes(least: int):
 
 
 def _compare_rest(least: int):
-    """Loose links between the members of a node (or a block of them) and those outside its main component, one per pair of components."""
+    """Loose links between the members of a node (or a block of them) and those unlike its pivot: a spanning forest."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = [], []
         if left.num_rows and right.num_rows:
+            left, right = left.sort_by("rep"), right.sort_by("rep")
             rep, root, tokens = left.column("rep").to_numpy(), left.column("root").to_numpy(), _tokens(left.column("tokens"))
-            for r, own, t in zip(right.column("rep").to_pylist(), right.column("root").to_pylist(), _tokens(right.column("tokens"))):
-                near = np.flatnonzero((np.count_nonzero(tokens == t, axis=1) >= least) & (root != own))
-                _, one = np.unique(root[near], return_index=True)
-                a += [r] * len(one)
-                b += rep[near[one]].tolist()
+            names, part = np.unique(np.concatenate([root, right.column("root").to_numpy()]), return_inverse=True)
+            for k, (r, t) in enumerate(zip(right.column("rep").to_pylist(), _tokens(right.column("tokens")))):
+                own = part[len(rep) + k]
+                near = np.flatnonzero((np.count_nonzero(tokens == t, axis=1) >= least) & (part[: len(rep)] != own))
+                theirs, one = np.unique(part[near], return_index=True)
+                if len(one):
+                    a += [r] * len(one)
+                    b += rep[near[one]].tolist()
+                    part[np.isin(part, theirs)] = own
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -188,7 +195,8 @@ def _with_pivot(least: int):
     def run(batches):
         for batch in batches:
             near = np.count_nonzero(_tokens(batch.column("tokens")) == _tokens(batch.column("pivot_tokens")), axis=1) >= least
-            yield pa.record_batch({"node": batch.column("node"), "rep": batch.column("rep"), "pivot": batch.column("pivot"), "near": pa.array(near)})
+            yield pa.record_batch([*(batch.column(c) for c in ("node", "rep", "pivot", "tokens")), pa.array(near)],
+                                  names=["node", "rep", "pivot", "tokens", "near"])
 
     return run
 
@@ -235,13 +243,14 @@ def _exact_links(words: int, percent: int):
 
 def connected(links: DataFrame, name: str) -> DataFrame:
     """(v, root): the smallest vertex reachable, for every vertex of ``links`` (a, b)."""
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct().toDF("v", "u"), f"{name}-links")
-    label = materialize(both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("root")), f"{name}-label")
+    few = max(1, shuffle_partitions(links.sparkSession) // 8)  # rows of two ids: larger partitions do
+    both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct().toDF("v", "u").coalesce(few), f"{name}-links")
+    label = materialize(both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("root")).coalesce(few), f"{name}-label")
     while True:
         near = both.join(label.toDF("u", "r"), "u").groupBy("v").agg(F.min("r").alias("r"))
         step = label.join(near, "v").select("v", F.least("root", "r").alias("next"), "root")
         jump = step.join(label.toDF("next", "far"), "next").select("v", F.least("next", "far").alias("root"), F.col("root").alias("was"))
-        done = materialize(jump, f"{name}-label")
+        done = materialize(jump.coalesce(few), f"{name}-label")
         moved = done.filter("root != was").limit(1).count()
         label = done.select("v", "root")
         if not moved:
@@ -249,7 +258,7 @@ def connected(links: DataFrame, name: str) -> DataFrame:
 
 
 def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 16, node_limit: int = 512,
-                     max_depth: int = 8, block_limit: int = 4096) -> DataFrame:
+                     steps: int = 4, block_limit: int = 4096) -> DataFrame:
     """Class of every document under ``100 * |A & B| >= percent * |A | B|`` on lower-cased (A-Z) word shingles.
 
     ``docs`` needs ``doc_id`` (long) and ``text``; other columns are ignored.
@@ -273,10 +282,10 @@ def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees:
         F.min("doc_id").alias("rep"), F.any_value("tokens").alias("tokens")), "reps")
 
     # trees
-    branch = _branch(percent / 100, trees)
-    pairs = reps.select(F.lit(None).cast("long").alias("node"), "rep", "tokens").mapInArrow(branch, "node long, rep long")
-    links, part = None, None
-    for depth in range(max_depth):
+    pairs = reps.select(F.lit(None).cast("long").alias("node"), "rep", "tokens").mapInArrow(
+        _branch(percent / 100, trees), "node long, rep long")
+    links = None
+    for step in range(steps):
         pairs = materialize(pairs, "tree")
         sized = pairs.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).filter("n > 1")
         met = materialize(pairs.join(sized, "node").join(reps.select("rep", "tokens"), "rep"), "tree-met")
@@ -289,32 +298,25 @@ def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees:
             break
         pivots = large.filter("rep = pivot").select("node", F.col("tokens").alias("pivot_tokens"))
         star = materialize(large.join(pivots, "node").select("node", "rep", "pivot", "tokens", "pivot_tokens").mapInArrow(
-            _with_pivot(least), "node long, rep long, pivot long, near boolean"), "star")
+            _with_pivot(least), "node long, rep long, pivot long, tokens binary, near boolean"), "star")
         linked = star.filter("rep != pivot")
-        if depth < max_depth - 1:
+        if step < steps - 1:
             linked = linked.filter("near")
         links = links.unionAll(linked.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-        if part is None:
-            part = connected(links, "loose")
-        # per node, the members outside its main loose component: none, nothing is left to find;
-        # few, they meet all members; many, the node branches
-        rooted = star.join(part.toDF("rep", "root"), "rep", "left").join(part.toDF("pivot", "pivot_root"), "pivot", "left")
-        rooted = rooted.select("node", "rep", F.when(F.col("near"), F.coalesce("pivot_root", "pivot")).otherwise(F.coalesce("root", "rep")).alias("root"))
-        state = rooted.groupBy("node", "root").agg(F.count("*").alias("n")).groupBy("node").agg(
-            F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("rest"))
-        state = materialize(state.filter("rest > 0"), "nodes")
-        tokens = reps.select("rep", "tokens")
-        few = rooted.join(state.filter(F.col("rest") <= node_limit).withColumn("blocks", F.ceil(F.col("n") / block_limit).cast("int")), "node").join(tokens, "rep")
+        # members unlike the pivot: none, nothing is left to find; few, they meet all members; many, the node branches
+        state = star.groupBy("node").agg(F.count("*").alias("n"), F.count_if(~F.col("near")).alias("rest"))
+        few = star.join(state.filter(F.col("rest").between(1, node_limit)), "node").select(
+            "node", "rep", "tokens", F.when(F.col("near"), F.col("pivot")).otherwise(F.col("rep")).alias("root"), "near",
+            F.ceil(F.col("n") / block_limit).cast("int").alias("blocks"))
         every = few.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).select("node", "block", "rep", "root", "tokens")
-        rest = few.filter("root != main").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        rest = few.filter("not near").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
             *[F.col(c).alias(c) for c in ("node", "block", "rep", "root", "tokens")])
-        met_rest = materialize(every.groupBy("node", "block").cogroup(rest.groupBy("node", "block")).applyInArrow(
-            _compare_rest(least), "a long, b long").distinct(), "rest")
-        links = links.unionAll(met_rest)
+        links = links.unionAll(materialize(every.groupBy("node", "block").cogroup(rest.groupBy("node", "block")).applyInArrow(
+            _compare_rest(least), "a long, b long").distinct(), "rest"))
         many = state.filter(F.col("rest") > node_limit).select("node")
         if many.limit(1).count() == 0:
             break
-        pairs = star.join(many, "node").join(tokens, "rep").select("node", "rep", "tokens").mapInArrow(branch, "node long, rep long")
+        pairs = star.join(many, "node").select("node", "rep", "tokens").mapInArrow(_branch(percent / 100, trees, 3), "node long, rep long")
 
     # exact comparison inside loose components
     part = connected(links, "loose")
