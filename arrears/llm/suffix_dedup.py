@@ -55,6 +55,17 @@ def _join(column, dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
+def _pack_docs(docs: np.ndarray) -> np.ndarray:
+    """Ascending ids as steps, which are nearly all zero or short."""
+    step = np.diff(docs, prepend=0)
+    return step.astype(np.int32) if len(step) and abs(step).max() < 2**31 else step
+
+
+def _unpack_docs(column, counts: np.ndarray) -> np.ndarray:
+    parts = [np.cumsum(np.frombuffer(x, np.int32 if len(x) == 4 * n else np.int64), dtype=np.int64) for x, n in zip(column.to_pylist(), counts) if n]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
 def _counts(column, width: int) -> np.ndarray:
     return np.array([len(x) // width for x in column.to_pylist()], np.int64)
 
@@ -132,7 +143,7 @@ def _send(block: int, bucket: np.ndarray, columns: list[np.ndarray]) -> pa.Table
     order = np.argsort(bucket, kind="stable")
     names, cut = np.unique(bucket[order], return_index=True)
     edges = np.append(cut, len(order))
-    blobs = [[_raw(c[order[a:b]]) for a, b in zip(edges[:-1], edges[1:])] for c in columns]
+    blobs = [[_raw((_pack_docs if k == 0 else np.asarray)(c[order[a:b]])) for a, b in zip(edges[:-1], edges[1:])] for k, c in enumerate(columns)]
     blobs += [[b""] * len(names)] * (len(_BLOBS) - len(blobs))
     return pa.table({"bucket": pa.array(names, pa.int64()), "block": pa.array(np.full(len(names), block), pa.int64()),
                      **{n: pa.array(b, pa.binary()) for n, b in zip(_BLOBS, blobs)}})
@@ -184,10 +195,11 @@ def _shared(short: np.ndarray, side: np.ndarray, distinct: np.ndarray) -> np.nda
 
 def _dictionary(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Sort one bucket's phrases; tell each block which of its phrases began earlier (0) and which share a trigger and the left (1) or right (2) side with others."""
-    short, doc = _join(table.column("keys"), np.uint32), _join(table.column("docs"), np.int64)
+    counts = _counts(table.column("keys"), 4)
+    short, doc = _join(table.column("keys"), np.uint32), _unpack_docs(table.column("docs"), counts)
     high = (_join(table.column("high"), np.uint32).astype(np.uint64) << np.uint64(16)) | _join(table.column("low"), np.uint16).astype(np.uint64)
     left, right = _join(table.column("left"), np.uint16), _join(table.column("right"), np.uint16)
-    block = np.repeat(table.column("block").to_numpy(), _counts(table.column("docs"), 8))
+    block = np.repeat(table.column("block").to_numpy(), counts)
     order = np.lexsort((doc, high, short))
     short, high, doc, block, left, right = (x[order] for x in (short, high, doc, block, left, right))
     new = np.ones(len(short), bool)
@@ -257,6 +269,8 @@ def _suffixes(buckets: int, match: int):
         keys = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64)
         docs = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
         keys, docs = _firsts(keys, docs)
+        order = np.argsort(docs, kind="stable")
+        keys, docs = keys[order], docs[order]
         block = key[0].as_py()
         return _send(block, (mix(keys) % np.uint64(buckets)).astype(np.int64), [docs, keys])
 
@@ -265,8 +279,9 @@ def _suffixes(buckets: int, match: int):
 
 def _order(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Sort one bucket's suffixes; tell each block which of its suffixes began in an earlier document (3)."""
-    suffix, doc = _join(table.column("keys"), np.uint64), _join(table.column("docs"), np.int64)
-    block = np.repeat(table.column("block").to_numpy(), _counts(table.column("docs"), 8))
+    counts = _counts(table.column("keys"), 8)
+    suffix, doc = _join(table.column("keys"), np.uint64), _unpack_docs(table.column("docs"), counts)
+    block = np.repeat(table.column("block").to_numpy(), counts)
     order = np.lexsort((doc, suffix))
     suffix, doc, block = suffix[order], doc[order], block[order]
     new = np.ones(len(suffix), bool)
@@ -326,7 +341,7 @@ def suffix_dedup(docs: DataFrame, match: int = 50, block_docs: int = DOCS_PER_BL
         raise ValueError(f"match must be {TRIGGER + 1} to {TRIGGER + 63}")
     spark = docs.sparkSession
     blocks = max(1, -(-docs.count() // block_docs))
-    buckets = max(8, 2 * shuffle_partitions(spark))
+    buckets = max(8, shuffle_partitions(spark))
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.raise_error(F.lit("doc_id is null")).cast("long")).alias("doc_id"),
                          F.col("text").cast("string").alias("text"))
     source = source.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"), "doc_id", "text")
