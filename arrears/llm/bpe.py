@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import documents
+from arrears.llm.common import documents, small_batches
 
 SEGMENT = 16_384
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -157,7 +157,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str = VOCABULARY, specials: dict | N
 
     def short(batches):
         enc = tokenizer(vocabulary, special)
-        for b in batches:
+        for b in small_batches(batches):
             ids = [_encode(enc, 0, t) if t else np.zeros(0, np.uint32) for t in b.column("text").to_pylist()]
             yield pa.record_batch({"doc_id": b.column("doc_id"), "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
                                    "ids": pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())})
@@ -165,7 +165,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str = VOCABULARY, specials: dict | N
     def cut(batches):
         enc = tokenizer(vocabulary, special)
         names = dict(special)
-        for b in batches:
+        for b in small_batches(batches):
             for doc, key, text in zip(b.column("doc_id").to_pylist(), b.column("key").to_pylist(), b.column("text").to_pylist()):
                 parts = segments(text, segment, _pieces(enc._pat_str), names)
                 yield pa.record_batch({"doc_id": pa.array([doc] * len(parts), pa.int64()), "key": pa.array([key] * len(parts), pa.string()),
@@ -174,7 +174,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str = VOCABULARY, specials: dict | N
 
     def part(batches):
         enc = tokenizer(vocabulary, special)
-        for b in batches:
+        for b in small_batches(batches):
             ids = [_encode(enc, k, t).tobytes() for k, t in zip(b.column("kind").to_pylist(), b.column("text").to_pylist())]
             yield pa.record_batch([b.column("doc_id"), b.column("key"), b.column("at"), b.column("kind"), pa.array(ids, pa.binary())],
                                   names=["doc_id", "key", "at", "kind", "ids"])
@@ -205,7 +205,7 @@ def bpe_decode(tokens: DataFrame, vocabulary: str = VOCABULARY, specials: dict |
 
     def run(batches):
         enc = tokenizer(vocabulary, special)
-        for b in batches:
+        for b in small_batches(batches):
             text = [enc.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in b.column("ids").to_pylist()]
             yield pa.record_batch([*b.columns, pa.array(text, pa.string())], names=[*b.schema.names, "decoded"])
 

@@ -122,6 +122,13 @@ def word_counts(column) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+def small_batches(batches, rows: int = 1024):
+    """The same rows in smaller Arrow batches, so that what a batch turns into stays small too."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import LOWER, RangeHash, documents, mix, text_chunks, word_runs
+from arrears.llm.common import LOWER, RangeHash, documents, mix, small_batches, text_chunks, word_runs
 from arrears.session import materialize
 
 BITS = 18
@@ -50,7 +50,7 @@ def _grams(tokens: np.ndarray, doc: np.ndarray, n: int, salt: int, bits: int) ->
 
 def features(column, bits: int):
     """(i, j, starts, features, weights) per range of texts; weights of one kind sum to 1 in a text."""
-    for i, j, data, off in text_chunks(column, 1 << 19):
+    for i, j, data, off in text_chunks(column, 1 << 18):
         start, end, upto = word_runs(data, off)
         n = np.diff(upto)
         doc = np.repeat(np.arange(len(n)), n)
@@ -69,7 +69,7 @@ def features(column, bits: int):
             weights.append((1.0 / np.maximum(np.bincount(r, minlength=j - i), 1))[r])
         order = np.argsort(np.concatenate(rows), kind="stable")
         row = np.concatenate(rows)[order]
-        yield i, j, np.searchsorted(row, np.arange(j - i + 1)), np.concatenate(feats)[order], np.concatenate(weights)[order]
+        yield i, j, np.searchsorted(row, np.arange(j - i + 1)), np.concatenate(feats)[order].astype(np.int32), np.concatenate(weights)[order].astype(np.float32)
 
 
 class Ftrl:
@@ -161,7 +161,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bi
 
     def run(batches):
         w = model.value
-        for b in batches:
+        for b in small_batches(batches):
             score = np.zeros(b.num_rows)
             for i, j, start, feats, values in features(b.column("_text"), bits):
                 total = np.append(0.0, np.cumsum(w[feats] * values))
