@@ -145,8 +145,9 @@ def tree_join(enc, parts: list[_Tokens]) -> np.ndarray:
     return parts[0].ids if parts else np.zeros(0, np.uint32)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str = VOCABULARY, specials: dict | None = None, segment: int = SEGMENT) -> DataFrame:
-    """Token ids of every whole text.
+def bpe_encode(docs: DataFrame, vocabulary: str = VOCABULARY, specials: dict | None = None, segment: int = SEGMENT,
+               decode: bool = False) -> DataFrame:
+    """Token ids of every whole text; with ``decode`` also decoded, the text read back from them in the same pass.
 
     ``docs`` needs doc_id and text; other columns are ignored. Returns one row
     per input row: doc_id, n_tokens, ids (little-endian unsigned 32-bit
@@ -155,12 +156,15 @@ def bpe_encode(docs: DataFrame, vocabulary: str = VOCABULARY, specials: dict | N
     """
     special = tuple(sorted((SPECIALS if specials is None else specials).items()))
 
+    def back(enc, ids):
+        return {"decoded": pa.array([enc.decode(x.tolist()) for x in ids], pa.string())} if decode else {}
+
     def short(batches):
         enc = tokenizer(vocabulary, special)
         for b in small_batches(batches):
             ids = [_encode(enc, 0, t) if t else np.zeros(0, np.uint32) for t in b.column("text").to_pylist()]
             yield pa.record_batch({"doc_id": b.column("doc_id"), "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                                   "ids": pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())})
+                                   "ids": pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())} | back(enc, ids))
 
     def cut(batches):
         enc = tokenizer(vocabulary, special)
@@ -189,9 +193,9 @@ def bpe_encode(docs: DataFrame, vocabulary: str = VOCABULARY, specials: dict | N
         whole = tree_join(enc, [_Tokens(kind[i], np.frombuffer(ids[i], np.uint32)) for i in rows])
         return pa.table({"doc_id": pa.array([table.column("doc_id")[0].as_py()] * doubles, pa.int64()),
                          "n_tokens": pa.array([len(whole)] * doubles, pa.int64()),
-                         "ids": pa.array([whole.astype("<u4").tobytes()] * doubles, pa.binary())})
+                         "ids": pa.array([whole.astype("<u4").tobytes()] * doubles, pa.binary())} | back(enc, [whole] * doubles))
 
-    out = "doc_id long, n_tokens long, ids binary"
+    out = "doc_id long, n_tokens long, ids binary" + ", decoded string" * decode
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     long = F.length("text") > segment
     cuts = texts.filter(long).withColumn("key", F.sha2("text", 256)).mapInArrow(cut, "doc_id long, key string, at long, kind int, text string")
@@ -214,5 +218,5 @@ def bpe_decode(tokens: DataFrame, vocabulary: str = VOCABULARY, specials: dict |
 
 
 def op6_bpe(spark, sf_dir: str) -> DataFrame:
-    return bpe_decode(bpe_encode(documents(spark, sf_dir))).select(
+    return bpe_encode(documents(spark, sf_dir), decode=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -157,7 +157,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bi
     weights = fit(training_rows(docs, labels, label, sample), bits)
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(np.zeros((1 << bits) + 1) if weights is None else weights)
-    rest = [c for c in keep if c not in ("doc_id", "held_out", "score", "predicted")]
+    own = ("doc_id", "held_out", "score", "predicted")
+    rest = [c for c in keep if c not in (*own, "text")]
+    text = ["text"] if "text" in keep else []
 
     def run(batches):
         w = model.value
@@ -166,13 +168,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bi
             for i, j, start, feats, values in features(b.column("_text"), bits):
                 total = np.append(0.0, np.cumsum(w[feats] * values))
                 score[i:j] = 1 / (1 + np.exp(-np.clip(total[start[1:]] - total[start[:-1]] + w[-1], -35, 35)))
-            cols = [b.column(c) for c in ("doc_id", "held_out", *rest)]
+            cols = [b.column(c) for c in ("doc_id", "held_out", *rest, *(["_text"] if text else []))]
             yield pa.record_batch([*cols, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
-                                  names=["doc_id", "held_out", *rest, "score", "predicted"])
+                                  names=["doc_id", "held_out", *rest, *text, "score", "predicted"])
 
     source = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *rest, F.col("text").cast("string").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text")
-    return source.mapInArrow(run, f"{schema}, score double, predicted int")
+    return source.mapInArrow(run, f"{schema}{', text string' * len(text)}, score double, predicted int")
 
 
 def op8_quality_model(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears.llm.bpe import bpe_decode, bpe_encode
+from arrears.llm.bpe import bpe_encode
 from arrears.llm.minhash_join import near_dup_classes
 from arrears.llm.mixing import mix_copies
 from arrears.llm.pii import detect_pii
@@ -19,14 +19,18 @@ from arrears.session import materialize
 
 
 def _whole_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the whole row, so that no column name can clash with a stage's own."""
-    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    """doc_id, text and all else as one struct, so that no column name can clash with a stage's own."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row"))
+
+
+def _columns(docs: DataFrame, new: dict) -> list:
+    return [new[c].alias(c) if c in new else F.col("_row").getField(c).alias(c) for c in docs.columns]
 
 
 def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; labels of held-out rows are never learned from."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return score_quality(_whole_rows(docs), labels, keep=["_row"]).filter("predicted = 1").select("_row.*")
+    return score_quality(_whole_rows(docs), labels, keep=["_row", "text"]).filter("predicted = 1").select(*_columns(docs, {"text": F.col("text")}))
 
 
 def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +43,7 @@ def pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars follows the new text."""
     found = detect_pii(_whole_rows(docs), keep=["_row"], mask=True)
     new = {"text": F.col("masked"), "n_chars": F.length("masked").cast("long")}
-    return found.select(*[new[c].alias(c) if c in new else F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return found.select(*_columns(docs, new))
 
 
 def mixing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +58,7 @@ def mixing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and decoded, the text read back from them."""
-    return bpe_decode(bpe_encode(docs.select("doc_id", "text")))
+    return bpe_encode(docs.select("doc_id", "text"), decode=True)
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("pii", pii), ("mixing", mixing), ("bpe", bpe)]
