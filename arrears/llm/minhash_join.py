@@ -54,7 +54,7 @@ def shingle_sets(column, words: int):
         w = RangeHash(data)(start, end)
         n = np.diff(upto)
         whole = np.zeros(len(w), np.uint64)
-        for k in range(words):
+        for k in range(min(words, len(w))):
             whole[: len(w) - k] += w[k:] * _FOLD[k % 64]
         doc = np.repeat(np.arange(len(n)), n)
         full = np.arange(len(w)) + words <= np.repeat(upto[1:], n)

@@ -82,3 +82,22 @@ def rule_counts(text):
     again = {j for at in held.values() if len(at) > 1 for i in at for j in range(i, i + 5)}
     symbols = sum(c in "#*$%&|<>" for c in text)
     return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(again)
+
+
+def base_pii(text):
+    text = text or ""
+    out = []
+    for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+                          ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(x) > 255 for x in m[0].split(".")):
+                continue
+            if kind == "card":
+                twice = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+                if not 16 <= len(digits) <= 19 or sum(x // 10 + x % 10 for x in twice) % 10:
+                    continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
