@@ -113,11 +113,10 @@ def assign_chunks(df: DataFrame, stats: DataFrame, max_chunk_rows: int, largest_
     marked = marked.join(cells_b, PAIR + ["invoice_date"], "left")
     blocks = F.ceil(F.col("_cell_rows") / F.lit(max_chunk_rows))
     # monotone in invoice_id, so every sub-block is a contiguous id range
-    sub = F.floor(
-        (F.col("invoice_id") - F.col("_cell_lo")).cast("double")
-        / (F.col("_cell_hi") - F.col("_cell_lo") + 1).cast("double")
-        * blocks
-    ).cast("long")
+    # (null ids sort first and lie in the first one)
+    lo, hi = F.col("_cell_lo").cast("double"), F.col("_cell_hi").cast("double")
+    sub = F.floor((F.col("invoice_id").cast("double") - lo) / (hi - lo + 1) * blocks).cast("long")
+    sub = F.when(F.col("_cell_rows").isNotNull(), F.coalesce(sub, F.lit(0).cast("long")))
     hot_row = F.coalesce(F.col("_hot"), F.lit(False))
     out = marked.withColumns({
         "_hot": hot_row,

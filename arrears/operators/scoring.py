@@ -107,8 +107,9 @@ def finish_scores(scored: DataFrame, gmax, params: ScoreParams = ScoreParams())
     ok = F.col("is_scorable")
     cols = {c: F.when(ok, F.col(c)).otherwise(F.lit(-1.0)) for c, _ in params.global_weights}
     cols["global_score"] = F.when(ok, F.coalesce(F.col("global_score"), F.lit(-1.0))).otherwise(F.lit(-1.0))
-    bound_cols = [c for c in out.columns if c.startswith(("min_", "max_"))] + ["_g", "_g_max"]
-    return out.withColumns(cols).drop(*bound_cols)
+    # exactly the names of score_bounds; a caller's own min_ and max_ columns stay
+    bound_cols = [f"{side}_{c}" for side in ("min", "max") for c in (*NORMALISED_COLUMNS, "recency_days", "invoice_date")]
+    return out.withColumns(cols).drop(*bound_cols, "_g", "_g_max")
 
 
 def filter_scorable(df: DataFrame) -> DataFrame:

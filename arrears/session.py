@@ -47,14 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is (it is read, never changed: Spark rejects runtime changes to it). If it
     is unset, the application's ``setCheckpointDir`` folder is used; only when
-    neither exists (tests, local runs) one local folder per application is
-    made and registered with ``setCheckpointDir``.
+    neither exists and the master is local (tests) one local folder per
+    application is made; on a cluster that is an error and registered with ``setCheckpointDir``.
     """
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not current:
         current = _LOCAL_CHECKPOINTS.get(sc.applicationId)
         if current is None:
+            master = getattr(sc, "master", "local")
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors share")
             current = tempfile.mkdtemp(prefix="arrears-ckpt-")
             _LOCAL_CHECKPOINTS[sc.applicationId] = current
     if sc.getCheckpointDir() is None:

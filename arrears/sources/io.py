@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import bucket_label
 from ..schema import INVOICE_CSV_SCHEMA, TRAINING_SET_SCHEMA
@@ -17,12 +18,13 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def read_invoices_csv(spark: SparkSession, path: str, schema=INVOICE_CSV_SCHEMA) -> DataFrame:
     """CSV with a header (IO1). Dates stay text until ``parse_dates``.
 
-    A declared schema replaces the inference pass over the whole input; names
-    are matched case-insensitively after ``normalize_columns``.
+    Only the header is read first: columns are matched by lower-cased name in
+    any order, and columns that the schema does not know come along as text.
     """
-    return normalize_columns(
-        spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
-    )
+    kinds = {f.name.lower(): f.dataType for f in schema.fields}
+    header = spark.read.option("header", True).csv(path).columns
+    found = StructType([StructField(c, kinds.get(c.lower(), StringType())) for c in header])
+    return normalize_columns(spark.read.option("header", True).option("enforceSchema", False).schema(found).csv(path))
 
 
 def read_invoices_parquet(spark: SparkSession, path_or_table: str) -> DataFrame:
