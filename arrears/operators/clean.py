@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import in_year_range, not_true
 from ..params import DATE_COLUMNS, MIN_YEAR
+from ..schema import require_columns
+
+CLEANING_COLUMNS = ("invoice_id", "customer_id", "company_id", "invoice_date", "due_date", "create_date",
+                    "payment_date", "payment_amount", "payment_complete", "net_amount")
 
 
 def as_of_column(as_of=None) -> Column:
@@ -24,6 +28,11 @@ def as_of_column(as_of=None) -> Column:
     return F.lit(as_of).cast("date")
 
 
+def pin_as_of(spark: SparkSession, as_of=None):
+    """``as_of``, or the session's current date read once, so that all jobs of a plan share it."""
+    return as_of if as_of is not None else spark.range(1).select(F.current_date()).first()[0]
+
+
 def parse_dates(df: DataFrame, columns=DATE_COLUMNS, fmt: str | None = None, lenient: bool = False) -> DataFrame:
     """Date columns to ``date`` (F1). Text is parsed; timestamps drop their time of day.
 
@@ -97,7 +106,9 @@ def filter_invoice_before_due(df: DataFrame) -> DataFrame:
 
 
 def clean_invoices(df: DataFrame, as_of=None, drop_settlement_columns: bool = True) -> DataFrame:
-    """The whole cleaning chain (F8): F1, F2, F3, F4, F5, F6, F7."""
+    """The whole cleaning chain (F8): F1, F2, F3, F4, F5, F6, F7. The reference date is read once."""
+    require_columns(df, CLEANING_COLUMNS)
+    as_of = pin_as_of(df.sparkSession, as_of)
     out = (
         parse_dates(df)
         .transform(lambda d: filter_year_range(d, as_of))

@@ -12,10 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import LABEL
-
-
-# (actual, predicted) pairs are bounded by classes^2; beyond this stay distributed
-MAX_LOCAL_CELLS = 1_000_000
+from ..session import materialize
 
 
 def confusion_counts(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -23,14 +20,11 @@ def confusion_counts(df: DataFrame, label: str = LABEL, prediction: str = "predi
 
     The counts feed several branches (per-class, accuracy); the scored input
     is therefore aggregated a single time and the at most classes^2 cells are
-    kept as a small local table, so predictions are not recomputed per branch.
+    written, so predictions are not recomputed per branch.
     """
     counts = df.groupBy(F.col(label).cast("int").alias("actual"),
                         F.col(prediction).cast("int").alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(MAX_LOCAL_CELLS + 1).collect()
-    if len(rows) > MAX_LOCAL_CELLS:
-        return counts
-    return df.sparkSession.createDataFrame(rows, "actual int, predicted int, n long")
+    return materialize(counts, "confusion")
 
 
 def confusion_matrix(df: DataFrame, label: str = LABEL, prediction: str = "prediction", classes=range(5)) -> DataFrame:

@@ -12,10 +12,12 @@ invoice_id), ``y`` = payment delay, ``a`` = net amount):
 
 Skew: a window partition cannot be split by Spark, so a very large pair would
 land in one task. Pairs with more rows than ``max_chunk_rows`` are cut into
-contiguous *chunks* (one per invoice day, and id-range sub-blocks inside a day
-that is itself too large). Windows run per chunk; a small per-chunk summary
+contiguous *chunks* of at most twice that size: following invoice days are
+taken together, and a day that is itself too large is cut at every
+``max_chunk_rows``-th row of its sorted ids. (Rows that share day and id stay
+together; null ids sort first.) Windows run per chunk; a small per-chunk summary
 gives each chunk the exact carry of all earlier chunks (count, sums, centred
-sums of squares, max, last three values), which is merged into the local
+sums of squares, max, last four values), which is merged into the local
 running values with the parallel-variance formula. Pairs below the threshold
 form a single chunk and take exactly the plain window path.
 
@@ -34,13 +36,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import HistoryParams
-from ..session import default_partitions, fits, materialize
+from ..session import default_partitions, materialize
+from .profile import global_index
 
 PAIR = ["customer_id", "company_id"]
 CHUNK = PAIR + ["_cday", "_csub"]
 ORDER = ["invoice_date", "invoice_id"]
-# hot pairs / hot days are at most rows / max_chunk_rows; broadcast below this
-BROADCAST_MAX_KEYS = 2_000_000
+# block bounds of a large day are searched in two steps of this width
+BOUND_STEP = 64
 
 HISTORY_COLUMNS = (
     "previous_payment_delay",
@@ -90,43 +93,58 @@ def assign_chunks(df: DataFrame, stats: DataFrame, max_chunk_rows: int, largest_
     no_hot = df.withColumns({"_hot": F.lit(False), "_cday": F.lit(0), "_csub": F.lit(0).cast("long")})
     if largest_pair is not None and largest_pair <= max_chunk_rows:
         return no_hot.repartition(*PAIR), 0
-    hot = stats.filter(F.col("_pair_rows") > max_chunk_rows).select(*PAIR, F.lit(True).alias("_hot"))
+    hot = materialize(stats.filter(F.col("_pair_rows") > max_chunk_rows).select(*PAIR), "hot-pairs")
     n_hot = hot.count()
     if n_hot == 0:
         return no_hot.repartition(*PAIR), 0
-    hot_b = F.broadcast(hot) if n_hot <= BROADCAST_MAX_KEYS else hot
-    marked = df.join(hot_b, PAIR, "left")
-    # days of hot pairs that are themselves larger than a chunk
-    cells = (
-        marked.filter(F.col("_hot"))
-        .groupBy(*PAIR, "invoice_date")
-        .agg(
-            F.count(F.lit(1)).alias("_cell_rows"),
-            F.min("invoice_id").alias("_cell_lo"),
-            F.max("invoice_id").alias("_cell_hi"),
-        )
-        .filter(F.col("_cell_rows") > max_chunk_rows)
-    )
-    # at most rows / max_chunk_rows hot days: written once, checked, then broadcast
-    cells = materialize(cells, "hot-days")
-    cells_b = F.broadcast(cells) if fits(cells, BROADCAST_MAX_KEYS) else cells
-    marked = marked.join(cells_b, PAIR + ["invoice_date"], "left")
-    blocks = F.ceil(F.col("_cell_rows") / F.lit(max_chunk_rows))
-    # monotone in invoice_id, so every sub-block is a contiguous id range
-    # (null ids sort first and lie in the first one)
-    lo, hi = F.col("_cell_lo").cast("double"), F.col("_cell_hi").cast("double")
-    sub = F.floor((F.col("invoice_id").cast("double") - lo) / (hi - lo + 1) * blocks).cast("long")
-    sub = F.when(F.col("_cell_rows").isNotNull(), F.coalesce(sub, F.lit(0).cast("long")))
-    hot_row = F.coalesce(F.col("_hot"), F.lit(False))
-    out = marked.withColumns({
-        "_hot": hot_row,
-        "_cday": F.when(hot_row, F.unix_date("invoice_date")).otherwise(F.lit(0)),
-        "_csub": F.when(F.col("_cell_rows").isNotNull(), sub).otherwise(F.lit(0).cast("long")),
-    }).drop("_cell_rows", "_cell_lo", "_cell_hi")
+    # days of hot pairs, grouped to chunks by the rows before them; written, so
+    # that Spark picks the joins with them by their size
+    days = Window.partitionBy(*PAIR).orderBy("invoice_date")
+    before = F.coalesce(F.sum("_cell_rows").over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cells = df.join(hot, PAIR, "left_semi").groupBy(*PAIR, "invoice_date").agg(F.count(F.lit(1)).alias("_cell_rows"))
+    cells = materialize(cells.withColumn("_cday", F.floor(before / F.lit(max_chunk_rows)).cast("int")), "hot-days")
+    large = cells.filter(F.col("_cell_rows") > max_chunk_rows)
+    if large.isEmpty():
+        marked = df.join(cells.drop("_cell_rows"), PAIR + ["invoice_date"], "left").withColumn("_csub", F.lit(0).cast("long"))
+    else:
+        cells = materialize(
+            cells.drop("_cell_rows").join(_block_bounds(df, large, max_chunk_rows), PAIR + ["invoice_date"], "left"),
+            "hot-blocks")
+        marked = df.join(cells, PAIR + ["invoice_date"], "left").withColumn("_csub", _block("_bounds", "_steps"))
+        marked = marked.drop("_bounds", "_steps")
+    out = marked.withColumns({"_hot": F.col("_cday").isNotNull(), "_cday": F.coalesce("_cday", F.lit(0))})
     # explicit exchange on pair + chunk: a hot pair is spread over many tasks
     return out.repartition(*CHUNK), n_hot
 
 
+def _block_bounds(df: DataFrame, large: DataFrame, max_chunk_rows: int) -> DataFrame:
+    """(pair, day, ``_bounds``, ``_steps``): first ids of a large day's blocks after the first, in order.
+
+    The ids of large days are sorted by range and numbered; every
+    ``max_chunk_rows``-th one starts a block. ``_steps`` is every
+    ``BOUND_STEP``-th bound.
+    """
+    day = PAIR + ["invoice_date"]
+    rows = df.select(*day, "invoice_id").join(large.select(*day), day, "left_semi")
+    indexed = global_index(rows, PAIR + ORDER, "_pos")
+    starts = indexed.groupBy(*day).agg(F.min("_pos").alias("_start"))
+    within = F.col("_pos") - F.col("_start")
+    firsts = indexed.join(starts, day).where((within > 0) & (within % max_chunk_rows == 0))
+    bounds = firsts.groupBy(*day).agg(F.sort_array(F.collect_list("invoice_id")).alias("_bounds"))
+    return bounds.withColumn("_steps", F.filter(
+        "_bounds", lambda b, i: i % F.lit(BOUND_STEP) == F.lit(0)))
+
+
+def _block(bounds: str, steps: str) -> Column:
+    """Number of bounds at or below the row's id, by a search in two steps; 0 for null ids and small days."""
+    def upto(array):
+        return F.size(F.filter(array, lambda b: b <= F.col("invoice_id")))
+
+    start = F.greatest(upto(F.col(steps)) - 1, F.lit(0)) * F.lit(BOUND_STEP)
+    found = start + upto(F.slice(F.col(bounds), start + 1, F.lit(BOUND_STEP)))
+    return F.when(F.col(bounds).isNotNull(), found).otherwise(F.lit(0)).cast("long")
+
+
 def _local_windows(df: DataFrame, y: str, a: str) -> DataFrame:
     w = Window.partitionBy(*CHUNK).orderBy(*ORDER)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -158,7 +176,7 @@ def _local_windows(df: DataFrame, y: str, a: str) -> DataFrame:
 def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
     """Exclusive carries of earlier chunks, for chunks of hot pairs only."""
     last = F.col("_rn") == F.col("_cn")
-    keep = F.least(F.col("_cn"), F.lit(3)).cast("int")
+    keep = F.least(F.col("_cn"), F.lit(4)).cast("int")
     summary = local.filter(last & F.col("_hot")).select(
         *CHUNK,
         F.col("_cn").alias("n"),
@@ -169,8 +187,8 @@ def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
         F.col("_lna").alias("na"),
         F.coalesce(F.col("_lva") * F.col("_lna"), F.lit(0.0)).alias("m2a"),
         F.col("_csiy").alias("siy"),
-        F.reverse(F.slice(F.array(F.col(y), "_y1", "_y2"), 1, keep)).alias("lasty"),
-        F.reverse(F.slice(F.array(F.col(a), "_a1", "_a2"), 1, keep)).alias("lasta"),
+        F.reverse(F.slice(F.array(F.col(y), "_y1", "_y2", "_y3"), 1, keep)).alias("lasty"),
+        F.reverse(F.slice(F.array(F.col(a), "_a1", "_a2", "_a3"), 1, keep)).alias("lasta"),
     )
     ws = Window.partitionBy(*PAIR).orderBy("_cday", "_csub")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -185,11 +203,13 @@ def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
         "_pair_sy": F.sum("sy").over(allc),
         "_mu_a": F.try_divide(F.sum("sa").over(allc), F.sum("na").over(allc)),
         "_py": F.reverse(F.concat(
+            F.coalesce(F.lag("lasty", 4).over(ws), _empty("int")),
             F.coalesce(F.lag("lasty", 3).over(ws), _empty("int")),
             F.coalesce(F.lag("lasty", 2).over(ws), _empty("int")),
             F.coalesce(F.lag("lasty", 1).over(ws), _empty("int")),
         )),
         "_pa": F.reverse(F.concat(
+            F.coalesce(F.lag("lasta", 4).over(ws), _empty("double")),
             F.coalesce(F.lag("lasta", 3).over(ws), _empty("double")),
             F.coalesce(F.lag("lasta", 2).over(ws), _empty("double")),
             F.coalesce(F.lag("lasta", 1).over(ws), _empty("double")),
@@ -308,8 +328,6 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
     ``df`` must carry ``customer_id, company_id, invoice_date, invoice_id``
     and the delay column ``y`` (non-null after cleaning) and amount ``a``.
     """
-    if not params.include_current:
-        return _leak_free(df, params, y, a)
     spark = df.sparkSession
     partitions = params.num_partitions or default_partitions(spark)
     stats = materialize(pair_stats(df), "pair-stats")
@@ -335,20 +353,49 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
         carry = carry.withColumns({"_py": F.lit(None).cast("array<int>"), "_pa": F.lit(None).cast("array<double>")})
     joined = local.join(carry, CHUNK, "left")
     out = _features(joined, y, a)
+    if not params.include_current:
+        out = _leak_free(out)
     helpers = [c for c in out.columns if c not in df.columns and c not in HISTORY_COLUMNS]
     return out.drop(*helpers)
 
 
-def _leak_free(df: DataFrame, params: HistoryParams, y: str, a: str) -> DataFrame:
-    """History from earlier invoices only: each row takes the as-of state of the
-    previous paid invoice of its pair (see ``open_invoices.as_of_features``).
+def _leak_free(rows: DataFrame) -> DataFrame:
+    """History from earlier invoices only: each row takes the values of the row before it in its pair.
 
-    The inclusive history is written once; the as-of pass is one more ordered
-    window over (pair, chunk), so a hot pair stays split.
+    Inside a chunk that is a lag over the order the rows already have; the
+    first row of a chunk takes the values from the carry of the earlier
+    chunks. Rows without an earlier invoice get zeros.
+    ``overall_payment_delay_trend`` is the slope over the earlier rows.
     """
-    from dataclasses import replace
-
-    from .open_invoices import as_of_features
-
-    inclusive = materialize(history_features(df, replace(params, include_current=True), y, a), "inclusive")
-    return as_of_features(inclusive, df, params, keep_delay=True)
+    pn, pna = F.col("_pn"), F.col("_pna")
+    y = [F.get("_py", F.lit(k)) for k in range(4)]
+    a = [F.get("_pa", F.lit(k)) for k in range(4)]
+    total = F.when(pna > 0, F.col("_psa"))
+    three, four = pn >= 3, pn >= 4
+
+    def std(n, m2):
+        return F.when(n > 1, F.sqrt(F.try_divide(m2, n - 1))).otherwise(F.lit(0.0))
+
+    carried = {
+        "average_payment_delay": F.try_divide(F.col("_psy"), pn),
+        "total_amount_of_previous_invoices": total,
+        "average_invoice_amount": F.when(pn > 1, F.try_divide(total, pn - 1)),
+        "payment_deviation": std(pn, F.col("_pm2y")),
+        "payment_delay_variance": std(pn, F.col("_pm2y")),
+        "invoice_deviation": std(pna, F.col("_pm2a")),
+        "has_delayed_payment_last_3": (three & (F.greatest(*y[:3]) > 0)).cast("int"),
+        "has_early_payment_last_3": (three & (F.greatest(*y[:3]) < 0)).cast("int"),
+        "payment_delay_trend": F.when(four, (y[0] - y[3]) / F.lit(3.0)),
+        "invoice_amount_trend": F.when(
+            four & a[1].isNotNull() & a[2].isNotNull(), (a[0] - a[3]) / F.lit(3.0)),
+        "maximum_payment_delay": F.col("_pmaxy"),
+        "overall_payment_delay_trend": _slope(pn.cast("double"), F.col("_psy").cast("double"), F.col("_psiy")),
+        "payment_delay_trend_acceleration": F.when(three, y[0] - 2 * y[1] + y[2]),
+        "frequency_of_transactions": F.when(pn > 0, F.col("frequency_of_transactions")),
+    }
+    w = Window.partitionBy(*CHUNK).orderBy(*ORDER)
+    source = {"overall_payment_delay_trend": "running_payment_delay_trend"}
+    return rows.withColumns({
+        c: F.coalesce(F.when(F.col("_rn") > 1, F.lag(source.get(c, c)).over(w)).otherwise(v), F.lit(0))
+        for c, v in carried.items()
+    }).drop("running_payment_delay_trend")

@@ -2,41 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import bucket_label, payment_bucket
 from ..params import LABEL, REGION_COLUMNS
-from ..session import fits, materialize
-
-# a dictionary above this many categories is joined with a shuffle instead
-MAX_BROADCAST_CATEGORIES = 1_000_000
-
+from ..session import materialize
+from .profile import global_index
 
 def region_dictionary(df: DataFrame, columns=REGION_COLUMNS) -> DataFrame:
     """(column_name, value, code) for several columns in one pass.
 
-    The columns are stacked and de-duplicated together; the rank runs per
-    column over its distinct values only.
+    The columns are stacked and de-duplicated together; the distinct values
+    are numbered by a range-partitioned sort and the codes count from each
+    column's first position.
     """
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
     ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull()).distinct()
-    rank = F.dense_rank().over(Window.partitionBy("column_name").orderBy("value")) - 1
-    return stacked.withColumn("code", rank.cast("int"))
+    indexed = global_index(stacked, ["column_name", "value"], "_pos")
+    starts = indexed.groupBy("column_name").agg(F.min("_pos").alias("_start"))  # one row per column
+    return indexed.join(starts, "column_name").select(
+        "column_name", "value", (F.col("_pos") - F.col("_start")).cast("int").alias("code"))
 
 
 def region_codes(df: DataFrame, columns=REGION_COLUMNS, dictionary: DataFrame | None = None) -> DataFrame:
     """Replace each region column by its category code; NULL or unseen -> -1 (C11).
 
     One dictionary pass for all columns (or a dictionary fitted earlier, e.g.
-    on training data when scoring new invoices); it is broadcast after a
-    row-count check (one row per category), and joined with a shuffle beyond.
+    on training data when scoring new invoices). It is written once, so Spark
+    picks the join by its size in bytes.
     """
-    # one row per category; written once so the size check and the joins read it, not recompute it
     codes = dictionary if dictionary is not None else materialize(region_dictionary(df, columns), "region-codes")
-    if fits(codes, MAX_BROADCAST_CATEGORIES * len(columns)):
-        codes = F.broadcast(codes)
     out = df
     for c in columns:
         d = codes.where(F.col("column_name") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))

@@ -1,4 +1,4 @@
-"""Open invoices (F14) and leak-free history: features from the paid invoices strictly before a row.
+"""Open invoices (F14): features from the paid invoices strictly before a row.
 
 The training features include each paid invoice's own delay (parity with the
 original). An open invoice has no delay yet, so its history features are the
@@ -14,7 +14,7 @@ and zeros when the pair has no earlier paid invoice. Season features and
 
 The as-of lookup is one ordered window over paid and open rows together
 (``last(state, ignorenulls)`` over the preceding rows). Hot pairs use the same
-day / id-range chunks as the history; each chunk's carry is the last paid
+chunks as the history; each chunk's carry is the last paid
 state of earlier chunks, found on a table of one row per chunk.
 """
 
@@ -92,18 +92,15 @@ def _as_of_state(paid: DataFrame, open_rows: DataFrame, params: HistoryParams) -
     return opened.select(*PAIR, *ORDER, "_orow.*", F.col("_last").alias("_s"))
 
 
-def as_of_features(paid_features: DataFrame, rows: DataFrame, params: HistoryParams = HistoryParams(),
-                   keep_delay: bool = False) -> DataFrame:
-    """``rows`` plus the history columns taken from the paid invoices strictly before each row.
-
-    ``keep_delay`` keeps the rows' own ``payment_delay`` (leak-free training
-    rows); otherwise it is NULL (open invoices).
-    """
-    st = _as_of_state(paid_features, rows.drop(*[c for c in STATE_COLUMNS if c != "payment_delay"]), params)
+def as_of_features(paid_features: DataFrame, rows: DataFrame, params: HistoryParams = HistoryParams()) -> DataFrame:
+    """``rows`` plus the history columns taken from the paid invoices strictly before each row."""
+    # only pairs with a row to look up take part: their keys are written, so that Spark knows the size
+    wanted = materialize(rows.select(*PAIR).distinct(), "asof-pairs")
+    st = _as_of_state(paid_features.join(wanted, PAIR, "left_semi"), rows.drop(*[c for c in STATE_COLUMNS if c != "payment_delay"]), params)
     s = lambda c: F.col(f"_s.{c}")
     zero = {c: F.coalesce(s(c), F.lit(0)) for c in STATE_COLUMNS}
     return st.withColumns({
-        "payment_delay": F.col("payment_delay") if keep_delay else F.lit(None).cast("int"),
+        "payment_delay": F.lit(None).cast("int"),
         "previous_payment_delay": F.coalesce(s("payment_delay"), F.lit(0)),
         "number_of_previous_invoices": F.coalesce(s("number_of_previous_invoices") + 1, F.lit(0)),
         "overall_payment_delay_trend": F.coalesce(s("running_payment_delay_trend"), F.lit(0.0)),

@@ -1,9 +1,9 @@
 """Profiling: A1-A6, A12, O1-O3.
 
-Exact order statistics (``describe`` quartiles, global renumbering) use a
-range-partitioned sort plus per-partition row offsets (the DataFrame form of
-``zipWithIndex``): one sort shuffle, a table of one row per partition, and no
-single-task collection of values.
+The global renumbering uses a range-partitioned sort plus per-partition row
+offsets (the DataFrame form of ``zipWithIndex``): one sort shuffle, a table of
+one row per partition, and no single-task collection of values. The quartiles
+of ``describe`` sort value counts the same way.
 """
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# partitions of a sort are few; the offset table has one row per partition
-MAX_PARTITIONS = 1_000_000
-
-
 def null_counts(df: DataFrame, columns=None) -> DataFrame:
     """(column_name, null_count) per column (A1); one pass, then a 1-row unpivot."""
     columns = list(columns or df.columns)
@@ -76,7 +72,8 @@ def global_index(df: DataFrame, order, name: str = "position") -> DataFrame:
         "_off",
         F.coalesce(F.sum("_pc").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select("_pid", "_off")
-    return ordered.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + F.col("_li")).drop(
+    # written, so that Spark knows its size and broadcasts it by that
+    return ordered.join(materialize(offsets, "offsets"), "_pid").withColumn(name, F.col("_off") + F.col("_li")).drop(
         "_pid", "_mid", "_li", "_off"
     )
 
@@ -89,25 +86,43 @@ def sorted_invoices(df: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """(column_name, p, value): linear-interpolated quantiles, nulls ignored.
 
-    All columns are stacked to (column_name, value) and sorted once; the
-    needed ranks are picked by a join with a table of columns x probs.
+    Values are counted first (combined on the map side), so a value that fills
+    a third of a column is one row. Only the distinct values are sorted, by
+    range; the cumulated counts of the sort partitions tell which partitions
+    hold the wanted ranks, and only those are numbered inside.
     """
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns
     ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
-    indexed = global_index(stacked, ["column_name", "value"], "_pos")
-    stats = indexed.groupBy("column_name").agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    counted = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c"))
+    ordered = materialize(counted.orderBy("column_name", "value").withColumn("_pid", F.spark_partition_id()),
+                          "value-counts")
+    # one row per column and sort partition
+    parts = ordered.groupBy("column_name", "_pid").agg(F.sum("_c").alias("_pc"))
+    by_part = Window.partitionBy("column_name").orderBy("_pid")
+    parts = parts.withColumns({
+        "_end": F.sum("_pc").over(by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_n": F.sum("_pc").over(by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    })
     h = (F.col("_n") - 1) * F.col("p")
-    wanted = stats.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs]))).select(
-        "column_name", "p", (F.col("_start") + F.floor(h)).alias("_lo"),
-        (F.col("_start") + F.ceil(h)).alias("_hi"), (h - F.floor(h)).alias("_frac"),
-    )
-    picks = indexed.join(F.broadcast(wanted), "column_name").where(
-        (F.col("_pos") == F.col("_lo")) | (F.col("_pos") == F.col("_hi"))
-    )
+    wanted = parts.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs]))).select(
+        "column_name", "_pid", "p", (F.col("_end") - F.col("_pc")).alias("_before"), "_end",
+        (h - F.floor(h)).alias("_frac"), F.explode(F.array(
+            F.struct(F.lit(False).alias("_upper"), F.floor(h).alias("_rank")),
+            F.struct(F.lit(True).alias("_upper"), F.ceil(h).alias("_rank")))).alias("_r"),
+    ).select("*", "_r.*").drop("_r").where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_end")))
+    # two rows per column and probability; written, so that the joins know its size
+    wanted = materialize(wanted.drop("_end"), "wanted-ranks")
+    inside = Window.partitionBy("column_name", "_pid").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    numbered = ordered.join(wanted.select("column_name", "_pid").distinct(), ["column_name", "_pid"], "left_semi"
+                            ).withColumn("_upto", F.sum("_c").over(inside))
+    rank = F.col("_rank") - F.col("_before")
+    picks = numbered.join(wanted, ["column_name", "_pid"]).where(
+        (rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")))
     agg = picks.groupBy("column_name", "p", "_frac").agg(
-        F.max(F.when(F.col("_pos") == F.col("_lo"), F.col("value"))).alias("_vlo"),
-        F.max(F.when(F.col("_pos") == F.col("_hi"), F.col("value"))).alias("_vhi"),
+        F.max(F.when(~F.col("_upper"), F.col("value"))).alias("_vlo"),
+        F.max(F.when(F.col("_upper"), F.col("value"))).alias("_vhi"),
     )
     return agg.select("column_name", "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"))
 
@@ -115,13 +130,12 @@ def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75)) -> DataFram
 def describe_numeric(df: DataFrame, columns) -> DataFrame:
     """count, mean, std, min, 25/50/75 % (exact, linear), max per column (A3)."""
     columns = list(columns)
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns
-    ])).alias("kv")).select("kv.*")
-    moments = stacked.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
+    wide = df.agg(*[
+        F.struct(F.lit(c).alias("column_name"), F.count(v).alias("count"), F.avg(v).alias("mean"),
+                 F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")).alias(f"_{i}")
+        for i, c in enumerate(columns) for v in [F.col(c).cast("double")]
+    ])
+    moments = wide.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
     q = exact_quantiles(df, columns).groupBy("column_name").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
     q = q.toDF("column_name", "p25", "p50", "p75")
     return moments.join(q, "column_name", "left").select(
@@ -129,47 +143,21 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
     )
 
 
-def _correlation_pairwise(df: DataFrame, pairs) -> DataFrame:
-    """(k, corr) with nulls dropped per pair: one (pair, x, y) entry per row and pair, grouped by pair."""
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("k"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return df.select(F.explode(entries).alias("e")).select("e.*").groupBy("k").agg(F.corr("x", "y").alias("corr"))
-
-
 def correlation_long(df: DataFrame, columns) -> DataFrame:
     """Pearson correlation of every column pair (a < b by position), nulls dropped per pair.
 
-    Without nulls in the columns (one counting pass checks), Spark ML's
-    ``Correlation`` builds the whole matrix in one distributed tree
-    aggregate; only the d x d matrix reaches the driver. With nulls, each pair
-    is aggregated over its own non-null rows (exact pairwise deletion).
+    One aggregate over all pairs, combined on the map side: a pass over the
+    rows, with one row of running moments per task as the only shuffle. A pair
+    without spread in a column gives NULL.
     """
-    from pyspark.ml.stat import Correlation
-
-    from ..operators.ml import assembler
-
-    columns = list(columns)
     pairs = list(combinations(columns, 2))
-    spark = df.sparkSession
-    names = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                                  "k int, column_a string, column_b string")
-    any_null = df.agg(F.max(F.greatest(*[F.col(c).isNull().cast("int") for c in columns]))).first()[0]
-    if any_null:
-        per_pair = _correlation_pairwise(df, pairs)
-    else:
-        vec = assembler(columns).transform(
-            df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-        m = Correlation.corr(vec, "features", "pearson").first()[0].toArray()
-        index = {c: i for i, c in enumerate(columns)}
-        rows = []
-        for k, (a, b) in enumerate(pairs):
-            v = float(m[index[a], index[b]])
-            rows.append((k, None if v != v else v))
-        per_pair = spark.createDataFrame(rows, "k int, corr double")
-    # one row per column pair: bounded by the number of columns squared
-    return per_pair.join(F.broadcast(names), "k").select("column_a", "column_b", "corr")
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    wide = doubles.agg(*[
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.corr(a, b).alias("corr")).alias(f"_{i}")
+        for i, (a, b) in enumerate(pairs)
+    ])
+    out = wide.select(F.inline(F.array(*[f"_{i}" for i in range(len(pairs))])))
+    return out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
 
 
 def head_invoices(df: DataFrame, n: int = 10, order: str = "invoice_id") -> DataFrame:

@@ -6,17 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import LABEL, NON_FEATURE_COLUMNS, PRODUCTION_TRAIN_FROM_YEAR, SplitParams
+from ..session import materialize
 
-N_CLASSES_MAX = 1000  # the label is a bucket code; its table is tiny by construction
+
+def _invoice_year(df: DataFrame):
+    """The stored partition column where the training set still has it (files of other years are
+    then skipped), else the year of the invoice date."""
+    return F.col("invoice_year") if "invoice_year" in df.columns else F.year("invoice_date")
 
 
 def split_train(df: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:
-    y = F.year("invoice_date")
+    y = _invoice_year(df)
     return df.filter((y >= params.train_from) & (y < params.train_until))
 
 
 def split_test(df: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:
-    return df.filter(F.year("invoice_date") >= params.test_from)
+    return df.filter(_invoice_year(df) >= params.test_from)
 
 
 def split_open_invoices(df: DataFrame) -> DataFrame:
@@ -26,12 +31,12 @@ def split_open_invoices(df: DataFrame) -> DataFrame:
 
 def split_production_train(df: DataFrame, from_year: int = PRODUCTION_TRAIN_FROM_YEAR) -> DataFrame:
     """Production training rows: invoiced from ``from_year`` and paid."""
-    return df.filter((F.year("invoice_date") >= from_year) & F.col("payment_date").isNotNull())
+    return df.filter((_invoice_year(df) >= from_year) & F.col("payment_date").isNotNull())
 
 
 def training_projection(df: DataFrame, drop=NON_FEATURE_COLUMNS) -> DataFrame:
-    """Drop the date columns and the raw delay (F10); the label is kept."""
-    return df.drop(*drop).withColumn(LABEL, F.col(LABEL).cast("int"))
+    """Drop the date columns, the raw delay and the stored year (F10); the label is kept."""
+    return df.drop(*drop, "invoice_year").withColumn(LABEL, F.col(LABEL).cast("int"))
 
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
@@ -42,6 +47,9 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def add_class_weight(df: DataFrame, weights: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
-    """Join the per-class weight onto every row (J2); classes unseen in training get 1.0."""
-    w = weights.select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label, "left").withColumn(out, F.coalesce(F.col(out), F.lit(1.0)))
+    """Join the per-class weight onto every row (J2); classes unseen in training get 1.0.
+
+    The weights (one row per class) are written first, so Spark picks the join by their size.
+    """
+    w = materialize(weights.select(label, F.col("weight").alias(out)), "class-weights")
+    return df.join(w, label, "left").withColumn(out, F.coalesce(F.col(out), F.lit(1.0)))

@@ -47,8 +47,10 @@ def train(training_set: DataFrame, estimator=None, split: SplitParams = SplitPar
     train_df = materialize(train_df, "train-split")
     cols = ml.feature_columns(train_df, include_ids)
     model = ml.fit(train_df, estimator or ml.random_forest(), cols)
-    counts = confusion_counts(model.transform(test_df))
-    out = ml.predict(model, test_df).drop(LABEL)
+    # the model scores the test rows once; counts and predictions read the written scores
+    scored = materialize(ml.predict(model, test_df), "scored")
+    counts = confusion_counts(scored, prediction="predicted_bucket")
+    out = scored.drop(LABEL)
     return TrainResult(
         model=model, columns=cols, weights=weights, predictions=out,
         metrics=metrics_from_counts(counts), confusion=matrix_from_counts(counts),

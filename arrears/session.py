@@ -1,4 +1,4 @@
-"""Session helpers: building a session, lineage cuts and size-checked broadcasts."""
+"""Session helpers: building a session, run folders and lineage cuts."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -48,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is (it is read, never changed: Spark rejects runtime changes to it). If it
     is unset, the application's ``setCheckpointDir`` folder is used; only when
     neither exists and the master is local (tests) one local folder per
-    application is made; on a cluster that is an error and registered with ``setCheckpointDir``.
+    application is made; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
@@ -73,19 +72,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     columns it needs.
     """
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(run_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder below the checkpoint folder; all intermediate copies lie in it."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"run-{spark.sparkContext.applicationId}")
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise let Spark pick a shuffle join."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def clear_run_folder(spark: SparkSession) -> bool:
+    """Delete this application's intermediate copies, at the end of a job; True when there were any.
+
+    DataFrames that still read them cannot be used afterwards.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def default_partitions(spark: SparkSession) -> int:

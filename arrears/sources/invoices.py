@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from ..schema import INVOICE_SCHEMA
 
-# Nation and region are TPC-H dimension tables of fixed size (25 and 5 rows).
-DIMENSION_MAX_ROWS = 10_000
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -72,11 +69,9 @@ def invoices_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    from ..session import sized_broadcast
-
-    geo = n.join(sized_broadcast(r, DIMENSION_MAX_ROWS), n.n_regionkey == r.r_regionkey)
-    # customer grows with the data: no hint, Spark's size estimate decides
-    cust = c.join(sized_broadcast(geo, DIMENSION_MAX_ROWS), c.c_nationkey == geo.n_nationkey).select(
+    # no hints: the stored sizes of the tables decide the joins
+    geo = n.join(r, n.n_regionkey == r.r_regionkey)
+    cust = c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_mktsegment", "n_name", "r_name"
     )
     inv = invoice_columns(o).join(cust, F.col("customer_id") == cust.c_custkey)
@@ -100,3 +95,20 @@ def with_hot_pair(invoices: DataFrame, every: int = 3, customer_id: int = 0, com
         "customer_id": F.when(hot, F.lit(customer_id).cast("long")).otherwise(F.col("customer_id")),
         "company_id": F.when(hot, F.lit(company_id).cast("long")).otherwise(F.col("company_id")),
     })
+
+
+def with_hot_day(invoices: DataFrame, every: int = 3, customer_id: int = 0, company_id: int = 0) -> DataFrame:
+    """Skew check input: like ``with_hot_pair``, and all of the pair's invoices on one day with uneven ids.
+
+    The day is 1 June 2021, payment and due date move along by the same number
+    of days. Ids are squared, so a day's ids lie far from evenly spread.
+    """
+    hot = F.col("invoice_id") % every == 0
+    day = F.lit("2021-06-01").cast("date")
+    shift = F.date_diff(day, "invoice_date")
+    moved = with_hot_pair(invoices, every, customer_id, company_id).withColumns({
+        c: F.when(hot, F.date_add(c, shift)).otherwise(F.col(c)) for c in ("due_date", "payment_date", "create_date")})
+    return moved.withColumns({
+        "invoice_date": F.when(hot, day).otherwise(F.col("invoice_date")),
+        "invoice_id": F.col("invoice_id") * F.col("invoice_id"),
+    })

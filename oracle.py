@@ -253,6 +253,20 @@ inv_hot AS (
     CAST(CASE WHEN invoice_id % 3 = 0 THEN 0 ELSE company_id END AS BIGINT) AS company_id)
   FROM inv
 )"""
+# as above, and all of that pair's invoices on one day, with squared ids
+_MOVE = "CAST(DATE '2021-06-01' - invoice_date AS INTEGER)"
+HOT_DAY_INVOICES = HOT_INVOICES.replace("inv_hot AS", "inv_hot_pair AS") + f""",
+inv_hot_day AS (
+  SELECT h.* REPLACE (
+    CASE WHEN i.invoice_id % 3 = 0 THEN DATE '2021-06-01' ELSE h.invoice_date END AS invoice_date,
+    CASE WHEN i.invoice_id % 3 = 0 THEN h.due_date + i.move ELSE h.due_date END AS due_date,
+    CASE WHEN i.invoice_id % 3 = 0 THEN h.payment_date + i.move ELSE h.payment_date END AS payment_date,
+    CASE WHEN i.invoice_id % 3 = 0 THEN h.create_date + i.move ELSE h.create_date END AS create_date,
+    h.invoice_id * h.invoice_id AS invoice_id)
+  FROM inv_hot_pair h JOIN (SELECT invoice_id, {_MOVE} AS move FROM inv) i ON h.invoice_id = i.invoice_id
+)"""
+HOT_DAY_CHAIN = "WITH " + ",".join(
+    [INVOICES, HOT_DAY_INVOICES, CLEAN.replace("FROM inv\n", "FROM inv_hot_day\n"), FEATURES])
 HOT_CHAIN = "WITH " + ",".join([INVOICES, HOT_INVOICES, CLEAN.replace("FROM inv\n", "FROM inv_hot\n"), FEATURES])
 
 
@@ -260,5 +274,9 @@ def with_chain(select: str) -> str:
     return f"{CHAIN}\n{select}"
 
 
+def with_hot_day_chain(select: str) -> str:
+    return f"{HOT_DAY_CHAIN}\n{select}"
+
+
 def with_hot_chain(select: str) -> str:
     return f"{HOT_CHAIN}\n{select}"
