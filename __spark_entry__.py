@@ -18,7 +18,7 @@ from itertools import combinations
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.ml.functions import vector_to_array  # noqa: E402
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle as O  # noqa: E402
@@ -44,6 +44,7 @@ from arrears.operators.profile import (  # noqa: E402
 )
 from arrears.operators.scoring import add_recency, bounds_row, filter_scorable, score_bounds, with_bounds  # noqa: E402
 from arrears.operators.split import (  # noqa: E402
+    add_class_weight,
     class_weights,
     split_open_invoices,
     split_production_train,
@@ -63,8 +64,8 @@ from arrears.plans.preprocess import features_table, scored_table  # noqa: E402
 from arrears.plans.serve import fit_scoring_context, score_open_invoices  # noqa: E402
 from arrears.plans.train import prepare_splits, train  # noqa: E402
 from arrears.schema import INVOICE_SCHEMA, TRAINING_SET_SCHEMA  # noqa: E402
-from arrears.session import ensure_checkpoint_dir, materialize  # noqa: E402
-from arrears.sources.invoices import invoices_table, with_hot_pair  # noqa: E402
+from arrears.session import ensure_checkpoint_dir  # noqa: E402
+from arrears.sources.invoices import invoices_table, with_hot_day, with_hot_pair  # noqa: E402
 from arrears.sources.io import (  # noqa: E402
     normalize_columns,
     read_invoices_csv,
@@ -162,7 +163,9 @@ def training_set(spark, sf):
     def build():
         kept = filter_scorable(scored(spark, sf))
         ts = kept.transform(region_codes).transform(add_payment_bucket).select(*TRAINING_SET_COLUMNS)
-        return materialize(ts, "training-set")
+        path = _scratch(spark, "training-set")
+        write_training_set(ts, path)
+        return read_training_set(spark, path)
 
     return _memo(spark, sf, "training_set", build)
 
@@ -406,7 +409,7 @@ def q_bucket_label(spark, sf):
 
 # --- split, projection, weights (F10, F13, F14, A8) --------------------------------
 PROJ_SPEC = [(n, k) for n, k in TRAINING_SPEC if n not in NON_FEATURE_COLUMNS]
-PROJ_SQL = "SELECT * EXCLUDE (due_date, invoice_date, create_date, payment_date, payment_delay) FROM ts"
+PROJ_SQL = f"SELECT * EXCLUDE ({', '.join(NON_FEATURE_COLUMNS)}) FROM ts"
 
 
 @register("training_projection", PROJ_SPEC, PROJ_SQL)
@@ -415,15 +418,13 @@ def q_training_projection(spark, sf):
 
 
 @register("split_train", PROJ_SPEC,
-          "SELECT * EXCLUDE (due_date, invoice_date, create_date, payment_date, payment_delay) FROM ts "
-          "WHERE year(invoice_date) >= 2019 AND year(invoice_date) < 2023")
+          PROJ_SQL + " WHERE year(invoice_date) >= 2019 AND year(invoice_date) < 2023")
 def q_split_train(spark, sf):
     return training_projection(split_train(training_set(spark, sf)))
 
 
 @register("split_test", PROJ_SPEC,
-          "SELECT * EXCLUDE (due_date, invoice_date, create_date, payment_date, payment_delay) FROM ts "
-          "WHERE year(invoice_date) >= 2023")
+          PROJ_SQL + " WHERE year(invoice_date) >= 2023")
 def q_split_test(spark, sf):
     return training_projection(split_test(training_set(spark, sf)))
 
@@ -435,8 +436,7 @@ def q_split_open_invoices(spark, sf):
 
 
 @register("split_production_train", PROJ_SPEC,
-          "SELECT * EXCLUDE (due_date, invoice_date, create_date, payment_date, payment_delay) FROM ts "
-          "WHERE year(invoice_date) >= 2020 AND payment_date IS NOT NULL")
+          PROJ_SQL + " WHERE year(invoice_date) >= 2020 AND payment_date IS NOT NULL")
 def q_split_production_train(spark, sf):
     return training_projection(split_production_train(training_set(spark, sf)))
 
@@ -448,6 +448,14 @@ def q_class_weights(spark, sf):
     return class_weights(split_train(training_set(spark, sf)))
 
 
+@register("weighted_rows", [("invoice_id", I), ("payment_bucket", I), ("weight", D)],
+          "SELECT invoice_id, payment_bucket, (count(*) OVER ())::DOUBLE / count(*) OVER (PARTITION BY payment_bucket)"
+          " AS weight FROM ts WHERE year(invoice_date) BETWEEN 2019 AND 2022")
+def q_weighted_rows(spark, sf):
+    rows = split_train(training_set(spark, sf))
+    return add_class_weight(rows, class_weights(rows))
+
+
 # --- profiling (A1-A6, A12, O1, O3) ---------------------------------------------------
 YEAR_ROWS = f"(SELECT * FROM inv WHERE {O.YEAR_OK})"
 PAID_ROWS = f"(SELECT * FROM inv WHERE {O.YEAR_OK} AND {O.PAID_OK})"
@@ -589,9 +597,15 @@ def q_per_class_metrics(spark, sf):
     return per_class_metrics(_standin(spark, sf))
 
 
-# --- Spark ML (M1-M7, M10, M11, IO5-IO7, X2, X3): rows-only checks ------------------
-# Model sizes are parameters; the registered runs use small forests and few rounds.
-QUERY_TREES, QUERY_DEPTH = 20, 8
+# --- Spark ML (M1-M7, M10, M11, IO5-IO7, X2, X3) ------------------
+# The fitted trees are Spark's own and have no SQL form: each query returns what must hold of its
+# rows (every row there, buckets in range, probabilities, reloaded model equal), which SQL can state.
+WEIGHTED_GBT_ROUNDS = 7
+TEST_ROWS = "FROM ts WHERE year(invoice_date) >= 2023"
+
+
+def _valid():
+    return F.col("predicted_bucket").between(0, 4)
 
 
 def _splits(spark, sf):
@@ -609,112 +623,161 @@ def _fitted(spark, sf, name, estimator_fn):
 
 def _rf(spark, sf):
     """The training step's default model: class-weighted random forest."""
-    return _fitted(spark, sf, "rf", lambda: ml.random_forest(QUERY_TREES, QUERY_DEPTH))
+    return _fitted(spark, sf, "rf", lambda: ml.random_forest())
 
 
-PRED_SPEC = [("invoice_id", I), ("payment_bucket", I), ("predicted_bucket", I)]
+PRED_SPEC = [("invoice_id", I), ("payment_bucket", I), ("valid_bucket", B)]
+PRED_SQL = f"SELECT invoice_id, payment_bucket, true AS valid_bucket {TEST_ROWS}"
+ID_SPEC = [("invoice_id", I), ("valid_bucket", B)]
+ID_SQL = f"SELECT invoice_id, true AS valid_bucket {TEST_ROWS}"
 
 
 def _predictions(spark, sf, model):
     _, test_df, _ = _splits(spark, sf)
-    return ml.predict(model, test_df)
+    return ml.predict(model, test_df).withColumn("valid_bucket", _valid())
 
 
-@register("feature_vector", [("invoice_id", I), ("n_features", I), ("payment_bucket", I)], None)
+@register("feature_vector", [("invoice_id", I), ("n_features", I), ("payment_bucket", I)],
+          f"SELECT invoice_id, {len([n for n, _ in PROJ_SPEC if n != 'payment_bucket'])} AS n_features, payment_bucket "
+          "FROM ts WHERE year(invoice_date) BETWEEN 2019 AND 2022")
 def q_feature_vector(spark, sf):
     train_df, _, _ = _splits(spark, sf)
     v = ml.feature_vector(train_df, ml.feature_columns(train_df))
     return v.withColumn("n_features", F.size(vector_to_array("features")))
 
 
-@register("rf_predictions", PRED_SPEC, None)
+@register("rf_predictions", PRED_SPEC, PRED_SQL)
 def q_rf_predictions(spark, sf):
     """M2: library defaults, no class weights."""
-    model, _ = _fitted(spark, sf, "rf-default", lambda: ml.random_forest(QUERY_TREES, QUERY_DEPTH, weighted=False))
+    model, _ = _fitted(spark, sf, "rf-default", lambda: ml.random_forest(weighted=False))
     return _predictions(spark, sf, model)
 
 
-@register("gbt_predictions", PRED_SPEC, None)
+@register("gbt_predictions", PRED_SPEC, PRED_SQL)
 def q_gbt_predictions(spark, sf):
-    model, _ = _fitted(spark, sf, "gbt", lambda: ml.boosted_trees(max_iter=10, max_depth=4, weighted=False))
+    model, _ = _fitted(spark, sf, "gbt", lambda: ml.boosted_trees())
     return _predictions(spark, sf, model)
 
 
-@register("lr_predictions", PRED_SPEC, None)
+@register("lr_predictions", PRED_SPEC, PRED_SQL)
 def q_lr_predictions(spark, sf):
-    model, _ = _fitted(spark, sf, "lr", lambda: ml.logistic_regression(max_iter=50, weighted=False))
+    model, _ = _fitted(spark, sf, "lr", lambda: ml.logistic_regression(weighted=False))
     return _predictions(spark, sf, model)
 
 
-@register("weighted_gbt_predictions", PRED_SPEC, None)
+@register("weighted_gbt_predictions", PRED_SPEC, PRED_SQL)
 def q_weighted_gbt_predictions(spark, sf):
-    model, _ = _fitted(spark, sf, "wgbt", lambda: ml.tuned_boosting(scale_rounds=0.005))
+    """Class-weighted boosting of this query's own size, ``WEIGHTED_GBT_ROUNDS``; not the tuned preset,
+    whose 1580 rounds ``ml.tuned_boosting()`` runs by default."""
+    model, _ = _fitted(spark, sf, "wgbt", lambda: ml.tuned_boosting(rounds=WEIGHTED_GBT_ROUNDS))
     return _predictions(spark, sf, model)
 
 
-@register("class_probabilities", [("invoice_id", I)] + [(f"p_{k}", D) for k in range(5)]
-          + [("predicted_bucket", I)], None)
+PROB_SPEC = [("invoice_id", I), ("sums_to_one", B), ("predicted_is_likeliest", B)]
+PROB_SQL = f"SELECT invoice_id, true AS sums_to_one, true AS predicted_is_likeliest {TEST_ROWS}"
+
+
+def _probability_checks(df):
+    ps = [F.col(f"p_{k}") for k in range(5)]
+    # sums in another order may differ in the last bits
+    top = F.greatest(*ps) - F.lit(1e-12)
+    return df.select("invoice_id", (F.abs(sum(ps) - 1) < 1e-9).alias("sums_to_one"),
+                     (F.get(F.array(*ps), F.col("predicted_bucket")) >= top).alias("predicted_is_likeliest"))
+
+
+@register("class_probabilities", PROB_SPEC, PROB_SQL)
 def q_class_probabilities(spark, sf):
     _, test_df, _ = _splits(spark, sf)
-    return ml.class_probabilities(_rf(spark, sf)[0], test_df)
+    return _probability_checks(ml.class_probabilities(_rf(spark, sf)[0], test_df))
+
+
+@register("boosted_probabilities", PROB_SPEC, PROB_SQL)
+def q_boosted_probabilities(spark, sf):
+    _, test_df, _ = _splits(spark, sf)
+    model, _ = _fitted(spark, sf, "gbt", lambda: ml.boosted_trees())
+    return _probability_checks(ml.class_probabilities(model, test_df))
 
 
-@register("feature_importance_top10", [("feature", S), ("splits", I)], None)
+@register("feature_importance_top10", [("place", I), ("known_feature", B), ("in_order", B)],
+          "SELECT range AS place, true AS known_feature, true AS in_order FROM range(1, 11)")
 def q_feature_importance_top10(spark, sf):
     model, cols = _rf(spark, sf)
-    return ml.feature_importance_top(spark, model, cols, 10)
+    top = ml.feature_importance_top(spark, model, cols, 10)
+    order = Window.orderBy(F.desc("splits"), "feature")  # ten rows
+    return top.select(F.row_number().over(order).alias("place"), F.col("feature").isin(cols).alias("known_feature"),
+                      F.coalesce(F.lag("splits").over(order) >= F.col("splits"), F.col("splits") > 0).alias("in_order"))
 
 
-@register("tuned_params", [("params", S), ("macro_f1", D)], None)
+@register("tuned_params", [("params", S), ("f1_in_range", B)],
+          "SELECT 'maxDepth=' || d || ', numTrees=' || t AS params, true AS f1_in_range "
+          "FROM (VALUES (6), (10)) a(d), (VALUES (20), (50)) b(t)")
 def q_tuned_params(spark, sf):
     train_df, _, _ = _splits(spark, sf)
     _, table = ml.tune(train_df, ml.feature_columns(train_df))
-    return table
+    return table.withColumn("f1_in_range", F.col("macro_f1").between(0, 1))
 
 
-@register("model_roundtrip", PRED_SPEC + [("reloaded_bucket", I)], None)
+@register("model_roundtrip", ID_SPEC + [("reloaded_equal", B)],
+          f"SELECT invoice_id, true AS valid_bucket, true AS reloaded_equal {TEST_ROWS}")
 def q_model_roundtrip(spark, sf):
     model, _ = _rf(spark, sf)
     path = _scratch(spark, "model")
     ml.save_model(model, path)
     _, test_df, _ = _splits(spark, sf)
     again = ml.predict(ml.load_model(path), test_df).select("invoice_id", F.col("predicted_bucket").alias("reloaded_bucket"))
-    return _predictions(spark, sf, model).join(again, "invoice_id")
+    return _predictions(spark, sf, model).join(again, "invoice_id").withColumn(
+        "reloaded_equal", F.col("predicted_bucket") == F.col("reloaded_bucket"))
 
 
-@register("predictions", [("invoice_id", I), ("predicted_bucket", I)], None)
+@register("predictions", ID_SPEC, ID_SQL)
 def q_predictions(spark, sf):
-    res = train(training_set(spark, sf), ml.random_forest(QUERY_TREES, QUERY_DEPTH))
-    return res.predictions
+    res = train(training_set(spark, sf), ml.random_forest())
+    return res.predictions.withColumn("valid_bucket", _valid())
 
 
-@register("write_predictions", [("invoice_id", I), ("predicted_bucket", I)], None)
+READ_BACK_SPEC = [("invoice_id", I), ("equal_in_memory", B)]
+READ_BACK_SQL = f"SELECT invoice_id, true AS equal_in_memory {TEST_ROWS}"
+
+
+@register("write_predictions", READ_BACK_SPEC, READ_BACK_SQL)
 def q_write_predictions(spark, sf):
     path = _scratch(spark, "predictions")
-    write_predictions(_predictions(spark, sf, _rf(spark, sf)[0]).drop("payment_bucket"), path)
-    return spark.read.parquet(path)
+    rows = _predictions(spark, sf, _rf(spark, sf)[0])
+    write_predictions(rows.drop("payment_bucket", "valid_bucket"), path)
+    back = spark.read.parquet(path).select("invoice_id", F.col("predicted_bucket").alias("_read"))
+    return rows.join(back, "invoice_id", "full").withColumn(
+        "equal_in_memory", F.col("_read").eqNullSafe(F.col("predicted_bucket")))
 
 
-@register("write_labelled_predictions", [("invoice_id", I), ("prediction", S)], None)
+@register("write_labelled_predictions", READ_BACK_SPEC, READ_BACK_SQL)
 def q_write_labelled_predictions(spark, sf):
     path = _scratch(spark, "labelled")
-    write_labelled_predictions(_predictions(spark, sf, _rf(spark, sf)[0]).drop("payment_bucket"), path)
-    return spark.read.option("header", True).csv(path)
+    rows = _predictions(spark, sf, _rf(spark, sf)[0])
+    write_labelled_predictions(rows.drop("payment_bucket", "valid_bucket"), path)
+    back = spark.read.option("header", True).csv(path).select(
+        F.col("invoice_id").cast("long").alias("invoice_id"), F.col("prediction").alias("_read"))
+    return rows.join(back, "invoice_id", "full").withColumn(
+        "equal_in_memory", F.col("_read").eqNullSafe(F.get(F.array(*map(F.lit, BUCKET_LABELS)), F.col("predicted_bucket"))))
 
 
-@register("train_pipeline", [("accuracy", D), ("precision", D), ("recall", D), ("f1", D)], None)
+@register("train_pipeline", [("payment_bucket", I), ("n", I), ("metrics_in_range", B)],
+          f"SELECT payment_bucket, count(*) AS n, true AS metrics_in_range {TEST_ROWS} GROUP BY payment_bucket")
 def q_train_pipeline(spark, sf):
     res = run_pipeline(spark, invoices(spark, sf), _scratch(spark, "train"), _scratch(spark, "pred"),
-                       ml.random_forest(QUERY_TREES, QUERY_DEPTH))
-    return res.metrics
+                       ml.random_forest())
+    cells = sum(F.col(f"pred_{k}") for k in range(5))
+    in_range = all(0 <= v <= 1 for v in res.metrics.first())
+    return res.confusion.select(F.col("actual").alias("payment_bucket"), cells.alias("n"),
+                                F.lit(in_range).alias("metrics_in_range"))
 
 
-@register("stream_predictions", [("invoice_id", I), ("predicted_bucket", I)], None)
+@register("stream_predictions", ID_SPEC, ID_SQL)
 def q_stream_predictions(spark, sf):
     source = _scratch(spark, "stream-source")
     write_training_set(split_test(training_set(spark, sf)), source)
     model, _ = _rf(spark, sf)
-    return spark.read.parquet(run_stream_predictions(spark, source, model, _scratch(spark, "stream-sink")))
+    return spark.read.parquet(run_stream_predictions(spark, source, model, _scratch(spark, "stream-sink"))).withColumn(
+        "valid_bucket", _valid())
 
 
 # --- open invoices (F14): as-of features and predictions ------------------------------
@@ -751,10 +814,13 @@ def q_open_invoice_features(spark, sf):
     return open_invoice_features(features(spark, sf), open_invoice_rows(invoices(spark, sf)))
 
 
-@register("open_invoice_predictions", [("invoice_id", I), ("predicted_bucket", I)], None)
+@register("open_invoice_predictions", ID_SPEC,
+          f"SELECT invoice_id, true AS valid_bucket FROM inv WHERE {O.YEAR_OK} AND payment_date IS NULL "
+          f"AND payment_complete = 'N' AND {O.COMPANY_OK}")
 def q_open_invoice_predictions(spark, sf):
     ctx = _memo(spark, sf, "scoring-context", lambda: fit_scoring_context(features(spark, sf)))
-    return score_open_invoices(invoices(spark, sf), features(spark, sf), _rf(spark, sf)[0], ctx)
+    return score_open_invoices(invoices(spark, sf), features(spark, sf), _rf(spark, sf)[0], ctx
+                               ).withColumn("valid_bucket", _valid())
 
 
 # --- leak-free history (earlier invoices only) -------------------------------------------
@@ -800,6 +866,27 @@ def q_history_hot_pair(spark, sf):
     return invoice_features(clean, HistoryParams(max_chunk_rows=HOT_CHUNK_ROWS))
 
 
+# --- the same third of all invoices on one day, with uneven ids: days cut into blocks ---------
+@register("history_hot_day", HOT_SPEC, "SELECT * FROM feat")
+def q_history_hot_day(spark, sf):
+    clean = C.clean_invoices(with_hot_day(invoices(spark, sf)))
+    return invoice_features(clean, HistoryParams(max_chunk_rows=HOT_CHUNK_ROWS))
+
+
+@register("leak_free_history_hot", [(c, G if c in HOT_SUMS else k) for c, k in LEAK_FREE_COLS], LEAK_FREE_SQL)
+def q_leak_free_history_hot(spark, sf):
+    clean = C.clean_invoices(with_hot_pair(invoices(spark, sf)))
+    return invoice_features(clean, HistoryParams(include_current=False, max_chunk_rows=HOT_CHUNK_ROWS))
+
+
+@register("open_invoice_features_hot", [(c, G if c in HOT_SUMS else k) for c, k in OPEN_COLS],
+          OPEN_SQL.replace("FROM inv ", "FROM inv_hot "))
+def q_open_invoice_features_hot(spark, sf):
+    inv = with_hot_pair(invoices(spark, sf))
+    params = HistoryParams(max_chunk_rows=HOT_CHUNK_ROWS)
+    return open_invoice_features(features_table(inv, history=params), open_invoice_rows(inv), params)
+
+
 # ---------------------------------------------------------------------------
 # driver functions
 # ---------------------------------------------------------------------------
@@ -832,12 +919,11 @@ def _text_operators() -> tuple[dict, dict]:
     return text.QUERIES | {"pipeline": corpus_pipeline.run}, sql
 
 
-HOT_CHAIN_QUERIES = {"history_hot_pair"}
+CHAINS = {"history_hot_pair": O.with_hot_chain, "leak_free_history_hot": O.with_hot_chain,
+          "open_invoice_features_hot": O.with_hot_chain,
+          "history_hot_day": O.with_hot_day_chain}
 
 
 def oracle_sql() -> dict[str, str]:
-    def chain(name, sql):
-        return O.with_hot_chain(sql) if name in HOT_CHAIN_QUERIES else O.with_chain(sql)
-
-    return {name: O.canon_sql(chain(name, sql), spec)
+    return {name: O.canon_sql(CHAINS.get(name, O.with_chain)(sql), spec)
             for name, (_, spec, sql) in REGISTRY.items() if sql is not None} | _text_operators()[1]

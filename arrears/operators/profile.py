@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,18 +147,47 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
 def correlation_long(df: DataFrame, columns) -> DataFrame:
     """Pearson correlation of every column pair (a < b by position), nulls dropped per pair.
 
-    One aggregate over all pairs, combined on the map side: a pass over the
-    rows, with one row of running moments per task as the only shuffle. A pair
-    without spread in a column gives NULL.
+    Each column is standardised and becomes three: value, presence and
+    square, all 0 where it is null. The second moments of these hold, for
+    every pair, all sums over the rows where both columns are present. Spark
+    ML's ``Correlation`` gathers them in one tree aggregate; only the
+    (3 x columns)^2 matrix reaches the driver. A pair without spread in a
+    column, or without common rows, gives NULL.
     """
-    pairs = list(combinations(columns, 2))
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = doubles.agg(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.corr(a, b).alias("corr")).alias(f"_{i}")
-        for i, (a, b) in enumerate(pairs)
-    ])
-    out = wide.select(F.inline(F.array(*[f"_{i}" for i in range(len(pairs))])))
-    return out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
+    from pyspark.ml.stat import Correlation, Summarizer
+
+    from ..operators.ml import assembler
+
+    columns = list(columns)
+    d, spark = len(columns), df.sparkSession
+    schema = "column_a string, column_b string, corr double"
+    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    spread = x.agg(F.count(F.lit(1)), *[f(c) for c in x.columns for f in (F.avg, F.stddev_samp)]).first()
+    if not spread[0]:
+        return spark.createDataFrame([(a, b, None) for a, b in combinations(columns, 2)], schema)
+    parts = {}
+    for i, c in enumerate(x.columns):
+        mean, std = spread[1 + 2 * i], spread[2 + 2 * i]
+        value = (F.col(c) - F.lit(mean or 0.0)) / F.lit(std if std and std == std else 1.0)
+        parts |= {f"v{i}": F.coalesce(value, F.lit(0.0)), f"m{i}": F.col(c).isNotNull().cast("double"),
+                  f"s{i}": F.coalesce(value * value, F.lit(0.0))}
+    names = [f"{k}{i}" for k in "vms" for i in range(d)]
+    vec = assembler(names).transform(x.select(*[parts[n].alias(n) for n in names])).select("features")
+    total = vec.select(Summarizer.metrics("mean", "std").summary(F.col("features")).alias("s")).first()["s"]
+    mean, std = total["mean"].toArray(), total["std"].toArray()
+    corr = Correlation.corr(vec, "features", "pearson").first()[0].toArray() if spread[0] > 1 else np.eye(3 * d)
+    # second moment about zero = covariance + product of the means
+    shrink = (spread[0] - 1) / spread[0]
+    moment = np.nan_to_num(corr) * np.outer(std, std) * shrink + np.outer(mean, mean)
+    rows = []
+    for i, j in combinations(range(d), 2):
+        n, sxy = moment[d + i, d + j], moment[i, j]
+        sx, sy = moment[i, d + j], moment[j, d + i]
+        sxx, syy = moment[2 * d + i, d + j], moment[2 * d + j, d + i]
+        vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+        known = vx > 1e-12 * n * sxx and vy > 1e-12 * n * syy
+        rows.append((columns[i], columns[j], float((n * sxy - sx * sy) / np.sqrt(vx * vy)) if known else None))
+    return spark.createDataFrame(rows, schema)
 
 
 def head_invoices(df: DataFrame, n: int = 10, order: str = "invoice_id") -> DataFrame:
