@@ -189,12 +189,12 @@ def q_training_set(spark, sf):
     return training_set(spark, sf)
 
 
-@register("bucket_summary", [("payment_bucket", I), ("n_invoices", I), ("avg_payment_delay", D)],
-          "SELECT payment_bucket, count(*) AS n_invoices, avg(average_payment_delay) AS avg_payment_delay "
+@register("bucket_summary", [("payment_bucket", I), ("n_invoices", I), ("avg_delay_days", D)],
+          "SELECT payment_bucket, count(*) AS n_invoices, avg(average_delay_days) AS avg_delay_days "
           "FROM ts GROUP BY payment_bucket")
 def q_bucket_summary(spark, sf):
     return training_set(spark, sf).groupBy("payment_bucket").agg(
-        F.count(F.lit(1)).alias("n_invoices"), F.avg("average_payment_delay").alias("avg_payment_delay")
+        F.count(F.lit(1)).alias("n_invoices"), F.avg("average_delay_days").alias("avg_delay_days")
     )
 
 
@@ -204,12 +204,12 @@ def q_clean(spark, sf):
 
 
 FEATURE_KINDS = {
-    "discount_offered": I, "payment_delay": I, "previous_payment_delay": I, "average_payment_delay": D,
+    "discount_offered": I, "delay_days": I, "previous_delay_days": I, "average_delay_days": D,
     "number_of_previous_invoices": I, "total_amount_of_previous_invoices": D, "average_invoice_amount": D,
     "payment_deviation": D, "invoice_deviation": D, "has_delayed_payment_last_3": I,
-    "has_early_payment_last_3": I, "payment_delay_trend": D, "invoice_amount_trend": D,
-    "maximum_payment_delay": I, "overall_payment_delay_trend": D, "payment_delay_trend_acceleration": I,
-    "payment_delay_variance": D, "frequency_of_transactions": I, "running_payment_delay_trend": D,
+    "has_early_payment_last_3": I, "delay_days_trend": D, "invoice_amount_trend": D,
+    "maximum_delay_days": I, "overall_delay_days_trend": D, "delay_days_trend_acceleration": I,
+    "delay_days_variance": D, "frequency_of_transactions": I, "running_delay_days_trend": D,
 }
 
 
@@ -318,14 +318,14 @@ def q_due_date_flags(spark, sf):
     return features(spark, sf)
 
 
-@register("weighted_trend", [("invoice_id", I), ("weighted_payment_delay_trend", D)],
-          "SELECT invoice_id, weighted_payment_delay_trend FROM feat")
+@register("weighted_trend", [("invoice_id", I), ("weighted_delay_days_trend", D)],
+          "SELECT invoice_id, weighted_delay_days_trend FROM feat")
 def q_weighted_trend(spark, sf):
     return features(spark, sf)
 
 
-@register("weighted_variance", [("invoice_id", I), ("weighted_payment_delay_variance", D)],
-          "SELECT invoice_id, weighted_payment_delay_variance FROM feat")
+@register("weighted_variance", [("invoice_id", I), ("weighted_delay_days_variance", D)],
+          "SELECT invoice_id, weighted_delay_days_variance FROM feat")
 def q_weighted_variance(spark, sf):
     return features(spark, sf)
 
@@ -336,10 +336,10 @@ def q_recency_days(spark, sf):
 
 
 # --- bounds and scores (A7, N1-N7, F9) -------------------------------------------
-NORM_KINDS = [("average_payment_delay", D), ("maximum_payment_delay", I), ("overall_payment_delay_trend", D),
+NORM_KINDS = [("average_delay_days", D), ("maximum_delay_days", I), ("overall_delay_days_trend", D),
               ("invoice_deviation", D), ("number_of_previous_invoices", I), ("net_amount", D),
-              ("average_invoice_amount", D), ("frequency_of_transactions", I), ("payment_delay_variance", D),
-              ("weighted_payment_delay_trend", D), ("weighted_payment_delay_variance", D)]
+              ("average_invoice_amount", D), ("frequency_of_transactions", I), ("delay_days_variance", D),
+              ("weighted_delay_days_trend", D), ("weighted_delay_days_variance", D)]
 BOUNDS_SPEC = [("max_invoice_date", T), ("min_invoice_date", T)] + [
     (f"{m}_{c}", k) for c, k in NORM_KINDS for m in ("min", "max")] + [("min_recency_days", I), ("max_recency_days", I)]
 
@@ -387,12 +387,12 @@ def q_region_codes(spark, sf):
     return training_set(spark, sf)
 
 
-BUCKET_SQL = ("CASE WHEN payment_delay <= 15 THEN 0 WHEN payment_delay <= 30 THEN 1 WHEN payment_delay <= 45 THEN 2 "
-              "WHEN payment_delay <= 60 THEN 3 ELSE 4 END")
+BUCKET_SQL = ("CASE WHEN delay_days <= 15 THEN 0 WHEN delay_days <= 30 THEN 1 WHEN delay_days <= 45 THEN 2 "
+              "WHEN delay_days <= 60 THEN 3 ELSE 4 END")
 
 
-@register("payment_bucket", [("invoice_id", I), ("payment_delay", I), ("payment_bucket", I)],
-          f"SELECT invoice_id, payment_delay, {BUCKET_SQL} AS payment_bucket FROM feat")
+@register("payment_bucket", [("invoice_id", I), ("delay_days", I), ("payment_bucket", I)],
+          f"SELECT invoice_id, delay_days, {BUCKET_SQL} AS payment_bucket FROM feat")
 def q_payment_bucket(spark, sf):
     return add_payment_bucket(features(spark, sf))
 
@@ -547,9 +547,9 @@ def q_head_invoices(spark, sf):
 
 
 # --- evaluation on a deterministic stand-in prediction (A11, M8, M9) ----------------
-STANDIN_SQL = ("(SELECT payment_bucket AS actual, CASE WHEN previous_payment_delay <= 15 THEN 0 "
-               "WHEN previous_payment_delay <= 30 THEN 1 WHEN previous_payment_delay <= 45 THEN 2 "
-               "WHEN previous_payment_delay <= 60 THEN 3 ELSE 4 END AS predicted FROM ts "
+STANDIN_SQL = ("(SELECT payment_bucket AS actual, CASE WHEN previous_delay_days <= 15 THEN 0 "
+               "WHEN previous_delay_days <= 30 THEN 1 WHEN previous_delay_days <= 45 THEN 2 "
+               "WHEN previous_delay_days <= 60 THEN 3 ELSE 4 END AS predicted FROM ts "
                "WHERE year(invoice_date) >= 2023)")
 COUNTS_SQL = f"(SELECT actual, predicted, count(*) AS n FROM {STANDIN_SQL} GROUP BY actual, predicted)"
 PER_CLASS_SQL = f"""(
@@ -571,7 +571,7 @@ PER_CLASS_F1 = (f"(SELECT *, coalesce(2 * precision * recall / nullif(precision
 
 def _standin(spark, sf):
     test = split_test(training_set(spark, sf))
-    return test.withColumn("prediction", payment_bucket("previous_payment_delay"))
+    return test.withColumn("prediction", payment_bucket("previous_delay_days"))
 
 
 @register("confusion_matrix", [("actual", I)] + [(f"pred_{k}", I) for k in range(5)],
@@ -781,24 +781,24 @@ def q_stream_predictions(spark, sf):
 
 
 # --- open invoices (F14): as-of features and predictions ------------------------------
-OPEN_COLS = [("invoice_id", I), ("previous_payment_delay", I), ("average_payment_delay", D),
-             ("number_of_previous_invoices", I), ("overall_payment_delay_trend", D), ("payment_deviation", D),
-             ("maximum_payment_delay", I), ("has_delayed_payment_last_3", I), ("has_early_payment_last_3", I),
-             ("invoice_deviation", D), ("total_amount_of_previous_invoices", D), ("payment_delay_trend", D),
+OPEN_COLS = [("invoice_id", I), ("previous_delay_days", I), ("average_delay_days", D),
+             ("number_of_previous_invoices", I), ("overall_delay_days_trend", D), ("payment_deviation", D),
+             ("maximum_delay_days", I), ("has_delayed_payment_last_3", I), ("has_early_payment_last_3", I),
+             ("invoice_deviation", D), ("total_amount_of_previous_invoices", D), ("delay_days_trend", D),
              ("frequency_of_transactions", I), ("discount_offered", I), ("due_date_month", I)]
 ORDER_KEY = "CAST(date_diff('day', DATE '1970-01-01', invoice_date) AS BIGINT) * 100000000 + invoice_id"
 OPEN_SQL = (
-    "SELECT o.invoice_id, coalesce(f.payment_delay, 0) AS previous_payment_delay, "
-    "coalesce(f.average_payment_delay, 0) AS average_payment_delay, "
+    "SELECT o.invoice_id, coalesce(f.delay_days, 0) AS previous_delay_days, "
+    "coalesce(f.average_delay_days, 0) AS average_delay_days, "
     "coalesce(f.number_of_previous_invoices + 1, 0) AS number_of_previous_invoices, "
-    "coalesce(f.running_payment_delay_trend, 0) AS overall_payment_delay_trend, "
+    "coalesce(f.running_delay_days_trend, 0) AS overall_delay_days_trend, "
     "coalesce(f.payment_deviation, 0) AS payment_deviation, "
-    "coalesce(f.maximum_payment_delay, 0) AS maximum_payment_delay, "
+    "coalesce(f.maximum_delay_days, 0) AS maximum_delay_days, "
     "coalesce(f.has_delayed_payment_last_3, 0) AS has_delayed_payment_last_3, "
     "coalesce(f.has_early_payment_last_3, 0) AS has_early_payment_last_3, "
     "coalesce(f.invoice_deviation, 0) AS invoice_deviation, "
     "coalesce(f.total_amount_of_previous_invoices, 0) AS total_amount_of_previous_invoices, "
-    "coalesce(f.payment_delay_trend, 0) AS payment_delay_trend, "
+    "coalesce(f.delay_days_trend, 0) AS delay_days_trend, "
     "coalesce(f.frequency_of_transactions, 0) AS frequency_of_transactions, "
     "CASE WHEN o.due_discount_date IS NULL THEN 0 ELSE 1 END AS discount_offered, "
     "month(o.due_date) AS due_date_month "
@@ -824,22 +824,22 @@ def q_open_invoice_predictions(spark, sf):
 
 
 # --- leak-free history (earlier invoices only) -------------------------------------------
-LEAK_FREE_COLS = [("invoice_id", I), ("payment_delay", I), ("previous_payment_delay", I),
-                  ("average_payment_delay", D), ("number_of_previous_invoices", I),
-                  ("overall_payment_delay_trend", D), ("payment_deviation", D), ("maximum_payment_delay", I),
-                  ("has_delayed_payment_last_3", I), ("payment_delay_trend", D), ("invoice_deviation", D),
+LEAK_FREE_COLS = [("invoice_id", I), ("delay_days", I), ("previous_delay_days", I),
+                  ("average_delay_days", D), ("number_of_previous_invoices", I),
+                  ("overall_delay_days_trend", D), ("payment_deviation", D), ("maximum_delay_days", I),
+                  ("has_delayed_payment_last_3", I), ("delay_days_trend", D), ("invoice_deviation", D),
                   ("total_amount_of_previous_invoices", D), ("frequency_of_transactions", I)]
 WP = "OVER (PARTITION BY customer_id, company_id ORDER BY invoice_date, invoice_id)"
 LEAK_FREE_SQL = (
-    "SELECT invoice_id, payment_delay, "
-    f"coalesce(lag(payment_delay) {WP}, 0) AS previous_payment_delay, "
-    f"coalesce(lag(average_payment_delay) {WP}, 0) AS average_payment_delay, "
+    "SELECT invoice_id, delay_days, "
+    f"coalesce(lag(delay_days) {WP}, 0) AS previous_delay_days, "
+    f"coalesce(lag(average_delay_days) {WP}, 0) AS average_delay_days, "
     "number_of_previous_invoices, "
-    f"coalesce(lag(running_payment_delay_trend) {WP}, 0) AS overall_payment_delay_trend, "
+    f"coalesce(lag(running_delay_days_trend) {WP}, 0) AS overall_delay_days_trend, "
     f"coalesce(lag(payment_deviation) {WP}, 0) AS payment_deviation, "
-    f"coalesce(lag(maximum_payment_delay) {WP}, 0) AS maximum_payment_delay, "
+    f"coalesce(lag(maximum_delay_days) {WP}, 0) AS maximum_delay_days, "
     f"coalesce(lag(has_delayed_payment_last_3) {WP}, 0) AS has_delayed_payment_last_3, "
-    f"coalesce(lag(payment_delay_trend) {WP}, 0) AS payment_delay_trend, "
+    f"coalesce(lag(delay_days_trend) {WP}, 0) AS delay_days_trend, "
     f"coalesce(lag(invoice_deviation) {WP}, 0) AS invoice_deviation, "
     f"coalesce(lag(total_amount_of_previous_invoices) {WP}, 0) AS total_amount_of_previous_invoices, "
     f"coalesce(lag(frequency_of_transactions) {WP}, 0) AS frequency_of_transactions "

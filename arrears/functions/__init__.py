@@ -6,5 +6,5 @@ from .columns import (  # noqa: F401
     minmax,
     not_true,
     payment_bucket,
-    payment_delay,
+    delay_days,
 )

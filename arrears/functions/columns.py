@@ -28,12 +28,12 @@ def discount_offered(c="due_discount_date") -> Column:
     return col(c).isNotNull().cast("int")
 
 
-def payment_delay(payment="payment_date", due="due_date") -> Column:
+def delay_days(payment="payment_date", due="due_date") -> Column:
     """Calendar days from due date to payment date."""
     return F.datediff(col(payment), col(due))
 
 
-def payment_bucket(delay="payment_delay", edges=BUCKET_EDGES) -> Column:
+def payment_bucket(delay="delay_days", edges=BUCKET_EDGES) -> Column:
     """Right-closed 15-day buckets 0..len(edges) (C12); NULL delay gives NULL."""
     d = col(delay)
     expr = None
@@ -53,7 +53,7 @@ def bucket_label(code, labels=BUCKET_LABELS) -> Column:
 
 
 def decay_weighted(c, alpha: float = DECAY_ALPHA) -> Column:
-    """``alpha * (1 - alpha) ** x * x``."""
+    """The value weighed by a geometric decay in itself: large values fade at rate ``alpha``."""
     x = col(c)
     return F.lit(alpha) * F.pow(F.lit(1 - alpha), x) * x
 
@@ -61,8 +61,3 @@ def decay_weighted(c, alpha: float = DECAY_ALPHA) -> Column:
 def minmax(c, lo: Column, hi: Column) -> Column:
     """``(x - lo) / (hi - lo)``; NULL when the column is constant."""
     return F.try_divide(col(c) - lo, hi - lo)
-
-
-def zero_neg(c: Column) -> Column:
-    """Turn -0.0 into 0.0 (keeps value hashes stable)."""
-    return c + F.lit(0.0)

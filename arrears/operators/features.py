@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import discount_offered, payment_delay
+from ..functions.columns import discount_offered, delay_days
 from ..params import HistoryParams
 from .history import history_features
 
 
 def add_delay_columns(df: DataFrame) -> DataFrame:
-    """``discount_offered`` replaces ``due_discount_date``; ``payment_delay`` in days."""
+    """``discount_offered`` replaces ``due_discount_date``; ``delay_days`` in days."""
     out = df.withColumns({
         "discount_offered": discount_offered("due_discount_date"),
-        "payment_delay": payment_delay("payment_date", "due_date"),
+        "delay_days": delay_days("payment_date", "due_date"),
     })
     return out.drop("due_discount_date")
 
@@ -33,7 +33,7 @@ def due_date_parts(df: DataFrame, c: str = "due_date") -> DataFrame:
 
 
 def invoice_features(clean: DataFrame, params: HistoryParams = HistoryParams()) -> DataFrame:
-    """All 22 engineered features plus ``payment_delay`` and ``frequency_of_transactions``."""
+    """All 22 engineered features plus ``delay_days`` and ``frequency_of_transactions``."""
     return (
         clean.transform(add_delay_columns)
         .transform(lambda d: history_features(d, params))

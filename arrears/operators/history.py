@@ -1,12 +1,12 @@
 """Ordered per-pair payment history: W1-W13, A13, A14 and C3.
 
 Definitions (pair = (customer_id, company_id), order = (invoice_date,
-invoice_id), ``y`` = payment delay, ``a`` = net amount):
+invoice_id), ``y`` = days of delay, ``a`` = net amount):
 
 * running statistics include the current invoice (mean, sum, sample std,
   max), ``number_of_previous_invoices`` is the 0-based position;
 * the 3-row rolling flags and trends need three (four for the trend) rows;
-* ``overall_payment_delay_trend`` is the least-squares slope of ``y`` against
+* ``overall_delay_days_trend`` is the least-squares slope of ``y`` against
   the position over the whole pair (0 for a single invoice);
 * ``frequency_of_transactions`` counts the customer's invoices (all companies).
 
@@ -46,8 +46,8 @@ ORDER = ["invoice_date", "invoice_id"]
 BOUND_STEP = 64
 
 HISTORY_COLUMNS = (
-    "previous_payment_delay",
-    "average_payment_delay",
+    "previous_delay_days",
+    "average_delay_days",
     "number_of_previous_invoices",
     "total_amount_of_previous_invoices",
     "average_invoice_amount",
@@ -55,14 +55,14 @@ HISTORY_COLUMNS = (
     "invoice_deviation",
     "has_delayed_payment_last_3",
     "has_early_payment_last_3",
-    "payment_delay_trend",
+    "delay_days_trend",
     "invoice_amount_trend",
-    "maximum_payment_delay",
-    "overall_payment_delay_trend",
-    "payment_delay_trend_acceleration",
-    "payment_delay_variance",
+    "maximum_delay_days",
+    "overall_delay_days_trend",
+    "delay_days_trend_acceleration",
+    "delay_days_variance",
     "frequency_of_transactions",
-    "running_payment_delay_trend",
+    "running_delay_days_trend",
 )
 
 
@@ -293,8 +293,8 @@ def _features(j: DataFrame, y: str, a: str) -> DataFrame:
     running_slope = _slope(n.cast("double"), rsy, rsiy)
     n_prev = pos.cast("int")
     return j.withColumns({
-        "previous_payment_delay": F.coalesce(y1, F.lit(0)),
-        "average_payment_delay": (F.coalesce(F.col("_psy"), F.lit(0)) + F.col("_lsy")) / n,
+        "previous_delay_days": F.coalesce(y1, F.lit(0)),
+        "average_delay_days": (F.coalesce(F.col("_psy"), F.lit(0)) + F.col("_lsy")) / n,
         "number_of_previous_invoices": n_prev,
         "total_amount_of_previous_invoices": total_a,
         "average_invoice_amount": F.when(pos == 0, F.lit(0.0)).otherwise(F.try_divide(total_a, pos)),
@@ -302,16 +302,16 @@ def _features(j: DataFrame, y: str, a: str) -> DataFrame:
         "invoice_deviation": inv_std,
         "has_delayed_payment_last_3": ((pos >= 2) & (last3 > 0)).cast("int"),
         "has_early_payment_last_3": ((pos >= 2) & (last3 < 0)).cast("int"),
-        "payment_delay_trend": F.when(pos >= 3, (Y - y3) / F.lit(3.0)).otherwise(F.lit(0.0)),
+        "delay_days_trend": F.when(pos >= 3, (Y - y3) / F.lit(3.0)).otherwise(F.lit(0.0)),
         "invoice_amount_trend": F.when(
             (pos >= 3) & A.isNotNull() & a1.isNotNull() & a2.isNotNull() & a3.isNotNull(),
             (A - a3) / F.lit(3.0),
         ).otherwise(F.lit(0.0)),
-        "maximum_payment_delay": F.greatest(F.col("_pmaxy"), F.col("_lmaxy")),
-        "overall_payment_delay_trend": slope,
-        "payment_delay_trend_acceleration": F.when(pos >= 2, Y - 2 * y1 + y2).otherwise(F.lit(0)),
-        "payment_delay_variance": pay_std,
-        "running_payment_delay_trend": running_slope,
+        "maximum_delay_days": F.greatest(F.col("_pmaxy"), F.col("_lmaxy")),
+        "overall_delay_days_trend": slope,
+        "delay_days_trend_acceleration": F.when(pos >= 2, Y - 2 * y1 + y2).otherwise(F.lit(0)),
+        "delay_days_variance": pay_std,
+        "running_delay_days_trend": running_slope,
     })
 
 
@@ -322,7 +322,7 @@ def resolve_chunk_rows(total_rows: int, params: HistoryParams, partitions: int)
 
 
 def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
-                     y: str = "payment_delay", a: str = "net_amount") -> DataFrame:
+                     y: str = "delay_days", a: str = "net_amount") -> DataFrame:
     """Add the ordered history columns (``HISTORY_COLUMNS``) to cleaned invoices.
 
     ``df`` must carry ``customer_id, company_id, invoice_date, invoice_id``
@@ -365,7 +365,7 @@ def _leak_free(rows: DataFrame) -> DataFrame:
     Inside a chunk that is a lag over the order the rows already have; the
     first row of a chunk takes the values from the carry of the earlier
     chunks. Rows without an earlier invoice get zeros.
-    ``overall_payment_delay_trend`` is the slope over the earlier rows.
+    ``overall_delay_days_trend`` is the slope over the earlier rows.
     """
     pn, pna = F.col("_pn"), F.col("_pna")
     y = [F.get("_py", F.lit(k)) for k in range(4)]
@@ -377,25 +377,25 @@ def _leak_free(rows: DataFrame) -> DataFrame:
         return F.when(n > 1, F.sqrt(F.try_divide(m2, n - 1))).otherwise(F.lit(0.0))
 
     carried = {
-        "average_payment_delay": F.try_divide(F.col("_psy"), pn),
+        "average_delay_days": F.try_divide(F.col("_psy"), pn),
         "total_amount_of_previous_invoices": total,
         "average_invoice_amount": F.when(pn > 1, F.try_divide(total, pn - 1)),
         "payment_deviation": std(pn, F.col("_pm2y")),
-        "payment_delay_variance": std(pn, F.col("_pm2y")),
+        "delay_days_variance": std(pn, F.col("_pm2y")),
         "invoice_deviation": std(pna, F.col("_pm2a")),
         "has_delayed_payment_last_3": (three & (F.greatest(*y[:3]) > 0)).cast("int"),
         "has_early_payment_last_3": (three & (F.greatest(*y[:3]) < 0)).cast("int"),
-        "payment_delay_trend": F.when(four, (y[0] - y[3]) / F.lit(3.0)),
+        "delay_days_trend": F.when(four, (y[0] - y[3]) / F.lit(3.0)),
         "invoice_amount_trend": F.when(
             four & a[1].isNotNull() & a[2].isNotNull(), (a[0] - a[3]) / F.lit(3.0)),
-        "maximum_payment_delay": F.col("_pmaxy"),
-        "overall_payment_delay_trend": _slope(pn.cast("double"), F.col("_psy").cast("double"), F.col("_psiy")),
-        "payment_delay_trend_acceleration": F.when(three, y[0] - 2 * y[1] + y[2]),
+        "maximum_delay_days": F.col("_pmaxy"),
+        "overall_delay_days_trend": _slope(pn.cast("double"), F.col("_psy").cast("double"), F.col("_psiy")),
+        "delay_days_trend_acceleration": F.when(three, y[0] - 2 * y[1] + y[2]),
         "frequency_of_transactions": F.when(pn > 0, F.col("frequency_of_transactions")),
     }
     w = Window.partitionBy(*CHUNK).orderBy(*ORDER)
-    source = {"overall_payment_delay_trend": "running_payment_delay_trend"}
+    source = {"overall_delay_days_trend": "running_delay_days_trend"}
     return rows.withColumns({
         c: F.coalesce(F.when(F.col("_rn") > 1, F.lag(source.get(c, c)).over(w)).otherwise(v), F.lit(0))
         for c, v in carried.items()
-    }).drop("running_payment_delay_trend")
+    }).drop("running_delay_days_trend")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import bucket_label, payment_bucket
+from ..functions.columns import payment_bucket
 from ..params import LABEL, REGION_COLUMNS
 from ..session import materialize
 from .profile import global_index
@@ -41,11 +41,6 @@ def region_codes(df: DataFrame, columns=REGION_COLUMNS, dictionary: DataFrame |
     return out
 
 
-def add_payment_bucket(df: DataFrame, delay: str = "payment_delay") -> DataFrame:
+def add_payment_bucket(df: DataFrame, delay: str = "delay_days") -> DataFrame:
     """C12 as ``payment_bucket`` (int)."""
     return df.withColumn(LABEL, payment_bucket(delay).cast("int"))
-
-
-def add_bucket_label(df: DataFrame, code: str = "prediction", out: str = "prediction_label") -> DataFrame:
-    """Bucket code to its text."""
-    return df.withColumn(out, bucket_label(code))

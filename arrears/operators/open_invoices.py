@@ -5,9 +5,9 @@ original). An open invoice has no delay yet, so its history features are the
 *as-of* state of the pair: the values at the latest paid invoice that comes
 before it in (invoice date, invoice id) order, with
 
-* ``previous_payment_delay`` = that paid invoice's delay,
+* ``previous_delay_days`` = that paid invoice's delay,
 * ``number_of_previous_invoices`` = number of earlier paid invoices,
-* ``overall_payment_delay_trend`` = slope over the earlier paid invoices only,
+* ``overall_delay_days_trend`` = slope over the earlier paid invoices only,
 
 and zeros when the pair has no earlier paid invoice. Season features and
 ``discount_offered`` come from the open invoice itself.
@@ -31,8 +31,8 @@ from .history import CHUNK, ORDER, PAIR, assign_chunks, pair_stats, resolve_chun
 from .split import split_open_invoices
 
 STATE_COLUMNS = (
-    "payment_delay",
-    "average_payment_delay",
+    "delay_days",
+    "average_delay_days",
     "number_of_previous_invoices",
     "total_amount_of_previous_invoices",
     "average_invoice_amount",
@@ -40,12 +40,12 @@ STATE_COLUMNS = (
     "invoice_deviation",
     "has_delayed_payment_last_3",
     "has_early_payment_last_3",
-    "payment_delay_trend",
+    "delay_days_trend",
     "invoice_amount_trend",
-    "maximum_payment_delay",
-    "running_payment_delay_trend",
-    "payment_delay_trend_acceleration",
-    "payment_delay_variance",
+    "maximum_delay_days",
+    "running_delay_days_trend",
+    "delay_days_trend_acceleration",
+    "delay_days_variance",
     "frequency_of_transactions",
 )
 
@@ -96,16 +96,16 @@ def as_of_features(paid_features: DataFrame, rows: DataFrame, params: HistoryPar
     """``rows`` plus the history columns taken from the paid invoices strictly before each row."""
     # only pairs with a row to look up take part: their keys are written, so that Spark knows the size
     wanted = materialize(rows.select(*PAIR).distinct(), "asof-pairs")
-    st = _as_of_state(paid_features.join(wanted, PAIR, "left_semi"), rows.drop(*[c for c in STATE_COLUMNS if c != "payment_delay"]), params)
+    st = _as_of_state(paid_features.join(wanted, PAIR, "left_semi"), rows.drop(*[c for c in STATE_COLUMNS if c != "delay_days"]), params)
     s = lambda c: F.col(f"_s.{c}")
     zero = {c: F.coalesce(s(c), F.lit(0)) for c in STATE_COLUMNS}
     return st.withColumns({
-        "payment_delay": F.lit(None).cast("int"),
-        "previous_payment_delay": F.coalesce(s("payment_delay"), F.lit(0)),
+        "delay_days": F.lit(None).cast("int"),
+        "previous_delay_days": F.coalesce(s("delay_days"), F.lit(0)),
         "number_of_previous_invoices": F.coalesce(s("number_of_previous_invoices") + 1, F.lit(0)),
-        "overall_payment_delay_trend": F.coalesce(s("running_payment_delay_trend"), F.lit(0.0)),
+        "overall_delay_days_trend": F.coalesce(s("running_delay_days_trend"), F.lit(0.0)),
         **{c: zero[c] for c in STATE_COLUMNS
-           if c not in ("payment_delay", "number_of_previous_invoices", "running_payment_delay_trend")},
+           if c not in ("delay_days", "number_of_previous_invoices", "running_delay_days_trend")},
     }).drop("_s")
 
 
@@ -115,7 +115,7 @@ def open_invoice_features(paid_features: DataFrame, open_rows: DataFrame,
     from ..params import ScoreParams
     from .scoring import add_score_helpers
 
-    rows = open_rows.withColumn("payment_delay", F.lit(None).cast("int"))
+    rows = open_rows.withColumn("delay_days", F.lit(None).cast("int"))
     out = as_of_features(paid_features, rows, params).withColumn(
         "discount_offered", F.col("due_discount_date").isNotNull().cast("int")).drop("due_discount_date")
     return add_score_helpers(out.transform(due_date_parts), ScoreParams(alpha=alpha))

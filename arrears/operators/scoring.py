@@ -20,8 +20,8 @@ from ..params import NORMALISED_COLUMNS, ScoreParams
 def add_score_helpers(df: DataFrame, params: ScoreParams = ScoreParams()) -> DataFrame:
     """C8 decay columns (``frequency_of_transactions`` comes from the history)."""
     return df.withColumns({
-        "weighted_payment_delay_trend": decay_weighted("payment_delay_trend", params.alpha),
-        "weighted_payment_delay_variance": decay_weighted("payment_delay_variance", params.alpha),
+        "weighted_delay_days_trend": decay_weighted("delay_days_trend", params.alpha),
+        "weighted_delay_days_variance": decay_weighted("delay_days_variance", params.alpha),
     })
 
 

@@ -1,4 +1,4 @@
-"""Parameters and fixed values of the payment-delay model.
+"""Parameters and fixed values of the lateness model.
 
 The numbers in the "fixed values" block must equal the original model's to
 give the same features, scores and labels; everything else is tunable.
@@ -17,12 +17,11 @@ REGION_COLUMNS = ("region_level1", "region_level2", "region_level3")
 # right-closed 15-day buckets: (-inf,15] (15,30] (30,45] (45,60] (60,inf)
 BUCKET_EDGES = (15, 30, 45, 60)
 BUCKET_LABELS = ("0-15days", "15-30days", "30-45days", "45-60days", "60days")
-ROLLING_ROWS = 3
 DECAY_ALPHA = 0.1
 RISK_WEIGHTS = (
-    ("average_payment_delay", 0.2, "inverse"),
-    ("maximum_payment_delay", 0.2, "inverse"),
-    ("overall_payment_delay_trend", 0.1, "inverse"),
+    ("average_delay_days", 0.2, "inverse"),
+    ("maximum_delay_days", 0.2, "inverse"),
+    ("overall_delay_days_trend", 0.1, "inverse"),
     ("has_delayed_payment_last_3", 0.2, "raw"),
     ("invoice_deviation", 0.1, "scaled"),
     ("number_of_previous_invoices", 0.1, "scaled"),
@@ -37,14 +36,14 @@ VALUE_WEIGHTS = (
     ("recency_days", 0.2, "inverse"),
 )
 CASH_FLOW_WEIGHTS = (
-    ("average_payment_delay", 0.3, "inverse"),
-    ("payment_delay_variance", 0.3, "inverse"),
+    ("average_delay_days", 0.3, "inverse"),
+    ("delay_days_variance", 0.3, "inverse"),
     ("net_amount", 0.4, "scaled"),
 )
 HISTORICAL_WEIGHTS = (
-    ("weighted_payment_delay_trend", 0.5, "inverse"),
-    ("maximum_payment_delay", 0.25, "inverse"),
-    ("weighted_payment_delay_variance", 0.25, "inverse"),
+    ("weighted_delay_days_trend", 0.5, "inverse"),
+    ("maximum_delay_days", 0.25, "inverse"),
+    ("weighted_delay_days_variance", 0.25, "inverse"),
 )
 GLOBAL_WEIGHTS = (
     ("risk_tolerance_score", 0.10),
@@ -57,7 +56,7 @@ TRAIN_YEARS = (2019, 2023)  # train: 2019 <= year < 2023
 TEST_FROM_YEAR = 2023  # test: year >= 2023
 PRODUCTION_TRAIN_FROM_YEAR = 2020
 # columns removed before fitting (dates and the raw delay)
-NON_FEATURE_COLUMNS = ("due_date", "invoice_date", "create_date", "payment_date", "payment_delay")
+NON_FEATURE_COLUMNS = ("due_date", "invoice_date", "create_date", "payment_date", "delay_days")
 TUNED_BOOSTING = dict(
     learning_rate=0.022550720790521145,
     max_depth=20,
@@ -70,32 +69,30 @@ TUNED_BOOSTING = dict(
     subsample_freq=8,
     random_state=0,
 )
-# ---------------------------------------------------------------------------
-
 LABEL = "payment_bucket"
 PAIR_KEYS = ("customer_id", "company_id")
 ORDER_KEYS = ("invoice_date", "invoice_id")
 
 # the twelve min-max normalised columns (whole-table bounds)
 NORMALISED_COLUMNS = (
-    "average_payment_delay",
-    "maximum_payment_delay",
-    "overall_payment_delay_trend",
+    "average_delay_days",
+    "maximum_delay_days",
+    "overall_delay_days_trend",
     "invoice_deviation",
     "number_of_previous_invoices",
     "net_amount",
     "average_invoice_amount",
     "frequency_of_transactions",
     "recency_days",
-    "payment_delay_variance",
-    "weighted_payment_delay_trend",
-    "weighted_payment_delay_variance",
+    "delay_days_variance",
+    "weighted_delay_days_trend",
+    "weighted_delay_days_variance",
 )
 
 BEHAVIOUR_FEATURES = (
     "discount_offered",
-    "previous_payment_delay",
-    "average_payment_delay",
+    "previous_delay_days",
+    "average_delay_days",
     "number_of_previous_invoices",
     "total_amount_of_previous_invoices",
     "average_invoice_amount",
@@ -103,10 +100,10 @@ BEHAVIOUR_FEATURES = (
     "invoice_deviation",
     "has_delayed_payment_last_3",
     "has_early_payment_last_3",
-    "payment_delay_trend",
+    "delay_days_trend",
     "invoice_amount_trend",
-    "maximum_payment_delay",
-    "overall_payment_delay_trend",
+    "maximum_delay_days",
+    "overall_delay_days_trend",
 )
 SEASON_FEATURES = (
     "due_date_month",
@@ -115,8 +112,8 @@ SEASON_FEATURES = (
     "due_date_is_year_end",
     "due_date_is_year_start",
     "due_date_is_summer",
-    "payment_delay_trend_acceleration",
-    "payment_delay_variance",
+    "delay_days_trend_acceleration",
+    "delay_days_variance",
 )
 SCORE_COLUMNS = (
     "risk_tolerance_score",
@@ -138,19 +135,22 @@ TRAINING_SET_COLUMNS = (
     "net_amount",
     *REGION_COLUMNS,
     "discount_offered",
-    "payment_delay",
+    "delay_days",
     *BEHAVIOUR_FEATURES[1:],
     *SEASON_FEATURES,
     "risk_tolerance_score",
     "frequency_of_transactions",
     "customer_value_score",
     "cash_flow_score",
-    "weighted_payment_delay_trend",
-    "weighted_payment_delay_variance",
+    "weighted_delay_days_trend",
+    "weighted_delay_days_variance",
     "historical_score",
     "global_score",
     LABEL,
 )
+# ---------------------------------------------------------------------------
+# End of the fixed values
+# ---------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -163,8 +163,8 @@ class HistoryParams:
     invoices only, which is the only valid mode for open invoices.
 
     ``max_chunk_rows``: a (customer, company) pair with more cleaned rows than
-    this is split into contiguous chunks by invoice day (and by invoice-id
-    range inside a day that is itself larger), so no single task has to hold a
+    this is split into contiguous chunks of following invoice days (a day that
+    is itself larger is cut along its sorted ids), so no single task has to hold a
     hot pair.  ``None`` derives it from the row count and the number of
     shuffle partitions.
     """

@@ -31,10 +31,10 @@ INVOICE_CSV_SCHEMA = T.StructType([
 ])
 
 _INT_COLUMNS = {
-    "discount_offered", "payment_delay", "previous_payment_delay", "number_of_previous_invoices",
-    "has_delayed_payment_last_3", "has_early_payment_last_3", "maximum_payment_delay",
+    "discount_offered", "delay_days", "previous_delay_days", "number_of_previous_invoices",
+    "has_delayed_payment_last_3", "has_early_payment_last_3", "maximum_delay_days",
     "due_date_month", "due_date_quarter", "due_date_dayofweek", "due_date_is_year_end",
-    "due_date_is_year_start", "due_date_is_summer", "payment_delay_trend_acceleration",
+    "due_date_is_year_start", "due_date_is_summer", "delay_days_trend_acceleration",
     "region_level1", "region_level2", "region_level3", "payment_bucket",
 }
 _LONG_COLUMNS = {"invoice_id", "customer_id", "company_id", "frequency_of_transactions"}

@@ -25,6 +25,7 @@ from arrears.plans.train import train  # noqa: E402
 from arrears.session import build_session, ensure_checkpoint_dir, materialize  # noqa: E402
 from arrears.sources.invoices import invoices_from_tables, invoices_table, with_hot_pair  # noqa: E402
 from arrears.operators.features import invoice_features  # noqa: E402
+from arrears.operators.open_invoices import open_invoice_features, open_invoice_rows  # noqa: E402
 from arrears.params import HistoryParams  # noqa: E402
 
 
@@ -71,10 +72,28 @@ def main():
         cols = [f.name for f in ts.schema.fields if f.dataType.typeName() in ("integer", "long", "double")]
         correlation_long(ts, cols).collect()
 
+    def q_describe_repeated():
+        # columns of few values: counted before they are sorted
+        run(describe_numeric(clean_invoices(inv(), drop_settlement_columns=False),
+                             ["payment_amount", "company_id", "customer_id"]))
+
+    def q_correlation_nulls():
+        correlation_long(stored, ["invoice_id", "customer_id", "company_id", "net_amount", "payment_amount"]).collect()
+
+    def q_leak_free():
+        run(invoice_features(clean_invoices(inv()), HistoryParams(include_current=False)))
+
+    def q_open_invoices():
+        run(open_invoice_features(stored_feats[0], open_invoice_rows(inv())))
+
     def q_sorted():
         run(sorted_invoices(clean_invoices(inv())))
 
-    stored_ts = []
+    def q_train_boosted():
+        # the tuned preset's depth and rate at few rounds (its own size, not the preset's 1580)
+        run(train(stored_ts[0], ml.tuned_boosting(rounds=2)).predictions)
+
+    stored_ts, stored_feats = [], []
     model_metrics = {}
 
     def q_train_rf():
@@ -95,10 +114,16 @@ def main():
         "describe_numeric": q_describe,
         "sorted_invoices": q_sorted,
         "correlation_matrix": q_correlation,
+        "describe_repeated": q_describe_repeated,
+        "correlation_nulls": q_correlation_nulls,
+        "leak_free_history": q_leak_free,
+        "open_invoice_features": q_open_invoices,
         "x2_train_rf": q_train_rf,
+        "x2_train_boosted_2_rounds": q_train_boosted,
     }
     q_training_set()  # warm-up: JVM, codegen, file listing
     stored_ts.append(materialize(preprocess(inv()), "bench-ts"))
+    stored_feats.append(features_table(inv()))
     timings = {}
     for name, fn in headline.items():
         runs = []

@@ -118,26 +118,26 @@ FEATURES = f"""
 f0 AS (
   SELECT * EXCLUDE (due_discount_date),
     CASE WHEN due_discount_date IS NULL THEN 0 ELSE 1 END AS discount_offered,
-    CAST(payment_date - due_date AS BIGINT) AS payment_delay
+    CAST(payment_date - due_date AS BIGINT) AS delay_days
   FROM clean
 ),
 f1 AS (
   SELECT *,
-    coalesce(lag(payment_delay) OVER ({W}), 0) AS previous_payment_delay,
-    avg(payment_delay) OVER {WE} AS average_payment_delay,
+    coalesce(lag(delay_days) OVER ({W}), 0) AS previous_delay_days,
+    avg(delay_days) OVER {WE} AS average_delay_days,
     row_number() OVER ({W}) - 1 AS number_of_previous_invoices,
     sum(net_amount) OVER {WE} AS total_amount_of_previous_invoices,
-    coalesce(stddev_samp(payment_delay) OVER {WE}, 0) AS payment_deviation,
+    coalesce(stddev_samp(delay_days) OVER {WE}, 0) AS payment_deviation,
     coalesce(stddev_samp(net_amount) OVER {WE}, 0) AS invoice_deviation,
-    CASE WHEN count(payment_delay) OVER {W3} = 3 AND max(payment_delay) OVER {W3} > 0 THEN 1 ELSE 0 END
+    CASE WHEN count(delay_days) OVER {W3} = 3 AND max(delay_days) OVER {W3} > 0 THEN 1 ELSE 0 END
       AS has_delayed_payment_last_3,
-    CASE WHEN count(payment_delay) OVER {W3} = 3 AND max(payment_delay) OVER {W3} < 0 THEN 1 ELSE 0 END
+    CASE WHEN count(delay_days) OVER {W3} = 3 AND max(delay_days) OVER {W3} < 0 THEN 1 ELSE 0 END
       AS has_early_payment_last_3,
-    CASE WHEN count(payment_delay) OVER {W3} = 3 THEN avg(payment_delay) OVER {W3} END AS _rm_delay,
+    CASE WHEN count(delay_days) OVER {W3} = 3 THEN avg(delay_days) OVER {W3} END AS _rm_delay,
     CASE WHEN count(net_amount) OVER {W3} = 3 THEN avg(net_amount) OVER {W3} END AS _rm_amount,
-    max(payment_delay) OVER {WE} AS maximum_payment_delay,
-    coalesce(payment_delay - 2 * lag(payment_delay, 1) OVER ({W}) + lag(payment_delay, 2) OVER ({W}), 0)
-      AS payment_delay_trend_acceleration,
+    max(delay_days) OVER {WE} AS maximum_delay_days,
+    coalesce(delay_days - 2 * lag(delay_days, 1) OVER ({W}) + lag(delay_days, 2) OVER ({W}), 0)
+      AS delay_days_trend_acceleration,
     count(invoice_id) OVER (PARTITION BY customer_id) AS frequency_of_transactions
   FROM f0
 ),
@@ -145,15 +145,15 @@ f2 AS (
   SELECT *,
     CASE WHEN number_of_previous_invoices = 0 THEN 0.0
          ELSE total_amount_of_previous_invoices / number_of_previous_invoices END AS average_invoice_amount,
-    coalesce(_rm_delay - lag(_rm_delay) OVER ({W}), 0) AS payment_delay_trend,
+    coalesce(_rm_delay - lag(_rm_delay) OVER ({W}), 0) AS delay_days_trend,
     coalesce(_rm_amount - lag(_rm_amount) OVER ({W}), 0) AS invoice_amount_trend,
     CASE WHEN count(*) OVER {WP} > 1
-         THEN regr_slope(CAST(payment_delay AS DOUBLE), CAST(number_of_previous_invoices AS DOUBLE)) OVER {WP}
-         ELSE 0 END AS overall_payment_delay_trend,
-    payment_deviation AS payment_delay_variance,
+         THEN regr_slope(CAST(delay_days AS DOUBLE), CAST(number_of_previous_invoices AS DOUBLE)) OVER {WP}
+         ELSE 0 END AS overall_delay_days_trend,
+    payment_deviation AS delay_days_variance,
     CASE WHEN number_of_previous_invoices > 0
-         THEN regr_slope(CAST(payment_delay AS DOUBLE), CAST(number_of_previous_invoices AS DOUBLE)) OVER {WE}
-         ELSE 0 END AS running_payment_delay_trend,
+         THEN regr_slope(CAST(delay_days AS DOUBLE), CAST(number_of_previous_invoices AS DOUBLE)) OVER {WE}
+         ELSE 0 END AS running_delay_days_trend,
     month(due_date) AS due_date_month,
     quarter(due_date) AS due_date_quarter,
     isodow(due_date) - 1 AS due_date_dayofweek,
@@ -164,14 +164,14 @@ f2 AS (
 ),
 feat AS (
   SELECT * EXCLUDE (_rm_delay, _rm_amount),
-    0.1 * pow(0.9, payment_delay_trend) * payment_delay_trend AS weighted_payment_delay_trend,
-    0.1 * pow(0.9, payment_delay_variance) * payment_delay_variance AS weighted_payment_delay_variance
+    0.1 * pow(0.9, delay_days_trend) * delay_days_trend AS weighted_delay_days_trend,
+    0.1 * pow(0.9, delay_days_variance) * delay_days_variance AS weighted_delay_days_variance
   FROM f2
 )"""
 
-NORM = ("average_payment_delay", "maximum_payment_delay", "overall_payment_delay_trend", "invoice_deviation",
+NORM = ("average_delay_days", "maximum_delay_days", "overall_delay_days_trend", "invoice_deviation",
         "number_of_previous_invoices", "net_amount", "average_invoice_amount", "frequency_of_transactions",
-        "payment_delay_variance", "weighted_payment_delay_trend", "weighted_payment_delay_variance")
+        "delay_days_variance", "weighted_delay_days_trend", "weighted_delay_days_variance")
 
 
 def _m(c: str) -> str:
@@ -193,16 +193,16 @@ SCORES = f"""
 sc AS (
   SELECT f.*,
     CAST(b.max_invoice_date - f.invoice_date AS BIGINT) AS recency_days,
-    (0.2 * {_inv('average_payment_delay')} + 0.2 * {_inv('maximum_payment_delay')}
-     + 0.1 * {_inv('overall_payment_delay_trend')} + 0.2 * f.has_delayed_payment_last_3
+    (0.2 * {_inv('average_delay_days')} + 0.2 * {_inv('maximum_delay_days')}
+     + 0.1 * {_inv('overall_delay_days_trend')} + 0.2 * f.has_delayed_payment_last_3
      + 0.1 * {_m('invoice_deviation')} + 0.1 * {_m('number_of_previous_invoices')}
      + 0.1 * {_m('net_amount')} + 0.1 * {_m('average_invoice_amount')}) * 10 AS risk_tolerance_score,
     (0.3 * {_m('net_amount')} + 0.2 * {_m('average_invoice_amount')} + 0.1 * {_m('number_of_previous_invoices')}
      + 0.2 * {_m('frequency_of_transactions')} + 0.2 * (1 - {RECENCY_M})) * 10 AS customer_value_score,
-    (0.3 * {_inv('average_payment_delay')} + 0.3 * {_inv('payment_delay_variance')}
+    (0.3 * {_inv('average_delay_days')} + 0.3 * {_inv('delay_days_variance')}
      + 0.4 * {_m('net_amount')}) * 10 AS cash_flow_score,
-    (0.5 * {_inv('weighted_payment_delay_trend')} + 0.25 * {_inv('maximum_payment_delay')}
-     + 0.25 * {_inv('weighted_payment_delay_variance')}) * 10 AS historical_score
+    (0.5 * {_inv('weighted_delay_days_trend')} + 0.25 * {_inv('maximum_delay_days')}
+     + 0.25 * {_inv('weighted_delay_days_variance')}) * 10 AS historical_score
   FROM feat f CROSS JOIN b
 ),
 sc2 AS (
@@ -235,8 +235,8 @@ ts AS (
     coalesce(rc1.code, -1) AS region_level1,
     coalesce(rc2.code, -1) AS region_level2,
     coalesce(rc3.code, -1) AS region_level3,
-    CASE WHEN payment_delay <= 15 THEN 0 WHEN payment_delay <= 30 THEN 1 WHEN payment_delay <= 45 THEN 2
-         WHEN payment_delay <= 60 THEN 3 ELSE 4 END AS payment_bucket
+    CASE WHEN delay_days <= 15 THEN 0 WHEN delay_days <= 30 THEN 1 WHEN delay_days <= 45 THEN 2
+         WHEN delay_days <= 60 THEN 3 ELSE 4 END AS payment_bucket
   FROM kept k
   LEFT JOIN rc1 ON k.region_level1 = rc1.v
   LEFT JOIN rc2 ON k.region_level2 = rc2.v

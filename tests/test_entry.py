@@ -9,7 +9,7 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 5
-    assert df.columns == ["payment_bucket", "n_invoices", "avg_payment_delay"]
+    assert df.columns == ["payment_bucket", "n_invoices", "avg_delay_days"]
 
 
 def test_every_sql_key_is_a_query():

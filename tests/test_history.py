@@ -12,21 +12,21 @@ from conftest import SF01
 from fixtures import hand_invoices
 
 PAIR_A = {
-    "previous_payment_delay": [0, 5, -3, 20, 40],
-    "average_payment_delay": [5, 1, 7.3333, 15.5, 14.4],
+    "previous_delay_days": [0, 5, -3, 20, 40],
+    "average_delay_days": [5, 1, 7.3333, 15.5, 14.4],
     "number_of_previous_invoices": [0, 1, 2, 3, 4],
     "total_amount_of_previous_invoices": [100, 300, 600, 1000, 1500],
     "average_invoice_amount": [0, 300, 300, 333.3333, 375],
     "payment_deviation": [0, 5.6569, 11.6762, 18.9121, 16.562],
-    "payment_delay_variance": [0, 5.6569, 11.6762, 18.9121, 16.562],
+    "delay_days_variance": [0, 5.6569, 11.6762, 18.9121, 16.562],
     "invoice_deviation": [0, 70.7107, 100, 129.0994, 158.1139],
     "has_delayed_payment_last_3": [0, 0, 1, 1, 1],
     "has_early_payment_last_3": [0, 0, 0, 0, 0],
-    "payment_delay_trend": [0, 0, 0, 11.6667, 4.3333],
+    "delay_days_trend": [0, 0, 0, 11.6667, 4.3333],
     "invoice_amount_trend": [0, 0, 0, 100, 100],
-    "maximum_payment_delay": [5, 5, 20, 40, 40],
-    "overall_payment_delay_trend": [5.3] * 5,
-    "payment_delay_trend_acceleration": [0, 0, 31, -3, -50],
+    "maximum_delay_days": [5, 5, 20, 40, 40],
+    "overall_delay_days_trend": [5.3] * 5,
+    "delay_days_trend_acceleration": [0, 0, 31, -3, -50],
 }
 
 
@@ -45,15 +45,15 @@ def test_hand_pairs(spark, max_rows):
     b = [rows[i] for i in (6, 7, 8)]
     assert [r["has_early_payment_last_3"] for r in b] == [0, 0, 1]
     assert [r["has_delayed_payment_last_3"] for r in b] == [0, 0, 0]
-    assert [r["maximum_payment_delay"] for r in b] == [-5, -2, -1]
-    assert [r["overall_payment_delay_trend"] for r in b] == pytest.approx([2, 2, 2])
-    assert [r["payment_delay_trend_acceleration"] for r in b] == [0, 0, -2]
+    assert [r["maximum_delay_days"] for r in b] == [-5, -2, -1]
+    assert [r["overall_delay_days_trend"] for r in b] == pytest.approx([2, 2, 2])
+    assert [r["delay_days_trend_acceleration"] for r in b] == [0, 0, -2]
     assert [r["payment_deviation"] for r in b] == pytest.approx([0, 2.1213, 2.0817], abs=1e-4)
     assert [r["invoice_deviation"] for r in b] == pytest.approx([0, 0, 17.3205], abs=1e-4)
     c = rows[9]
-    assert c["overall_payment_delay_trend"] == 0
+    assert c["overall_delay_days_trend"] == 0
     assert c["payment_deviation"] == 0 and c["invoice_deviation"] == 0
-    assert c["average_invoice_amount"] == 0 and c["maximum_payment_delay"] == 70
+    assert c["average_invoice_amount"] == 0 and c["maximum_delay_days"] == 70
     assert [rows[i]["frequency_of_transactions"] for i in range(1, 10)] == [8] * 8 + [1]
 
 
@@ -82,13 +82,13 @@ def test_split_pairs_equal_plain_windows(spark, max_rows):
 def test_leak_free_history_uses_earlier_rows_only(spark):
     params = HistoryParams(include_current=False)
     feats = invoice_features(clean_invoices(hand_invoices(spark), as_of="2026-01-01"), params)
-    rows = _by_id(feats, ["previous_payment_delay", "average_payment_delay", "maximum_payment_delay",
-                          "number_of_previous_invoices", "payment_delay", "overall_payment_delay_trend"])
+    rows = _by_id(feats, ["previous_delay_days", "average_delay_days", "maximum_delay_days",
+                          "number_of_previous_invoices", "delay_days", "overall_delay_days_trend"])
     # pair A delays 5, -3, 20, 40, 10: each row sees the delays before it only
-    assert [rows[i]["average_payment_delay"] for i in range(1, 6)] == pytest.approx([0, 5, 1, 22 / 3, 15.5])
-    assert [rows[i]["maximum_payment_delay"] for i in range(1, 6)] == [0, 5, 5, 20, 40]
+    assert [rows[i]["average_delay_days"] for i in range(1, 6)] == pytest.approx([0, 5, 1, 22 / 3, 15.5])
+    assert [rows[i]["maximum_delay_days"] for i in range(1, 6)] == [0, 5, 5, 20, 40]
     assert [rows[i]["number_of_previous_invoices"] for i in range(1, 6)] == [0, 1, 2, 3, 4]
-    assert [rows[i]["previous_payment_delay"] for i in range(1, 6)] == [0, 5, -3, 20, 40]
-    assert [rows[i]["payment_delay"] for i in range(1, 6)] == [5, -3, 20, 40, 10]
+    assert [rows[i]["previous_delay_days"] for i in range(1, 6)] == [0, 5, -3, 20, 40]
+    assert [rows[i]["delay_days"] for i in range(1, 6)] == [5, -3, 20, 40, 10]
     # slope over the first three delays (5, -3, 20) only
-    assert rows[4]["overall_payment_delay_trend"] == pytest.approx(7.5)
+    assert rows[4]["overall_delay_days_trend"] == pytest.approx(7.5)

@@ -16,12 +16,12 @@ from arrears.operators.features import invoice_features
 from arrears.params import HistoryParams
 from arrears.schema import INVOICE_SCHEMA
 
-COLS = ["previous_payment_delay", "average_payment_delay", "number_of_previous_invoices",
+COLS = ["previous_delay_days", "average_delay_days", "number_of_previous_invoices",
         "total_amount_of_previous_invoices", "average_invoice_amount", "payment_deviation",
-        "invoice_deviation", "has_delayed_payment_last_3", "has_early_payment_last_3", "payment_delay_trend",
-        "invoice_amount_trend", "maximum_payment_delay", "overall_payment_delay_trend",
-        "payment_delay_trend_acceleration", "payment_delay_variance", "frequency_of_transactions",
-        "running_payment_delay_trend"]
+        "invoice_deviation", "has_delayed_payment_last_3", "has_early_payment_last_3", "delay_days_trend",
+        "invoice_amount_trend", "maximum_delay_days", "overall_delay_days_trend",
+        "delay_days_trend_acceleration", "delay_days_variance", "frequency_of_transactions",
+        "running_delay_days_trend"]
 
 
 def random_invoices(seed=7, n=600):
@@ -48,8 +48,8 @@ def brute_force(rows):
         y, a = g["y"].astype(float), g["net_amount"].astype(float)
         n = len(g)
         r = pd.DataFrame({"invoice_id": g["invoice_id"].values})
-        r["previous_payment_delay"] = y.shift().fillna(0).values
-        r["average_payment_delay"] = y.expanding().mean().values
+        r["previous_delay_days"] = y.shift().fillna(0).values
+        r["average_delay_days"] = y.expanding().mean().values
         r["number_of_previous_invoices"] = np.arange(n)
         tot = a.expanding().sum().values
         r["total_amount_of_previous_invoices"] = tot
@@ -59,14 +59,14 @@ def brute_force(rows):
         m3 = y.rolling(3).max()
         r["has_delayed_payment_last_3"] = (m3 > 0).astype(int).values
         r["has_early_payment_last_3"] = (m3 < 0).astype(int).values
-        r["payment_delay_trend"] = y.rolling(3).mean().diff().fillna(0).values
+        r["delay_days_trend"] = y.rolling(3).mean().diff().fillna(0).values
         r["invoice_amount_trend"] = a.rolling(3).mean().diff().fillna(0).values
-        r["maximum_payment_delay"] = y.expanding().max().values
-        r["overall_payment_delay_trend"] = np.polyfit(np.arange(n), y.values, 1)[0] if n > 1 else 0.0
-        r["running_payment_delay_trend"] = [
+        r["maximum_delay_days"] = y.expanding().max().values
+        r["overall_delay_days_trend"] = np.polyfit(np.arange(n), y.values, 1)[0] if n > 1 else 0.0
+        r["running_delay_days_trend"] = [
             np.polyfit(np.arange(i + 1), y.values[: i + 1], 1)[0] if i > 0 else 0.0 for i in range(n)]
-        r["payment_delay_trend_acceleration"] = y.diff().diff().fillna(0).values
-        r["payment_delay_variance"] = r["payment_deviation"]
+        r["delay_days_trend_acceleration"] = y.diff().diff().fillna(0).values
+        r["delay_days_variance"] = r["payment_deviation"]
         out.append(r)
     res = pd.concat(out)
     freq = df.groupby("customer_id")["invoice_id"].count()

@@ -9,8 +9,8 @@ from arrears.plans.preprocess import features_table
 from arrears.sources.invoices import invoices_table
 from conftest import SF01
 
-COLS = ["previous_payment_delay", "average_payment_delay", "number_of_previous_invoices",
-        "overall_payment_delay_trend", "payment_deviation", "invoice_deviation", "maximum_payment_delay",
+COLS = ["previous_delay_days", "average_delay_days", "number_of_previous_invoices",
+        "overall_delay_days_trend", "payment_deviation", "invoice_deviation", "maximum_delay_days",
         "has_delayed_payment_last_3", "frequency_of_transactions"]
 
 
@@ -32,5 +32,5 @@ def test_chunked_as_of_equals_plain(spark, max_rows):
 def test_open_rows_have_no_delay_and_known_history(spark):
     inv = invoices_table(spark, SF01)
     f = open_invoice_features(features_table(inv), open_invoice_rows(inv))
-    assert f.filter(F.col("payment_delay").isNotNull()).count() == 0
+    assert f.filter(F.col("delay_days").isNotNull()).count() == 0
     assert f.filter(F.col("number_of_previous_invoices") > 0).count() > 0

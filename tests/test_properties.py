@@ -37,9 +37,9 @@ def test_positions_and_running_max(feats):
     w = Window.partitionBy(*PAIR).orderBy("invoice_date", "invoice_id")
     chk = feats.select(
         (F.col("number_of_previous_invoices") == F.row_number().over(w) - 1).alias("pos_ok"),
-        (F.col("maximum_payment_delay") >= F.coalesce(F.lag("maximum_payment_delay").over(w),
-                                                     F.col("maximum_payment_delay"))).alias("max_ok"),
-        (F.col("maximum_payment_delay") >= F.col("payment_delay")).alias("max_ge"),
+        (F.col("maximum_delay_days") >= F.coalesce(F.lag("maximum_delay_days").over(w),
+                                                     F.col("maximum_delay_days"))).alias("max_ok"),
+        (F.col("maximum_delay_days") >= F.col("delay_days")).alias("max_ge"),
     )
     assert chk.filter(~F.col("pos_ok") | ~F.col("max_ok") | ~F.col("max_ge")).count() == 0
 
