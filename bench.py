@@ -89,10 +89,6 @@ def main():
     def q_sorted():
         run(sorted_invoices(clean_invoices(inv())))
 
-    def q_train_boosted():
-        # the tuned preset's depth and rate at few rounds (its own size, not the preset's 1580)
-        run(train(stored_ts[0], ml.tuned_boosting(rounds=2)).predictions)
-
     stored_ts, stored_feats = [], []
     model_metrics = {}
 
@@ -119,7 +115,6 @@ def main():
         "leak_free_history": q_leak_free,
         "open_invoice_features": q_open_invoices,
         "x2_train_rf": q_train_rf,
-        "x2_train_boosted_2_rounds": q_train_boosted,
     }
     q_training_set()  # warm-up: JVM, codegen, file listing
     stored_ts.append(materialize(preprocess(inv()), "bench-ts"))
