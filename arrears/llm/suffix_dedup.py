@@ -334,23 +334,26 @@ def suffix_dedup(docs: DataFrame, match: int = 50, block_docs: int = DOCS_PER_BL
 
     Null and empty texts: 0 bytes, no spans. Texts shorter than ``match`` lose
     nothing. Rows that share a doc_id are one document and remove nothing from
-    each other. Null doc_ids are refused (no order is defined). Empty table:
-    no rows. ``match`` must be 17 to 79.
+    each other. A null doc_id has no order, so its rows lose and remove nothing.
+    Empty table: no rows. ``match`` must be 17 to 79.
     """
     if not TRIGGER < match < TRIGGER + 64:
         raise ValueError(f"match must be {TRIGGER + 1} to {TRIGGER + 63}")
     spark = docs.sparkSession
     blocks = max(1, -(-docs.count() // block_docs))
     buckets = max(8, shuffle_partitions(spark))
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.raise_error(F.lit("doc_id is null")).cast("long")).alias("doc_id"),
-                         F.col("text").cast("string").alias("text"))
-    source = source.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"), "doc_id", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = texts.filter("doc_id is not null").select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"), "doc_id", "text")
     by_block = source.groupBy("block")
     entries = by_block.applyInArrow(_phrases(buckets, match), _ENTRY)
     told = entries.groupBy("bucket").applyInArrow(_dictionary, _FLAG)
     suffixes = by_block.cogroup(told.groupBy("block")).applyInArrow(_suffixes(buckets, match), _ENTRY)
     ordered = suffixes.groupBy("bucket").applyInArrow(_order, _FLAG)
-    return by_block.cogroup(told.unionAll(ordered).groupBy("block")).applyInArrow(_cut(match), _OUT)
+    cut = by_block.cogroup(told.unionAll(ordered).groupBy("block")).applyInArrow(_cut(match), _OUT)
+    whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    unordered = texts.filter("doc_id is null").select(
+        "doc_id", F.length(whole).cast("long").alias("n_bytes"), F.array().cast("array<long>").alias("spans"), whole.alias("kept"))
+    return cut.unionAll(unordered)
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
