@@ -10,7 +10,8 @@ chance that a near vector lies on its side of each split above it (a normal
 model of the query's margin there), and the cheapest is opened next, until
 ``reach`` times one tree's leaves are open, over all trees, and one tree alone
 has shown enough vectors. Vectors and probes meet per leaf; a leaf of more
-than ``block_rows`` vectors is split into blocks that each get the probes.
+than ``block_rows`` vectors or probes is split into blocks, and every block of
+vectors meets every block of probes. Equal query vectors are one probe.
 Distances are exact, in double precision on the original vectors; a block
 returns each probe's best ``k`` and the best of those are the answer.
 Vectors without any structure are the worst case: there (64 dimensions, near
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arrears.llm.common import shuffle_partitions
 from arrears.session import materialize
 
 SAMPLE = 20_000
@@ -166,32 +168,45 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
         if left.num_rows and right.num_rows:
             ids, x = left.column("id").to_numpy(), _matrix(left.column("v"))
             asked, ys = right.column("id").to_numpy(), _matrix(right.column("v"))
-            step = max(1, 4_000_000 // max(1, x.size))
+            step, best = max(1, 4_000_000 // max(1, x.size)), min(k + 1, len(ids))
             for i in range(0, len(asked), step):
                 score = np.sqrt(((ys[i: i + step, None, :] - x[None]) ** 2).sum(2))
-                score[asked[i: i + step, None] == ids[None]] = np.inf
-                last = np.partition(score, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-                row, col = np.nonzero((score <= last[:, None]) & np.isfinite(score))  # all that tie with the k-th stay in play
+                last = np.partition(score, best - 1, axis=1)[:, best - 1]
+                row, col = np.nonzero(score <= last[:, None])  # all that tie with the last stay in play
                 order = np.lexsort((ids[col], score[row, col], row))
                 row, col = row[order], col[order]
                 place = np.arange(len(row)) - np.searchsorted(row, row)
-                row, col = row[place < k], col[place < k]
+                row, col = row[place <= k], col[place <= k]
                 out_q.append(asked[i + row])
                 out_v.append(ids[col])
                 out_s.append(score[row, col])
         done = [np.concatenate(c) if c else np.zeros(0) for c in (out_q, out_v, out_s)]
-        return pa.table({"query_id": pa.array(done[0].astype(np.int64)), "vec_id": pa.array(done[1].astype(np.int64)), "score": pa.array(done[2].astype(float))})
+        return pa.table({"asked": pa.array(done[0].astype(np.int64)), "vec_id": pa.array(done[1].astype(np.int64)), "score": pa.array(done[2].astype(float))})
 
     copies = Window.partitionBy("v").orderBy("id")
     distinct = rows.withColumn("r", F.row_number().over(copies)).filter(F.col("r") <= k + 1).select("id", "v")
     filed = materialize(distinct.mapInArrow(file, "cell long, id long, v array<double>"), "filed")
-    blocks = filed.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-    asked = rows.filter(is_query).mapInArrow(probe, "cell long, id long, v array<double>").join(blocks, "cell")
-    asked = asked.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select("cell", "block", "id", "v")
-    placed = filed.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select("cell", "block", "id", "v")
-    met = placed.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block")).applyInArrow(rerank, "query_id long, vec_id long, score double")
-    best = met.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_set(F.struct("score", "vec_id"))), 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("at", "b")).select(
+    # equal query vectors are asked once, as the smallest of their ids; the query itself leaves the answer at the end
+    queries = rows.filter(is_query)
+    first = materialize(queries.groupBy("v").agg(F.min("id").alias("id")), "asked")
+    probes = materialize(first.select("id", "v").repartition(shuffle_partitions(spark), "id").mapInArrow(probe, "cell long, id long, v array<double>"), "probes")
+
+    def blocks(table, name):
+        return table.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
+
+    # every block of a cell's vectors meets every block of its probes
+    sizes = materialize(blocks(filed, "rows").join(blocks(probes, "asks"), "cell"), "cells")
+
+    def spread(table, mine, others):
+        split = table.join(sizes, "cell").withColumn(mine[0], F.pmod(F.xxhash64("id"), F.col(mine)).cast("int"))
+        return split.withColumn(others[0], F.explode(F.sequence(F.lit(0), F.col(others) - 1))).select("cell", "r", "a", "id", "v")
+
+    met = spread(filed, "rows", "asks").groupBy("cell", "r", "a").cogroup(spread(probes, "asks", "rows").groupBy("cell", "r", "a")).applyInArrow(
+        rerank, "asked long, vec_id long, score double")
+    best = met.groupBy("asked").agg(F.slice(F.sort_array(F.collect_set(F.struct("score", "vec_id"))), 1, k + 1).alias("best"))
+    asker = queries.join(first.withColumnRenamed("id", "asked"), "v").select(F.col("id").alias("query_id"), "asked")
+    found = asker.join(best, "asked").select("query_id", F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k).alias("best"))
+    return found.select("query_id", F.posexplode("best").alias("at", "b")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), "b.vec_id", "b.score")
 
 
