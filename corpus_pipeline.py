@@ -36,7 +36,8 @@ def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of every near-duplicate class; rows with a null doc_id stay."""
     kept = near_dup_classes(docs.select("doc_id", "text")).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    rows = docs.select(F.struct("*").alias("_row"))
+    return rows.join(kept, F.col("_row.doc_id").eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")
 
 
 def pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +48,18 @@ def pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    copies = mix_copies(docs.select("doc_id", "source", "text")).filter("copies > 0").select(F.col("doc_id").alias("_id"), "copies", "size")
-    copies = copies.withColumn("_nth", F.row_number().over(Window.partitionBy("_id").orderBy("size", "copies")))
-    rows = docs.withColumn("_n", F.row_number().over(order))
-    taken = rows.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_nth")))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    """Every document as often as the mix takes it; rows that share doc_id, source and size are told apart by their texts."""
+    key = ("_id", "_source", "_size")
+    copies = mix_copies(docs.select("doc_id", "source", "text")).select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
+    copies = copies.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy("_copies")))
+    rows = docs.select(F.struct("*").alias("_row")).select(
+        "_row", F.col("_row.doc_id").cast("long").alias("_id"), F.col("_row.source").cast("string").alias("_source"),
+        F.coalesce(F.regexp_count("_row.text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("_size"))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("_row.text"))))
+    its = copies.filter("_copies > 0").select(*[F.col(c).alias(f"its{c}") for c in (*key, "_nth")], "_copies")
+    taken = rows.join(its, [F.col(c).eqNullSafe(F.col(f"its{c}")) for c in (*key, "_nth")])
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_row.*")
 
 
 def bpe(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
