@@ -5,7 +5,8 @@ invoice_id), ``y`` = days of delay, ``a`` = net amount):
 
 * running statistics include the current invoice (mean, sum, sample std,
   max), ``number_of_previous_invoices`` is the 0-based position;
-* the 3-row rolling flags and trends need three (four for the trend) rows;
+* the rolling flags and trends over ``rolling_rows`` rows (three) need that
+  many rows (one more for the trend);
 * ``overall_delay_days_trend`` is the least-squares slope of ``y`` against
   the position over the whole pair (0 for a single invoice);
 * ``frequency_of_transactions`` counts the customer's invoices (all companies).
@@ -17,7 +18,7 @@ taken together, and a day that is itself too large is cut at every
 ``max_chunk_rows``-th row of its sorted ids. (Rows that share day and id stay
 together; null ids sort first.) Windows run per chunk; a small per-chunk summary
 gives each chunk the exact carry of all earlier chunks (count, sums, centred
-sums of squares, max, last four values), which is merged into the local
+sums of squares, max, last ``rolling_rows`` + 1 values), which is merged into the local
 running values with the parallel-variance formula. Pairs below the threshold
 form a single chunk and take exactly the plain window path.
 
@@ -145,7 +146,12 @@ def _block(bounds: str, steps: str) -> Column:
     return F.when(F.col(bounds).isNotNull(), found).otherwise(F.lit(0)).cast("long")
 
 
-def _local_windows(df: DataFrame, y: str, a: str) -> DataFrame:
+def _kept(rolling: int) -> int:
+    """Latest values of a pair that the features look at: a rolling window and the row before it, three at least."""
+    return max(rolling, 2) + 1
+
+
+def _local_windows(df: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
     w = Window.partitionBy(*CHUNK).orderBy(*ORDER)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -160,12 +166,8 @@ def _local_windows(df: DataFrame, y: str, a: str) -> DataFrame:
         "_lna": F.count(A).over(run),
         "_lva": F.var_pop(A).over(run),
         "_lsda": F.stddev_samp(A).over(run),
-        "_y1": F.lag(Y, 1).over(w),
-        "_y2": F.lag(Y, 2).over(w),
-        "_y3": F.lag(Y, 3).over(w),
-        "_a1": F.lag(A, 1).over(w),
-        "_a2": F.lag(A, 2).over(w),
-        "_a3": F.lag(A, 3).over(w),
+        **{f"_y{k}": F.lag(Y, k).over(w) for k in range(1, _kept(rolling))},
+        **{f"_a{k}": F.lag(A, k).over(w) for k in range(1, _kept(rolling))},
         "_cn": F.count(F.lit(1)).over(whole),
         "_csy": F.sum(Y).over(whole),
     })
@@ -173,10 +175,11 @@ def _local_windows(df: DataFrame, y: str, a: str) -> DataFrame:
     return stage1.withColumns({"_csiy": F.sum(iy).over(whole), "_lsiy": F.sum(iy).over(run)})
 
 
-def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
+def _chunk_carries(local: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
     """Exclusive carries of earlier chunks, for chunks of hot pairs only."""
     last = F.col("_rn") == F.col("_cn")
-    keep = F.least(F.col("_cn"), F.lit(4)).cast("int")
+    kept = _kept(rolling)
+    keep = F.least(F.col("_cn"), F.lit(kept)).cast("int")
     summary = local.filter(last & F.col("_hot")).select(
         *CHUNK,
         F.col("_cn").alias("n"),
@@ -187,8 +190,8 @@ def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
         F.col("_lna").alias("na"),
         F.coalesce(F.col("_lva") * F.col("_lna"), F.lit(0.0)).alias("m2a"),
         F.col("_csiy").alias("siy"),
-        F.reverse(F.slice(F.array(F.col(y), "_y1", "_y2", "_y3"), 1, keep)).alias("lasty"),
-        F.reverse(F.slice(F.array(F.col(a), "_a1", "_a2", "_a3"), 1, keep)).alias("lasta"),
+        F.reverse(F.slice(F.array(F.col(y), *[f"_y{k}" for k in range(1, kept)]), 1, keep)).alias("lasty"),
+        F.reverse(F.slice(F.array(F.col(a), *[f"_a{k}" for k in range(1, kept)]), 1, keep)).alias("lasta"),
     )
     ws = Window.partitionBy(*PAIR).orderBy("_cday", "_csub")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -202,18 +205,10 @@ def _chunk_carries(local: DataFrame, y: str, a: str) -> DataFrame:
         "_pair_n": F.sum("n").over(allc),
         "_pair_sy": F.sum("sy").over(allc),
         "_mu_a": F.try_divide(F.sum("sa").over(allc), F.sum("na").over(allc)),
-        "_py": F.reverse(F.concat(
-            F.coalesce(F.lag("lasty", 4).over(ws), _empty("int")),
-            F.coalesce(F.lag("lasty", 3).over(ws), _empty("int")),
-            F.coalesce(F.lag("lasty", 2).over(ws), _empty("int")),
-            F.coalesce(F.lag("lasty", 1).over(ws), _empty("int")),
-        )),
-        "_pa": F.reverse(F.concat(
-            F.coalesce(F.lag("lasta", 4).over(ws), _empty("double")),
-            F.coalesce(F.lag("lasta", 3).over(ws), _empty("double")),
-            F.coalesce(F.lag("lasta", 2).over(ws), _empty("double")),
-            F.coalesce(F.lag("lasta", 1).over(ws), _empty("double")),
-        )),
+        "_py": F.reverse(F.concat(*[
+            F.coalesce(F.lag("lasty", k).over(ws), _empty("int")) for k in range(kept, 0, -1)])),
+        "_pa": F.reverse(F.concat(*[
+            F.coalesce(F.lag("lasta", k).over(ws), _empty("double")) for k in range(kept, 0, -1)])),
     })
     mu_y = F.col("_pair_sy") / F.col("_pair_n")
     qy = F.col("m2y") + F.col("n") * F.pow(F.col("sy") / F.col("n") - mu_y, 2)
@@ -260,15 +255,23 @@ def _slope(n: Column, sy: Column, siy: Column) -> Column:
     ).otherwise(F.lit(0.0))
 
 
-def _features(j: DataFrame, y: str, a: str) -> DataFrame:
+def _largest(columns: list) -> Column:
+    return F.greatest(*columns) if len(columns) > 1 else columns[0]
+
+
+def _features(j: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
     Y, A = F.col(y), F.col(a)
     pn = F.coalesce(F.col("_pn"), F.lit(0)).cast("long")
     pna = F.coalesce(F.col("_pna"), F.lit(0)).cast("long")
     rn = F.col("_rn").cast("long")
     pos = pn + rn - 1
     n = pn + rn
-    y1, y2, y3 = (_back("_y", "_py", k) for k in (1, 2, 3))
-    a1, a2, a3 = (_back("_a", "_pa", k) for k in (1, 2, 3))
+    back_y = [_back("_y", "_py", k) for k in range(1, _kept(rolling))]
+    back_a = [_back("_a", "_pa", k) for k in range(1, rolling + 1)]
+    y1, y2 = back_y[:2]
+    whole_a = A.isNotNull()
+    for earlier in back_a:
+        whole_a = whole_a & earlier.isNotNull()
     na = pna + F.col("_lna")
     total_a = F.when(na == 0, F.lit(None).cast("double")).otherwise(
         F.coalesce(F.col("_psa"), F.lit(0.0)) + F.coalesce(F.col("_lsa"), F.lit(0.0))
@@ -282,7 +285,8 @@ def _features(j: DataFrame, y: str, a: str) -> DataFrame:
         F.col("_lna").cast("double"), F.col("_lva") * F.col("_lna"), F.try_divide(F.col("_lsa"), F.col("_lna")),
         F.col("_lsda"),
     )
-    last3 = F.greatest(Y, y1, y2)
+    latest = _largest([Y, *back_y[:rolling - 1]])
+    full, more = pos >= rolling - 1, pos >= rolling
     tn = F.coalesce(F.col("_pair_n"), F.col("_cn")).cast("double")
     tsy = F.coalesce(F.col("_pair_sy"), F.col("_csy")).cast("double")
     tsiy = F.coalesce(F.col("_pair_siy"), F.col("_csiy"))
@@ -300,13 +304,12 @@ def _features(j: DataFrame, y: str, a: str) -> DataFrame:
         "average_invoice_amount": F.when(pos == 0, F.lit(0.0)).otherwise(F.try_divide(total_a, pos)),
         "payment_deviation": pay_std,
         "invoice_deviation": inv_std,
-        "has_delayed_payment_last_3": ((pos >= 2) & (last3 > 0)).cast("int"),
-        "has_early_payment_last_3": ((pos >= 2) & (last3 < 0)).cast("int"),
-        "delay_days_trend": F.when(pos >= 3, (Y - y3) / F.lit(3.0)).otherwise(F.lit(0.0)),
+        "has_delayed_payment_last_3": (full & (latest > 0)).cast("int"),
+        "has_early_payment_last_3": (full & (latest < 0)).cast("int"),
+        "delay_days_trend": F.when(
+            more, (Y - back_y[rolling - 1]) / F.lit(float(rolling))).otherwise(F.lit(0.0)),
         "invoice_amount_trend": F.when(
-            (pos >= 3) & A.isNotNull() & a1.isNotNull() & a2.isNotNull() & a3.isNotNull(),
-            (A - a3) / F.lit(3.0),
-        ).otherwise(F.lit(0.0)),
+            more & whole_a, (A - back_a[-1]) / F.lit(float(rolling))).otherwise(F.lit(0.0)),
         "maximum_delay_days": F.greatest(F.col("_pmaxy"), F.col("_lmaxy")),
         "overall_delay_days_trend": slope,
         "delay_days_trend_acceleration": F.when(pos >= 2, Y - 2 * y1 + y2).otherwise(F.lit(0)),
@@ -334,7 +337,8 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
     total, largest = stats.agg(F.sum("_pair_rows"), F.max("_pair_rows")).first()
     max_rows = resolve_chunk_rows(total or 0, params, partitions)
     chunked, n_hot = assign_chunks(df, stats, max_rows, largest or 0)
-    local = _local_windows(chunked, y, a)
+    rolling = params.rolling_rows
+    local = _local_windows(chunked, y, a, rolling)
     carry = stats.filter(F.col("_pair_rows") <= max_rows).select(
         *PAIR, "frequency_of_transactions", F.lit(0).alias("_cday"), F.lit(0).cast("long").alias("_csub")
     )
@@ -342,7 +346,7 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
         # summaries from the hot rows only: the filter and column pruning reach
         # below the repartition, so this extra exchange moves hot rows with a
         # few narrow columns instead of re-sorting every row
-        chunk_carry = _chunk_carries(_local_windows(chunked.filter(F.col("_hot")), y, a), y, a)
+        chunk_carry = _chunk_carries(_local_windows(chunked.filter(F.col("_hot")), y, a, rolling), y, a, rolling)
         freq = stats.filter(F.col("_pair_rows") > max_rows).select(*PAIR, "frequency_of_transactions")
         carry = carry.unionByName(chunk_carry.join(freq, PAIR), allowMissingColumns=True)
     else:
@@ -352,14 +356,14 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
             carry = carry.withColumn(c, F.lit(None).cast(t))
         carry = carry.withColumns({"_py": F.lit(None).cast("array<int>"), "_pa": F.lit(None).cast("array<double>")})
     joined = local.join(carry, CHUNK, "left")
-    out = _features(joined, y, a)
+    out = _features(joined, y, a, rolling)
     if not params.include_current:
-        out = _leak_free(out)
+        out = _leak_free(out, rolling)
     helpers = [c for c in out.columns if c not in df.columns and c not in HISTORY_COLUMNS]
     return out.drop(*helpers)
 
 
-def _leak_free(rows: DataFrame) -> DataFrame:
+def _leak_free(rows: DataFrame, rolling: int) -> DataFrame:
     """History from earlier invoices only: each row takes the values of the row before it in its pair.
 
     Inside a chunk that is a lag over the order the rows already have; the
@@ -368,10 +372,13 @@ def _leak_free(rows: DataFrame) -> DataFrame:
     ``overall_delay_days_trend`` is the slope over the earlier rows.
     """
     pn, pna = F.col("_pn"), F.col("_pna")
-    y = [F.get("_py", F.lit(k)) for k in range(4)]
-    a = [F.get("_pa", F.lit(k)) for k in range(4)]
+    y = [F.get("_py", F.lit(k)) for k in range(_kept(rolling))]
+    a = [F.get("_pa", F.lit(k)) for k in range(rolling + 1)]
+    whole_a = pn > rolling
+    for earlier in a:
+        whole_a = whole_a & earlier.isNotNull()
     total = F.when(pna > 0, F.col("_psa"))
-    three, four = pn >= 3, pn >= 4
+    latest, full, more = _largest(y[:rolling]), pn >= rolling, pn > rolling
 
     def std(n, m2):
         return F.when(n > 1, F.sqrt(F.try_divide(m2, n - 1))).otherwise(F.lit(0.0))
@@ -383,14 +390,13 @@ def _leak_free(rows: DataFrame) -> DataFrame:
         "payment_deviation": std(pn, F.col("_pm2y")),
         "delay_days_variance": std(pn, F.col("_pm2y")),
         "invoice_deviation": std(pna, F.col("_pm2a")),
-        "has_delayed_payment_last_3": (three & (F.greatest(*y[:3]) > 0)).cast("int"),
-        "has_early_payment_last_3": (three & (F.greatest(*y[:3]) < 0)).cast("int"),
-        "delay_days_trend": F.when(four, (y[0] - y[3]) / F.lit(3.0)),
-        "invoice_amount_trend": F.when(
-            four & a[1].isNotNull() & a[2].isNotNull(), (a[0] - a[3]) / F.lit(3.0)),
+        "has_delayed_payment_last_3": (full & (latest > 0)).cast("int"),
+        "has_early_payment_last_3": (full & (latest < 0)).cast("int"),
+        "delay_days_trend": F.when(more, (y[0] - y[rolling]) / F.lit(float(rolling))),
+        "invoice_amount_trend": F.when(whole_a, (a[0] - a[rolling]) / F.lit(float(rolling))),
         "maximum_delay_days": F.col("_pmaxy"),
         "overall_delay_days_trend": _slope(pn.cast("double"), F.col("_psy").cast("double"), F.col("_psiy")),
-        "delay_days_trend_acceleration": F.when(three, y[0] - 2 * y[1] + y[2]),
+        "delay_days_trend_acceleration": F.when(pn >= 3, y[0] - 2 * y[1] + y[2]),
         "frequency_of_transactions": F.when(pn > 0, F.col("frequency_of_transactions")),
     }
     w = Window.partitionBy(*CHUNK).orderBy(*ORDER)

@@ -26,6 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 from ..params import LABEL, NON_FEATURE_COLUMNS, TUNED_BOOSTING
 from ..session import ensure_checkpoint_dir
@@ -35,11 +36,15 @@ ID_COLUMNS = ("invoice_id", "customer_id", "company_id")
 
 
 def feature_columns(df: DataFrame, include_ids: bool = True, label: str = LABEL) -> list[str]:
-    """Every column left after the projection (F10), ids included by default (M1)."""
+    """Every number or flag left after the projection (F10), ids included by default (M1).
+
+    The caller's own numeric columns are features too; texts, dates and nested columns are carried only.
+    """
     skip = set(NON_FEATURE_COLUMNS) | {label, "weight", "invoice_year"}
     if not include_ids:
         skip |= set(ID_COLUMNS)
-    return [c for c in df.columns if c not in skip]
+    return [f.name for f in df.schema.fields
+            if f.name not in skip and isinstance(f.dataType, (NumericType, BooleanType))]
 
 
 def assembler(columns, output: str = "features") -> VectorAssembler:

@@ -18,6 +18,7 @@ REGION_COLUMNS = ("region_level1", "region_level2", "region_level3")
 BUCKET_EDGES = (15, 30, 45, 60)
 BUCKET_LABELS = ("0-15days", "15-30days", "30-45days", "45-60days", "60days")
 DECAY_ALPHA = 0.1
+ROLLING_ROWS = 3
 RISK_WEIGHTS = (
     ("average_delay_days", 0.2, "inverse"),
     ("maximum_delay_days", 0.2, "inverse"),
@@ -167,12 +168,20 @@ class HistoryParams:
     is itself larger is cut along its sorted ids), so no single task has to hold a
     hot pair.  ``None`` derives it from the row count and the number of
     shuffle partitions.
+
+    ``rolling_rows``: length of the rolling flags and trends (the ``_last_3``
+    columns keep their names; the acceleration is always over three rows).
     """
 
     include_current: bool = True
     max_chunk_rows: int | None = None
     min_chunk_rows: int = 200_000
     num_partitions: int | None = None
+    rolling_rows: int = ROLLING_ROWS
+
+    def __post_init__(self):
+        if self.rolling_rows < 1:
+            raise ValueError("rolling_rows must be at least 1")
 
 
 @dataclass(frozen=True)

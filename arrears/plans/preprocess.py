@@ -18,6 +18,7 @@ from ..operators.scoring import (
     with_bounds,
 )
 from ..params import TRAINING_SET_COLUMNS, HistoryParams, ScoreParams
+from ..schema import INVOICE_SCHEMA
 from ..session import materialize
 
 
@@ -41,11 +42,21 @@ def scored_table(feats: DataFrame, scores: ScoreParams = ScoreParams()) -> DataF
     return finish_scores(scored, global_max(scored), scores)
 
 
+def extra_columns(invoices: DataFrame) -> list[str]:
+    known = {*INVOICE_SCHEMA.names, *TRAINING_SET_COLUMNS}
+    return [c for c in invoices.columns if c.lower() not in known]
+
+
 def preprocess(invoices: DataFrame, as_of=None, history: HistoryParams = HistoryParams(),
                scores: ScoreParams = ScoreParams(), drop_unscorable: bool = True) -> DataFrame:
-    """The training set (FIXTURES.md §2 column order)."""
+    """The training set (FIXTURES.md §2 column order), then the caller's own columns.
+
+    Columns of ``invoices`` outside its schema come along unchanged; one with
+    the name of a training column gives way to that.
+    """
+    own = extra_columns(invoices)
     scored = scored_table(features_table(invoices, as_of, history, scores), scores)
     if drop_unscorable:
         scored = filter_scorable(scored)
     out = scored.transform(region_codes).transform(add_payment_bucket)
-    return out.select(*TRAINING_SET_COLUMNS)
+    return out.select(*TRAINING_SET_COLUMNS, *own)

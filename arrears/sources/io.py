@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.columns import bucket_label
 from ..schema import INVOICE_CSV_SCHEMA, TRAINING_SET_SCHEMA
@@ -21,10 +21,15 @@ def read_invoices_csv(spark: SparkSession, path: str, schema=INVOICE_CSV_SCHEMA)
     Only the header is read first: columns are matched by lower-cased name in
     any order, and columns that the schema does not know come along as text.
     """
+    return normalize_columns(_csv_by_name(spark, path, schema))
+
+
+def _csv_by_name(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     kinds = {f.name.lower(): f.dataType for f in schema.fields}
     header = spark.read.option("header", True).csv(path).columns
     found = StructType([StructField(c, kinds.get(c.lower(), StringType())) for c in header])
-    return normalize_columns(spark.read.option("header", True).option("enforceSchema", False).schema(found).csv(path))
+    return spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd").option(
+        "enforceSchema", False).schema(found).csv(path)
 
 
 def read_invoices_parquet(spark: SparkSession, path_or_table: str) -> DataFrame:
@@ -67,16 +72,15 @@ def write_labelled_predictions(df: DataFrame, path: str, prediction_col: str = "
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_training_set(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_training_set(spark: SparkSession, path: str, fmt: str = "parquet", extra: StructType | None = None) -> DataFrame:
     """Training set written by ``write_training_set`` (Parquet or CSV with header).
 
-    CSV is read with the declared schema (dates as yyyy-MM-dd), so no
-    inference pass runs over the whole file. ``invoice_year`` (the partition
-    column) stays, so that the year split skips the files of other years.
+    CSV is read by column name with the declared schema (dates as yyyy-MM-dd),
+    so no inference pass runs over the whole file; ``extra`` declares the
+    caller's own columns, which are texts otherwise. ``invoice_year`` (the
+    partition column) stays, so that the year split skips the files of other years.
     """
     if fmt == "csv":
-        from pyspark.sql import types as T
-
-        schema = T.StructType(TRAINING_SET_SCHEMA.fields + [T.StructField("invoice_year", T.IntegerType())])
-        return spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd").schema(schema).csv(path)
+        known = TRAINING_SET_SCHEMA.fields + [StructField("invoice_year", IntegerType())]
+        return _csv_by_name(spark, path, StructType(known + (extra.fields if extra else [])))
     return spark.read.parquet(path)

@@ -39,7 +39,7 @@ def random_invoices(seed=7, n=600):
     return rows
 
 
-def brute_force(rows):
+def brute_force(rows, rolling=3):
     df = pd.DataFrame(rows, columns=[f.name for f in INVOICE_SCHEMA.fields])
     df["y"] = [(p - d).days for p, d in zip(df.payment_date, df.due_date)]
     df = df.sort_values(["customer_id", "company_id", "invoice_date", "invoice_id"])
@@ -56,11 +56,11 @@ def brute_force(rows):
         r["average_invoice_amount"] = [0.0 if i == 0 else tot[i] / i for i in range(n)]
         r["payment_deviation"] = y.expanding().std().fillna(0).values
         r["invoice_deviation"] = a.expanding().std().fillna(0).values
-        m3 = y.rolling(3).max()
-        r["has_delayed_payment_last_3"] = (m3 > 0).astype(int).values
-        r["has_early_payment_last_3"] = (m3 < 0).astype(int).values
-        r["delay_days_trend"] = y.rolling(3).mean().diff().fillna(0).values
-        r["invoice_amount_trend"] = a.rolling(3).mean().diff().fillna(0).values
+        latest = y.rolling(rolling).max()
+        r["has_delayed_payment_last_3"] = (latest > 0).astype(int).values
+        r["has_early_payment_last_3"] = (latest < 0).astype(int).values
+        r["delay_days_trend"] = y.rolling(rolling).mean().diff().fillna(0).values
+        r["invoice_amount_trend"] = a.rolling(rolling).mean().diff().fillna(0).values
         r["maximum_delay_days"] = y.expanding().max().values
         r["overall_delay_days_trend"] = np.polyfit(np.arange(n), y.values, 1)[0] if n > 1 else 0.0
         r["running_delay_days_trend"] = [
@@ -74,17 +74,29 @@ def brute_force(rows):
     return res.set_index("invoice_id")
 
 
-@pytest.mark.parametrize("max_rows", [None, 1, 4])
-def test_history_matches_brute_force(spark, max_rows):
+@pytest.mark.parametrize("max_rows, rolling", [(None, 3), (1, 3), (4, 3), (None, 5), (1, 5), (4, 1), (3, 2)])
+def test_history_matches_brute_force(spark, max_rows, rolling):
     rows = random_invoices()
-    params = HistoryParams(max_chunk_rows=max_rows) if max_rows else HistoryParams()
+    params = HistoryParams(max_chunk_rows=max_rows, rolling_rows=rolling)
     inv = spark.createDataFrame(rows, INVOICE_SCHEMA)
     got = invoice_features(clean_invoices(inv, as_of="2026-01-01"), params).select("invoice_id", *COLS).toPandas()
     got = got.set_index("invoice_id").sort_index()
-    exp = brute_force(rows).sort_index()
+    exp = brute_force(rows, rolling).sort_index()
     assert len(got) == len(exp) == len(rows)
     for c in COLS:
         a, b = got[c].astype(float).values, exp[c].astype(float).values
         both_nan = np.isnan(a) & np.isnan(b)
         ok = both_nan | np.isclose(a, b, rtol=1e-9, atol=1e-7)
         assert ok.all(), (c, got.index[~ok][:5].tolist(), a[~ok][:5], b[~ok][:5])
+
+
+@pytest.mark.parametrize("max_rows, rolling", [(None, 4), (1, 4), (2, 1)])
+def test_leak_free_rolling_is_the_row_before(spark, max_rows, rolling):
+    inv = clean_invoices(spark.createDataFrame(random_invoices(), INVOICE_SCHEMA), as_of="2026-01-01")
+    cols = ["delay_days_trend", "invoice_amount_trend", "has_delayed_payment_last_3", "has_early_payment_last_3", "delay_days_trend_acceleration"]
+    keys = ["customer_id", "company_id", "invoice_date", "invoice_id"]
+    whole = invoice_features(inv, HistoryParams(rolling_rows=rolling)).select(*keys, *cols).toPandas().sort_values(keys)
+    want = whole.groupby(keys[:2])[cols].shift().fillna(0).astype(float)
+    free = invoice_features(inv, HistoryParams(include_current=False, rolling_rows=rolling, max_chunk_rows=max_rows))
+    got = free.select(*keys, *cols).toPandas().sort_values(keys)[cols].fillna(0).astype(float)
+    assert np.allclose(got.values, want.values)

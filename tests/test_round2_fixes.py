@@ -153,3 +153,29 @@ def test_missing_column_fails_at_once(spark):
 
     with pytest.raises(ValueError, match="missing columns"):
         clean_invoices(spark.range(1))
+
+
+def test_caller_columns_reach_the_training_set(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from arrears.operators import ml
+    from arrears.operators.open_invoices import open_invoice_rows
+    from arrears.plans.preprocess import preprocess
+    from arrears.sources.io import read_training_set, write_training_set
+    from arrears.params import TRAINING_SET_COLUMNS
+    from fixtures import hand_invoices
+
+    invoices = hand_invoices(spark).withColumns({
+        "credit_limit": F.col("invoice_id") * 1.5, "note": F.concat(F.lit("n"), "invoice_id"), "global_score": F.lit("own")})
+    out = preprocess(invoices, as_of="2026-01-01", drop_unscorable=False)
+    assert out.columns == [*TRAINING_SET_COLUMNS, "credit_limit", "note"]
+    rows = out.select("invoice_id", "credit_limit", "note", "global_score").collect()
+    assert all((r[1], r[2]) == (r[0] * 1.5, f"n{r[0]}") and isinstance(r[3], float) for r in rows) and len(rows) == 9
+    features = ml.feature_columns(out)
+    assert "credit_limit" in features and "note" not in features and "invoice_date" not in features
+    assert {"credit_limit", "note"} <= set(open_invoice_rows(invoices, "2026-01-01").columns)
+    write_training_set(out, str(tmp_path / "csv"), "csv")
+    back = read_training_set(spark, str(tmp_path / "csv"), "csv", StructType().add("credit_limit", "double"))
+    kinds = dict(back.dtypes)
+    assert (kinds["credit_limit"], kinds["note"], kinds["payment_bucket"], kinds["due_date"]) == ("double", "string", "int", "date")
+    assert sorted(map(tuple, back.select("invoice_id", "credit_limit", "note", "global_score").collect())) == sorted(map(tuple, rows))
