@@ -91,22 +91,18 @@ class _Block:
             return None
         hashed = RangeHash(data)
         grams = hashed.every(TRIGGER)
-        place = np.arange(len(grams), dtype=np.uint64)
-        low = (grams | np.uint64(63)) ^ (place & np.uint64(63))  # ties: the later place
-        width = 1
-        while 2 * width <= span + 1:
-            low = np.minimum(low[:-width], low[width:])
-            width *= 2
-        if span + 1 > width:
-            rest = span + 1 - width
-            low = np.minimum(low[:-rest], low[rest:])
+        low, place, width = grams, np.arange(len(grams), dtype=np.int32), 1
+        while width <= span:  # the smallest gram of each window; of equal ones the later, so that the window's bytes alone decide
+            step = min(width, span + 1 - width)
+            later = low[step:] <= low[:-step]
+            low, place = np.where(later, low[step:], low[:-step]), np.where(later, place[step:], place[:-step])
+            width += step
         lengths = np.diff(off)
         end_of = np.repeat(off[1:], lengths)
         windows = np.flatnonzero(np.arange(n - self.match + 1) + self.match <= end_of[: n - self.match + 1])
         if not len(windows):
             return None
-        at = (~low[windows] & np.uint64(63)).astype(np.int64)
-        at = windows + ((at - windows) & 63)
+        at = place[windows].astype(np.int64)
         new = np.ones(len(windows), bool)
         new[1:] = (at[1:] != at[:-1]) | (windows[1:] != windows[:-1] + 1)
         head = np.flatnonzero(new)

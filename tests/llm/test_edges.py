@@ -125,3 +125,16 @@ def test_pipeline_brute_force(spark):
         want += [(r["doc_id"], len(ids), np.array(ids, "<u4").tobytes(), whole.decode(ids, skip_special_tokens=False))] * copies[r["doc_id"]]
     got = [(r["doc_id"], r["n_tokens"], bytes(r["ids"]), r["decoded"]) for r in corpus_pipeline.run(spark, SF).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_op1_repeated_grams_at_every_offset(spark):
+    rng = np.random.default_rng(11)
+    word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+    docs = []
+    for run in [c * n for c in "-= #" for n in (16, 20, 24, 32, 40)] + ["ab" * 12, "xyz" * 9, "-=" * 17]:
+        for k in range(64):  # a passage of one window, first inside a document, then alone
+            passage = word((50 - len(run)) // 2) + run + word(50 - len(run) - (50 - len(run)) // 2)
+            docs += [(len(docs), word(k + 1) + passage + word(20)), (len(docs) + 1, passage)]
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"]) // 2, hashlib.sha256(r["kept"]).hexdigest())
+                 for r in suffix_dedup(spark.createDataFrame(docs, "doc_id long, text string"), block_docs=100).collect())
+    assert got == brute.suffix_dedup(docs)
