@@ -14,7 +14,7 @@ from arrears.llm.bpe import bpe_decode, bpe_encode
 from arrears.llm.chat import format_chats, records_from_rows
 from arrears.llm.minhash_join import near_dup_classes
 from arrears.llm.mixing import mix_copies
-from arrears.llm.pii import detect_pii
+from arrears.llm.pii import FEATURES, LABELS, detect_pii, find_spans
 from arrears.llm.quality_model import score_quality
 from arrears.llm.quality_rules import quality_verdicts
 from arrears.llm.suffix_dedup import suffix_dedup
@@ -138,3 +138,20 @@ def test_op1_repeated_grams_at_every_offset(spark):
     got = sorted((r["doc_id"], r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"]) // 2, hashlib.sha256(r["kept"]).hexdigest())
                  for r in suffix_dedup(spark.createDataFrame(docs, "doc_id long, text string"), block_docs=100).collect())
     assert got == brute.suffix_dedup(docs)
+
+
+def test_op10_spans_depend_on_the_document_alone(spark):
+    model = {"unary": np.zeros((FEATURES, LABELS)), "chain": np.eye(LABELS), "skip": 3 * np.eye(LABELS)}
+    model["unary"][:, 4] = 1.0  # all numbers look like phones
+    some = ["call (555) 555-0100", "mail a.b@c.org or (555) 555-0100", "+1 (555) 555-0100 and 555-0100 555-0100", None, "no number", "7 " * 40 + "x@y.org"]
+    alone = [find_spans([t], model, 0.5)[0] for t in some]
+    assert alone[0] == [] and sum(not s[3] for s in alone[1]) == 2
+    assert find_spans(some, model, 0.5) == alone and find_spans(some[::-1], model, 0.5) == alone[::-1]
+    docs = spark.createDataFrame([(i, f"{some[i % 3]} {i}") for i in range(300)], "doc_id long, text string")
+    spans = lambda df: sorted(map(tuple, detect_pii(df).collect()))
+    assert spans(docs.repartition(1)) == spans(docs.repartition(7, "doc_id"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        assert spans(docs.repartition(1)) == spans(docs.repartition(3))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
