@@ -14,7 +14,7 @@ from arrears.llm.bpe import bpe_decode, bpe_encode
 from arrears.llm.chat import format_chats, records_from_rows
 from arrears.llm.minhash_join import near_dup_classes
 from arrears.llm.mixing import mix_copies
-from arrears.llm.pii import FEATURES, LABELS, detect_pii, find_spans
+from arrears.llm.pii import FEATURES, LABELS, detect_pii, find_spans, fit_crf
 from arrears.llm.quality_model import score_quality
 from arrears.llm.quality_rules import quality_verdicts
 from arrears.llm.suffix_dedup import suffix_dedup
@@ -155,3 +155,13 @@ def test_op10_spans_depend_on_the_document_alone(spark):
         assert spans(docs.repartition(1)) == spans(docs.repartition(3))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_op10_repeats_of_base_spans_are_added():
+    docs = [f"call +1 (555) 555-{i:04d} now, again 1 (555) 555-{i:04d} and mail u{i}@site.org" for i in range(300)]
+    plain = [f"built in {1900 + i % 100} with {i % 50} rooms, 1 hall and order 77-{i:04d}" for i in range(300)]
+    found = find_spans(docs + plain, fit_crf(docs + plain))
+    for i, spans in enumerate(found[:300]):
+        at = docs[i].rindex(f"555-{i:04d}")
+        assert (3, at, at + 8, False) in spans and all(k == 3 and a > docs[i].index("again") for k, a, _, base in spans if not base)
+    assert not any(found[300:])
