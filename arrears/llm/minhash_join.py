@@ -40,6 +40,8 @@ from arrears.llm.common import LOWER, RangeHash, documents, mix, shuffle_partiti
 from arrears.session import materialize
 
 PLACES = 64
+#: what tells sets apart
+KEY = ("n_shingles", "lo", "hi")
 _RNG = np.random.default_rng(7)
 _MUL = _RNG.integers(1, 2**62, PLACES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 2**62, PLACES, dtype=np.int64).astype(np.uint64)
@@ -70,6 +72,11 @@ def shingle_sets(column, words: int):
         yield i, j, key & np.uint64((1 << 48) - 1), np.searchsorted(key >> np.uint64(48), np.arange(len(n) + 1))
 
 
+def _set_hash(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the sets that start at ``at`` in the mixed shingles ``x``."""
+    return np.add.reduceat(x, at), np.add.reduceat(mix(x + np.uint64(99)), at)
+
+
 def _signatures(words: int):
     def run(batches):
         for batch in batches:
@@ -83,7 +90,7 @@ def _signatures(words: int):
                     x, at = mix(hashes), start[:-1][some]
                     for p in range(PLACES):
                         tokens[some, p] = np.minimum.reduceat(x * _MUL[p] + _ADD[p], at) >> np.uint64(32)
-                    lo[some], hi[some] = np.add.reduceat(x, at), np.add.reduceat(mix(x + np.uint64(99)), at)
+                    lo[some], hi[some] = _set_hash(x, at)
                 yield pa.record_batch({
                     "doc_id": ids[i:j], "n_shingles": pa.array(n, pa.int64()),
                     "lo": pa.array(lo.view(np.int64)), "hi": pa.array(hi.view(np.int64)),
@@ -92,6 +99,23 @@ def _signatures(words: int):
     return run
 
 
+def set_keys(words: int, keep=("doc_id", "text")):
+    """Rows with the ``keep`` columns and the key (n_shingles, lo, hi) of the set of ``text``."""
+
+    def run(batches):
+        for batch in batches:
+            for i, j, hashes, start in shingle_sets(batch.column("text"), words):
+                n = np.diff(start)
+                some, x = np.flatnonzero(n), mix(hashes)
+                lo, hi = np.zeros(j - i, np.uint64), np.zeros(j - i, np.uint64)
+                if len(some):
+                    lo[some], hi[some] = _set_hash(x, start[:-1][some])
+                yield pa.record_batch([*(batch.column(c)[i:j] for c in keep), pa.array(n, pa.int64()), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64))],
+                                      names=[*keep, *KEY])
+
+    return run
+
+
 def _tokens(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
 
@@ -257,29 +281,20 @@ def connected(links: DataFrame, name: str) -> DataFrame:
             return label
 
 
-def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 16, node_limit: int = 512,
-                     steps: int = 4, block_limit: int = 4096) -> DataFrame:
-    """Class of every document under ``100 * |A & B| >= percent * |A | B|`` on lower-cased (A-Z) word shingles.
-
-    ``docs`` needs ``doc_id`` (long) and ``text``; other columns are ignored.
-    Returns one row per input row: doc_id, n_shingles (distinct), component_id
-    (smallest doc_id reachable over links, itself included), kept (doc_id is
-    component_id).
-
-    Null or blank texts have the empty set, n_shingles 0, and link to nothing.
-    Texts of fewer than ``words`` words have one shingle, all their words.
-    Equal sets are linked; rows that share a doc_id are separate rows of one
-    vertex. Empty table: no rows.
-    """
+def set_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 16, node_limit: int = 512,
+                steps: int = 4, block_limit: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, lo, hi) of every row, and one row per distinct set of rows with a doc_id:
+    its key, rep (its number), first (its smallest doc_id), class (the number of its class) and root (the smallest doc_id there)."""
     spark = docs.sparkSession
     places = shuffle_partitions(spark)
     low = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / PLACES) ** 0.5
     least = max(1, int(low * PLACES))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialize(texts.mapInArrow(_signatures(words), "doc_id long, n_shingles long, lo long, hi long, tokens binary"), "signatures")
-    key = ["n_shingles", "lo", "hi"]
+    key = list(KEY)
+    # a set is a vertex of its own, numbered as it is written: a doc_id can stand on several sets
     reps = materialize(signed.filter("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(
-        F.min("doc_id").alias("rep"), F.any_value("tokens").alias("tokens")), "reps")
+        F.min("doc_id").alias("first"), F.any_value("tokens").alias("tokens")).withColumn("rep", F.monotonically_increasing_id()), "reps")
 
     # trees
     pairs = reps.select(F.lit(None).cast("long").alias("node"), "rep", "tokens").mapInArrow(
@@ -326,17 +341,36 @@ def near_dup_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees:
     placed = placed.select("root", F.col("v").alias("rep"), F.explode(F.expr(
         "transform(sequence(0, blocks - 1), j -> struct(least(mine, j) as i, greatest(mine, j) as j))")).alias("at"))
     placed = placed.select("root", "rep", "at.i", "at.j")
-    # rows that repeat a doc_id: the smallest text with the set of the representative
-    sources = texts.withColumnRenamed("doc_id", "rep").join(part.select(F.col("v").alias("rep")).hint("merge"), "rep", "left_semi")
-    sources = sources.groupBy("rep").agg(F.min("text").alias("text"))
+    # one text per set, from the rows of its smallest doc_id
+    linked = reps.join(part.select(F.col("v").alias("rep")), "rep").select(F.col("first").alias("doc_id"), *key, "rep")
+    keyed = texts.filter("doc_id is not null").mapInArrow(set_keys(words), "doc_id long, text string, n_shingles long, lo long, hi long")
+    sources = keyed.join(linked.hint("merge"), ["doc_id", *key]).groupBy("doc_id", *key, "rep").agg(F.min("text").alias("text")).select("rep", "text")
     exact = materialize(placed.join(sources, "rep").select("root", "i", "j", "rep", "text").groupBy("root", "i", "j").applyInArrow(
         _exact_links(words, percent), "a long, b long").distinct(), "exact")
     root = connected(exact, "class")
-    members = reps.select(*key, "rep").join(root.withColumnRenamed("v", "rep"), "rep", "left").select(
-        *key, F.coalesce("root", "rep").alias("root"))
-    members = materialize(members, "members")
+    lowest = root.join(reps.select(F.col("rep").alias("v"), "first"), "v").groupBy("root").agg(F.min("first").alias("lowest"))
+    named = root.join(lowest, "root").select(F.col("v").alias("rep"), F.col("root").alias("class"), "lowest")
+    members = materialize(reps.select(*key, "rep", "first").join(named, "rep", "left").select(
+        *key, "rep", "first", F.coalesce("class", "rep").alias("class"), F.coalesce("lowest", "first").alias("root")), "members")
     gc.collect()
-    return signed.select("doc_id", *key).join(members, key, "left").select(
+    return signed.select("doc_id", *key), members
+
+
+def near_dup_classes(docs: DataFrame, **limits) -> DataFrame:
+    """Class of every document under ``100 * |A & B| >= percent * |A | B|`` on lower-cased (A-Z) word shingles.
+
+    ``docs`` needs ``doc_id`` (long) and ``text``; other columns are ignored.
+    ``limits`` are those of ``set_classes``. Returns one row per input row:
+    doc_id, n_shingles (distinct), component_id (smallest doc_id reachable over
+    links, itself included), kept (doc_id is component_id).
+
+    Null or blank texts have the empty set, n_shingles 0, and link to nothing.
+    Texts of fewer than ``words`` words have one shingle, all their words.
+    Equal sets are linked; rows that share a doc_id are separate rows, each in
+    the class of its own text. Empty table: no rows.
+    """
+    signed, members = set_classes(docs, **limits)
+    return signed.join(members.select(*KEY, "root"), list(KEY), "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("root", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 

@@ -165,3 +165,12 @@ def test_op10_repeats_of_base_spans_are_added():
         at = docs[i].rindex(f"555-{i:04d}")
         assert (3, at, at + 8, False) in spans and all(k == 3 and a > docs[i].index("again") for k, a, _, base in spans if not base)
     assert not any(found[300:])
+
+
+def test_op2_other_texts_of_a_doc_id(spark):
+    base = [f"w{i}" for i in range(80)]
+    near = lambda k: " ".join(base[:k] + [f"x{k}"] + base[k + 1:])
+    other = " ".join(f"a{i}" for i in range(40))
+    docs = [(1, near(20)), (2, " "), (2, near(40)), (3, other), (3, near(60)), (4, other + " b"), (9, None), (9, near(70)), (5, other), (5, other)]
+    got = sorted(map(tuple, near_dup_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()))
+    assert got == sorted(brute.near_dups([(d, t or "") for d, t in docs]))
