@@ -21,3 +21,14 @@ def test_sample_matches_oracle(spark):
              "per_class_metrics", "anomaly_rows", "correlation_long"]
     res = compare(spark, SF001, names, verbose=True)
     assert all(v[0] == "match" for v in res.values()), res
+
+
+def test_weighted_boosting_runs_the_whole_preset(spark, monkeypatch):
+    import __spark_entry__ as e
+    from arrears.params import TUNED_BOOSTING
+
+    asked = []
+    monkeypatch.setattr(e, "_fitted", lambda spark, sf, name, estimator: (asked.append(estimator()), None))
+    monkeypatch.setattr(e, "_predictions", lambda spark, sf, model: None)
+    e.q_weighted_gbt_predictions(spark, "")
+    assert asked[0].getClassifier().getMaxIter() == TUNED_BOOSTING["n_estimators"]
