@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.llm.bpe import bpe_encode
-from arrears.llm.minhash_join import near_dup_classes
+from arrears.llm.minhash_join import KEY, set_classes, set_keys
 from arrears.llm.mixing import mix_copies
 from arrears.llm.pii import detect_pii
 from arrears.llm.quality_model import score_quality
@@ -34,10 +34,23 @@ def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every near-duplicate class; rows with a null doc_id stay."""
-    kept = near_dup_classes(docs.select("doc_id", "text")).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"))
-    return rows.join(kept, F.col("_row.doc_id").eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")
+    """One row of every near-duplicate class: its smallest doc_id, there by set, then by a hash of the text.
+
+    Rows with a null doc_id and blank texts are in no class and stay.
+    """
+    _, sets = set_classes(docs.select("doc_id", "text"))
+    first = sets.groupBy("class").agg(F.min(F.struct(F.col("first").alias("_id"), *KEY)).alias("one")).select("one.*")
+    rows = _whole_rows(docs).withColumn("_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    keep = ("_id", "text", "_row")
+    rows = rows.select(*keep).mapInArrow(set_keys(5, keep), ", ".join(f"{c} {kinds[c]}" for c in keep) + ", n_shingles long, lo long, hi long")
+    exempt = F.col("_id").isNull() | (F.col("n_shingles") == 0)
+    # a number each, so that rows which stay anyway never meet in one task
+    rows = rows.withColumn("_stays", exempt).withColumn("lo", F.when(exempt, F.monotonically_increasing_id()).otherwise(F.col("lo")))
+    key = ["_id", *KEY]
+    met = rows.join(first.withColumn("_first", F.lit(True)), key, "left").filter("_stays or _first")
+    nth = met.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("text"))))
+    return nth.filter("_stays or _nth = 1").select(*_columns(docs, {"text": F.col("text")}))
 
 
 def pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,3 +174,15 @@ def test_op2_other_texts_of_a_doc_id(spark):
     docs = [(1, near(20)), (2, " "), (2, near(40)), (3, other), (3, near(60)), (4, other + " b"), (9, None), (9, near(70)), (5, other), (5, other)]
     got = sorted(map(tuple, near_dup_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()))
     assert got == sorted(brute.near_dups([(d, t or "") for d, t in docs]))
+
+
+def test_near_dedup_keeps_one_row_of_each_class(spark):
+    base = [f"w{i}" for i in range(80)]
+    near = lambda k: " ".join(base[:k] + [f"x{k}"] + base[k + 1:])
+    other = " ".join(f"a{i}" for i in range(40))
+    docs = [(1, near(20)), (1, near(20)), (1, near(30)), (2, " "), (2, near(40)), (3, other), (3, other), (4, other), (4, "one two"),
+            (None, other), (None, other), (5, None), (5, None)]
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(docs, "doc_id long, text string"), SF).collect()
+    kept = sorted([tuple(r) for r in got if r["text"] not in (near(20), near(30))], key=str)
+    assert sum(r["text"] in (near(20), near(30)) and r["doc_id"] == 1 for r in got) == 1 and len(got) == len(kept) + 1
+    assert kept == sorted([(2, " "), (3, other), (4, "one two"), (None, other), (None, other), (5, None), (5, None)], key=str)
