@@ -1,4 +1,4 @@
-"""The hand-worked pairs of FIXTURES.md §5 as a Spark DataFrame."""
+"""Folders of the generated tables and the hand-worked pairs of FIXTURES.md §5 as a Spark DataFrame."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ import datetime as dt
 
 from arrears.schema import INVOICE_SCHEMA
 
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
 # (invoice_id, customer, company, invoice_date, delay, amount)
 HAND_ROWS = [
     (1, 1, 1, "2021-01-10", 5, 100.0),

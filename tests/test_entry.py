@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 from compare import compare
-from conftest import SF001
+from fixtures import SF001
 
 
 def test_entry_runs(spark):

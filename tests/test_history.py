@@ -8,8 +8,7 @@ from arrears.operators.features import invoice_features
 from arrears.operators.history import HISTORY_COLUMNS
 from arrears.params import HistoryParams
 from arrears.sources.invoices import invoices_from_tables
-from conftest import SF01
-from fixtures import hand_invoices
+from fixtures import SF01, hand_invoices
 
 PAIR_A = {
     "previous_delay_days": [0, 5, -3, 20, 40],

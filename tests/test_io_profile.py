@@ -10,7 +10,7 @@ from arrears.operators.clean import parse_dates
 from arrears.operators.profile import describe_numeric, exact_quantiles, global_index
 from arrears.sources.invoices import invoices_table
 from arrears.sources.io import normalize_columns, read_invoices_csv, write_invoices_csv
-from conftest import SF001
+from fixtures import SF001
 
 
 def _rows(df):

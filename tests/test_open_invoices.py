@@ -7,7 +7,7 @@ from arrears.operators.open_invoices import open_invoice_features, open_invoice_
 from arrears.params import HistoryParams
 from arrears.plans.preprocess import features_table
 from arrears.sources.invoices import invoices_table
-from conftest import SF01
+from fixtures import SF01
 
 COLS = ["previous_delay_days", "average_delay_days", "number_of_previous_invoices",
         "overall_delay_days_trend", "payment_deviation", "invoice_deviation", "maximum_delay_days",

@@ -4,7 +4,7 @@ from arrears.operators.clean import clean_invoices
 from arrears.params import HistoryParams
 from arrears.plans.preprocess import features_table
 from arrears.sources.invoices import invoices_table
-from conftest import SF001
+from fixtures import SF001
 
 
 def _plan(df):

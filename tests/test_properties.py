@@ -14,7 +14,7 @@ from arrears.operators.history import HISTORY_COLUMNS
 from arrears.operators.split import split_test, split_train
 from arrears.plans.preprocess import preprocess
 from arrears.sources.invoices import invoices_table
-from conftest import SF001
+from fixtures import SF001
 
 PAIR = ["customer_id", "company_id"]
 

@@ -121,7 +121,7 @@ def test_leak_free_is_one_exchange_without_union(spark):
     from arrears.operators.features import invoice_features
     from arrears.params import HistoryParams
     from arrears.sources.invoices import invoices_table
-    from conftest import SF001
+    from fixtures import SF001
 
     out = invoice_features(clean_invoices(invoices_table(spark, SF001)), HistoryParams(include_current=False))
     plan = _plan(out)

@@ -49,7 +49,7 @@ def test_region_codes_sorted_null_last_minus_one(spark):
 
 
 def test_score_properties(spark):
-    from conftest import SF001
+    from fixtures import SF001
     from arrears.sources.invoices import invoices_table
 
     s = scored_table(features_table(invoices_table(spark, SF001)))

@@ -8,7 +8,7 @@ from arrears.plans.preprocess import features_table, preprocess
 from arrears.plans.serve import ScoringContext, fit_scoring_context, score_open_invoices
 from arrears.plans.train import train
 from arrears.sources.invoices import invoices_table
-from conftest import SF01
+from fixtures import SF01
 
 
 def test_stored_context_and_model_round_trip(spark):
@@ -49,7 +49,7 @@ def test_score_stage_in_a_saved_pipeline(spark):
 
 def test_two_step_job_with_csv_hand_off(spark):
     from arrears.plans.pipeline import run_pipeline
-    from conftest import SF001
+    from fixtures import SF001
 
     root = tempfile.mkdtemp(prefix="arrears-x3-")
     res = run_pipeline(spark, invoices_table(spark, SF001), os.path.join(root, "train"), os.path.join(root, "pred"),

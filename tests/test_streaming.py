@@ -13,7 +13,7 @@ from arrears.plans.train import train
 from arrears.sources.invoices import invoices_table
 from arrears.sources.io import write_training_set
 from arrears.streaming.scoring import run_stream_predictions
-from conftest import SF001
+from fixtures import SF001
 
 
 def test_stream_exactly_once_across_restarts(spark):
