@@ -9,7 +9,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from arrears.session import materialize
 
 #: bytes of text that one numpy pass works on; a longer single text is worked on alone
 CHUNK_BYTES = 1 << 20
@@ -135,3 +138,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """``rows`` with pos (place in its group from 0, by ``order``, nulls first) and n (rows of the group).
+
+    One range-partitioned sort, written; a place is the row's number in its
+    partition plus the group's rows in the partitions before. Equal rows are
+    told apart by their place in the input, so no value can hold up one task.
+    ``group`` columns are not null.
+    """
+    keys = [*group, *order, "_tie"]
+    sort = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    sort = materialize(sort.drop("_tie").withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)), name)
+    parts = sort.groupBy(*group, "_part").agg(F.min("_at").alias("_from"), F.count("*").alias("_rows"))
+    ahead = Window.partitionBy(*group).orderBy("_part")
+    parts = parts.withColumn("_ahead", F.sum("_rows").over(ahead) - F.col("_rows")).withColumn("n", F.sum("_rows").over(Window.partitionBy(*group)))
+    place = parts.select(*group, "_part", (F.col("_ahead") - F.col("_from")).alias("_shift"), "n")
+    return sort.join(materialize(place, f"{name}-parts"), [*group, "_part"]).withColumn("pos", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, as SQL over its characters (null text: null)."""
+    chars = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    byte = "lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda r, k: xor(r >> 1, (r & 1) * 3988292384))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {chars}), {byte}))"

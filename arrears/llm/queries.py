@@ -3,6 +3,7 @@
 from arrears.llm.ann_forest import op7_ann_forest
 from arrears.llm.bpe import op6_bpe
 from arrears.llm.chat import OP4_SQL, op4_chat
+from arrears.llm.merkle import OP11_SQL, op11_merkle
 from arrears.llm.minhash_join import op2_minhash_join
 from arrears.llm.mixing import op3_mixing
 from arrears.llm.pii import op10_pii
@@ -13,5 +14,5 @@ from arrears.llm.url_rules import OP5_SQL, op5_url_rules
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_minhash_join, op3_mixing, op4_chat, op5_url_rules, op6_bpe, op7_ann_forest,
-    op8_quality_model, op9_quality_rules, op10_pii)}
-ORACLES = {"op4_chat": OP4_SQL, "op5_url_rules": OP5_SQL}
+    op8_quality_model, op9_quality_rules, op10_pii, op11_merkle)}
+ORACLES = {"op4_chat": OP4_SQL, "op5_url_rules": OP5_SQL, "op11_merkle": OP11_SQL}
