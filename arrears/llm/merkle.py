@@ -22,7 +22,7 @@ from arrears.llm.common import crc32_sql, documents, ranked
 from arrears.session import materialize
 
 FANOUT = 8
-LEVELS = 4
+LEVELS = 3
 DIGEST = 64
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _PATH = "array<struct<left:string,right:string>>"
@@ -126,6 +126,7 @@ def merkle_manifest(leaves: DataFrame, fanout: int = FANOUT, levels: int = LEVEL
     # null first, then bytewise: an empty key for null, a prefix for the rest
     key = F.coalesce(F.concat(F.lit("="), F.col("grp").cast("string")), F.lit(""))
     rows = leaves.select(key.alias("grp"), F.col("id").cast("long").alias("id"), F.col("leaf").alias("node"), "forged")
+    rows = materialize(rows, "merkle-hashes")  # the sort reads its input twice: once for the bounds
     size = fanout**levels
     low = _rounds(ranked(rows, ["grp"], ["id", "node"], "merkle-leaves"), ("id", "forged"), fanout, levels, "merkle-blocks")
     subroots = materialize(_tops(low, size), "merkle-subroots")
