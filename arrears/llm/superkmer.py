@@ -34,8 +34,8 @@ from arrears.session import materialize
 
 WINDOW = 20
 GRAM = 8
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 2 << 20
 #: no minimiser is listed as frequent below this share of all super-k-mers; it bounds the list that every task holds
 LEAST_SHARE = 2.0**-18
 #: super-k-mers of one minimiser in a block from which the block reports it
@@ -85,14 +85,18 @@ def _copied(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
 class Words:
     """The words of some texts: each followed by one blank in ``data``, with ``at`` the places and ``upto`` the words before each text."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray):
-        start, end, self.upto = word_runs(data, off)
-        size = end - start
-        self.at = np.append(0, np.cumsum(size + 1))
-        self.data = np.full(int(self.at[-1]), 32, np.uint8)
-        inner = np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)
-        self.data[inner] = _copied(data, start, size)
-        self.hash = RangeHash(self.data)(self.at[:-1], self.at[1:] - 1) if len(size) else np.zeros(0, np.uint64)
+    def __init__(self, data: np.ndarray, off: np.ndarray, joined: bool = False):
+        if not joined:  # a blank behind every text, then one behind every word
+            data, off = np.insert(data, off[1:], 32), off + np.arange(len(off))
+            solid = ~SPACE[data]
+            self.upto = np.searchsorted(np.flatnonzero(solid[:-1] & ~solid[1:]), off)
+            solid[1:] |= solid[:-1].copy()
+            data = data[solid]
+            data[SPACE[data]] = 32
+        self.data, self.at = data, np.append(0, np.flatnonzero(data == 32) + 1)
+        if joined:
+            self.upto = np.searchsorted(self.at, off)
+        self.hash = RangeHash(data)(self.at[:-1], self.at[1:] - 1)
         self.text = np.repeat(np.arange(len(off) - 1), np.diff(self.upto))
 
     def windows(self, length: int) -> np.ndarray:
@@ -172,13 +176,13 @@ def equal_windows(words: Words, at: np.ndarray, window: int) -> np.ndarray:
 class Pieces:
     """Texts with their document, tag and the number of their first word, in the order of document and place."""
 
-    def __init__(self, data, off, doc, tag, first):
+    def __init__(self, data, off, doc, tag, first, joined=False):
         order = np.lexsort((tag, first, doc))
         if (np.diff(order) < 0).any():
             size = np.diff(off)[order]
             data, off = _copied(data, off[:-1][order], size), np.append(0, np.cumsum(size))
             doc, tag, first = doc[order], tag[order], first[order]
-        self.words = Words(data, off)
+        self.words = Words(data, off, joined)
         self.doc, self.tag, self.first = doc, tag, first
 
     def judged(self, window: int):
@@ -260,7 +264,7 @@ def _unpacked(column) -> Pieces:
         heads.append(np.frombuffer(raw, "<i8", 4 * n, 8).reshape(4, n))
         texts.append(np.frombuffer(raw, np.uint8, offset=8 + 32 * n))
     head = np.concatenate(heads, axis=1)
-    return Pieces(np.concatenate(texts), np.append(0, np.cumsum(head[3])), *head[:3])
+    return Pieces(np.concatenate(texts), np.append(0, np.cumsum(head[3])), *head[:3], joined=True)
 
 
 def _sent(parts, ranges: np.ndarray) -> pa.Table:
@@ -406,41 +410,46 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, buc
 
     def remove(batches):
         for b in small_batches(batches):
-            out = {"doc_id": b.column("doc_id"), "n_words": [], "n_removed": [], "removed": [], "kept": []}
             data, off = text_buffer(b.column("text"))
-            for k, found in enumerate(b.column("ranges").to_pylist()):
-                n, gone, removed, kept = _without(data[off[k]: off[k + 1]], found or [], block_bytes)
-                for c, v in zip(("n_words", "n_removed", "removed", "kept"), (n, gone, removed, kept)):
-                    out[c].append(v)
-            yield pa.record_batch([out["doc_id"], pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()),
-                                   pa.array(out["removed"], _REMOVED), pa.array(out["kept"], pa.binary()).cast(pa.string())], names=list(out))
+            ranges = b.column("ranges").fill_null([])
+            cut, flat = ranges.offsets.to_numpy().astype(np.int64), ranges.values
+            first, last = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("first", "last"))
+            for i, j in chunks(off, block_bytes):
+                mine = slice(cut[i], cut[j])
+                owner = np.repeat(np.arange(j - i), np.diff(cut[i: j + 1]))
+                rows = _without(data[off[i]: off[j]], off[i: j + 1] - off[i], owner, first[mine], last[mine], block_bytes)
+                yield pa.record_batch([b.column("doc_id").slice(i, j - i), *rows], names=["doc_id", "n_words", "n_removed", "removed", "kept"])
 
     joined = texts.join(ranges, ["doc_id", "tag"], "left").select("doc_id", "text", "ranges")
     return joined.mapInArrow(remove, "doc_id long, n_words long, n_removed long, removed array<struct<first:long,last:long>>, kept string")
 
 
-_REMOVED = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-
-
-def _without(data: np.ndarray, ranges: list[dict], limit: int):
-    """(words, words removed, disjoint ranges, kept words joined by blanks) of one text."""
-    merged: list[dict] = []
-    for r in ranges:
-        if merged and r["first"] <= merged[-1]["last"]:
-            merged[-1]["last"] = max(merged[-1]["last"], r["last"])
-        else:
-            merged.append(dict(r))
-    first, last = (np.array([r[c] for r in merged], np.int64) for c in ("first", "last"))
-    n, gone, kept = 0, 0, []
-    for part, number in slices(data, limit, 0):
-        words = Words(part, np.array([0, len(part)]))
+def _without(data: np.ndarray, off: np.ndarray, owner, first, last, limit: int):
+    """n_words, n_removed, removed and kept of texts without the given ranges of words; one long text is worked on in slices."""
+    parts = [(data, 0)] if len(off) > 2 else slices(data, limit, 0)
+    gone, text, kept, n_kept = [], [], [], np.zeros(len(off) - 1, np.int64)
+    for part, number in parts:
+        words = Words(part, off if len(off) > 2 else np.array([0, len(part)]))
+        n = np.diff(words.upto)[owner]
+        lo, hi = (words.upto[owner] + np.clip(x - number, 0, n) for x in (first, last))
         m = len(words.text)
-        at = np.arange(number, number + m)
-        inside = np.searchsorted(first, at, side="right") - 1
-        out = (inside >= 0) & (at < last[inside]) if len(first) else np.zeros(m, bool)
-        kept.append(_copied(words.data, words.at[:-1][~out], np.diff(words.at)[~out]).tobytes())
-        n, gone = n + m, gone + int(out.sum())
-    return n, gone, merged, b"".join(kept)[:-1]
+        dead = np.cumsum(np.bincount(lo, minlength=m + 1) - np.bincount(hi, minlength=m + 1))[:m] > 0
+        size = np.diff(words.at)
+        kept.append(words.data[np.repeat(~dead, size)])
+        n_kept += np.bincount(words.text, weights=size * ~dead, minlength=len(n_kept)).astype(np.int64)
+        gone.append(dead)
+        text.append(words.text)
+    gone, text, kept = np.concatenate(gone), np.concatenate(text), np.concatenate(kept)
+    kept = np.delete(kept, np.cumsum(n_kept)[n_kept > 0] - 1)  # no blank after the last word
+    n_kept = np.maximum(n_kept - 1, 0)
+    total, removed = np.bincount(text, minlength=len(n_kept)), np.bincount(text[gone], minlength=len(n_kept))
+    i = np.flatnonzero(gone)
+    a, b = _runs((text[i], 0), (i, 1))
+    start = (np.cumsum(total) - total)[text[i[a]]]
+    spans = pa.StructArray.from_arrays([pa.array(i[a] - start, pa.int64()), pa.array(i[b] + 1 - start, pa.int64())], ["first", "last"])
+    upto = np.append(0, np.cumsum(np.bincount(text[i[a]], minlength=len(n_kept)))).astype(np.int32)
+    strings = pa.StringArray.from_buffers(len(n_kept), pa.py_buffer(np.append(0, np.cumsum(n_kept)).astype(np.int32)), pa.py_buffer(kept))
+    return pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.ListArray.from_arrays(pa.array(upto), spans), strings
 
 
 def op12_substring_dedup(spark, sf_dir: str) -> DataFrame:
