@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import SPACE, RangeHash, chunks, documents, mix, small_batches, text_buffer, word_runs
+from arrears.llm.common import SPACE, RangeHash, chunks, documents, mix, shuffle_partitions, small_batches, text_buffer, word_runs
 from arrears.session import materialize
 
 WINDOW = 20
-GRAM = 8
-BLOCK_BYTES = 2 << 20
+GRAM = 5
+BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 2 << 20
 #: no minimiser is listed as frequent below this share of all super-k-mers; it bounds the list that every task holds
 LEAST_SHARE = 2.0**-18
@@ -250,10 +250,11 @@ def _packed(pieces: Pieces, found, buckets: int, salts: int, block: int):
     size = pieces.words.at[word + n] - start
     data, upto = _copied(pieces.words.data, start, size), np.append(0, np.cumsum(size))
     head = np.stack([pieces.doc[text], pieces.tag[text], place, size]).astype("<i8")
+    codec = pa.Codec("zstd", 3)
     a, b = _runs((bucket, 0), (salt, 0))
     for x, y in zip(a, b + 1):
         raw = np.int64(y - x).tobytes() + head[:, x:y].tobytes() + data[upto[x]: upto[y]].tobytes()
-        yield int(bucket[x]), int(salt[x]), len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+        yield int(bucket[x]), int(salt[x]), len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
 
 
 def _unpacked(column) -> Pieces:
@@ -350,7 +351,8 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, buck
     counted = docs.mapInArrow(count, "gram long, n long, bytes long, blocks long")
     counted = materialize(counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("n", "bytes", "blocks")]), "minimisers")
     whole = counted.filter("gram is null").first() or {"n": 0, "bytes": 0, "blocks": 0}
-    buckets = max(1, math.ceil(3 * whole["bytes"] / bucket_bytes))  # super-k-mers overlap: about three times the text
+    # super-k-mers overlap: about three times the text; a few buckets for each task of the exchange
+    buckets = max(4 * shuffle_partitions(docs.sparkSession), math.ceil(3 * whole["bytes"] / bucket_bytes))
     salts = max(1, math.isqrt(whole["blocks"]))
     least = max(int(whole["n"] * LEAST_SHARE), whole["n"] // (2 * buckets), 32)
     # at most 1 / LEAST_SHARE numbers
