@@ -34,7 +34,7 @@ from arrears.session import materialize
 
 WINDOW = 20
 GRAM = 5
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 BUCKET_BYTES = 2 << 20
 #: no minimiser is listed as frequent below this share of all super-k-mers; it bounds the list that every task holds
 LEAST_SHARE = 2.0**-18

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -101,3 +102,79 @@ def base_pii(text):
                 continue
             out.append((kind, m.start(), m.end()))
     return out
+
+
+def merkle(rows, fanout=8):
+    """(doc_id, leaf, subroot, root, proof hash, folded root, verified) of rows (doc_id, text, lang, source, n_chars)."""
+    def h(*parts):
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+    def leaf(r, text):
+        return h(*["-" if x is None else f"{len(str(x).encode())}:{x}" for x in (r[0], r[3], r[2], r[4], text)])
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([h(*levels[-1][i: i + fanout]) for i in range(0, len(levels[-1]), fanout)])
+        return levels
+
+    langs = sorted({r[2] for r in rows}, key=lambda x: (x is not None, (x or "").encode()))
+    groups = {g: sorted((r for r in rows if r[2] == g), key=lambda r: (r[0] is not None, r[0] or 0, leaf(r, r[1]))) for g in langs}
+    trees = {g: tree([leaf(r, r[1]) for r in groups[g]]) for g in langs}
+    top = tree([trees[g][-1][0] for g in langs])
+    out = []
+    for k, g in enumerate(langs):
+        for i, r in enumerate(groups[g]):
+            own = leaf(r, r[1])
+            node = own
+            if r[0] is not None and r[1] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0:
+                node = leaf(r, lower(r[1]))
+            proof = ""
+            for levels, p in ((trees[g], i), (top, k)):
+                for level in levels[:-1]:
+                    a = p // fanout * fanout
+                    left, right = "".join(level[a:p]), "".join(level[p + 1: a + fanout])
+                    proof, node, p = proof + left + right, h(left, node, right), p // fanout
+            out.append((r[0], own, trees[g][-1][0], top[-1][0], h(proof), node, node == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def windows_dedup(rows, k):
+    """(doc_id, words, words removed, kept text) where windows of k words that also start earlier are removed."""
+    texts, first = [(d, WORD.findall(t or "")) for d, t in rows], {}
+    for d, w in texts:
+        for i in range(len(w) - k + 1 if d is not None else 0):
+            seen = first.setdefault(tuple(w[i: i + k]), (d, i))
+            first[tuple(w[i: i + k])] = min(seen, (d, i))
+    out = []
+    for d, w in texts:
+        gone = set()
+        for i in range(len(w) - k + 1 if d is not None else 0):
+            if first[tuple(w[i: i + k])] < (d, i):
+                gone.update(range(i, i + k))
+        out.append((d, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return sorted(out, key=str)
+
+
+def turn_edits(initials, faults):
+    """Cheapest, then ASCII-least edits, by relaxing (cost, edits) of every state row by row."""
+    after = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    speak = {0: 2, 1: 2, 2: 3, 3: 2}
+
+    def spoken(at):
+        for _ in range(3):
+            for s, (c, e) in list(at.items()):
+                at[speak[s]] = min(at.get(speak[s], (10**9, "")), (c + 2, e + "I"))
+        return at
+
+    at = {0: (0, "")}
+    for x, f in zip(initials, faults):
+        new = {}
+        for s, (c, e) in spoken(at).items():
+            moves = [(s, 3, "D")]
+            if f not in "bd":
+                moves += [(speak[s], 2 + (f == "t"), "R")] + ([(after[s, x], f == "t", "K")] if (s, x) in after else [])
+            for to, cost, edit in moves:
+                new[to] = min(new.get(to, (10**9, "")), (c + cost, e + edit))
+        at = new
+    return min(v for s, v in spoken(at).items() if s in (0, 3))
