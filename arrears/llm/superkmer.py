@@ -36,6 +36,8 @@ WINDOW = 20
 GRAM = 5
 BLOCK_BYTES = 3 << 20
 BUCKET_BYTES = 2 << 20
+#: bytes for which a pass holds 8-byte places or hashes at a time
+PASS_BYTES = 256 << 10
 #: no minimiser is listed as frequent below this share of all super-k-mers; it bounds the list that every task holds
 LEAST_SHARE = 2.0**-18
 #: super-k-mers of one minimiser in a block from which the block reports it
@@ -77,9 +79,20 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _copied(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The byte ranges one after another."""
-    upto = np.cumsum(size)
-    return data[np.arange(upto[-1] if len(upto) else 0) + np.repeat(start - (upto - size), size)]
+    """The byte ranges one after another; the places of a few are held at a time."""
+    upto = np.append(0, np.cumsum(size))
+    out = np.empty(int(upto[-1]), np.uint8)
+    for lo, hi in _cuts(upto[1:], PASS_BYTES):
+        out[upto[lo]: upto[hi]] = data[np.arange(upto[lo], upto[hi]) + np.repeat(start[lo:hi] - upto[lo:hi], size[lo:hi])]
+    return out
+
+
+def _word_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.empty(len(at) - 1, np.uint64)
+    for lo, hi in _cuts(at[1:], PASS_BYTES):
+        places = at[lo: hi + 1] - at[lo]
+        out[lo:hi] = RangeHash(data[at[lo]: at[hi]])(places[:-1], places[1:] - 1)
+    return out
 
 
 class Words:
@@ -96,7 +109,7 @@ class Words:
         self.data, self.at = data, np.append(0, np.flatnonzero(data == 32) + 1)
         if joined:
             self.upto = np.searchsorted(self.at, off)
-        self.hash = RangeHash(data)(self.at[:-1], self.at[1:] - 1)
+        self.hash = _word_hashes(data, self.at)
         self.text = np.repeat(np.arange(len(off) - 1), np.diff(self.upto))
 
     def windows(self, length: int) -> np.ndarray:
@@ -126,9 +139,7 @@ def _same(words: Words, a: np.ndarray, b: np.ndarray, window: int) -> np.ndarray
     first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(x)) - 1
     n_words = x[last] - x[first] + window
     equal = np.zeros(len(first), bool)
-    budget = max(BLOCK_BYTES // 8, 1)
-    upto = np.cumsum(n_words)
-    for lo, hi in _cuts(upto, budget):
+    for lo, hi in _cuts(np.cumsum(n_words), PASS_BYTES // 4):
         # the words of a run: word k of one window against word k of the other
         n = n_words[lo:hi]
         base = np.repeat(np.cumsum(n) - n, n)
