@@ -6,6 +6,9 @@ made per word. All hashes are unsigned 64-bit numbers that wrap around.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -125,11 +128,34 @@ def word_counts(column) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def small_batches(batches, rows: int = 1024):
-    """The same rows in smaller Arrow batches, so that what a batch turns into stays small too."""
+def small_batches(batches, rows: int = 1024, max_bytes: int = 4 * CHUNK_BYTES):
+    """The same rows in smaller Arrow batches, so that what a batch turns into stays small too; a larger row is alone.
+
+    What the input held is given back to the system at the end of the partition:
+    a worker lives on through later stages.
+    """
     for b in batches:
-        for i in range(0, b.num_rows, rows):
-            yield b.slice(i, rows)
+        sizes = np.zeros(b.num_rows, np.int64)
+        for column in b.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                sizes += np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
+        upto = np.append(0, np.cumsum(sizes))
+        i = 0
+        while i < b.num_rows:
+            j = int(np.searchsorted(upto, upto[i] + max_bytes, side="right")) - 1
+            j = min(max(j, i + 1), i + rows, b.num_rows)
+            yield b.slice(i, j - i)
+            i = j
+    release_memory()
+
+
+def release_memory() -> None:
+    """Hand freed memory of the Arrow pool and of the C heap back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import LOWER, RangeHash, documents, mix, shuffle_partitions, text_chunks, word_runs
+from arrears.llm.common import LOWER, RangeHash, documents, mix, shuffle_partitions, small_batches, text_chunks, word_runs
 from arrears.session import materialize
 
 PLACES = 64
@@ -79,7 +79,7 @@ def _set_hash(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _signatures(words: int):
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = batch.column("doc_id")
             for i, j, hashes, start in shingle_sets(batch.column("text"), words):
                 n = np.diff(start)
@@ -103,7 +103,7 @@ def set_keys(words: int, keep=("doc_id", "text")):
     """Rows with the ``keep`` columns and the key (n_shingles, lo, hi) of the set of ``text``."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             for i, j, hashes, start in shingle_sets(batch.column("text"), words):
                 n = np.diff(start)
                 some, x = np.flatnonzero(n), mix(hashes)

@@ -8,9 +8,11 @@ the text stands in a form that a pattern knows.
 Nodes are the words with a digit, ``@`` or ``+``; every other word is surely no
 personal data, so it is clamped and splits the chain exactly there. Neighbouring
 nodes share a chain potential; a *skip* potential links each node to the next
-one with the same letters and digits, and to the next with the same last seven
-digits (links grow with words, not pairs). Loopy belief propagation runs over
-all documents of a batch that hold a base span at once, as array operations over the links.
+one with the same letters and digits, to the next with the same last seven
+digits, and to the next with the same name before an ``@`` (links grow with
+words, not pairs). The words around a node are features of it. Loopy belief
+propagation runs over all documents of a batch that have a node at once, as
+array operations over the links.
 
 The CRF is trained here by pseudo-likelihood (each node's label given its
 neighbours' labels) on the base labels of at most about ``sample`` documents,
@@ -99,7 +101,8 @@ def _shape(word: str) -> str:
 def _node_features(word: str, before: str, after: str) -> list[int]:
     digits = "".join(_DIGIT.findall(word))
     bare = word.strip(_TRIM)
-    named = ("1", f"s{_shape(bare)}", f"d{min(len(digits), 24)}", f"l{min(len(word), 40) // 4}", f"@{word.count('@')}.{min(word.count('.'), 4)}",
+    near = [w.strip(_TRIM).lower() for w in before.split()[-2:]]
+    named = ("1", f"p{near[-1] if near else ''}", f"q{near[0] if len(near) > 1 else ''}", f"s{_shape(bare)}", f"d{min(len(digits), 24)}", f"l{min(len(word), 40) // 4}", f"@{word.count('@')}.{min(word.count('.'), 4)}",
              f"+{word.startswith('+')}", f"c{len(digits)}{luhn(digits)}" if 16 <= len(digits) <= 19 else "c", f"b{_shape(before)}", f"a{_shape(after)}",
              f"i{_ip_ok(bare)}" if _IP.fullmatch(bare) else "i")
     return [zlib.crc32(x.encode("utf-8", "replace")) % FEATURES for x in named]
@@ -112,7 +115,7 @@ class _Graph:
         self.doc, self.start, self.end, self.feats, self.chain, self.skip = [], [], [], [], [], []
 
     def add(self, doc: int, text: str) -> None:
-        last, seen_text, seen_tail = None, {}, {}
+        last, seen_text, seen_tail, seen_name = None, {}, {}, {}
         for m in _WORD.finditer(text):
             a, b = m.span()
             word, n = m[0], len(self.doc)
@@ -127,7 +130,8 @@ class _Graph:
                 self.chain.append((last, n))
             key = re.sub(r"[\W_]", "", word).lower()
             digits = "".join(_DIGIT.findall(word))
-            for seen, k in ((seen_text, key), (seen_tail, digits[-7:] if len(digits) >= 7 else "")):
+            name = re.sub(r"[\W_]", "", word.split("@")[0]).lower()
+            for seen, k in ((seen_text, key), (seen_tail, digits[-7:] if len(digits) >= 7 else ""), (seen_name, name if len(name) >= 4 else "")):
                 if k and k in seen:
                     self.skip.append((seen[k], n))
                 if k:
@@ -237,8 +241,7 @@ def find_spans(texts, model: dict, sure: float = SURE) -> list[list[tuple[int, i
     for d, text in enumerate(texts):
         if text and _ACTIVE.search(text):
             base[d] = base_spans(text)
-            if base[d]:
-                graph.add(d, text)
+            graph.add(d, text)
     out: list[list] = [[(k, a, b, True) for k, a, b in base.get(d, ())] for d in range(len(texts))]
     if graph.doc:
         feats, chains, skips = graph.arrays()
@@ -277,9 +280,10 @@ def detect_pii(docs: DataFrame, sample: int = SAMPLE, sure: float = SURE, keep=(
     ``<KIND>`` in place of each span (null for a null text).
 
     Null and empty texts have no spans. Repeated rows are treated alike. Rows
-    without a doc_id are searched, but never trained on. Only a document that
-    holds a base span can get more, and what it gets depends on its own text and
-    the model, not on the rows beside it. Empty table: no rows.
+    without a doc_id are searched, but never trained on. Every document with a
+    node goes through the field, and what it gets depends on its own text and the
+    model, not on the rows beside it. A very long text is one graph, a node a
+    word with a digit, ``@`` or ``+``. Empty table: no rows.
     """
     rest = [c for c in keep if c not in ("doc_id", "spans", "masked")]
     n = docs.count()

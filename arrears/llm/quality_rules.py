@@ -23,9 +23,12 @@ from arrears.session import materialize
 
 BLANK = "[\\x20\\x09-\\x0D]+"
 WINDOW = 5
-ROUNDS = 12
-#: least share of good texts that a rule does not vote bad on
-PRECISE = 0.997
+ROUNDS = 30
+#: chance of a good vote on good and on bad texts before any vote is seen, and the votes that this belief is worth
+START, BELIEF = (0.99, 0.6), 10.0
+#: the rule that tells which of the two classes is the good one
+ANCHOR = "repeats"
+PLAIN = r"[\p{L}\p{M}]+(?=[.,;:!?]?(?:[\x20\x09-\x0D]|\z))"
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -37,7 +40,8 @@ def text_counts(docs: DataFrame, window: int = WINDOW, extra=()) -> DataFrame:
     """doc_id, ``extra`` columns and the counts of every whole text (null text: empty).
 
     n_words, word_chars (code points in words), n_symbols, n_upper and
-    n_digits, n_lines (lines with a word), n_dup_lines (equal to an earlier
+    n_digits, n_plain (runs of letters that end a word but for one mark),
+    n_distinct (different words), n_lines (lines with a word), n_dup_lines (equal to an earlier
     one), n_ended (lines that end a sentence) and n_repeat_words (words in
     windows of ``window`` words found twice or more, the first included).
     """
@@ -49,6 +53,7 @@ def text_counts(docs: DataFrame, window: int = WINDOW, extra=()) -> DataFrame:
     one = one.select(
         "doc_id", *extra, F.size("words").cast("long").alias("n_words"), F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         _count(F.col("text"), "[^#*$%&|<>]").alias("n_symbols"), _count(F.col("text"), "[^A-Z]").alias("n_upper"), _count(F.col("text"), "[^0-9]").alias("n_digits"),
+        F.regexp_count("text", F.lit(PLAIN)).cast("long").alias("n_plain"), F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
         F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.filter("lines", lambda x: x.rlike("[.!?][\\x20\\x09-\\x0D]*$"))).cast("long").alias("n_ended"),
         F.transform(places, gram).alias("grams"))
@@ -68,20 +73,27 @@ def _vote(good: Column, bad: Column) -> Column:
 
 
 def rule_votes() -> dict[str, Column]:
-    """Vote of each rule: 1 good, 0 bad, null abstains. Texts without words get votes from length only."""
+    """Vote of each rule: 1 good, 0 bad, null abstains. Texts without words get votes from length only.
+
+    Every kind of bad text is seen by two rules that measure it differently:
+    without that no rule's accuracy could be told from the votes. Some rules
+    are weak on purpose (short texts, few ended lines, many digits).
+    """
     words, lines, some = F.col("n_words"), F.col("n_lines"), F.col("n_words") > 0
     per_word = lambda c: F.col(c) / F.greatest(words, F.lit(1))
     per_char = lambda c: F.col(c) / F.greatest(F.col("word_chars"), F.lit(1))
     per_line = lambda c: F.col(c) / F.greatest(lines, F.lit(1))
     return {
-        "length": _vote(words >= 30, words < 10),
+        "length": _vote(words >= 30, words < 20),
         "symbols": _vote(some & (per_word("n_symbols") < 0.05), some & (per_word("n_symbols") > 0.2)),
+        "plain": _vote(some & (per_word("n_plain") > 0.9), some & (per_word("n_plain") < 0.6)),
         "repeats": _vote(some & (per_word("n_repeat_words") < 0.05), some & (per_word("n_repeat_words") > 0.2)),
+        "variety": _vote(some & (per_word("n_distinct") > 0.5), (words >= 50) & (per_word("n_distinct") < 0.25)),
         "dup_lines": _vote((lines >= 3) & (F.col("n_dup_lines") == 0), per_line("n_dup_lines") > 0.4),
         "capitals": _vote(some & (per_char("n_upper") < 0.15), some & (per_char("n_upper") > 0.4)),
-        "digits": _vote(some & (per_char("n_digits") < 0.05), some & (per_char("n_digits") > 0.25)),
+        "digits": _vote(some & (per_char("n_digits") < 0.05), some & (per_char("n_digits") > 0.15)),
         "word_length": _vote(some & per_word("word_chars").between(3, 9), some & ~per_word("word_chars").between(1.5, 15)),
-        "sentences": _vote((lines > 0) & (per_line("n_ended") >= 0.6), (lines >= 2) & (per_line("n_ended") < 0.1)),
+        "sentences": _vote((lines > 0) & (per_line("n_ended") >= 0.6), (lines >= 2) & (per_line("n_ended") < 0.3)),
     }
 
 
@@ -95,16 +107,18 @@ def _log_odds(names, share: float, chance: dict) -> Column:
     return total
 
 
-def fit_rules(votes: DataFrame, names, rounds: int = ROUNDS, share: float = 0.8, start: tuple = (0.995, 0.8)) -> tuple[float, dict]:
+def fit_rules(votes: DataFrame, names, rounds: int = ROUNDS, share: float = 0.8, start=START, belief: float = BELIEF,
+              anchor: str | None = None) -> tuple[float, dict]:
     """(share of good texts, {rule: (chance of a good vote on good texts, on bad texts)}) by expectation-maximisation.
 
-    Every rule knows one kind of bad text, so at the start a good text nearly
-    always gets its good vote and a bad text mostly does too. The sums are
-    smoothed by two votes at the start, which a rule that always abstains, or
-    a corpus without votes, keeps.
+    ``start`` is one pair for all rules or {rule: pair}; it counts as ``belief``
+    votes of each class in every round, so that a rule that always abstains, or
+    a corpus without votes, keeps it. No accuracy is bounded otherwise. In the
+    end the good class is the one in which ``anchor`` votes good more often.
     """
+    start = start if isinstance(start, dict) else {r: start for r in names}
     table = materialize(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "patterns")
-    chance = {r: start for r in names}
+    chance = dict(start)
     for _ in range(rounds):
         seen = table.withColumn("p", 1 / (1 + F.exp(-_log_odds(names, share, chance))))
         sums = [F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p")).alias("good")]
@@ -113,11 +127,10 @@ def fit_rules(votes: DataFrame, names, rounds: int = ROUNDS, share: float = 0.8,
             sums += [F.sum(F.when(up, F.col("n") * F.col("p"))).alias(f"{r}_gu"), F.sum(F.when(there, F.col("n") * F.col("p"))).alias(f"{r}_g"),
                      F.sum(F.when(up, F.col("n") * (1 - F.col("p")))).alias(f"{r}_bu"), F.sum(F.when(there, F.col("n") * (1 - F.col("p")))).alias(f"{r}_b")]
         row = {k: v or 0.0 for k, v in seen.agg(*sums).first().asDict().items()}
-        share = (row["good"] + 2 * share) / (row["n"] + 2)
-        share = min(max(share, 0.01), 0.99)
-        chance = {r: ((row[f"{r}_gu"] + 2 * start[0]) / (row[f"{r}_g"] + 2), (row[f"{r}_bu"] + 2 * start[1]) / (row[f"{r}_b"] + 2)) for r in names}
-        # no rule may turn round, and each is known to be precise: few good texts get its bad vote
-        chance = {r: (min(max(g, b, PRECISE), 0.9999), max(min(g, b), 0.0001)) for r, (g, b) in chance.items()}
+        share = min(max((row["good"] + belief * share) / (row["n"] + belief), 0.001), 0.999)
+        chance = {r: tuple(min(max((row[f"{r}_{c}u"] + belief * start[r][k]) / (row[f"{r}_{c}"] + belief), 1e-6), 1 - 1e-6) for k, c in enumerate("gb")) for r in names}
+    if anchor is not None and chance[anchor][0] < chance[anchor][1]:
+        share, chance = 1 - share, {r: (b, g) for r, (g, b) in chance.items()}
     return share, chance
 
 
@@ -130,12 +143,13 @@ def quality_verdicts(docs: DataFrame, rounds: int = ROUNDS, threshold: float = 0
     in repeated windows) and kept (not base_failed and posterior >= threshold).
 
     Null, empty and blank texts have counts 0 and are base_failed. Repeated rows
-    are judged alike. Empty table: no rows.
+    are judged alike. A very long text is split and counted as one row; its
+    windows are one array. Empty table: no rows.
     """
     rules = rule_votes()
     names = list(rules)
     votes = materialize(text_counts(docs).withColumns(rules), "votes")
-    share, chance = fit_rules(votes, names, rounds)
+    share, chance = fit_rules(votes, names, rounds, anchor=ANCHOR)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return votes.withColumn("posterior", 1 / (1 + F.exp(-_log_odds(names, share, chance)))).withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))

@@ -213,6 +213,33 @@ def test_op9_counts_and_verdicts(spark, hard, none):
     assert seen[seen["quality"] == 1]["kept"].mean() > 0.95 and seen[seen["quality"] == 0]["kept"].mean() < 0.1
 
 
+def test_op9_em_recovers_planted_accuracies(spark):
+    from arrears.llm.quality_rules import fit_rules
+
+    rng = np.random.default_rng(4)
+    planted = {"a": (0.97, 0.2), "b": (0.9, 0.35), "c": (0.85, 0.5), "d": (0.6, 0.55), "e": (0.93, 0.1)}
+    good = rng.random(30_000) < 0.7
+    votes = {r: np.where(rng.random(len(good)) < 0.1, None, (rng.random(len(good)) < np.where(good, *p)).astype(int)) for r, p in planted.items()}
+    rows = spark.createDataFrame(list(zip(*[[None if v is None else int(v) for v in votes[r]] for r in planted])), ", ".join(f"{r} int" for r in planted))
+    share, chance = fit_rules(rows, list(planted), rounds=60, anchor="a")
+    assert abs(share - good.mean()) < 0.03
+    assert all(abs(x - y) < 0.05 for r in planted for x, y in zip(chance[r], planted[r]))
+    # the sign follows the anchor, not the start
+    share, chance = fit_rules(rows, list(planted), rounds=60, start=(0.4, 0.9), anchor="a")
+    assert abs(share - good.mean()) < 0.03 and chance["a"][0] > chance["a"][1]
+
+
+def test_op9_posterior_decides(spark):
+    from arrears.llm.quality_rules import rule_votes
+
+    sf = "/root/testdata/sf0.01"
+    seen = quality_verdicts(spark.read.parquet(f"{sf}/documents.parquet")).toPandas()
+    bad = (seen[list(rule_votes())] == 0).sum(axis=1)
+    assert (seen["kept"] == (~seen["base_failed"] & (seen["posterior"] >= 0.5))).all()
+    # one weak bad vote may pass, others do not: neither all-must-pass nor the base rules alone
+    assert ((bad == 1) & seen["kept"]).sum() >= 5 and ((bad > 0) & ~seen["base_failed"] & ~seen["kept"]).sum() >= 5
+
+
 def test_op10_base_spans(spark, hard, none):
     want = {d: brute.base_pii(t) for d, t in texts(spark)}
     for r in op10_pii(spark, SF).collect():
@@ -229,9 +256,56 @@ def test_op10_base_spans(spark, hard, none):
 
 
 def test_op10_skip_links_add_repeats(spark):
-    docs = [(i, f"call +1 (555) 555-{i:04d} now, again 1 (555) 555-{i:04d} and mail u{i}@site.org") for i in range(300)]
-    found = detect_pii(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    assert all([s["kind"] for s in r["spans"] if s["base"]] == ["email", "phone"] for r in found)
+    again = [f"call +1 (555) 555-{i:04d} now, again 1 (555) 555-{i:04d} and mail u{i}@site.org" for i in range(300)]
+    clean = [f"version 3.{i} of chapter {i} in 19{i % 100:02d}, page {i * 7}" for i in range(300)]
+    found = {r["doc_id"]: r["spans"] for r in detect_pii(spark.createDataFrame(list(enumerate(again + clean)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(again):
+        assert [s["kind"] for s in found[i] if s["base"]] == ["email", "phone"]
+        added = [text[s["start"]: s["end"]] for s in found[i] if not s["base"]]
+        assert added and set(added) <= {"1", "(555)", f"555-{i:04d}"}
+    assert not any(found[300 + i] for i in range(300))
+
+
+def test_op10_every_document_with_a_node_is_in_the_field(monkeypatch):
+    import arrears.llm.pii as m
+
+    seen = []
+    monkeypatch.setattr(m._Graph, "add", lambda self, d, text, add=m._Graph.add: (seen.append(text), add(self, d, text)))
+    m.find_spans(["no base span, but 555-0100", "none at all", "a@b.cd", None], m.fit_crf([]))
+    assert seen == ["no base span, but 555-0100", "a@b.cd"]
+
+
+def _exact_beliefs(model, feats, chains, skips, observed):
+    """Label shares of every node over all labellings."""
+    import itertools
+
+    n, labels = len(feats), model["chain"].shape[0]
+    total = np.zeros((n, labels))
+    unary = model["unary"][feats].sum(1)
+    for y in itertools.product(range(labels), repeat=n):
+        if all(o == 0 or o == v for o, v in zip(observed, y)):
+            score = sum(unary[i, v] * (observed[i] == 0) for i, v in enumerate(y))
+            score += sum(model["chain"][y[a], y[b]] for a, b in chains) + sum(model["skip"][y[a], y[b]] for a, b in skips)
+            total[range(n), y] += np.exp(score)
+    return total / total.sum(1, keepdims=True)
+
+
+@pytest.mark.parametrize("n, chains, skips, near", [
+    (6, [(0, 1), (1, 2), (3, 4), (4, 5)], [], 0.01),
+    (7, [(0, 1), (2, 3), (4, 5)], [(1, 2), (3, 4), (5, 6)], 0.01),
+    (5, [(0, 1), (1, 2), (2, 3)], [(0, 2), (1, 4)], 0.08), (8, [(0, 1), (1, 2), (2, 3), (4, 5), (6, 7)], [(0, 3), (3, 4)], 0.08)])
+def test_op10_beliefs_against_enumeration(n, chains, skips, near):
+    from arrears.llm.pii import FEATURES, posteriors
+
+    rng = np.random.default_rng(n)
+    labels = 5
+    model = {"unary": rng.normal(0, 0.7, (FEATURES, labels)), "chain": rng.normal(0, 0.5, (labels, labels)), "skip": np.eye(labels)}
+    feats, observed = rng.integers(0, FEATURES, (n, 2)), np.zeros(n, int)
+    observed[0] = 1
+    link = lambda x: np.array(x, np.int64).reshape(-1, 2)
+    got = posteriors(model, feats, link(chains), link(skips), observed)
+    assert np.abs(got - _exact_beliefs(model, feats, chains, skips, observed)).max() < near
+
 
 
 def test_pipeline_stages(spark):
