@@ -1,11 +1,10 @@
 """Spark ML models of the delay bucket: M1-M7, M10, M11.
 
 * random forest (the default model), multinomial logistic regression after
-  scaling, and boosted trees as one-vs-rest over binary ``GBTClassifier``
-  (Spark's GBT is binary only);
-* the tuned boosting preset maps the original hyper-parameters to Spark's
-  (leaf-count cap and L1/L2 leaf penalties have no Spark counterpart);
-* class weights enter through ``weightCol``.
+  scaling, and boosted trees by ``operators/boosting.py`` (Spark's own boosting
+  is binary only and has no leaf cap and no L1 or L2);
+* the tuned boosting preset keeps all its sizes;
+* class weights enter through a weight column.
 """
 
 from __future__ import annotations
@@ -14,12 +13,7 @@ import os
 import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +24,7 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from ..params import LABEL, NON_FEATURE_COLUMNS, TUNED_BOOSTING
 from ..session import ensure_checkpoint_dir
+from .boosting import BoostingModel, BoostingParams, HistogramBoosting, depthwise_defaults, tuned_params
 from .evaluate import confusion_counts, metrics_from_counts
 
 ID_COLUMNS = ("invoice_id", "customer_id", "company_id")
@@ -68,28 +63,16 @@ def random_forest(num_trees: int = 100, max_depth: int = 10, seed: int = 0, weig
     return rf
 
 
-def boosted_trees(max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1, seed: int = 0,
-                  min_instances: int = 1, subsampling: float = 1.0, weighted: bool = False,
-                  label: str = LABEL, parallelism: int = 5) -> OneVsRest:
-    """M3: multiclass boosting as one-vs-rest binary GBTs."""
-    gbt = GBTClassifier(featuresCol="features", maxIter=max_iter, maxDepth=max_depth, stepSize=step_size,
-                        seed=seed, minInstancesPerNode=min_instances, subsamplingRate=subsampling, maxBins=64,
-                        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
-    ovr = OneVsRest(classifier=gbt, labelCol=label, featuresCol="features", parallelism=parallelism)
-    if weighted:
-        ovr.setWeightCol("weight")
-    return ovr
+def boosted_trees(params: BoostingParams = depthwise_defaults(), weighted: bool = False, label: str = LABEL) -> HistogramBoosting:
+    """M3: boosting of all classes at once, by default with the depth-wise libraries' default sizes;
+    ``BoostingParams()`` are those of the leaf-wise ones."""
+    return HistogramBoosting(params, weight="weight" if weighted else None, label=label)
 
 
 def tuned_boosting(rounds: int = TUNED_BOOSTING["n_estimators"], weighted: bool = True,
-                   label: str = LABEL) -> OneVsRest:
-    """M5: the tuned preset with all its rounds; another number of ``rounds`` is another model."""
-    p = TUNED_BOOSTING
-    return boosted_trees(
-        max_iter=rounds, max_depth=min(p["max_depth"], 30),
-        step_size=p["learning_rate"], seed=p["random_state"], min_instances=p["min_child_samples"],
-        subsampling=p["subsample"], weighted=weighted, label=label,
-    )
+                   label: str = LABEL) -> HistogramBoosting:
+    """M5: the tuned preset with all its sizes and rounds; another number of ``rounds`` is another model."""
+    return boosted_trees(tuned_params(rounds), weighted, label)
 
 
 def logistic_regression(max_iter: int = 100, weighted: bool = True, label: str = LABEL) -> LogisticRegression:
@@ -120,20 +103,9 @@ def predict(model: PipelineModel, df: DataFrame, keep_vectors: bool = False) ->
 
 
 def class_probabilities(model: PipelineModel, df: DataFrame, n_classes: int = 5) -> DataFrame:
-    """M7: per-class probabilities as ``p_0..p_k``.
-
-    Random forest and logistic regression give them. One-vs-rest boosting
-    gives one margin per class: its binary model reads margin ``m`` as
-    probability 1 / (1 + exp(-2 m)), and these are divided by their sum.
-    """
+    """M7: per-class probabilities as ``p_0..p_k``."""
     out = model.transform(df)
-    if "probability" in out.columns:
-        arr = vector_to_array("probability")
-    else:
-        out = out.withColumn("_odds", F.transform(
-            vector_to_array("rawPrediction"), lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * m))))
-        total = F.aggregate("_odds", F.lit(0.0), lambda s, x: s + x)
-        arr = F.transform("_odds", lambda x: x / total)
+    arr = vector_to_array("probability")
     return out.select("invoice_id", *[arr[k].alias(f"p_{k}") for k in range(n_classes)],
                       F.col("prediction").cast("int").alias("predicted_bucket"))
 
@@ -148,13 +120,8 @@ def load_model(path: str) -> PipelineModel:
 
 
 def _tree_ensembles(model: PipelineModel):
-    """Tree-ensemble models inside a fitted pipeline (one, or one per class for one-vs-rest)."""
-    for stage in model.stages:
-        if hasattr(stage, "trees"):
-            yield stage
-        for sub in getattr(stage, "models", []) or []:
-            if hasattr(sub, "trees"):
-                yield sub
+    """Spark's tree-ensemble models inside a fitted pipeline."""
+    return [stage for stage in model.stages if hasattr(stage, "trees")]
 
 
 def split_counts(spark, model: PipelineModel, columns) -> DataFrame:
@@ -166,6 +133,9 @@ def split_counts(spark, model: PipelineModel, columns) -> DataFrame:
     """
     root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
     names = spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "feature_index int, feature string")
+    for stage in model.stages:
+        if isinstance(stage, BoostingModel):
+            return spark.createDataFrame([(columns[f], n) for f, n in stage.split_counts().items()], "feature string, splits long")
     nodes = None
     for k, ensemble in enumerate(_tree_ensembles(model)):
         path = os.path.join(root, str(k))
