@@ -3,7 +3,8 @@
 The global renumbering uses a range-partitioned sort plus per-partition row
 offsets (the DataFrame form of ``zipWithIndex``): one sort shuffle, a table of
 one row per partition, and no single-task collection of values. The quartiles
-of ``describe`` sort value counts the same way.
+of ``describe`` are selected by the bits of their values and the correlations
+come from one pass of products; neither moves a value.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,48 +86,83 @@ def sorted_invoices(df: DataFrame) -> DataFrame:
     return global_index(df, ["customer_id", "company_id", "invoice_date", "invoice_id"], "position")
 
 
+def _ordered_bits(x: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the order of the doubles (both zeros alike, NaN last)."""
+    x = np.where(np.isnan(x), np.nan, x + 0.0)
+    bits = np.where(x == 0.0, 0.0, x).view(np.uint64)
+    return np.where(bits >> np.uint64(63), ~bits, bits | np.uint64(1 << 63))
+
+
+def _double_of(bits: int) -> float:
+    raw = bits & ~(1 << 63) if bits >> 63 else ~bits & (2**64 - 1)
+    return float(np.array([raw], np.uint64).view(float)[0])
+
+
+def _arrow_doubles(df: DataFrame, columns) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+
+
+def select_ranks(df: DataFrame, columns, ranks_of, digit: int = 16) -> tuple[dict[tuple[int, int], float], dict[int, int]]:
+    """({(column number, rank): value}, {column number: values}) for the wanted 0-based ranks of each column's non-null values.
+
+    ``ranks_of`` maps a column's count to its ranks. By radix selection: a pass counts the next
+    ``digit`` bits of the values that share a wanted value's bits so far, for all
+    columns and ranks at once; only counters are shuffled and no value moves.
+    """
+    x = _arrow_doubles(df, columns)
+    counts: dict[int, int] = {}
+    wanted: dict[tuple[int, int], tuple[int, int]] = {}  # (column, rank) -> bits so far, rank among the values with these bits
+    for done in range(0, 64, digit):
+        starts = sorted({(c, bits) for (c, _), (bits, _) in wanted.items()}) if done else [(c, 0) for c in range(len(columns))]
+
+        def count(batches, done=done, starts=starts):
+            for b in batches:
+                out = []
+                cells = {}
+                for k, (c, bits) in enumerate(starts):
+                    if c not in cells:
+                        column = b.column(c)
+                        cells[c] = _ordered_bits(column.drop_null().to_numpy(zero_copy_only=False))
+                    found = cells[c]
+                    if done:
+                        found = found[found >> np.uint64(64 - done) == np.uint64(bits)]
+                    n = np.bincount((found >> np.uint64(64 - done - digit)).astype(np.int64) & ((1 << digit) - 1)) if len(found) else np.zeros(0, int)
+                    d = np.flatnonzero(n)
+                    out.append((np.full(len(d), k), d, n[d]))
+                yield pa.record_batch([pa.array(np.concatenate(v), pa.int64()) for v in zip(*out)], names=["k", "digit", "n"])
+
+        # at most 2 ** digit counters a start; its running sums stay in one small group
+        counters = x.mapInArrow(count, "k long, digit long, n long").groupBy("k", "digit").agg(F.sum("n").alias("n"))
+        upto = counters.withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("digit")))
+        if not done:
+            counts = {r["k"]: r["n"] for r in upto.groupBy("k").agg(F.max("upto").alias("n")).collect()}
+            wanted = {(c, r): (0, r) for c, n in counts.items() for r in ranks_of(n)}
+        place = {start: k for k, start in enumerate(starts)}
+        asked = [(c, r, place[c, bits], rest) for (c, r), (bits, rest) in wanted.items()]
+        if not asked:
+            return {}, {}
+        hit = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(r).cast("long").alias("r"), F.lit(k).cast("long").alias("at"), F.lit(rest).cast("long").alias("rest"))
+                        for c, r, k, rest in asked])
+        met = upto.withColumn("w", F.explode(F.filter(hit, lambda w: (w["at"] == F.col("k")) & (w["rest"] < F.col("upto")) & (w["rest"] >= F.col("upto") - F.col("n")))))
+        wanted = {(m["c"], m["r"]): ((wanted[m["c"], m["r"]][0] << digit) | m["digit"], m["rest"]) for m in met.select(
+            "w.c", "w.r", "digit", (F.col("w.rest") - F.col("upto") + F.col("n")).alias("rest")).collect()}
+    return {key: _double_of(bits) for key, (bits, _) in wanted.items()}, counts
+
+
 def exact_quantiles(df: DataFrame, columns, probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """(column_name, p, value): linear-interpolated quantiles, nulls ignored.
+    """(column_name, p, value): linear-interpolated quantiles, nulls ignored; a column without values has no row.
 
-    Values are counted first (combined on the map side), so a value that fills
-    a third of a column is one row. Only the distinct values are sorted, by
-    range; the cumulated counts of the sort partitions tell which partitions
-    hold the wanted ranks, and only those are numbered inside.
+    The two ranks around each quantile are selected by their bits: the input is
+    read once a pass, and what is shuffled and kept does not grow with it.
     """
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns
-    ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
-    counted = stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c"))
-    ordered = materialize(counted.orderBy("column_name", "value").withColumn("_pid", F.spark_partition_id()),
-                          "value-counts")
-    # one row per column and sort partition
-    parts = ordered.groupBy("column_name", "_pid").agg(F.sum("_c").alias("_pc"))
-    by_part = Window.partitionBy("column_name").orderBy("_pid")
-    parts = parts.withColumns({
-        "_end": F.sum("_pc").over(by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "_n": F.sum("_pc").over(by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-    })
-    h = (F.col("_n") - 1) * F.col("p")
-    wanted = parts.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs]))).select(
-        "column_name", "_pid", "p", (F.col("_end") - F.col("_pc")).alias("_before"), "_end",
-        (h - F.floor(h)).alias("_frac"), F.explode(F.array(
-            F.struct(F.lit(False).alias("_upper"), F.floor(h).alias("_rank")),
-            F.struct(F.lit(True).alias("_upper"), F.ceil(h).alias("_rank")))).alias("_r"),
-    ).select("*", "_r.*").drop("_r").where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_end")))
-    # two rows per column and probability; written, so that the joins know its size
-    wanted = materialize(wanted.drop("_end"), "wanted-ranks")
-    inside = Window.partitionBy("column_name", "_pid").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    numbered = ordered.join(wanted.select("column_name", "_pid").distinct(), ["column_name", "_pid"], "left_semi"
-                            ).withColumn("_upto", F.sum("_c").over(inside))
-    rank = F.col("_rank") - F.col("_before")
-    picks = numbered.join(wanted, ["column_name", "_pid"]).where(
-        (rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")))
-    agg = picks.groupBy("column_name", "p", "_frac").agg(
-        F.max(F.when(~F.col("_upper"), F.col("value"))).alias("_vlo"),
-        F.max(F.when(F.col("_upper"), F.col("value"))).alias("_vhi"),
-    )
-    return agg.select("column_name", "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"))
+    columns, rows = list(columns), []
+    found, counts = select_ranks(df, columns, lambda n: {int(f((n - 1) * p)) for p in probs for f in (np.floor, np.ceil)})
+    for c, n in sorted(counts.items()):
+        for p in probs:
+            h = (n - 1) * p
+            lo, hi = found[c, int(np.floor(h))], found[c, int(np.ceil(h))]
+            rows.append((columns[c], float(p), lo if lo == hi else float(lo + (hi - lo) * (h - np.floor(h)))))
+    return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
 
 
 def describe_numeric(df: DataFrame, columns) -> DataFrame:
@@ -144,49 +181,46 @@ def describe_numeric(df: DataFrame, columns) -> DataFrame:
     )
 
 
-def correlation_long(df: DataFrame, columns) -> DataFrame:
-    """Pearson correlation of every column pair (a < b by position), nulls dropped per pair.
+def correlation_long(df: DataFrame, columns, groups: int = 32) -> DataFrame:
+    """Pearson correlation of every column pair (a < b by position), missing values (null, NaN) dropped per pair.
 
-    Each column is standardised and becomes three: value, presence and
-    square, all 0 where it is null. The second moments of these hold, for
-    every pair, all sums over the rows where both columns are present. Spark
-    ML's ``Correlation`` gathers them in one tree aggregate; only the
-    (3 x columns)^2 matrix reaches the driver. A pair without spread in a
-    column, or without common rows, gives NULL.
+    One pass: a task adds up, for its rows less one row of the table, the
+    products of value and value, value and presence, square and presence, and
+    presence and presence of all pairs. These sums are added in ``groups``
+    groups of tasks, so that only few of them reach the driver. A pair without
+    spread in a column, or without common rows, gives NULL.
     """
-    from pyspark.ml.stat import Correlation, Summarizer
-
-    from ..operators.ml import assembler
-
     columns = list(columns)
     d, spark = len(columns), df.sparkSession
     schema = "column_a string, column_b string, corr double"
-    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    spread = x.agg(F.count(F.lit(1)), *[f(c) for c in x.columns for f in (F.avg, F.stddev_samp)]).first()
-    if not spread[0]:
+    x = _arrow_doubles(df, columns)
+    one = x.first()
+    if one is None:
         return spark.createDataFrame([(a, b, None) for a, b in combinations(columns, 2)], schema)
-    parts = {}
-    for i, c in enumerate(x.columns):
-        mean, std = spread[1 + 2 * i], spread[2 + 2 * i]
-        value = (F.col(c) - F.lit(mean or 0.0)) / F.lit(std if std and std == std else 1.0)
-        parts |= {f"v{i}": F.coalesce(value, F.lit(0.0)), f"m{i}": F.col(c).isNotNull().cast("double"),
-                  f"s{i}": F.coalesce(value * value, F.lit(0.0))}
-    names = [f"{k}{i}" for k in "vms" for i in range(d)]
-    vec = assembler(names).transform(x.select(*[parts[n].alias(n) for n in names])).select("features")
-    total = vec.select(Summarizer.metrics("mean", "std").summary(F.col("features")).alias("s")).first()["s"]
-    mean, std = total["mean"].toArray(), total["std"].toArray()
-    corr = Correlation.corr(vec, "features", "pearson").first()[0].toArray() if spread[0] > 1 else np.eye(3 * d)
-    # second moment about zero = covariance + product of the means
-    shrink = (spread[0] - 1) / spread[0]
-    moment = np.nan_to_num(corr) * np.outer(std, std) * shrink + np.outer(mean, mean)
+    shift = np.nan_to_num(np.array([0.0 if v is None else v for v in one], float))
+
+    def products(batches):
+        from pyspark import TaskContext
+
+        total = np.zeros((4, d, d))
+        for b in batches:
+            v = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns], axis=1) - shift
+            there = ~np.isnan(v)
+            v, there = np.where(there, v, 0.0), there.astype(float)
+            total += np.stack([there.T @ there, v.T @ v, v.T @ there, (v * v).T @ there])
+        yield pa.record_batch([pa.array([TaskContext.get().partitionId() % groups], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+    def added(table: pa.Table) -> pa.Table:
+        return pa.table({"sums": pa.array([sum(np.frombuffer(s) for s in table.column("sums").to_pylist()).tobytes()], pa.binary())})
+
+    sums = x.mapInArrow(products, "part int, sums binary").groupBy("part").applyInArrow(added, "sums binary").collect()
+    n, sxy, sx, sxx = sum(np.frombuffer(r["sums"]) for r in sums).reshape(4, d, d)
+    spread_x, spread_y = n * sxx - sx * sx, n * sxx.T - sx.T * sx.T
     rows = []
     for i, j in combinations(range(d), 2):
-        n, sxy = moment[d + i, d + j], moment[i, j]
-        sx, sy = moment[i, d + j], moment[j, d + i]
-        sxx, syy = moment[2 * d + i, d + j], moment[2 * d + j, d + i]
-        vx, vy = n * sxx - sx * sx, n * syy - sy * sy
-        known = vx > 1e-12 * n * sxx and vy > 1e-12 * n * syy
-        rows.append((columns[i], columns[j], float((n * sxy - sx * sy) / np.sqrt(vx * vy)) if known else None))
+        known = spread_x[i, j] > 1e-12 * n[i, j] * sxx[i, j] and spread_y[i, j] > 1e-12 * n[i, j] * sxx[j, i]
+        corr = (n[i, j] * sxy[i, j] - sx[i, j] * sx[j, i]) / np.sqrt(spread_x[i, j] * spread_y[i, j]) if known else None
+        rows.append((columns[i], columns[j], None if corr is None else float(corr)))
     return spark.createDataFrame(rows, schema)
 
 

@@ -74,3 +74,31 @@ def test_parquet_and_table_scans(spark):
     assert by_path.columns == inv.columns and by_path.count() == inv.count()
     inv.createOrReplaceTempView("payment_data")
     assert read_invoices_parquet(spark, "payment_data").count() == inv.count()
+
+
+def test_radix_selected_quantiles_of_hard_columns(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    a = np.round(rng.normal(size=997) * 10.0 ** rng.integers(-300, 300, 997), 3)
+    a[::5] = -0.0
+    b = np.where(np.arange(997) % 3 == 0, 7.5, rng.integers(-5, 5, 997))  # a third of the rows has one value
+    rows = [(float(x), float(y) if i % 4 else None, float("inf") if i % 2 else float("-inf"), None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    got = {(r["column_name"], r["p"]): r["value"] for r in exact_quantiles(df, ["a", "b", "c", "d"], (0.0, 0.1, 0.5, 0.99, 1.0)).collect()}
+    kept = b[np.arange(997) % 4 > 0]
+    for p in (0.0, 0.1, 0.5, 0.99, 1.0):
+        assert got["a", p] == pytest.approx(np.quantile(a, p)) and got["b", p] == pytest.approx(np.quantile(kept, p))
+    assert got["c", 0.0] == float("-inf") and got["c", 1.0] == float("inf") and not any(c == "d" for c, _ in got)
+
+
+def test_quantiles_and_correlation_move_no_values(spark):
+    from arrears.operators.profile import correlation_long, select_ranks
+
+    df = spark.range(5000).selectExpr("id * 1.0 as a", "cast(id % 7 as double) as b")
+    found, counts = select_ranks(df, ["a", "b"], lambda n: {0, n // 2, n - 1})
+    assert counts == {0: 5000, 1: 5000} and found[0, 2500] == 2500.0 and found[1, 4999] == 6.0
+    one = correlation_long(df.repartition(7), ["a", "b"], groups=3).first()["corr"]
+    assert one == pytest.approx(df.corr("a", "b"), abs=1e-12)
+    nan = spark.createDataFrame([(1.0, 2.0), (2.0, float("nan")), (3.0, 7.0), (4.0, 1.0)], "a double, b double")
+    assert correlation_long(nan, ["a", "b"]).first()["corr"] == pytest.approx(nan.filter("not isnan(b)").corr("a", "b"))
