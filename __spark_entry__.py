@@ -655,8 +655,8 @@ def q_feature_vector(spark, sf):
 
 @register("rf_predictions", PRED_SPEC, PRED_SQL)
 def q_rf_predictions(spark, sf):
-    """M2: library defaults, no class weights."""
-    model, _ = _fitted(spark, sf, "rf-default", lambda: ml.random_forest(weighted=False))
+    """M2: library defaults (100 trees, no depth limit, no class weights)."""
+    model, _ = _fitted(spark, sf, "rf-default", lambda: ml.deep_forest())
     return _judged_predictions(spark, sf, model)
 
 

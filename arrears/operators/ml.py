@@ -25,6 +25,7 @@ from pyspark.sql.types import BooleanType, NumericType
 from ..params import LABEL, NON_FEATURE_COLUMNS, TUNED_BOOSTING
 from ..session import ensure_checkpoint_dir
 from .boosting import BoostingModel, BoostingParams, HistogramBoosting, depthwise_defaults, tuned_params
+from .forest import DeepForest, DeepForestModel
 from .evaluate import confusion_counts, metrics_from_counts
 
 ID_COLUMNS = ("invoice_id", "customer_id", "company_id")
@@ -53,7 +54,7 @@ def feature_vector(df: DataFrame, columns) -> DataFrame:
 
 def random_forest(num_trees: int = 100, max_depth: int = 10, seed: int = 0, weighted: bool = True,
                   label: str = LABEL) -> RandomForestClassifier:
-    """M2 (library defaults of the original: 100 trees)."""
+    """Spark's forest, depth ``max_depth``: the training step's default model."""
     # node ids cached on executors and a larger node batch: fewer passes per tree level
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, maxDepth=max_depth,
                                 seed=seed, maxBins=64, maxMemoryInMB=1024, cacheNodeIds=True,
@@ -63,6 +64,11 @@ def random_forest(num_trees: int = 100, max_depth: int = 10, seed: int = 0, weig
     return rf
 
 
+def deep_forest(num_trees: int = 100, seed: int = 0, weighted: bool = False, label: str = LABEL) -> DeepForest:
+    """M2 with the original library's defaults: 100 trees without a depth limit."""
+    return DeepForest(num_trees, weight="weight" if weighted else None, label=label, seed=seed)
+
+
 def boosted_trees(params: BoostingParams = depthwise_defaults(), weighted: bool = False, label: str = LABEL) -> HistogramBoosting:
     """M3: boosting of all classes at once, by default with the depth-wise libraries' default sizes;
     ``BoostingParams()`` are those of the leaf-wise ones."""
@@ -134,7 +140,7 @@ def split_counts(spark, model: PipelineModel, columns) -> DataFrame:
     root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
     names = spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "feature_index int, feature string")
     for stage in model.stages:
-        if isinstance(stage, BoostingModel):
+        if isinstance(stage, (BoostingModel, DeepForestModel)):
             return spark.createDataFrame([(columns[f], n) for f, n in stage.split_counts().items()], "feature string, splits long")
     nodes = None
     for k, ensemble in enumerate(_tree_ensembles(model)):
