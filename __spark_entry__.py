@@ -69,6 +69,7 @@ from arrears.sources.invoices import invoices_table, with_hot_day, with_hot_pair
 from arrears.sources.io import (  # noqa: E402
     normalize_columns,
     read_invoices_csv,
+    read_predictions,
     read_training_set,
     write_invoices_csv,
     write_labelled_predictions,
@@ -264,7 +265,7 @@ def q_parse_dates(spark, sf):
 def q_write_training_set(spark, sf):
     path = _scratch(spark, "training-set")
     write_training_set(training_set(spark, sf), path)
-    return spark.read.parquet(path).drop("invoice_year")
+    return read_training_set(spark, path).drop("invoice_year")
 
 
 @register("scan_training_set_csv", TRAINING_SPEC, "SELECT * FROM ts")
@@ -758,7 +759,7 @@ def q_write_predictions(spark, sf):
     path = _scratch(spark, "predictions")
     rows = _predictions(spark, sf, _rf(spark, sf)[0])
     write_predictions(rows.drop("payment_bucket", "valid_bucket"), path)
-    back = spark.read.parquet(path).select("invoice_id", F.col("predicted_bucket").alias("_read"))
+    back = read_predictions(spark, path).select("invoice_id", F.col("predicted_bucket").alias("_read"))
     return rows.join(back, "invoice_id", "full").withColumn(
         "equal_in_memory", F.col("_read").eqNullSafe(F.col("predicted_bucket")))
 
@@ -768,7 +769,7 @@ def q_write_labelled_predictions(spark, sf):
     path = _scratch(spark, "labelled")
     rows = _predictions(spark, sf, _rf(spark, sf)[0])
     write_labelled_predictions(rows.drop("payment_bucket", "valid_bucket"), path)
-    back = spark.read.option("header", True).csv(path).select(
+    back = read_predictions(spark, path, "csv").select(
         F.col("invoice_id").cast("long").alias("invoice_id"), F.col("prediction").alias("_read"))
     return rows.join(back, "invoice_id", "full").withColumn(
         "equal_in_memory", F.col("_read").eqNullSafe(F.get(F.array(*map(F.lit, BUCKET_LABELS)), F.col("predicted_bucket"))))

@@ -8,6 +8,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.columns import bucket_label
 from ..schema import INVOICE_CSV_SCHEMA, TRAINING_SET_SCHEMA
+from .committed import commit, current_folder
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -43,33 +44,48 @@ def write_invoices_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
-def write_training_set(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Training-set sink (IO4), partitioned by invoice year so the year split prunes files.
+def write_training_set(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", fingerprint: str | None = None) -> None:
+    """Training-set sink (IO4), partitioned by invoice year so the year split prunes files; committed at once.
 
-    ``mode="append"`` adds new files to the same layout (e.g. for the streaming scorer).
+    ``mode="append"`` adds new files to the current folder (e.g. for the streaming scorer).
     """
     # rebalanced by year: one year's rows meet in files of the advisory size, large years in several
     out = df.withColumn("invoice_year", F.year("invoice_date")).hint("rebalance", F.col("invoice_year"))
-    writer = out.write.mode(mode).partitionBy("invoice_year")
-    if fmt == "csv":
-        writer.option("header", True).csv(path)
-    else:
-        writer.parquet(path)
 
+    def write(folder: str, mode: str = "error") -> None:
+        writer = out.write.mode(mode).partitionBy("invoice_year")
+        if fmt == "csv":
+            writer.option("header", True).csv(folder)
+        else:
+            writer.parquet(folder)
 
-def write_predictions(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Predictions sink (IO5): features of the test rows plus ``predicted_bucket``."""
-    writer = df.write.mode("overwrite")
-    if fmt == "csv":
-        writer.option("header", True).csv(path)
+    if mode == "append":
+        write(current_folder(df.sparkSession, path), "append")
     else:
-        writer.parquet(path)
+        commit(df.sparkSession, path, write, fingerprint)
+
+
+def write_predictions(df: DataFrame, path: str, fmt: str = "parquet", fingerprint: str | None = None) -> None:
+    """Predictions sink (IO5): features of the test rows plus ``predicted_bucket``; committed at once."""
+    def write(folder: str) -> None:
+        if fmt == "csv":
+            df.write.option("header", True).csv(folder)
+        else:
+            df.write.parquet(folder)
+
+    commit(df.sparkSession, path, write, fingerprint)
 
 
 def write_labelled_predictions(df: DataFrame, path: str, prediction_col: str = "predicted_bucket") -> None:
-    """Predictions with a text label in ``prediction`` (IO6), as CSV."""
+    """Predictions with a text label in ``prediction`` (IO6), as CSV; committed at once."""
     out = df.withColumn("prediction", bucket_label(F.col(prediction_col))).drop(prediction_col)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    commit(df.sparkSession, path, lambda folder: out.write.option("header", True).csv(folder))
+
+
+def read_predictions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Predictions of ``write_predictions``, or as texts those of ``write_labelled_predictions`` (``fmt="csv"``)."""
+    folder = current_folder(spark, path)
+    return spark.read.option("header", True).csv(folder) if fmt == "csv" else spark.read.parquet(folder)
 
 
 def read_training_set(spark: SparkSession, path: str, fmt: str = "parquet", extra: StructType | None = None) -> DataFrame:
@@ -80,6 +96,7 @@ def read_training_set(spark: SparkSession, path: str, fmt: str = "parquet", extr
     caller's own columns, which are texts otherwise. ``invoice_year`` (the
     partition column) stays, so that the year split skips the files of other years.
     """
+    path = current_folder(spark, path)
     if fmt == "csv":
         known = TRAINING_SET_SCHEMA.fields + [StructField("invoice_year", IntegerType())]
         return _csv_by_name(spark, path, StructType(known + (extra.fields if extra else [])))

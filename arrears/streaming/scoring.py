@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..operators.split import training_projection
 from ..schema import TRAINING_SET_SCHEMA
 from ..session import ensure_checkpoint_dir
+from ..sources.committed import current_folder
 
 STREAM_SCHEMA = T.StructType(TRAINING_SET_SCHEMA.fields + [T.StructField("invoice_year", T.IntegerType())])
 
@@ -29,7 +30,7 @@ def scored_stream(spark: SparkSession, source_dir: str, model: PipelineModel, fr
                   max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming DataFrame of (features..., predicted_bucket) for files under ``source_dir``."""
     rows = (spark.readStream.schema(STREAM_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(source_dir))
+            .parquet(current_folder(spark, source_dir)))
     if from_year is not None:
         rows = rows.filter(F.col("invoice_year") >= from_year)
     prepared = training_projection(rows.drop("invoice_year"))

@@ -8,6 +8,7 @@ from arrears.plans.preprocess import features_table, preprocess
 from arrears.plans.serve import ScoringContext, fit_scoring_context, score_open_invoices
 from arrears.plans.train import train
 from arrears.sources.invoices import invoices_table
+from arrears.sources import read_predictions
 from fixtures import SF01
 
 
@@ -56,6 +57,6 @@ def test_two_step_job_with_csv_hand_off(spark):
                        ml.random_forest(5, 4), fmt="csv")
     m = res.metrics.first()
     assert 0 <= m["accuracy"] <= 1 and 0 <= m["f1"] <= 1
-    preds = spark.read.option("header", True).csv(os.path.join(root, "pred", "predictions"))
+    preds = read_predictions(spark, os.path.join(root, "pred", "predictions"), "csv")
     assert preds.count() == res.predictions.count() > 0
     assert "predicted_bucket" in preds.columns and "payment_bucket" not in preds.columns
