@@ -33,6 +33,7 @@ from arrears.operators.label import add_payment_bucket, region_codes  # noqa: E4
 from arrears.operators.open_invoices import open_invoice_features, open_invoice_rows  # noqa: E402
 from arrears.operators.profile import (  # noqa: E402
     correlation_long,
+    dependency_violations,
     describe_numeric,
     head_invoices,
     invoices_per_year,
@@ -511,6 +512,31 @@ def q_pair_sizes(spark, sf):
     return pair_sizes(cleaned(spark, sf))
 
 
+DEPENDENCY_SPEC = [("direction", S), ("key", S), ("n", I), ("low", S), ("high", S)]
+
+
+def _dependency_sql(a, b, source):
+    return (f"SELECT '{a}->{b}' AS direction, CAST({a} AS VARCHAR) AS key, count(*) AS n, CAST(min({b}) AS VARCHAR) AS low, "
+            f"CAST(max({b}) AS VARCHAR) AS high FROM {source} WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY {a} HAVING count(DISTINCT {b}) > 1")
+
+
+@register("customer_company_violations", DEPENDENCY_SPEC, _dependency_sql("customer_id", "company_id", "clean")
+          + " UNION ALL " + _dependency_sql("company_id", "customer_id", "clean"))
+def q_customer_company_violations(spark, sf):
+    return dependency_violations(cleaned(spark, sf), "customer_id", "company_id")
+
+
+# planted: a twin column that breaks the 1:1 relation for one invoice in 500 only
+PLANTED_SQL = "(SELECT invoice_id, CASE WHEN invoice_id % 500 = 0 THEN invoice_id + 1 ELSE invoice_id END AS twin_id FROM clean)"
+
+
+@register("planted_dependency_violations", DEPENDENCY_SPEC, _dependency_sql("invoice_id", "twin_id", PLANTED_SQL)
+          + " UNION ALL " + _dependency_sql("twin_id", "invoice_id", PLANTED_SQL))
+def q_planted_dependency_violations(spark, sf):
+    twin = F.when(F.col("invoice_id") % 500 == 0, F.col("invoice_id") + 1).otherwise(F.col("invoice_id"))
+    return dependency_violations(cleaned(spark, sf).withColumn("twin_id", twin), "invoice_id", "twin_id")
+
+
 @register("invoices_per_year", [("invoice_year", I), ("count", I)],
           "SELECT year(invoice_date) AS invoice_year, count(*) AS count FROM clean GROUP BY year(invoice_date)")
 def q_invoices_per_year(spark, sf):
@@ -869,10 +895,7 @@ def q_leak_free_history(spark, sf):
 
 # --- skew check: a third of all invoices on one pair, history in chunks ----------------
 HOT_CHUNK_ROWS = 1000
-# the amount sums of the hot pair are added chunk by chunk: compared at 6 significant digits
-HOT_SUMS = {"total_amount_of_previous_invoices", "average_invoice_amount", "invoice_deviation"}
-HOT_SPEC = [("invoice_id", I), ("customer_id", I), ("company_id", I)] + [
-    (c, G if c in HOT_SUMS else FEATURE_KINDS[c]) for c in HISTORY_COLUMNS]
+HOT_SPEC = [("invoice_id", I), ("customer_id", I), ("company_id", I)] + [(c, FEATURE_KINDS[c]) for c in HISTORY_COLUMNS]
 
 
 @register("history_hot_pair", HOT_SPEC, "SELECT * FROM feat")
@@ -888,13 +911,13 @@ def q_history_hot_day(spark, sf):
     return invoice_features(clean, HistoryParams(max_chunk_rows=HOT_CHUNK_ROWS))
 
 
-@register("leak_free_history_hot", [(c, G if c in HOT_SUMS else k) for c, k in LEAK_FREE_COLS], LEAK_FREE_SQL)
+@register("leak_free_history_hot", LEAK_FREE_COLS, LEAK_FREE_SQL)
 def q_leak_free_history_hot(spark, sf):
     clean = C.clean_invoices(with_hot_pair(invoices(spark, sf)))
     return invoice_features(clean, HistoryParams(include_current=False, max_chunk_rows=HOT_CHUNK_ROWS))
 
 
-@register("open_invoice_features_hot", [(c, G if c in HOT_SUMS else k) for c, k in OPEN_COLS],
+@register("open_invoice_features_hot", OPEN_COLS,
           OPEN_SQL.replace("FROM inv ", "FROM inv_hot "))
 def q_open_invoice_features_hot(spark, sf):
     inv = with_hot_pair(invoices(spark, sf))

@@ -17,9 +17,11 @@ contiguous *chunks* of at most twice that size: following invoice days are
 taken together, and a day that is itself too large is cut at every
 ``max_chunk_rows``-th row of its sorted ids. (Rows that share day and id stay
 together; null ids sort first.) Windows run per chunk; a small per-chunk summary
-gives each chunk the exact carry of all earlier chunks (count, sums, centred
-sums of squares, max, last ``rolling_rows`` + 1 values), which is merged into the local
-running values with the parallel-variance formula. Pairs below the threshold
+gives each chunk the exact carry of all earlier chunks (count, sums, sums of
+squares, max, last ``rolling_rows`` + 1 values). Delays are merged with the
+parallel-variance formula. Amounts are added as whole millionths (decimals of
+38 digits, and what is left of an amount below that as a double), so their sums
+and squares do not depend on order or chunks. Pairs below the threshold
 form a single chunk and take exactly the plain window path.
 
 Shuffles of the fact rows: exactly one (hash on pair + chunk). The chunk
@@ -151,6 +153,36 @@ def _kept(rolling: int) -> int:
     return max(rolling, 2) + 1
 
 
+#: amounts are added in units of a millionth
+UNITS = 1e6
+_WIDE = "decimal(38,0)"
+
+
+def _units(a: Column) -> Column:
+    """The amount in whole millionths; null for an amount that has none (NaN, infinite). Squares fit amounts up to 10**12."""
+    return F.round(a * F.lit(UNITS)).try_cast(_WIDE)
+
+
+def _below_units(a: Column) -> Column:
+    """What whole millionths leave of an amount: 0 for up to six decimals."""
+    return F.coalesce(a - F.round(a * F.lit(UNITS)) / F.lit(UNITS), a * 0)
+
+
+def _total(units: Column, rest: Column) -> Column:
+    return units.cast("double") / F.lit(UNITS) + rest
+
+
+def _spread(n: Column, units: Column, squares: Column) -> Column:
+    """Sample std from count, sum and sum of squares of whole millionths; 0 below two values.
+
+    n * squares - units * units is exact up to 38 digits; beyond, doubles take over.
+    """
+    exact = F.try_subtract(F.try_multiply(n.cast(_WIDE), squares), F.try_multiply(units, units)).cast("double")
+    wide = n.cast("double") * squares.cast("double") - F.pow(units.cast("double"), 2)
+    m2 = F.greatest(F.coalesce(exact, wide), F.lit(0.0))
+    return F.when(n > 1, F.sqrt(F.try_divide(m2, n.cast("double") * (n.cast("double") - 1))) / F.lit(UNITS)).otherwise(F.lit(0.0))
+
+
 def _local_windows(df: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
     w = Window.partitionBy(*CHUNK).orderBy(*ORDER)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -162,10 +194,10 @@ def _local_windows(df: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
         "_lvy": F.var_pop(Y).over(run),
         "_lsdy": F.stddev_samp(Y).over(run),
         "_lmaxy": F.max(Y).over(run),
-        "_lsa": F.sum(A).over(run),
         "_lna": F.count(A).over(run),
-        "_lva": F.var_pop(A).over(run),
-        "_lsda": F.stddev_samp(A).over(run),
+        "_lsa": F.sum(_units(A)).over(run),
+        "_lqa": F.sum((_units(A) * _units(A)).cast(_WIDE)).over(run),
+        "_lra": F.sum(_below_units(A)).over(run),
         **{f"_y{k}": F.lag(Y, k).over(w) for k in range(1, _kept(rolling))},
         **{f"_a{k}": F.lag(A, k).over(w) for k in range(1, _kept(rolling))},
         "_cn": F.count(F.lit(1)).over(whole),
@@ -186,9 +218,8 @@ def _chunk_carries(local: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
         F.col("_lsy").alias("sy"),
         (F.col("_lvy") * F.col("_cn")).alias("m2y"),
         F.col("_lmaxy").alias("maxy"),
-        F.col("_lsa").alias("sa"),
         F.col("_lna").alias("na"),
-        F.coalesce(F.col("_lva") * F.col("_lna"), F.lit(0.0)).alias("m2a"),
+        *[F.col(f"_l{k}a").alias(f"{k}a") for k in "sqr"],
         F.col("_csiy").alias("siy"),
         F.reverse(F.slice(F.array(F.col(y), *[f"_y{k}" for k in range(1, kept)]), 1, keep)).alias("lasty"),
         F.reverse(F.slice(F.array(F.col(a), *[f"_a{k}" for k in range(1, kept)]), 1, keep)).alias("lasta"),
@@ -200,11 +231,10 @@ def _chunk_carries(local: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
         "_pn": F.coalesce(F.sum("n").over(before), F.lit(0)),
         "_psy": F.coalesce(F.sum("sy").over(before), F.lit(0)),
         "_pmaxy": F.max("maxy").over(before),
-        "_psa": F.sum("sa").over(before),
+        **{f"_p{k}a": F.sum(f"{k}a").over(before) for k in "sqr"},
         "_pna": F.coalesce(F.sum("na").over(before), F.lit(0)),
         "_pair_n": F.sum("n").over(allc),
         "_pair_sy": F.sum("sy").over(allc),
-        "_mu_a": F.try_divide(F.sum("sa").over(allc), F.sum("na").over(allc)),
         "_py": F.reverse(F.concat(*[
             F.coalesce(F.lag("lasty", k).over(ws), _empty("int")) for k in range(kept, 0, -1)])),
         "_pa": F.reverse(F.concat(*[
@@ -212,21 +242,17 @@ def _chunk_carries(local: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
     })
     mu_y = F.col("_pair_sy") / F.col("_pair_n")
     qy = F.col("m2y") + F.col("n") * F.pow(F.col("sy") / F.col("n") - mu_y, 2)
-    qa = F.when(F.col("na") > 0, F.col("m2a") + F.col("na") * F.pow(F.col("sa") / F.col("na") - F.col("_mu_a"), 2))
     s = s.withColumns({
         "_psiy": F.coalesce(F.sum(F.col("_pn") * F.col("sy") + F.col("siy")).over(before), F.lit(0.0)),
         "_pqy": F.coalesce(F.sum(qy).over(before), F.lit(0.0)),
-        "_pqa": F.coalesce(F.sum(F.coalesce(qa, F.lit(0.0))).over(before), F.lit(0.0)),
         "_pair_siy": F.sum(F.col("_pn") * F.col("sy") + F.col("siy")).over(allc),
         "_mu_y": mu_y,
     })
     p1y = F.col("_psy") - F.col("_mu_y") * F.col("_pn")
-    p1a = F.coalesce(F.col("_psa"), F.lit(0.0)) - F.coalesce(F.col("_mu_a"), F.lit(0.0)) * F.col("_pna")
     return s.select(
-        *CHUNK, "_pn", "_psy", "_pmaxy", "_psa", "_pna", "_py", "_pa",
+        *CHUNK, "_pn", "_psy", "_pmaxy", "_psa", "_pqa", "_pra", "_pna", "_py", "_pa",
         "_pair_n", "_pair_sy", "_pair_siy", "_psiy",
         F.when(F.col("_pn") > 0, F.greatest(F.col("_pqy") - p1y * p1y / F.col("_pn"), F.lit(0.0))).alias("_pm2y"),
-        F.when(F.col("_pna") > 0, F.greatest(F.col("_pqa") - p1a * p1a / F.col("_pna"), F.lit(0.0))).alias("_pm2a"),
     )
 
 
@@ -273,18 +299,15 @@ def _features(j: DataFrame, y: str, a: str, rolling: int) -> DataFrame:
     for earlier in back_a:
         whole_a = whole_a & earlier.isNotNull()
     na = pna + F.col("_lna")
-    total_a = F.when(na == 0, F.lit(None).cast("double")).otherwise(
-        F.coalesce(F.col("_psa"), F.lit(0.0)) + F.coalesce(F.col("_lsa"), F.lit(0.0))
-    )
+    wide = F.lit(0).cast(_WIDE)
+    sum_a, square_a = ((F.coalesce(F.col(f"_p{k}a"), wide) + F.coalesce(F.col(f"_l{k}a"), wide)).cast(_WIDE) for k in "sq")
+    rest_a = F.coalesce(F.col("_pra"), F.lit(0.0)) + F.coalesce(F.col("_lra"), F.lit(0.0))
+    total_a = F.when(na > 0, _total(sum_a, rest_a))
     pay_std = _merged_std(
         pn.cast("double"), F.col("_pm2y"), F.try_divide(F.col("_psy"), pn),
         rn.cast("double"), F.col("_lvy") * rn, F.col("_lsy") / rn, F.col("_lsdy"),
     )
-    inv_std = _merged_std(
-        pna.cast("double"), F.col("_pm2a"), F.try_divide(F.col("_psa"), pna),
-        F.col("_lna").cast("double"), F.col("_lva") * F.col("_lna"), F.try_divide(F.col("_lsa"), F.col("_lna")),
-        F.col("_lsda"),
-    )
+    inv_std = _spread(na, sum_a, square_a)
     latest = _largest([Y, *back_y[:rolling - 1]])
     full, more = pos >= rolling - 1, pos >= rolling
     tn = F.coalesce(F.col("_pair_n"), F.col("_cn")).cast("double")
@@ -350,8 +373,8 @@ def history_features(df: DataFrame, params: HistoryParams = HistoryParams(),
         freq = stats.filter(F.col("_pair_rows") > max_rows).select(*PAIR, "frequency_of_transactions")
         carry = carry.unionByName(chunk_carry.join(freq, PAIR), allowMissingColumns=True)
     else:
-        for c, t in (("_pn", "long"), ("_psy", "long"), ("_pmaxy", "int"), ("_psa", "double"),
-                     ("_pna", "long"), ("_pm2y", "double"), ("_pm2a", "double"),
+        for c, t in (("_pn", "long"), ("_psy", "long"), ("_pmaxy", "int"), ("_psa", _WIDE),
+                     ("_pqa", _WIDE), ("_pra", "double"), ("_pna", "long"), ("_pm2y", "double"),
                      ("_pair_n", "long"), ("_pair_sy", "long"), ("_pair_siy", "double"), ("_psiy", "double")):
             carry = carry.withColumn(c, F.lit(None).cast(t))
         carry = carry.withColumns({"_py": F.lit(None).cast("array<int>"), "_pa": F.lit(None).cast("array<double>")})
@@ -377,7 +400,7 @@ def _leak_free(rows: DataFrame, rolling: int) -> DataFrame:
     whole_a = pn > rolling
     for earlier in a:
         whole_a = whole_a & earlier.isNotNull()
-    total = F.when(pna > 0, F.col("_psa"))
+    total = F.when(pna > 0, _total(F.col("_psa"), F.col("_pra")))
     latest, full, more = _largest(y[:rolling]), pn >= rolling, pn > rolling
 
     def std(n, m2):
@@ -389,7 +412,7 @@ def _leak_free(rows: DataFrame, rolling: int) -> DataFrame:
         "average_invoice_amount": F.when(pn > 1, F.try_divide(total, pn - 1)),
         "payment_deviation": std(pn, F.col("_pm2y")),
         "delay_days_variance": std(pn, F.col("_pm2y")),
-        "invoice_deviation": std(pna, F.col("_pm2a")),
+        "invoice_deviation": _spread(pna, F.col("_psa"), F.col("_pqa")),
         "has_delayed_payment_last_3": (full & (latest > 0)).cast("int"),
         "has_early_payment_last_3": (full & (latest < 0)).cast("int"),
         "delay_days_trend": F.when(more, (y[0] - y[rolling]) / F.lit(float(rolling))),

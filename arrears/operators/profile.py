@@ -86,6 +86,25 @@ def sorted_invoices(df: DataFrame) -> DataFrame:
     return global_index(df, ["customer_id", "company_id", "invoice_date", "invoice_id"], "position")
 
 
+def dependency_violations(df: DataFrame, left: str, right: str) -> DataFrame:
+    """Where ``left`` and ``right`` are not one to one (A5): direction, key, n (rows), low, high.
+
+    ``left->right`` has every value of ``left`` that stands with several of
+    ``right``, the other direction likewise; ``low`` and ``high`` are the
+    least and greatest of them. No rows: each determines the other. Rows with a
+    null on either side say nothing. One mergeable summary a key, combined
+    before the shuffle, so a frequent key is one row a task.
+    """
+    known = df.filter(F.col(left).isNotNull() & F.col(right).isNotNull())
+
+    def broken(a: str, b: str) -> DataFrame:
+        seen = known.groupBy(F.col(a).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min(b).alias("low"), F.max(b).alias("high"))
+        return seen.filter(F.col("low") < F.col("high")).select(
+            F.lit(f"{a}->{b}").alias("direction"), *[F.col(c).cast("string").alias(c) if c != "n" else F.col(c) for c in ("key", "n", "low", "high")])
+
+    return broken(left, right).unionByName(broken(right, left))
+
+
 def _ordered_bits(x: np.ndarray) -> np.ndarray:
     """Unsigned integers in the order of the doubles (both zeros alike, NaN last)."""
     x = np.where(np.isnan(x), np.nan, x + 0.0)

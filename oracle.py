@@ -111,6 +111,8 @@ clean AS (
 # pair window: whole history; running; 3-row rolling
 W = "PARTITION BY customer_id, company_id ORDER BY invoice_date, invoice_id"
 WE = f"({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+# amounts in whole millionths: their sums and squares are exact in any order
+UNITS = "CAST(round(net_amount * 1000000) AS HUGEINT)"
 W3 = f"({W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
 WP = "(PARTITION BY customer_id, company_id)"
 
@@ -126,9 +128,11 @@ f1 AS (
     coalesce(lag(delay_days) OVER ({W}), 0) AS previous_delay_days,
     avg(delay_days) OVER {WE} AS average_delay_days,
     row_number() OVER ({W}) - 1 AS number_of_previous_invoices,
-    sum(net_amount) OVER {WE} AS total_amount_of_previous_invoices,
+    CAST(sum({UNITS}) OVER {WE} AS DOUBLE) / 1000000 AS total_amount_of_previous_invoices,
     coalesce(stddev_samp(delay_days) OVER {WE}, 0) AS payment_deviation,
-    coalesce(stddev_samp(net_amount) OVER {WE}, 0) AS invoice_deviation,
+    coalesce(CASE WHEN count(net_amount) OVER {WE} > 1 THEN sqrt(CAST(count(net_amount) OVER {WE} * sum({UNITS} * {UNITS}) OVER {WE}
+      - sum({UNITS}) OVER {WE} * sum({UNITS}) OVER {WE} AS DOUBLE)
+      / (CAST(count(net_amount) OVER {WE} AS DOUBLE) * (count(net_amount) OVER {WE} - 1))) / 1000000 END, 0) AS invoice_deviation,
     CASE WHEN count(delay_days) OVER {W3} = 3 AND max(delay_days) OVER {W3} > 0 THEN 1 ELSE 0 END
       AS has_delayed_payment_last_3,
     CASE WHEN count(delay_days) OVER {W3} = 3 AND max(delay_days) OVER {W3} < 0 THEN 1 ELSE 0 END

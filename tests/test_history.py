@@ -8,6 +8,7 @@ from arrears.operators.features import invoice_features
 from arrears.operators.history import HISTORY_COLUMNS
 from arrears.params import HistoryParams
 from arrears.sources.invoices import invoices_from_tables
+from arrears.schema import INVOICE_SCHEMA
 from fixtures import SF01, hand_invoices
 
 PAIR_A = {
@@ -91,3 +92,29 @@ def test_leak_free_history_uses_earlier_rows_only(spark):
     assert [rows[i]["delay_days"] for i in range(1, 6)] == [5, -3, 20, 40, 10]
     # slope over the first three delays (5, -3, 20) only
     assert rows[4]["overall_delay_days_trend"] == pytest.approx(7.5)
+
+
+def test_amount_sums_do_not_depend_on_chunks(spark):
+    """Equal to the last bit, and to exact decimals, however a pair is cut and its rows arrive."""
+    import datetime as dt
+    import random
+    from decimal import Decimal, getcontext
+
+    from arrears.operators.features import invoice_features
+    from arrears.params import HistoryParams
+
+    getcontext().prec = 60
+    pick = random.Random(2)
+    amounts = [round(pick.uniform(0, 10 ** pick.randrange(1, 8)), 2) for _ in range(400)]
+    amounts[50:60] = [None] * 10
+    rows = [(i, 1, 1, dt.date(2021, 1, 1) + dt.timedelta(days=i // 7), i % 40 - 10, a) for i, a in enumerate(amounts)]
+    pick.shuffle(rows)
+    frame = spark.createDataFrame([(i, c, k, d, d, d + dt.timedelta(30), None, d + dt.timedelta(30 + y), 0.0, "Y", a, "EU", "DE", "A")
+                                   for i, c, k, d, y, a in rows], INVOICE_SCHEMA)
+    columns = ("invoice_id", "total_amount_of_previous_invoices", "average_invoice_amount", "invoice_deviation")
+    runs = [sorted(map(tuple, invoice_features(frame.repartition(p), HistoryParams(max_chunk_rows=m)).select(*columns).collect()))
+            for p, m in ((1, 10_000), (5, 13), (3, 64))]
+    assert runs[0] == runs[1] == runs[2]
+    known = [Decimal(str(a)) for a in amounts if a is not None]
+    n, s, q = len(known), sum(known), sum(a * a for a in known)
+    assert runs[0][-1][1] == float(s) and abs(Decimal(runs[0][-1][3]) / ((n * q - s * s) / (n * (n - 1))).sqrt() - 1) < Decimal("1e-15")

@@ -102,3 +102,14 @@ def test_quantiles_and_correlation_move_no_values(spark):
     assert one == pytest.approx(df.corr("a", "b"), abs=1e-12)
     nan = spark.createDataFrame([(1.0, 2.0), (2.0, float("nan")), (3.0, 7.0), (4.0, 1.0)], "a double, b double")
     assert correlation_long(nan, ["a", "b"]).first()["corr"] == pytest.approx(nan.filter("not isnan(b)").corr("a", "b"))
+
+
+def test_dependency_violations(spark):
+    from arrears.operators.profile import dependency_violations
+
+    one = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "b"), (3, None)], "x int, y string")
+    assert dependency_violations(one, "x", "y").count() == 0
+    rows = one.unionAll(spark.createDataFrame([(2, "c"), (4, "a")], "x int, y string"))
+    got = sorted(map(tuple, dependency_violations(rows, "x", "y").collect()))
+    assert got == [("x->y", "2", 2, "b", "c"), ("y->x", "a", 3, "1", "4")]
+    assert dependency_violations(rows.filter("false"), "x", "y").count() == 0

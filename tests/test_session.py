@@ -48,3 +48,22 @@ def test_unset_setting_falls_back_once_per_application():
 
 def test_real_session(spark):
     assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def test_run_folder_holds_the_copies_and_is_cleared(spark):
+    import os
+
+    from arrears.session import clear_run_folder, materialize, run_folder
+
+    assert materialize(spark.range(3), "kept").count() == 3
+    folder = run_folder(spark).removeprefix("file:")
+    assert any(name.startswith("kept-") for name in os.listdir(folder))
+    # another folder in its place, so that the copies of other tests stay
+    old = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", folder + "-apart") if old is None else None
+    try:
+        if old is None:
+            materialize(spark.range(2), "apart")
+            assert clear_run_folder(spark) and not clear_run_folder(spark)
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if old is None else None
