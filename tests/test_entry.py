@@ -29,6 +29,8 @@ def test_weighted_boosting_runs_the_whole_preset(spark, monkeypatch):
 
     asked = []
     monkeypatch.setattr(e, "_fitted", lambda spark, sf, name, estimator: (asked.append(estimator()), None))
-    monkeypatch.setattr(e, "_predictions", lambda spark, sf, model: None)
+    monkeypatch.setattr(e, "_judged_predictions", lambda spark, sf, model: None)
     e.q_weighted_gbt_predictions(spark, "")
-    assert asked[0].getClassifier().getMaxIter() == TUNED_BOOSTING["n_estimators"]
+    sizes = asked[0].sizes
+    assert (sizes.rounds, sizes.num_leaves, sizes.reg_alpha, sizes.reg_lambda, sizes.subsample_freq) == tuple(
+        TUNED_BOOSTING[k] for k in ("n_estimators", "num_leaves", "reg_alpha", "reg_lambda", "subsample_freq"))
