@@ -255,6 +255,17 @@ def q_scan_invoices_csv(spark, sf):
     return parse_dates(read_invoices_csv(spark, path))
 
 
+@register("csv_extra_column_types", [("invoice_id", I), ("credit_limit", D), ("flagged", B), ("is_feature", B)],
+          "SELECT invoice_id, invoice_id * 1.5 AS credit_limit, invoice_id % 2 = 0 AS flagged, true AS is_feature FROM inv")
+def q_csv_extra_column_types(spark, sf):
+    """IO1: columns that the schema does not know get their type from their values and become features."""
+    path = _scratch(spark, "inv-extra-csv")
+    extra = {"credit_limit": (F.col("invoice_id") * 1.5).cast("string"), "flagged": (F.col("invoice_id") % 2 == 0).cast("string")}
+    write_invoices_csv(invoices(spark, sf).withColumns(extra), path)
+    rows = read_invoices_csv(spark, path)
+    return rows.withColumn("is_feature", F.lit({"credit_limit", "flagged"} <= set(ml.feature_columns(rows))))
+
+
 @register("parse_dates", INVOICE_SPEC, "SELECT * FROM inv")
 def q_parse_dates(spark, sf):
     inv = invoices(spark, sf)

@@ -16,21 +16,59 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def read_invoices_csv(spark: SparkSession, path: str, schema=INVOICE_CSV_SCHEMA) -> DataFrame:
+def read_invoices_csv(spark: SparkSession, path: str, schema=INVOICE_CSV_SCHEMA, infer: bool = True) -> DataFrame:
     """CSV with a header (IO1). Dates stay text until ``parse_dates``.
 
-    Only the header is read first: columns are matched by lower-cased name in
-    any order, and columns that the schema does not know come along as text.
+    Columns are matched by lower-cased name in any order. Those that the schema
+    does not know come along with the type that all their values have
+    (``infer_types``), or as text without ``infer``.
     """
-    return normalize_columns(_csv_by_name(spark, path, schema))
+    return normalize_columns(_csv_by_name(spark, path, schema, infer))
 
 
-def _csv_by_name(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+#: types a text column may turn out to have, narrowest first; text is above all
+TYPE_LATTICE = ("boolean", "bigint", "double", "date")
+
+
+def infer_types(df: DataFrame, columns) -> dict[str, str]:
+    """{column: type} of text columns: the narrowest of ``TYPE_LATTICE`` that every value can be cast to, else string.
+
+    One aggregate for all columns (combined before the shuffle, one row to the
+    driver). Nulls and blanks fit every type; a column without values is text.
+    """
+    columns = list(columns)
+    if not columns:
+        return {}
+    value = {c: F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in columns}
+    sums = [F.count(value[c]).alias(f"n{i}") for i, c in enumerate(columns)]
+    sums += [F.count(value[c].try_cast(t)).alias(f"n{i}{t}") for i, c in enumerate(columns) for t in TYPE_LATTICE]
+    seen = df.agg(*sums).first()
+    return {c: next((t for t in TYPE_LATTICE if seen[f"n{i}"] and seen[f"n{i}{t}"] == seen[f"n{i}"]), "string") for i, c in enumerate(columns)}
+
+
+def _csv_by_name(spark: SparkSession, path: str, schema: StructType, infer: bool = False) -> DataFrame:
     kinds = {f.name.lower(): f.dataType for f in schema.fields}
     header = spark.read.option("header", True).csv(path).columns
     found = StructType([StructField(c, kinds.get(c.lower(), StringType())) for c in header])
-    return spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd").option(
-        "enforceSchema", False).schema(found).csv(path)
+    rows = spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd").option("enforceSchema", False).schema(found).csv(path)
+    if not infer:
+        return rows
+    types = infer_types(rows, [c for c in header if c.lower() not in kinds])
+    return rows.withColumns({c: F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).try_cast(t) for c, t in types.items() if t != "string"})
+
+
+def rejected_rows(spark: SparkSession, path: str, schema=INVOICE_CSV_SCHEMA) -> DataFrame:
+    """Rows of a CSV in which a declared column holds what its type cannot read: the row as JSON, and reasons (column: value)."""
+    kinds = {f.name.lower(): f.dataType for f in schema.fields}
+    rows = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    reasons = []
+    for c in rows.columns:
+        kind = kinds.get(c.lower())
+        if kind is not None and not isinstance(kind, StringType):
+            bad = F.col(f"`{c}`").isNotNull() & F.trim(F.col(f"`{c}`")).try_cast(kind).isNull()
+            reasons.append(F.when(bad, F.concat(F.lit(f"{c.lower()}: "), F.col(f"`{c}`"))))
+    told = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+    return rows.select(F.to_json(F.struct("*")).alias("row"), told.alias("reasons")).filter(F.size("reasons") > 0)
 
 
 def read_invoices_parquet(spark: SparkSession, path_or_table: str) -> DataFrame:
@@ -92,12 +130,12 @@ def read_training_set(spark: SparkSession, path: str, fmt: str = "parquet", extr
     """Training set written by ``write_training_set`` (Parquet or CSV with header).
 
     CSV is read by column name with the declared schema (dates as yyyy-MM-dd),
-    so no inference pass runs over the whole file; ``extra`` declares the
-    caller's own columns, which are texts otherwise. ``invoice_year`` (the
+    so no inference pass runs over them; ``extra`` declares the caller's own
+    columns, whose types are told from their values otherwise. ``invoice_year`` (the
     partition column) stays, so that the year split skips the files of other years.
     """
     path = current_folder(spark, path)
     if fmt == "csv":
         known = TRAINING_SET_SCHEMA.fields + [StructField("invoice_year", IntegerType())]
-        return _csv_by_name(spark, path, StructType(known + (extra.fields if extra else [])))
+        return _csv_by_name(spark, path, StructType(known + (extra.fields if extra else [])), infer=True)
     return spark.read.parquet(path)

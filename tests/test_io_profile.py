@@ -113,3 +113,26 @@ def test_dependency_violations(spark):
     got = sorted(map(tuple, dependency_violations(rows, "x", "y").collect()))
     assert got == [("x->y", "2", 2, "b", "c"), ("y->x", "a", 3, "1", "4")]
     assert dependency_violations(rows.filter("false"), "x", "y").count() == 0
+
+
+def test_types_of_unknown_csv_columns(spark, tmp_path):
+    from arrears.operators import ml
+    from arrears.sources import infer_types, rejected_rows
+
+    texts = spark.createDataFrame([("1", "1.5", "true", "2021-02-03", "7", None, "9" * 30), (" 22 ", "3", "FALSE", "2021-12-31", "x", "", "1"),
+                                   ("", None, "", "", "8", None, "2")], "a string, b string, c string, d string, e string, f string, g string")
+    assert infer_types(texts, texts.columns) == {"a": "bigint", "b": "double", "c": "boolean", "d": "date", "e": "string", "f": "string", "g": "double"}
+    path = str(tmp_path / "inv.csv")
+    inv = invoices_table(spark, SF001).limit(50)
+    write_invoices_csv(inv.withColumn("Credit Limit", (F.col("invoice_id") * 1.5).cast("string")).withColumn("memo", F.lit("n/a")), path)
+    back = read_invoices_csv(spark, path)
+    kinds = dict(back.dtypes)
+    assert kinds["credit limit"] == "double" and kinds["memo"] == "string"
+    assert "credit limit" in ml.feature_columns(back) and "memo" not in ml.feature_columns(back)
+    assert back.filter(F.col("`credit limit`") != F.col("invoice_id") * 1.5).count() == 0
+    assert dict(read_invoices_csv(spark, path, infer=False).dtypes)["credit limit"] == "string"
+    assert rejected_rows(spark, path).count() == 0
+    bad = tmp_path / "bad.csv"
+    bad.write_text("INVOICE_ID,customer_id,net_amount,memo\n1,2,3.5,a\nx1,2,3.5,b\n3,,much,c\n")
+    got = [tuple(r["reasons"]) for r in rejected_rows(spark, str(bad)).collect()]
+    assert got == [("invoice_id: x1",), ("net_amount: much",)]
