@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ml import spread_scoring
 from ..operators.split import training_projection
 from ..schema import TRAINING_SET_SCHEMA
 from ..session import ensure_checkpoint_dir
@@ -34,7 +35,7 @@ def scored_stream(spark: SparkSession, source_dir: str, model: PipelineModel, fr
     if from_year is not None:
         rows = rows.filter(F.col("invoice_year") >= from_year)
     prepared = training_projection(rows.drop("invoice_year"))
-    out = model.transform(prepared).withColumn("predicted_bucket", F.col("prediction").cast("int"))
+    out = model.transform(spread_scoring(model, prepared)).withColumn("predicted_bucket", F.col("prediction").cast("int"))
     return out.drop("features", "scaled", "rawPrediction", "probability", "prediction")
 
 
