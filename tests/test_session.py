@@ -67,3 +67,19 @@ def test_run_folder_holds_the_copies_and_is_cleared(spark):
             assert clear_run_folder(spark) and not clear_run_folder(spark)
     finally:
         spark.conf.unset("spark.checkpoint.dir") if old is None else None
+
+
+def test_wide_writes_keep_methods_compilable_and_give_the_setting_back(spark, tmp_path, monkeypatch):
+    from arrears.plans import preprocess
+    from arrears.session import materialize
+    from arrears.sources import io
+    from fixtures import hand_invoices
+
+    key, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(key, None)
+    plans = __import__("arrears.plans.preprocess", fromlist=["x"])
+    monkeypatch.setattr(plans, "materialize", lambda df, name: (seen.append(spark.conf.get(key)), materialize(df, name))[1])
+    rows = preprocess(hand_invoices(spark), as_of="2024-01-01")
+    assert seen == ["8000"] and spark.conf.get(key, None) == before
+    io.write_training_set(rows, f"{tmp_path}/ts")
+    assert io.read_training_set(spark, f"{tmp_path}/ts").count() == rows.count() and spark.conf.get(key, None) == before
