@@ -19,8 +19,8 @@
    shipped once, to its component, and all pairs there that are not yet
    connected are compared on full sets. Components of more than ``block_limit``
    members are compared block against block, so no task holds a whole one.
-5. Connected components of the exact links (min-label propagation with pointer
-   jumping) give the class of each document.
+5. Connected components of the exact links (hooking to the smallest neighbour,
+   pointer jumping, contraction) give the class of each document.
 
 Recall: a pair at the threshold meets in a tree with the chance that a critical
 branching process survives; with 16 trees and nearly all nodes small at the
@@ -266,18 +266,27 @@ def _exact_links(words: int, percent: int):
 
 
 def connected(links: DataFrame, name: str) -> DataFrame:
-    """(v, root): the smallest vertex reachable, for every vertex of ``links`` (a, b)."""
+    """(v, root): the smallest vertex reachable, for every vertex of ``links`` (a, b).
+
+    Every vertex hooks to its smallest neighbour, pointers jump to the tops, and the links between different tops
+    are all that the next turn sees: links inside a group are read once, however many they are.
+    """
     few = max(1, shuffle_partitions(links.sparkSession) // 8)  # rows of two ids: larger partitions do
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct().toDF("v", "u").coalesce(few), f"{name}-links")
-    label = materialize(both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("root")).coalesce(few), f"{name}-label")
+    kept = lambda df, what: materialize(df.coalesce(few), f"{name}-{what}")
+    ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    links, label = kept(links.select(*ordered("a", "b")).distinct(), "links"), None
     while True:
-        near = both.join(label.toDF("u", "r"), "u").groupBy("v").agg(F.min("r").alias("r"))
-        step = label.join(near, "v").select("v", F.least("root", "r").alias("next"), "root")
-        jump = step.join(label.toDF("next", "far"), "next").select("v", F.least("next", "far").alias("root"), F.col("root").alias("was"))
-        done = materialize(jump.coalesce(few), f"{name}-label")
-        moved = done.filter("root != was").limit(1).count()
-        label = done.select("v", "root")
-        if not moved:
+        both = links.union(links.select("b", "a")).toDF("v", "u")
+        top = kept(both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("root")), "top")
+        while True:
+            done = kept(top.join(top.toDF("root", "far"), "root").select("v", F.col("far").alias("root"), F.col("root").alias("was")), "top")
+            top = done.select("v", "root")
+            if not done.filter("root != was").limit(1).count():
+                break
+        label = top if label is None else kept(label.join(top.toDF("root", "far"), "root", "left").select("v", F.coalesce("far", "root").alias("root")), "label")
+        ends = links.join(top.toDF("a", "x"), "a").join(top.toDF("b", "y"), "b").filter("x != y")
+        links = kept(ends.select(*ordered("x", "y")).distinct(), "links")
+        if not links.limit(1).count():
             return label
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_operators import LONG, ROWS, SCHEMA, SF, texts
 
 import corpus_pipeline
+from arrears.llm import minhash_join
 from arrears.llm.ann_forest import nearest
 from arrears.llm.bpe import bpe_decode, bpe_encode
 from arrears.llm.chat import format_chats, records_from_rows
@@ -187,3 +188,15 @@ def test_near_dedup_keeps_one_row_of_each_class(spark):
     kept = sorted([tuple(r) for r in got if r["text"] not in (near(20), near(30))], key=str)
     assert sum(r["text"] in (near(20), near(30)) and r["doc_id"] == 1 for r in got) == 1 and len(got) == len(kept) + 1
     assert kept == sorted([(2, " "), (3, other), (4, "one two"), (None, other), (None, other), (5, None), (5, None)], key=str)
+
+
+def test_links_inside_a_group_are_read_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    edges = [(int(order[i]), int(order[rng.integers(i)])) for _ in range(16) for order in [rng.permutation(300)] for i in range(1, 300)]  # 16 trees over one group
+    edges += [(1000 + i, 1001 + i) for i in range(60)] + [(3000, 2000), (2500, 3000), (4000, 4000)]
+    copies, write = [], minhash_join.materialize
+    monkeypatch.setattr(minhash_join, "materialize", lambda df, name: (out := write(df, name), copies.append((name, out.count())))[0])
+    found = {r["v"]: r["root"] for r in minhash_join.connected(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+    assert found == {i: 0 for i in range(300)} | {1000 + i: 1000 for i in range(61)} | {2000: 2000, 2500: 2000, 3000: 2000, 4000: 4000}
+    sizes = [n for name, n in copies if name == "t-links"]
+    assert len(sizes) > 1 and sizes[0] > 4000 and sum(sizes[1:]) < sizes[0] / 4 and sizes[-1] == 0
