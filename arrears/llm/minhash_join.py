@@ -306,34 +306,36 @@ def set_classes(docs: DataFrame, words: int = 5, percent: int = 75, trees: int =
         F.min("doc_id").alias("first"), F.any_value("tokens").alias("tokens")).withColumn("rep", F.monotonically_increasing_id()), "reps")
 
     # trees
+    tokens = reps.select("rep", "tokens")
     pairs = reps.select(F.lit(None).cast("long").alias("node"), "rep", "tokens").mapInArrow(
         _branch(percent / 100, trees), "node long, rep long")
     links = None
     for step in range(steps):
         pairs = materialize(pairs, "tree")
-        sized = pairs.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).filter("n > 1")
-        met = materialize(pairs.join(sized, "node").join(reps.select("rep", "tokens"), "rep"), "tree-met")
-        small = met.filter(F.col("n") <= node_limit).withColumn("bucket", F.pmod("node", F.lit(2 * places)))
-        found = materialize(small.select("bucket", "node", "rep", "tokens").groupBy("bucket").applyInArrow(
-            _compare_nodes(least), "a long, b long").distinct(), "loose")
+        sized = materialize(pairs.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).filter("n > 1"), "nodes")
+        large = materialize(sized.filter(F.col("n") > node_limit).select("node", "pivot"), "large")
+        crowded = large.limit(1).count() > 0
+        # members of large nodes are dealt by rep alone: no task gets a whole node, and each is joined with its node once
+        light = pairs.join(large, "node", "left_anti") if crowded else pairs
+        small = light.join(sized.filter(F.col("n") <= node_limit).select("node"), "node").join(tokens, "rep")
+        found = materialize(small.withColumn("bucket", F.pmod("node", F.lit(2 * places))).select("bucket", "node", "rep", "tokens").groupBy(
+            "bucket").applyInArrow(_compare_nodes(least), "a long, b long").distinct(), "loose")
         links = found if links is None else links.unionAll(found)
-        large = met.filter(F.col("n") > node_limit)
-        if large.limit(1).count() == 0:
+        if not crowded:
             break
-        pivots = large.filter("rep = pivot").select("node", F.col("tokens").alias("pivot_tokens"))
-        star = materialize(large.join(pivots, "node").select("node", "rep", "pivot", "tokens", "pivot_tokens").mapInArrow(
+        pivots = materialize(large.join(tokens.toDF("pivot", "pivot_tokens"), "pivot").select("node", "pivot", "pivot_tokens"), "pivots")
+        star = materialize(pairs.join(pivots, "node").join(tokens, "rep").select("node", "rep", "pivot", "tokens", "pivot_tokens").mapInArrow(
             _with_pivot(least), "node long, rep long, pivot long, tokens binary, near boolean"), "star")
         linked = star.filter("rep != pivot")
         if step < steps - 1:
             linked = linked.filter("near")
         links = links.unionAll(linked.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
         # members unlike the pivot: none, nothing is left to find; few, they meet all members; many, the node branches
-        state = star.groupBy("node").agg(F.count("*").alias("n"), F.count_if(~F.col("near")).alias("rest"))
-        few = star.join(state.filter(F.col("rest").between(1, node_limit)), "node").select(
-            "node", "rep", "tokens", F.when(F.col("near"), F.col("pivot")).otherwise(F.col("rep")).alias("root"), "near",
-            F.ceil(F.col("n") / block_limit).cast("int").alias("blocks"))
-        every = few.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).select("node", "block", "rep", "root", "tokens")
-        rest = few.filter("not near").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        state = materialize(star.groupBy("node").agg(F.count("*").alias("n"), F.count_if(~F.col("near")).alias("rest")), "state")
+        few = state.filter(F.col("rest").between(1, node_limit)).select("node", F.ceil(F.col("n") / block_limit).cast("int").alias("blocks"))
+        member = ["node", "block", "rep", F.when(F.col("near"), F.col("pivot")).otherwise(F.col("rep")).alias("root"), "tokens"]
+        every = star.join(few, "node").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).select(*member)
+        rest = star.filter("not near").join(few, "node").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select(*member).select(
             *[F.col(c).alias(c) for c in ("node", "block", "rep", "root", "tokens")])
         links = links.unionAll(materialize(every.groupBy("node", "block").cogroup(rest.groupBy("node", "block")).applyInArrow(
             _compare_rest(least), "a long, b long").distinct(), "rest"))

@@ -200,3 +200,29 @@ def test_links_inside_a_group_are_read_once(spark, monkeypatch):
     assert found == {i: 0 for i in range(300)} | {1000 + i: 1000 for i in range(61)} | {2000: 2000, 2500: 2000, 3000: 2000, 4000: 4000}
     sizes = [n for name, n in copies if name == "t-links"]
     assert len(sizes) > 1 and sizes[0] > 4000 and sum(sizes[1:]) < sizes[0] / 4 and sizes[-1] == 0
+
+
+def test_rows_of_large_nodes_meet_their_node_once(spark, monkeypatch):
+    base, joined, pairs = [f"w{i}" for i in range(80)], [], []
+    frame, write = type(spark.range(0)), minhash_join.materialize
+    join = frame.join
+
+    def counted(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if on == "node" and how is None:
+            joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(frame, "join", counted)
+    monkeypatch.setattr(minhash_join, "materialize", lambda df, name: (out := write(df, name), pairs.append(out.count() if name == "tree" else 0))[0])
+    totals = []
+    for n in (120, 240):
+        docs = [(i, " ".join(base[:i % 80] + [f"x{i}"] + base[i % 80 + 1:])) for i in range(n)] + [(1000 + i, f"a{i} b{i} c{i}") for i in range(20)]
+        got = sorted(map(tuple, near_dup_classes(spark.createDataFrame(docs, "doc_id long, text string"), node_limit=16, block_limit=64).collect()))
+        assert got == sorted(brute.near_dups(docs))
+        totals.append((sum(joined), sum(pairs)))
+        joined.clear()
+        pairs.clear()
+    (some, members), (more, twice) = totals
+    assert some <= members and more <= twice
+    assert more <= 2.5 * some  # a group of twice the size: about twice the rows
