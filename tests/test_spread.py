@@ -1,6 +1,8 @@
 """Training and scoring rows that lie in one file are dealt over the tasks."""
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import functions as F
 
 from arrears.operators import ml
@@ -48,3 +50,26 @@ def test_scored_rows_of_one_file_are_shared_by_tasks(spark):
     out = ml.predict(model, rows)
     assert out.count() == 400_000 and out.select("task").distinct().count() > 1
     assert out.agg(F.sum("invoice_id")).first()[0] == sum(range(400_000))
+
+
+def test_forest_tasks_are_few_and_node_ids_not_checkpointed(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(60_000 * cores).selectExpr("id AS invoice_id", "cast(id as double) AS a", "cast(id % 5 as int) AS payment_bucket", "1.0 AS weight")
+    tasks = []
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: (tasks.append(df.rdd.getNumPartitions()), _None())[1])
+    ml.fit(rows, ml.random_forest(), ["a"])
+
+    class Seen(Exception):
+        pass
+
+    def stop(self, df):
+        tasks.append(df.rdd.getNumPartitions())
+        raise Seen
+
+    monkeypatch.setattr(TrainValidationSplit, "fit", stop)
+    try:
+        ml.tune(rows, ["a"])
+    except Seen:
+        pass
+    assert tasks == [cores, cores]
+    assert ml.random_forest().getCheckpointInterval() == -1
