@@ -34,3 +34,26 @@ def test_weighted_boosting_runs_the_whole_preset(spark, monkeypatch):
     sizes = asked[0].sizes
     assert (sizes.rounds, sizes.num_leaves, sizes.reg_alpha, sizes.reg_lambda, sizes.subsample_freq) == tuple(
         TUNED_BOOSTING[k] for k in ("n_estimators", "num_leaves", "reg_alpha", "reg_lambda", "subsample_freq"))
+
+
+def test_search_runs_the_whole_search(spark, monkeypatch):
+    import inspect
+
+    import __spark_entry__ as e
+    from arrears.operators.search import SPACE, search, search_boosting
+
+    rows = spark.createDataFrame([(0.5, 0)], "a double, payment_bucket int")
+    asked = []
+
+    def seen(*args, **more):
+        asked.append(inspect.signature(search_boosting).bind(*args, **more))
+        asked[-1].apply_defaults()
+        return None, spark.createDataFrame([(0, 10, 0.9)], "trial int, rounds int, macro_f1 double")
+
+    monkeypatch.setattr(e, "_splits", lambda spark, sf: (rows, rows, None))
+    monkeypatch.setattr(e, "search_boosting", seen)
+    e.q_searched_params(spark, "")
+    sizes = asked[0].arguments
+    assert (sizes["points"], sizes["least"], sizes["factor"], sizes["space"]) == (27, 10, 3, None)
+    trials = search(lambda sizes, budget: 0.0, SPACE, sizes["points"], sizes["least"], sizes["factor"])
+    assert [t.budget for t in trials] == [10] * 27 + [30] * 9 + [90] * 3 + [270]
